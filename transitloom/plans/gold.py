@@ -1,0 +1,151 @@
+"""Fleet measures: speed, accessibility, current fleet and static route profile."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from transitloom.functions.clock import elapsed_hours
+from transitloom.functions.geo import haversine_km
+from transitloom.operators.adjacent import with_next, with_previous
+from transitloom.operators.ranking import first_per_key
+
+# fixed values: plausible speeds in km/h, bounds excluded
+MIN_SPEED, MAX_SPEED = 5, 110
+# fixed value: stops per km of route
+STOPS_PER_KM = 3
+
+# The fact holds one row per vehicle and signal second, so a vehicle-day has at most 86,400 rows.
+PING_SLICE_SECONDS = 86_400
+SHAPE_SLICE_POINTS = 4_096
+
+_PING = ["data_hora_sp", "prefixo_veiculo", "cod_linha", "latitude", "longitude", "sentido_desc",
+         "data_referencia"]
+
+
+def ping_speed(fact: DataFrame, slice_seconds: int | None = PING_SLICE_SECONDS,
+               carried: DataFrame | None = None, max_gap_hours: float | None = None) -> DataFrame:
+    """Speed of each ping against the vehicle's previous one.
+
+    Pings without vehicle or time take no part; a vehicle's first ping is dropped. ``carried`` holds
+    the last known ping of each vehicle from before ``fact`` (same columns) when only new days are
+    processed. ``max_gap_hours`` leaves out pairs further apart. ``slice_seconds`` bounds how much of
+    one vehicle a task sorts; lower it for feeds denser than one ping a second.
+    """
+    pings = fact.select(*_PING).withColumn("__new", F.lit(True))
+    if carried is not None:
+        pings = pings.unionByName(carried.select(*_PING).withColumn("__new", F.lit(False)))
+    pings = pings.filter(F.col("prefixo_veiculo").isNotNull() & F.col("data_hora_sp").isNotNull())
+    time_slice = None
+    if slice_seconds is not None:
+        time_slice = F.floor(F.unix_timestamp("data_hora_sp") / F.lit(slice_seconds))
+    paired = with_previous(
+        pings, ["prefixo_veiculo"], ["data_hora_sp"],
+        {"latitude": "lat_prev", "longitude": "lon_prev", "data_hora_sp": "time_prev"}, time_slice,
+    )
+    km = F.round(
+        haversine_km(F.col("lat_prev"), F.col("lon_prev"), F.col("latitude"), F.col("longitude")), 4
+    )
+    timed = paired.filter(F.col("lat_prev").isNotNull() & F.col("__new")).drop("__new").withColumns({
+        "dist_km": km, "tempo_horas": elapsed_hours(F.col("time_prev"), F.col("data_hora_sp")),
+    })
+    if max_gap_hours is not None:
+        timed = timed.filter(F.col("tempo_horas") <= max_gap_hours)
+    # two pings in the same second have no speed
+    return timed.withColumn("velocidade_kmh", F.round(F.try_divide("dist_km", "tempo_horas"), 1))
+
+
+def plausible(speeds: DataFrame, low: float = MIN_SPEED, high: float = MAX_SPEED) -> DataFrame:
+    """Drop standing vehicles and jumps of the receiver."""
+    return speeds.filter((F.col("velocidade_kmh") > low) & (F.col("velocidade_kmh") < high))
+
+
+def line_speed(fact: DataFrame, lines: DataFrame, low: float = MIN_SPEED, high: float = MAX_SPEED,
+               **ping_options) -> DataFrame:
+    """Mean speed and centre of the moving pings by line, direction and day, with the line's names.
+
+    A pair of pings counts for the line, direction and day of the later one. Lines missing from the
+    dimension stay, with null names.
+    """
+    means = plausible(ping_speed(fact, **ping_options), low, high).groupBy(
+        "cod_linha", "sentido_desc", "data_referencia"
+    ).agg(
+        F.avg("velocidade_kmh").alias("velocidade_media"),
+        F.avg("latitude").alias("lat_centroide"),
+        F.avg("longitude").alias("lon_centroide"),
+    )
+    return means.join(lines, "cod_linha", "left")
+
+
+def accessibility(fact: DataFrame, lines: DataFrame) -> DataFrame:
+    """Share of accessible pings by line and day. The columns speak of vehicles but count pings."""
+    counted = fact.groupBy("cod_linha", "data_referencia").agg(
+        F.count("prefixo_veiculo").alias("total_veiculos_reportados"),
+        F.count_if("is_acessivel").alias("total_acessiveis"),
+    )
+    share = F.round(F.try_divide("total_acessiveis", "total_veiculos_reportados") * 100, 2)
+    return (
+        counted.withColumn("percentual_acessibilidade", share)
+        .join(lines.select("cod_linha", "nome_api_tp_ts", "letreiro_completo"), "cod_linha", "left")
+        .select("nome_api_tp_ts", "letreiro_completo", "percentual_acessibilidade",
+                "total_veiculos_reportados", "data_referencia")
+    )
+
+
+def fleet_snapshot(fact: DataFrame, as_of=None) -> DataFrame:
+    """Last known ping of every vehicle, however old; ``as_of`` looks back from the end of a day."""
+    known = fact.filter(F.col("prefixo_veiculo").isNotNull())
+    if as_of is not None:
+        known = known.filter(F.col("data_referencia") <= F.lit(as_of).cast("date"))
+    return first_per_key(known, ["prefixo_veiculo"], [F.col("data_hora_sp").desc_nulls_last()])
+
+
+def shape_length(shapes: DataFrame, slice_points: int | None = SHAPE_SLICE_POINTS) -> DataFrame:
+    """Length in km of each polyline; a shape of a single point has none and is left out."""
+    points = shapes.select("shape_id", "shape_pt_sequence", "shape_pt_lat", "shape_pt_lon")
+    block = None if slice_points is None else F.floor(F.col("shape_pt_sequence") / F.lit(slice_points))
+    legs = with_next(
+        points, ["shape_id"], ["shape_pt_sequence"],
+        {"shape_pt_lat": "lat_next", "shape_pt_lon": "lon_next"}, block,
+    ).filter(F.col("lat_next").isNotNull())
+    km = haversine_km(
+        F.col("shape_pt_lat"), F.col("shape_pt_lon"), F.col("lat_next"), F.col("lon_next"), form="asin"
+    )
+    return legs.groupBy("shape_id").agg(F.sum(km).cast("decimal(10,2)").alias("extensao_km"))
+
+
+def route_profile(shapes: DataFrame, trips: DataFrame, slice_points: int | None = SHAPE_SLICE_POINTS) -> DataFrame:
+    """Mean length of a route over its trips, and an estimate of its stops.
+
+    Trips are counted per route and shape before the join, so neither a shape used by many trips nor
+    a route with many trips is shuffled row by row; weighting by the count gives the same exact
+    decimal sum.
+    """
+    uses = trips.groupBy("route_id", "shape_id").agg(F.count(F.lit(1)).alias("trips"))
+    weight = F.col("trips").cast("decimal(20,0)")
+    totals = uses.join(shape_length(shapes, slice_points), "shape_id").groupBy("route_id").agg(
+        F.sum(F.col("extensao_km") * weight).alias("km"), F.sum(weight).alias("trips")
+    )
+    return totals.withColumn("extensao_km", F.try_divide("km", "trips").cast("decimal(14,6)")).select(
+        F.col("route_id").alias("letreiro_gtfs"),
+        "extensao_km",
+        (F.col("extensao_km") * STOPS_PER_KM).cast("int").alias("qtd_paradas_estimada"),
+    )
+
+
+def least_accessible(measure: DataFrame, rows: int = 10) -> DataFrame:
+    return measure.orderBy(
+        F.col("percentual_acessibilidade").asc_nulls_first(), F.col("letreiro_completo").asc_nulls_first(),
+        "data_referencia", F.col("total_veiculos_reportados").desc(), F.col("nome_api_tp_ts").asc_nulls_first(),
+    ).limit(rows)
+
+
+def fastest_lines(speed: DataFrame, rows: int = 10) -> DataFrame:
+    return speed.orderBy(
+        F.col("velocidade_media").desc_nulls_last(), "cod_linha", "sentido_desc", "data_referencia"
+    ).limit(rows)
+
+
+def count_by(df: DataFrame, *columns: str) -> DataFrame:
+    """Rows per group, for the distribution checks after a load."""
+    return df.groupBy(*columns).count()
