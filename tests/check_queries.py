@@ -40,7 +40,7 @@ def rows_of(spark, con, name: str, sf_dir: str):
 
 def main() -> int:
     sf_dir, *wanted = sys.argv[1:]
-    spark = get_session("check", "local[8]", **{"spark.sql.shuffle.partitions": "8"})
+    spark = get_session("check", "local[8]", spark__sql__shuffle__partitions="8", spark__ui__showConsoleProgress="false")
     spark.sparkContext.setLogLevel("ERROR")
     con = connect(sf_dir)
     bad = 0

@@ -4,22 +4,24 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 _RANK = "__rank"
 
 
-def first_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[Column] = ()) -> DataFrame:
-    """The first row of each key under ``order``, ties broken by the remaining columns.
+def first_per_key(df: DataFrame, keys: Sequence[str], by: str | None = None,
+                  newest: bool = False) -> DataFrame:
+    """One row per key: the one with the lowest ``by`` (highest with ``newest``).
 
-    Rows of one ingestion run share their ingest time, so ties are normal; with every remaining
-    column appended in table order the survivor does not depend on how rows are spread over tasks.
+    Rows of one ingestion run share their ingest time, so ties are normal; they are broken by every
+    remaining column in table order, so the survivor does not depend on how rows are spread over tasks.
     The rank filter becomes a WindowGroupLimit below the shuffle: each map task sends at most one
     row per key, however large the key.
     """
-    ties = [F.col(c).asc_nulls_last() for c in df.columns if c not in keys]
-    window = Window.partitionBy(*keys).orderBy(*order, *ties)
+    lead = [] if by is None else [F.col(by).desc_nulls_last() if newest else F.col(by).asc_nulls_last()]
+    ties = [F.col(c).asc_nulls_last() for c in df.columns if c not in keys and c != by]
+    window = Window.partitionBy(*keys).orderBy(*lead, *ties)
     return df.withColumn(_RANK, F.row_number().over(window)).filter(F.col(_RANK) == 1).drop(_RANK)
 
 

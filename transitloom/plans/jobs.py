@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from transitloom import schemas
+from transitloom.operators.ranking import first_per_key
 from transitloom.plans import gold, silver
 from transitloom.sources import documents, gtfs, landing, tables
 
@@ -57,7 +58,7 @@ def ingest(layers: Layers, table: str, docs: DataFrame, run_time: datetime, orig
     rows = parse(docs)
     if table == "buscar_paradas":
         # the same stop answers several search terms
-        rows = silver.first_per_key(rows, ["cp"])
+        rows = first_per_key(rows, ["cp"])
     if origin is None and "arquivo_origem" not in rows.columns:
         origin = f"{table}_{landing.run_stamp(run_time)}.json"
     rows = landing.stamp(rows, run_time, origin).select(*schema.names)

@@ -32,7 +32,7 @@ def clean_positions(rows: DataFrame, zone: str = LOCAL_ZONE) -> DataFrame:
 def position_fact(raw: DataFrame, zone: str = LOCAL_ZONE) -> DataFrame:
     """Position fact: the same signal of a vehicle is kept once, from its earliest ingest."""
     needed = raw.select("p", "ta", "dt_ingestao", "cl", "py", "px", "sl", "a")
-    return clean_positions(first_per_key(needed, ["p", "ta"], [F.col("dt_ingestao").asc()]), zone)
+    return clean_positions(first_per_key(needed, ["p", "ta"], "dt_ingestao"), zone)
 
 
 def fact_quality(fact: DataFrame) -> DataFrame:
@@ -49,7 +49,7 @@ def line_dimension(raw_lines: DataFrame, routes: DataFrame) -> DataFrame:
     """Latest version of each line, with the official route name where the sign is known."""
     latest = first_per_key(
         raw_lines.select("cl", "dt_ingestao", "lc", "lt", "tl", "tp", "ts", "sl"),
-        ["cl"], [F.col("dt_ingestao").desc()],
+        ["cl"], "dt_ingestao", newest=True,
     )
     lines = latest.select(
         F.col("cl").alias("cod_linha"),
@@ -72,7 +72,7 @@ def line_dimension(raw_lines: DataFrame, routes: DataFrame) -> DataFrame:
 def company_dimension(raw_companies: DataFrame, keys: tuple[str, ...] = ("c",)) -> DataFrame:
     """Latest version of each company; ``keys=('c', 'a')`` keeps one row per company and area."""
     latest = first_per_key(
-        raw_companies.select("c", "dt_ingestao", "n", "a"), list(keys), [F.col("dt_ingestao").desc()]
+        raw_companies.select("c", "dt_ingestao", "n", "a"), list(keys), "dt_ingestao", newest=True
     )
     return latest.select(
         F.col("c").try_cast("int").alias("cod_empresa"),

@@ -65,10 +65,18 @@ def _raw_positions(spark, sf):
 
 
 def _dashboard(spark, sf, **options):
+    """The dashboard reads stored measures: write them once, day by day, and read one day back."""
+    root = shared_folder(spark, "gold")
     fact = _fact(spark, sf)
-    return serving.dashboard_day(
-        gold.line_speed(fact, _lines(spark, sf)), gold.fleet_snapshot(fact), _profile(spark, sf), **options
-    )
+    tables.balanced(gold.line_speed(fact, _lines(spark, sf)), "data_referencia").write.partitionBy(
+        "data_referencia").parquet(f"{root}/velocidade_linhas")
+    tables.balanced(gold.fleet_snapshot(fact), "data_referencia").write.partitionBy(
+        "data_referencia").parquet(f"{root}/snapshot_frota_atual")
+    _profile(spark, sf).write.parquet(f"{root}/perfil_rota_estatico")
+    return serving.dashboard_day(*[
+        spark.read.parquet(f"{root}/{name}")
+        for name in ("velocidade_linhas", "snapshot_frota_atual", "perfil_rota_estatico")
+    ], **options)
 
 
 # -- gold ---------------------------------------------------------------------------------------
@@ -175,7 +183,7 @@ def fact_clean(spark, sf):
 def fact_partition_day(spark, sf):
     path = shared_folder(spark, "fact")
     fact = silver.position_fact(_raw_positions(spark, sf))
-    fact.hint("rebalance", "data_referencia").write.partitionBy("data_referencia").parquet(path)
+    tables.balanced(fact, "data_referencia").write.partitionBy("data_referencia").parquet(path)
     day = spark.read.schema(fact.schema).parquet(path).filter(F.col("data_referencia") == F.lit("2024-01-15").cast("date"))
     return day.withColumn("data_referencia", _day())
 

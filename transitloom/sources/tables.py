@@ -119,7 +119,7 @@ def replace_table(df: DataFrame, name: str, partition_by: str | None = None,
     spark = df.sparkSession
     if same_schema and spark.catalog.tableExists(name):
         check_schema(df, spark.table(name).schema)
-    writer = _balanced(df, partition_by).write.mode("overwrite").format(FORMAT)
+    writer = balanced(df, partition_by).write.mode("overwrite").format(FORMAT)
     if partition_by:
         writer = writer.partitionBy(partition_by)
     writer.saveAsTable(name)
@@ -133,12 +133,13 @@ def replace_partitions(df: DataFrame, name: str, partition_by: str) -> None:
         return
     columns = spark.table(name).columns
     (
-        _balanced(df, partition_by).select(*columns).write.mode("overwrite")
+        balanced(df, partition_by).select(*columns).write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic").insertInto(name)
     )
 
 
-def _balanced(df: DataFrame, column: str | None) -> DataFrame:
+def balanced(df: DataFrame, column: str | None) -> DataFrame:
+    """Spread rows for a write partitioned by ``column``: a large value is split, small ones share a task."""
     return df.hint("rebalance", column) if column else df
 
 

@@ -12,7 +12,6 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from transitloom.functions.clock import LOCAL_ZONE, instant
-from transitloom.operators.ranking import first_per_key
 from transitloom.plans import gold
 from transitloom.plans.silver import clean_positions
 
@@ -48,7 +47,7 @@ def fact_stream(raw: DataFrame, delay: str = "1 hour", zone: str = LOCAL_ZONE) -
 def speed_windows(speeds: DataFrame, width: str = "15 minutes", delay: str = "1 hour",
                   low: float = gold.MIN_SPEED, high: float = gold.MAX_SPEED) -> DataFrame:
     """Pings, moving pings and mean speed by line and tumbling window; works on batches too."""
-    moving = (F.col("velocidade_kmh") > low) & (F.col("velocidade_kmh") < high)
+    moving = gold.is_plausible(F.col("velocidade_kmh"), low, high)
     return (
         speeds.withColumn("momento", F.col("data_hora_sp").cast("timestamp"))
         .withWatermark("momento", delay)

@@ -1,7 +1,7 @@
 """Input shapes derived from the generated test tables.
 
-Each view is one SQL text that Spark and DuckDB both run, so a query and its oracle read the same
-rows. In the texts ``{name}`` stands for a generated table or an earlier view.
+Each view is one SQL text that DuckDB and, but for two spellings, Spark run, so a query and its
+oracle read the same rows. In the texts ``{name}`` stands for a generated table or an earlier view.
 """
 
 from __future__ import annotations
@@ -47,8 +47,7 @@ VIEWS = {
           s_name || ' A v' || cast(v as string) as tp, s_name || ' B v' || cast(v as string) as ts,
           case when v = 1 then timestamp '2024-01-01 00:00:00'
                else timestamp '2024-01-02 00:00:00' end as dt_ingestao
-        from {supplier} cross join (select 1 as v union all select 2 as v) runs
-        where s_suppkey % 13 <> 12""",
+        from (select *, unnest([1, 2]) as v from {supplier}) runs where s_suppkey % 13 <> 12""",
     # Some signs missing, some twice.
     "gtfs_routes": """
         select cast(1000 + s_suppkey as string) || '-' || cast(s_nationkey as string) as route_short_name,
@@ -65,7 +64,7 @@ VIEWS = {
         select cast(s_suppkey as int) as c, s_name as n, cast((s_nationkey + v) % 8 as int) as a,
           case when v = 1 then timestamp '2024-01-01 00:00:00'
                else timestamp '2024-01-02 00:00:00' end as dt_ingestao
-        from {supplier} cross join (select 1 as v union all select 2 as v) runs""",
+        from (select *, unnest([1, 2]) as v from {supplier}) runs""",
     # Polylines, some of a single point.
     "shapes": """
         select l_orderkey as shape_id,
@@ -98,6 +97,9 @@ VIEWS = {
 }
 
 
+_SPARK_SPELLING = {"//": "div", "unnest([1, 2])": "explode(array(1, 2))"}
+
+
 def _names_in(sql: str) -> list[str]:
     return list(dict.fromkeys(re.findall(r"\{(\w+)\}", sql)))
 
@@ -108,7 +110,9 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def view(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """A view as a DataFrame."""
-    sql = VIEWS[name].replace("//", "div")
+    sql = VIEWS[name]
+    for duck, ours in _SPARK_SPELLING.items():
+        sql = sql.replace(duck, ours)
     return spark.sql(sql, **{t: table(spark, sf_dir, t) for t in _names_in(sql)})
 
 
