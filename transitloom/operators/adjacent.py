@@ -1,14 +1,15 @@
-"""Previous or next row of a long ordered group, without holding the group in one task.
+"""Previous or next row of an ordered group, also when one group holds much of the data.
 
 ``lag`` over a vehicle's whole history sorts that history in a single task, and one vehicle or shape
-may own a large share of all rows. Here each group is cut into slices by a value of the row itself
-(the day of a ping, a block of sequence numbers):
+may own a large share of all rows. :func:`slice_width` measures the groups; when one is too big for a
+task, every group is cut into slices of its own position (time, sequence number):
 
 1. lag/lead inside (group, slice): one shuffle, tasks bounded by the slice;
 2. only the rows at slice ends go through a second window over the group, where the row without a
    neighbour in its own slice finds it in the nearest non-empty slice.
 
-Both branches read the same shuffle. The second one carries at most two rows per slice.
+Both branches read the same shuffle. The second one carries at most two rows per slice. When all
+groups are small there is one plain window.
 """
 
 from __future__ import annotations
@@ -18,9 +19,33 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+ROWS_PER_TASK = 1_000_000
 _SLICE, _NEAR, _OPEN, _END = "__slice", "__near", "__open", "__end"
 
 
+def slice_width(df: DataFrame, keys: Sequence[str], position: Column,
+                rows_per_task: int = ROWS_PER_TASK) -> int | None:
+    """Width of slices of ``position`` that keeps the rows a task sorts near ``rows_per_task``.
+
+    None when no group is larger than that, found by a job that counts rows per key and reads the
+    key columns only. Otherwise a second count, which reads the position too, sets the width for the
+    densest group; a quarter of the even width allows for bursts.
+    """
+    rows = F.count(F.lit(1)).alias("rows")
+    largest = df.groupBy(*keys).agg(rows).agg(F.max("rows")).first()[0]
+    if largest is None or largest <= rows_per_task:
+        return None
+    spans = df.groupBy(*keys).agg(rows, (F.max(position) - F.min(position) + 1).alias("span"))
+    even = F.col("span") * F.lit(rows_per_task) / F.col("rows")
+    width = spans.filter(F.col("rows") > rows_per_task).agg(F.min(even)).first()[0]
+    return None if width is None else max(1, int(width / 4))
+
+
+def sliced(position: Column, width: int | None) -> Column | None:
+    """Slice number of a row, or None for no slicing."""
+    return None if width is None else F.floor(position / F.lit(width))
+
+
 def with_previous(df: DataFrame, keys: Sequence[str], order: Sequence[str], names: dict[str, str],
                   slice_by: Column | None = None) -> DataFrame:
     """Add, for each ``source: new`` in ``names``, the value of the preceding row of the group."""

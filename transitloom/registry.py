@@ -38,8 +38,9 @@ def query(oracle: str | None = None):
     return register
 
 
-def _rounded(column: str, places: int = 6) -> Column:
-    return F.round(F.col(column).cast("double"), places).alias(column)
+def _rounded(column: str) -> Column:
+    # the nudge keeps an exact half from falling either way with the order of the sum
+    return F.round(F.col(column).cast("double") + 1e-9, 6).alias(column)
 
 
 def _day(column: str = "data_referencia") -> Column:
@@ -65,25 +66,28 @@ def _raw_positions(spark, sf):
 
 
 def _dashboard(spark, sf, **options):
-    """The dashboard reads stored measures: write them once, day by day, and read one day back."""
+    """The dashboard reads stored measures: write them once, speeds day by day, and read one day."""
     root = shared_folder(spark, "gold")
     fact = _fact(spark, sf)
-    tables.balanced(gold.line_speed(fact, _lines(spark, sf)), "data_referencia").write.partitionBy(
-        "data_referencia").parquet(f"{root}/velocidade_linhas")
-    tables.balanced(gold.fleet_snapshot(fact), "data_referencia").write.partitionBy(
-        "data_referencia").parquet(f"{root}/snapshot_frota_atual")
-    _profile(spark, sf).write.parquet(f"{root}/perfil_rota_estatico")
-    return serving.dashboard_day(*[
-        spark.read.parquet(f"{root}/{name}")
-        for name in ("velocidade_linhas", "snapshot_frota_atual", "perfil_rota_estatico")
-    ], **options)
+
+    def stored(name: str, measure: DataFrame, by: str | None = None) -> DataFrame:
+        writer = tables.balanced(measure, by).write
+        (writer.partitionBy(by) if by else writer).parquet(f"{root}/{name}")
+        return spark.read.schema(measure.schema).parquet(f"{root}/{name}")
+
+    return serving.dashboard_day(
+        stored("velocidade_linhas", gold.line_speed(fact, _lines(spark, sf)), "data_referencia"),
+        stored("snapshot_frota_atual", gold.fleet_snapshot(fact)),
+        stored("perfil_rota_estatico", _profile(spark, sf)),
+        **options,
+    )
 
 
 # -- gold ---------------------------------------------------------------------------------------
 
 _SPEED_COLUMNS = """cod_linha, sentido_desc, cast(data_referencia as varchar) as data_referencia,
-    round(velocidade_media, 6) as velocidade_media, round(lat_centroide, 6) as lat_centroide,
-    round(lon_centroide, 6) as lon_centroide, is_circular, letreiro_completo, nome_api_tp_ts,
+    round(velocidade_media + 1e-9, 6) as velocidade_media, round(lat_centroide + 1e-9, 6) as lat_centroide,
+    round(lon_centroide + 1e-9, 6) as lon_centroide, is_circular, letreiro_completo, nome_api_tp_ts,
     nome_api_ts_tp, sentido_api, letreiro_gtfs, nome_rota_oficial"""
 
 
@@ -101,7 +105,7 @@ def line_speed_kpi(spark, sf):
 
 
 _PING_SPEED = """select data_hora_sp, prefixo_veiculo, cod_linha, sentido_desc, latitude, longitude,
-    lat_prev, lon_prev, time_prev, dist_km, round(tempo_horas, 6) as tempo_horas,
+    lat_prev, lon_prev, time_prev, dist_km, round(tempo_horas + 1e-9, 6) as tempo_horas,
     velocidade_kmh from {ping_speed}"""
 
 
@@ -217,10 +221,10 @@ def route_map_points(spark, sf):
 
 # -- dashboard ----------------------------------------------------------------------------------
 
-_DAY_COLUMNS = """cod_linha, letreiro_completo, nome_rota_oficial, "Rota", round(velocidade_media, 6) as
+_DAY_COLUMNS = """cod_linha, letreiro_completo, nome_rota_oficial, "Rota", round(velocidade_media + 1e-9, 6) as
     velocidade_media, sentido_desc, data_referencia, "Qtd_Veiculos", "Acessiveis", qtd_paradas_estimada,
-    round(extensao_km, 6) as extensao_km, round(tempo_estimado_h, 6) as tempo_estimado_h,
-    round("Perc_Acessivel", 6) as "Perc_Acessivel", "Status_Acessibilidade" """
+    round(extensao_km + 1e-9, 6) as extensao_km, round(tempo_estimado_h + 1e-9, 6) as tempo_estimado_h,
+    round("Perc_Acessivel" + 1e-9, 6) as "Perc_Acessivel", "Status_Acessibilidade" """
 
 
 def _day_output(df: DataFrame) -> DataFrame:
@@ -248,15 +252,15 @@ def fleet_counts(spark, sf):
 
 
 @query("""select count(*) as linhas, cast(sum("Qtd_Veiculos") as bigint) as frota,
-    round(avg(velocidade_media), 6) as velocidade, round(sum(extensao_km), 4) as extensao,
-    format('{:.1f}', round(avg(velocidade_media), 6)) || ' km/h' as velocidade_txt,
+    round(avg(velocidade_media) + 1e-9, 6) as velocidade, round(sum(extensao_km), 4) as extensao,
+    format('{:.1f}', round(avg(velocidade_media) + 1e-9, 6)) || ' km/h' as velocidade_txt,
     format('{:,.0f}', round(sum(extensao_km), 4)) || ' km' as extensao_txt from {painel}""")
 def network_kpis(spark, sf):
     return serving.network_kpis(_dashboard(spark, sf)).withColumns({
-        "velocidade": F.round("velocidade", 6), "extensao": F.round("extensao", 4)})
+        "velocidade": _rounded("velocidade"), "extensao": F.round("extensao", 4)})
 
 
-_ROUTE_SPEED = '''select "Rota", round(avg(velocidade_media), 6) as velocidade_media from {painel}
+_ROUTE_SPEED = '''select "Rota", round(avg(velocidade_media) + 1e-9, 6) as velocidade_media from {painel}
     group by 1 order by avg(velocidade_media) %s, "Rota" limit 10'''
 
 
@@ -270,8 +274,8 @@ def fastest10(spark, sf):
     return serving.fastest(_dashboard(spark, sf)).select("Rota", _rounded("velocidade_media"))
 
 
-@query("""select "Rota", round(velocidade_media, 6) as velocidade_media, round(extensao_km, 6) as extensao_km,
-    round(tempo_estimado_h, 6) as tempo_estimado_h, "Qtd_Veiculos", "Status_Acessibilidade" from {painel}""")
+@query("""select "Rota", round(velocidade_media + 1e-9, 6) as velocidade_media, round(extensao_km + 1e-9, 6) as extensao_km,
+    round(tempo_estimado_h + 1e-9, 6) as tempo_estimado_h, "Qtd_Veiculos", "Status_Acessibilidade" from {painel}""")
 def operations_table(spark, sf):
     return serving.operations_table(_dashboard(spark, sf)).select(
         "Rota", _rounded("velocidade_media"), _rounded("extensao_km"), _rounded("tempo_estimado_h"),
@@ -285,7 +289,7 @@ def date_choices(spark, sf):
 
 def _answers_sql(test: str) -> str:
     prompts = ", ".join(f"('{p}')" for p in PROMPTS)
-    return f"""select q.prompt, "Rota", "Qtd_Veiculos" as frota, round(velocidade_media, 6) as velocidade_media,
+    return f"""select q.prompt, "Rota", "Qtd_Veiculos" as frota, round(velocidade_media + 1e-9, 6) as velocidade_media,
       cast(trunc(1 / velocidade_media * 60) as int) as min_1km,
       cast(trunc(5 / velocidade_media * 60) as int) as min_5km,
       case when "Rota" is null then 'no line' else 'ok' end as outcome
@@ -596,7 +600,7 @@ def stream_speed(spark, sf):
 @query("""select time_bucket(interval '15 minutes', data_hora_sp) as inicio,
     time_bucket(interval '15 minutes', data_hora_sp) + interval '15 minutes' as fim, cod_linha, count(*) as pings,
     count(*) filter (where velocidade_kmh > 5 and velocidade_kmh < 110) as pings_em_movimento,
-    round(avg(velocidade_kmh) filter (where velocidade_kmh > 5 and velocidade_kmh < 110), 6) as velocidade_media
+    round(avg(velocidade_kmh) filter (where velocidade_kmh > 5 and velocidade_kmh < 110) + 1e-9, 6) as velocidade_media
     from {ping_speed} group by 1, 2, 3
     having fim <= (select max(data_hora_sp) - interval '1 hour' from {ping_speed})""")
 def stream_window15(spark, sf):
