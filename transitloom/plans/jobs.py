@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from dataclasses import dataclass
-from datetime import date, datetime
+from datetime import date, datetime, time, timedelta, timezone
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -88,6 +88,24 @@ def build_silver(layers: Layers) -> None:
     build_dimensions(layers)
 
 
+def refresh_fact(layers: Layers, day: date, late: timedelta = timedelta(days=1)) -> None:
+    """Rebuild one local day of the fact from the rows ingested around it.
+
+    Runs append with one ingest time each, so the range on ``dt_ingestao`` skips the files of all
+    other runs. Signals ingested more than ``late`` after the day wait for the next full rebuild.
+    """
+    # a local day lies within a day of the UTC day of the same date
+    start = datetime.combine(day, time.min, timezone.utc) - timedelta(days=1)
+    end = datetime.combine(day, time.min, timezone.utc) + timedelta(days=2) + late
+    raw = layers.read("bronze", "posicao_veiculos").filter(
+        (F.col("dt_ingestao") >= F.lit(start)) & (F.col("dt_ingestao") < F.lit(end))
+    )
+    tables.replace_partitions(
+        silver.position_fact(raw).filter(F.col(DAY) == F.lit(day)),
+        layers.name("silver", "fato_posicao_veiculos"), DAY,
+    )
+
+
 def build_dimensions(layers: Layers) -> None:
     tables.replace_table(
         silver.line_dimension(layers.read("bronze", "buscar_linhas"), layers.read("bronze", "gtfs_routes")),
