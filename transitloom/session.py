@@ -5,8 +5,13 @@ from __future__ import annotations
 import tempfile
 import uuid
 
+from py4j.protocol import Py4JJavaError
+from pyspark.errors import PySparkException
 from pyspark.sql import SparkSession
 
+# A failing plan raises the first, a failing task or file system the second.
+SPARK_ERRORS = (PySparkException, Py4JJavaError)
+
 SETTINGS = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.ansi.enabled": "true",

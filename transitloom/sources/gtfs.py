@@ -5,12 +5,12 @@ from __future__ import annotations
 from collections.abc import Callable, Iterable
 from datetime import datetime
 
-from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from transitloom import schemas
+from transitloom.session import SPARK_ERRORS
 
 STATUS = "file string, rows bigint, error string"
 
@@ -60,6 +60,6 @@ def load_files(spark: SparkSession, folder: str, write: Callable[[str, DataFrame
     for name in names:
         try:
             report.append((name, write(name, read_file(spark, folder, name, run_time)), None))
-        except (PySparkException, ValueError) as error:
+        except (*SPARK_ERRORS, ValueError) as error:
             report.append((name, None, str(error).splitlines()[0]))
     return spark.createDataFrame(report, STATUS)

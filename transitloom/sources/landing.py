@@ -5,11 +5,11 @@ from __future__ import annotations
 import logging
 from datetime import datetime
 
-from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from transitloom.functions.clock import run_stamp
+from transitloom.session import SPARK_ERRORS
 from transitloom.sources.documents import BODY
 
 log = logging.getLogger(__name__)
@@ -50,7 +50,7 @@ def land_raw(docs: DataFrame, path: str) -> bool:
             "lineSep", _RECORD_END
         ).text(path)
         return True
-    except PySparkException as error:
+    except SPARK_ERRORS as error:
         log.warning("raw documents not landed at %s: %s", path, error)
         return False
 

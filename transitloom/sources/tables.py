@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
 from transitloom import schemas
+from transitloom.session import SPARK_ERRORS
 
 FORMAT = "parquet"
 
@@ -46,7 +46,7 @@ def register_tables(spark: SparkSession, root: str, prefix: str = "") -> DataFra
                 ):
                     spark.catalog.recoverPartitions(name)
                 report.append((name, None))
-            except PySparkException as error:
+            except SPARK_ERRORS as error:
                 report.append((name, str(error).splitlines()[0]))
     return spark.createDataFrame(report, "table string, error string")
 
@@ -82,7 +82,7 @@ def comment_columns(spark: SparkSession, name: str, comments: dict[str, str]) ->
         try:
             spark.sql(f"ALTER TABLE {_identifier(name)} ALTER COLUMN `{column}` COMMENT {_quoted(text)}")
             report.append((column, None))
-        except PySparkException as error:
+        except SPARK_ERRORS as error:
             report.append((column, str(error).splitlines()[0]))
     return spark.createDataFrame(report, "column string, error string")
 
@@ -126,16 +126,22 @@ def replace_table(df: DataFrame, name: str, partition_by: str | None = None,
 
 
 def replace_partitions(df: DataFrame, name: str, partition_by: str) -> None:
-    """Replace only the partitions present in ``df``; the table is created on first use."""
+    """Replace only the partitions present in ``df``; the table is created on first use.
+
+    The overwrite mode is a session setting for this call: an insert ignores it as a write option.
+    """
     spark = df.sparkSession
     if not spark.catalog.tableExists(name):
         replace_table(df, name, partition_by)
         return
-    columns = spark.table(name).columns
-    (
-        balanced(df, partition_by).select(*columns).write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic").insertInto(name)
-    )
+    rows = balanced(df, partition_by).select(*spark.table(name).columns)
+    setting = "spark.sql.sources.partitionOverwriteMode"
+    before = spark.conf.get(setting)
+    spark.conf.set(setting, "dynamic")
+    try:
+        rows.write.insertInto(name, overwrite=True)
+    finally:
+        spark.conf.set(setting, before)
 
 
 def balanced(df: DataFrame, column: str | None) -> DataFrame:
