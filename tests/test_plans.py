@@ -1,0 +1,93 @@
+"""Physical plans: shuffles, early cuts and what reaches the scan."""
+
+from __future__ import annotations
+
+import re
+
+import pytest
+from pyspark.sql import functions as F
+
+from transitloom import registry
+from transitloom import testviews as tv
+from transitloom.plans import gold, serving, silver
+
+PYTHON = {"sweep_fetch"}  # requests are Python by nature
+
+
+def plan_of(df) -> str:
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def initial(df) -> str:
+    text = plan_of(df)
+    return text.split("== Initial Plan ==")[-1]
+
+
+def shuffles(df) -> int:
+    return len(re.findall(r"(?<!Reused)Exchange hashpartitioning", initial(df)))
+
+
+@pytest.fixture(scope="module")
+def fact(spark, sf_dir):
+    return tv.view(spark, sf_dir, "fact")
+
+
+def test_ping_speed_shuffles_once(fact):
+    speeds = gold.ping_speed(fact)
+    assert shuffles(speeds) == 1
+    assert plan_of(speeds).count("Window [") == 1
+
+
+def test_sliced_ping_speed_shuffles_rows_once(fact):
+    speeds = gold.ping_speed(fact, 3600)
+    # rows by vehicle and slice, read by both branches, and slice ends by vehicle
+    speeds.collect()
+    final = plan_of(speeds).split("== Initial Plan ==")[0]
+    assert "ReusedExchange" in final
+    assert "hashpartitioning(prefixo_veiculo" in final
+
+
+def test_line_speed_works_out_the_distance_once(fact, spark, sf_dir):
+    lines = silver.line_dimension(tv.view(spark, sf_dir, "raw_lines"), tv.view(spark, sf_dir, "gtfs_routes"))
+    text = plan_of(gold.line_speed(fact, lines))
+    assert not re.search(r"Filter .*ATAN2", text)
+
+
+@pytest.mark.parametrize("name", ["fleet_snapshot", "fact_clean", "company_dimension"])
+def test_first_per_key_is_cut_before_the_shuffle(spark, sf_dir, name):
+    lines = initial(registry.QUERIES[name](spark, sf_dir)).splitlines()
+    kinds = [m.group(1) for m in (re.search(r"(WindowGroupLimit|Exchange) ", line) for line in lines) if m]
+    assert kinds == ["WindowGroupLimit", "Exchange", "WindowGroupLimit"]
+
+
+def test_top_ten_is_not_a_full_sort(fact, spark, sf_dir):
+    text = plan_of(gold.least_accessible(gold.accessibility(fact, registry._lines(spark, sf_dir))))
+    assert "TakeOrderedAndProject" in text
+
+
+def test_columns_and_filters_reach_the_scan(spark, tmp_path, fact):
+    fact.write.partitionBy("data_referencia").parquet(str(tmp_path / "fact"))
+    stored = spark.read.schema(fact.schema).parquet(str(tmp_path / "fact"))
+    day = stored.filter(F.col("data_referencia") == F.lit("2024-01-15").cast("date"))
+    text = gold.accessibility(day, registry._lines(spark, "/root/testdata/sf0.001"))
+    text = text._jdf.queryExecution().executedPlan().toString()
+    scan = next(line for line in text.splitlines() if "/fact" in line)
+    schema = re.search(r"ReadSchema: struct<([^>]*)>", scan).group(1)
+    assert {c.split(":")[0] for c in schema.split(",")} == {"prefixo_veiculo", "cod_linha", "is_acessivel"}
+    assert "PartitionFilters: [isnotnull(data_referencia" in scan
+
+
+def test_prompts_do_not_join_with_rows(fact, spark, sf_dir):
+    snapshot = gold.fleet_snapshot(fact)
+    lines = registry._lines(spark, sf_dir)
+    day = serving.dashboard_day(gold.line_speed(fact, lines), snapshot, registry._profile(spark, sf_dir), day="2024-01-30")
+    text = plan_of(serving.arrival_answers(day, ["a", "b"]))
+    assert "Nested" not in text and "Cartesian" not in text
+
+
+@pytest.mark.parametrize("name", sorted(registry.QUERIES))
+def test_no_python_and_no_cross_join_in_plans(spark, sf_dir, name):
+    text = plan_of(registry.QUERIES[name](spark, sf_dir))
+    assert "CartesianProduct" not in text and "BroadcastNestedLoopJoin" not in text
+    if name not in PYTHON:
+        assert "InPandas" not in text and "Python" not in text
