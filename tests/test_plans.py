@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from transitloom import registry
 from transitloom import testviews as tv
 from transitloom.plans import gold, serving, silver
+from transitloom.sources import documents, landing
 
 PYTHON = {"sweep_fetch"}  # requests are Python by nature
 
@@ -91,3 +92,12 @@ def test_no_python_and_no_cross_join_in_plans(spark, sf_dir, name):
     assert "CartesianProduct" not in text and "BroadcastNestedLoopJoin" not in text
     if name not in PYTHON:
         assert "InPandas" not in text and "Python" not in text
+
+
+@pytest.mark.parametrize("parse, body", [(documents.positions, "l"), (documents.stop_forecast, "p")])
+def test_a_document_is_parsed_once(spark, tmp_path, parse, body):
+    spark.createDataFrame([('{"hr": "1"}',)], "body string").write.text(str(tmp_path / "docs"))
+    text = plan_of(parse(landing.read_landed(spark, str(tmp_path / "docs"))))
+    # the list form is parsed in one place only; no filter parses it again
+    assert len(re.findall(rf"from_json\([^#]*StructField\({body},ArrayType", text)) == 1
+    assert not re.search(r"Filter .*from_json", text)

@@ -360,9 +360,9 @@ def flatten_line_forecast(spark, sf):
 def object_or_array(spark, sf):
     docs = tv.stop_forecast_docs(spark, sf)
     return docs.select(
-        F.get_json_object("body", "$.hr").alias("hr"),
-        F.explode(documents.object_or_array(F.col("body"), "p", "struct<cp int>")).alias("stop"),
-    ).select("hr", "stop.cp")
+        F.from_json("body", "struct<hr string>")["hr"].alias("hr"),
+        F.inline_outer(documents.object_or_array(F.col("body"), "p", "struct<cp int>")),
+    )
 
 
 _TERMS = "(select unnest(range(1, 10))::int as term) terms"

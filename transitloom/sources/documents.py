@@ -20,8 +20,12 @@ def _carried(docs: DataFrame) -> list[str]:
 
 
 def _unnest(df: DataFrame, array: Column, name: str) -> DataFrame:
-    """One row per non-null element of ``array``."""
-    return df.withColumn(name, F.explode(array)).filter(F.col(name).isNotNull())
+    """One row per non-null element of ``array``.
+
+    The outer form, because a plain explode makes Spark test the array for emptiness below the
+    projection that parses it, and so parse every document twice.
+    """
+    return df.withColumn(name, F.explode_outer(array)).filter(F.col(name).isNotNull())
 
 
 def _fields(struct: str, *names: str) -> list[Column]:
@@ -32,7 +36,7 @@ def object_or_array(body: Column, field: str, element: str) -> Column:
     """Array under ``field`` of a document whose service sends a lone object for one element."""
     many = F.from_json(body, f"struct<{field}: array<{element}>>")[field]
     single = F.from_json(body, f"struct<{field}: {element}>")[field]
-    return F.coalesce(many, F.when(single.isNotNull(), F.array(single)))
+    return F.coalesce(many, _as_array(single))
 
 
 def positions(docs: DataFrame) -> DataFrame:
@@ -58,15 +62,21 @@ def companies(docs: DataFrame) -> DataFrame:
 
 
 def _forecast_stops(docs: DataFrame, field: str, element: str) -> DataFrame:
+    # one parse when the field is an array; only documents with a lone object are parsed again
     keep = _carried(docs)
-    head = docs.select(
-        *keep,
-        F.from_json(BODY, "struct<hr string>")["hr"].alias("hr"),
-        object_or_array(F.col(BODY), field, element).alias("stops"),
-    )
+    body = F.col(BODY)
+    many = docs.select(*keep, BODY, F.from_json(body, f"struct<hr string, {field}: array<{element}>>").alias("doc"))
+    lone = F.from_json(body, f"struct<hr string, {field}: {element}>")
+    doc = many.select(*keep, F.when(F.col("doc")[field].isNotNull(), F.col("doc")).otherwise(
+        F.struct(lone["hr"].alias("hr"), _as_array(lone[field]).alias(field))).alias("doc"))
+    head = doc.select(*keep, F.col("doc.hr").alias("hr"), F.col("doc")[field].alias("stops"))
     return _unnest(head, F.col("stops"), "stop").drop("stops")
 
 
+def _as_array(single: Column) -> Column:
+    return F.when(single.isNotNull(), F.array(single))
+
+
 def _stop_fields() -> list[Column]:
     return [
         *_fields("stop", "cp", "np"),

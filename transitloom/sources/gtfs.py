@@ -11,6 +11,7 @@ from pyspark.sql import types as T
 
 from transitloom import schemas
 from transitloom.session import SPARK_ERRORS
+from transitloom.sources.landing import moment
 
 STATUS = "file string, rows bigint, error string"
 
@@ -31,7 +32,7 @@ def read_file(spark: SparkSession, folder: str, name: str, run_time: datetime |
         rows = _typed(reader.csv(path), T.StructType.fromDDL(schemas.GTFS[name]))
     rows = rows.withColumn("arquivo_origem", F.col("_metadata.file_path"))
     if run_time is not None:
-        rows = rows.withColumn("dt_ingestao", F.lit(run_time))
+        rows = rows.withColumn("dt_ingestao", moment(run_time))
     return rows
 
 

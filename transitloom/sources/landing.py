@@ -5,7 +5,7 @@ from __future__ import annotations
 import logging
 from datetime import datetime
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from transitloom.functions.clock import run_stamp
@@ -62,9 +62,14 @@ def land_rows(rows: DataFrame, root: str, name: str, run_time: datetime) -> str:
     return path
 
 
+def moment(run_time: datetime) -> Column:
+    """A run's start as a literal; without an offset it is read in the session time zone."""
+    return F.lit(run_time.isoformat()).cast("timestamp")
+
+
 def stamp(rows: DataFrame, run_time: datetime, origin: str | None = None) -> DataFrame:
     """Audit columns: one ingest time for the whole run and the origin name, if not already there."""
-    stamped = rows.withColumn("dt_ingestao", F.lit(run_time))
+    stamped = rows.withColumn("dt_ingestao", moment(run_time))
     if origin is not None:
         stamped = stamped.withColumn("arquivo_origem", F.lit(origin))
     return stamped
