@@ -9,6 +9,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from transitloom import schemas
+from transitloom.operators import numbering
 from transitloom.plans import gold, jobs, serving
 from transitloom.sources import tables
 
@@ -131,3 +132,36 @@ def test_a_day_reads_its_own_partition(layers):
     fact = layers.read("silver", "fato_posicao_veiculos").filter(F.col(jobs.DAY) == F.lit(DAYS[1]))
     plan = gold.accessibility(fact, layers.read("silver", "dim_linhas"))._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters: [isnotnull(data_referencia" in plan
+
+
+def test_sweeps_land_stamp_and_name_their_lots(layers, tmp_path):
+    spark, run = layers.spark, datetime(2024, 1, 5, 6, 30)
+
+    def by_line(key):
+        if key == 102:
+            raise TimeoutError("slow")
+        return json.dumps({"hr": "1", "ps": {"cp": key, "vs": [{"p": key, "t": "06:40"}]}}) if key != 101 else "[]"
+
+    keys = numbering.distinct_keys(layers.read("bronze", "buscar_linhas"), "cl")
+    summary = jobs.ingest_sweep(layers, "previsao_chegada_linha", keys, by_line, run, str(tmp_path / "a"),
+                                lot_size=1, tasks=2, wait_seconds=0)
+    assert {r.status: r.requests for r in summary.collect()} == {"ok": 1, "empty": 1, "failed": 1}
+    row = layers.read("bronze", "previsao_chegada_linha").first()
+    assert (row.cod_linha, row.cp, row.p, row.arquivo_origem) == (100, 100, "100", "batch_0_20240105_063000.json")
+
+    def by_stop(key):
+        return json.dumps({"hr": "1", "p": {"cp": key, "l": [{"cl": 1, "vs": [{"p": "9"}]}]}})
+
+    stops = spark.createDataFrame([(1,), (2,), (3,)], "cp int")
+    jobs.ingest_sweep(layers, "previsao_chegada_parada", stops, by_stop, run, str(tmp_path / "b"), lot_size=2, tasks=2)
+    got = layers.read("bronze", "previsao_chegada_parada").select("cp", "arquivo_origem")
+    assert sorted(tuple(r) for r in got.collect()) == [
+        (1, "gtfs_batch_0_20240105_063000.json"), (2, "gtfs_batch_0_20240105_063000.json"),
+        (3, "gtfs_batch_2_20240105_063000.json")]
+    # nothing left to ask: a resumed sweep adds no requests
+    again = jobs.ingest_sweep(layers, "paradas_por_corredor", stops, lambda k: f'[{{"cp": {k}}}]', run,
+                              str(tmp_path / "c"), wait_seconds=0)
+    resumed = jobs.ingest_sweep(layers, "paradas_por_corredor", stops, None, run, str(tmp_path / "c"), resume=True)
+    assert again.collect() == resumed.collect()
+    assert sorted(tuple(r) for r in layers.read("bronze", "paradas_por_corredor").select("cod_corredor", "cp").collect()) == [
+        (1, 1), (2, 2), (3, 3)]

@@ -127,6 +127,30 @@ def test_sweep_with_more_keys_than_one_flush(spark):
     assert replies.agg(F.count("k"), F.countDistinct("body")).first()[:] == (1000, 1000)
 
 
+def test_lots_are_committed_one_by_one_and_resumed(spark, tmp_path):
+    requests, replies, checkpoint = (str(tmp_path / n) for n in ("requests", "replies", "checkpoint"))
+    keys = spark.range(25).select(F.col("id").cast("int").alias("cp"))
+    sweep.write_lots(keys, "cp", 10, requests)
+
+    def run():
+        sweep.sweep_lots(spark, requests, "cp", lambda k: f"[{k}]", replies, checkpoint, tasks=2,
+                         wait_seconds=0).awaitTermination()
+
+    run()
+    assert len(list((tmp_path / "replies").glob("commit=*"))) == 3
+    got = spark.read.parquet(replies)
+    assert sorted((r.cp, r.lote, r.body) for r in got.collect()) == [(k, k // 10, f"[{k}]") for k in range(25)]
+    assert {r[0] for r in got.select(sweep.lot_origin(F.col("lote"), 10, "run")).distinct().collect()} == {
+        "batch_0_run.json", "batch_10_run.json", "batch_20_run.json"}
+    # the last commit is lost: only that lot is asked for again, into the same folder
+    commits = sorted((tmp_path / "checkpoint" / "commits").glob("[0-9]*"), key=lambda p: int(p.name))
+    commits[-1].unlink()
+    (commits[-1].parent / f".{commits[-1].name}.crc").unlink(missing_ok=True)
+    run()
+    assert len(list((tmp_path / "replies").glob("commit=*"))) == 3
+    assert spark.read.parquet(replies).count() == 25
+
+
 # -- catalog ------------------------------------------------------------------------------------
 
 @pytest.fixture

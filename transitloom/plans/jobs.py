@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass
 from datetime import date, datetime, time, timedelta, timezone
 
@@ -9,9 +10,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from transitloom import schemas
+from transitloom.functions.clock import run_stamp
 from transitloom.operators.ranking import first_per_key
 from transitloom.plans import gold, silver
-from transitloom.sources import documents, gtfs, landing, tables
+from transitloom.sources import documents, gtfs, landing, sweep, tables
 
 DAY = "data_referencia"
 
@@ -53,14 +55,14 @@ def ingest(layers: Layers, table: str, docs: DataFrame, run_time: datetime, orig
     """
     parse, replaces = PARSERS[table]
     if landing_root:
-        landing.land_raw(docs, f"{landing_root}/{table}/raw_{landing.run_stamp(run_time)}")
+        landing.land_raw(docs, f"{landing_root}/{table}/raw_{run_stamp(run_time)}")
     schema = schemas.with_audit(schemas.BRONZE[table])
     rows = parse(docs)
     if table == "buscar_paradas":
         # the same stop answers several search terms
         rows = first_per_key(rows, ["cp"])
     if origin is None and "arquivo_origem" not in rows.columns:
-        origin = f"{table}_{landing.run_stamp(run_time)}.json"
+        origin = f"{table}_{run_stamp(run_time)}.json"
     rows = landing.stamp(rows, run_time, origin).select(*schema.names)
     name = layers.name("bronze", table)
     if replaces:
@@ -69,6 +71,41 @@ def ingest(layers: Layers, table: str, docs: DataFrame, run_time: datetime, orig
     rows.write.mode("append").format(tables.FORMAT).saveAsTable(name)
 
 
+# bronze table -> key column the request stamps on its rows (none where the document has it) and
+# prefix of the lineage name
+SWEEPS = {
+    "paradas_por_corredor": ("cod_corredor", "paradas_corredor"),
+    "paradas_por_linha": ("cod_linha", "paradas_linha"),
+    "previsao_chegada_linha": ("cod_linha", "batch"),
+    "previsao_chegada_parada": (None, "gtfs_batch"),
+}
+
+
+def ingest_sweep(layers: Layers, table: str, keys: DataFrame, fetch: Callable[[object], str | None],
+                 run_time: datetime, work: str, lot_size: int = 500, tasks: int = 32,
+                 lots_per_commit: int = 8, resume: bool = False, **options) -> DataFrame:
+    """Ask for every key in lots, keep the replies under ``work`` and write the bronze table.
+
+    ``keys`` has one column of distinct integers. ``resume`` goes on with an interrupted sweep in the
+    same ``work`` folder. Returns how the requests ended.
+    """
+    (key,) = keys.columns
+    stamped, prefix = SWEEPS[table]
+    if not resume:
+        sweep.write_lots(keys, key, lot_size, f"{work}/requests")
+    sweep.sweep_lots(
+        layers.spark, f"{work}/requests", key, fetch, f"{work}/replies", f"{work}/checkpoint", tasks,
+        lots_per_commit, **options,
+    ).awaitTermination()
+    replies = layers.spark.read.parquet(f"{work}/replies")
+    docs = replies.filter(F.col("status") == "ok").select(
+        documents.BODY, *([F.col(key).alias(stamped)] if stamped else []),
+        sweep.lot_origin(F.col("lote"), lot_size, run_stamp(run_time), prefix).alias("arquivo_origem"),
+    )
+    ingest(layers, table, docs, run_time)
+    return sweep.attempts_summary(replies)
+
+
 def ingest_schedule(layers: Layers, folder: str, run_time: datetime) -> DataFrame:
     """Load the static files into bronze; returns one status row per file."""
     def write(name: str, rows: DataFrame) -> int:

@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from transitloom import testviews as tv
-from transitloom.functions.clock import stamp_of
+from transitloom.functions.clock import run_stamp, stamp_of
 from transitloom.operators import numbering, ranking
 from transitloom.plans import gold, serving, silver
 from transitloom.session import shared_folder
@@ -453,6 +453,21 @@ def sweep_fetch(spark, sf):
     return replies.select("cp", "status", "attempt", F.get(names, F.lit(0))["np"].alias("np"))
 
 
+@query("""select cp, case when cp % 11 = 0 then 'failed' when cp % 5 = 0 then 'empty' else 'ok' end as status,
+    'gtfs_batch_' || cast(500 * floor((row_number() over (order by cp) - 1) / 500)::bigint as varchar)
+      || '_20240201_063000.json' as arquivo_origem
+    from (select distinct cast(stop_id as int) as cp from {stops} where regexp_full_match(stop_id, '[0-9]+'))""")
+def sweep_in_lots(spark, sf):
+    requests, replies = shared_folder(spark, "requests"), shared_folder(spark, "replies")
+    keys = numbering.integer_keys(tv.view(spark, sf, "stops"), "stop_id", "cp")
+    sweep.write_lots(keys, "cp", 500, requests)
+    _finish(sweep.sweep_lots(
+        spark, requests, "cp", _canned_service(), replies, shared_folder(spark, "checkpoint"), tasks=8,
+        lots_per_commit=32, wait_seconds=0))
+    origin = sweep.lot_origin(F.col("lote"), 500, run_stamp(RUN), "gtfs_batch")
+    return spark.read.parquet(replies).select("cp", "status", origin.alias("arquivo_origem"))
+
+
 # -- checks and round trips ---------------------------------------------------------------------
 
 @query("select sentido_desc, count(*) as count from {fact} group by 1")

@@ -1,4 +1,8 @@
-"""Keyed request sweeps: one request per key, spread over the executors."""
+"""Keyed request sweeps: one request per key, spread over the executors.
+
+A long sweep runs in lots: the requests are written lot by lot, a stream reads some lots at a time and
+each micro-batch is committed on its own, so a restarted sweep goes on after the last committed lots.
+"""
 
 from __future__ import annotations
 
@@ -6,9 +10,12 @@ import time
 from collections.abc import Callable, Iterator
 
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.streaming import StreamingQuery
+
+from transitloom.operators.numbering import in_lots
 
 _FLUSH = 64  # replies held in a task before they are handed back
 
@@ -19,12 +26,12 @@ def sweep(requests: DataFrame, key: str, fetch: Callable[[object], str | None],
 
     Returns the key with ``status`` (ok, empty, failed), ``attempt`` (tries used), ``body`` and
     ``error``. ``fetch`` returns the reply text and raises on failure; each key is tried up to
-    ``attempts`` times, ``wait_seconds`` apart. A lost task repeats its requests, so write the result
-    to the landing zone once and parse it from there.
+    ``attempts`` times, ``wait_seconds`` apart. Other columns of ``requests`` come along. A lost task
+    repeats its requests, so write the result to the landing zone once and parse it from there.
     """
-    key_field = T.StructField(key, requests.schema[key].dataType)
-    schema = T.StructType([key_field, *T.StructType.fromDDL(
-        "status string, attempt int, body string, error string").fields])
+    kept = requests.columns
+    answer = T.StructType.fromDDL("status string, attempt int, body string, error string")
+    schema = T.StructType([*requests.schema.fields, *answer.fields])
 
     def ask(value) -> tuple:
         error = None
@@ -37,17 +44,18 @@ def sweep(requests: DataFrame, key: str, fetch: Callable[[object], str | None],
                     time.sleep(wait_seconds)
                 continue
             if body is None or body.strip() in ("", "[]", "{}", "null"):
-                return value, "empty", attempt, body, None
-            return value, "ok", attempt, body, None
-        return value, "failed", attempts, None, error
+                return "empty", attempt, body, None
+            return "ok", attempt, body, None
+        return "failed", attempts, None, error
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            values = batch[key].tolist()
-            for start in range(0, len(values), _FLUSH):
-                yield pd.DataFrame([ask(v) for v in values[start:start + _FLUSH]], columns=schema.names)
+            for start in range(0, len(batch), _FLUSH):
+                part = batch.iloc[start:start + _FLUSH].reset_index(drop=True)
+                answers = pd.DataFrame([ask(v) for v in part[key].tolist()], columns=answer.names)
+                yield pd.concat([part[kept], answers], axis=1)
 
-    return requests.select(key).repartition(tasks, F.col(key)).mapInPandas(run, schema)
+    return requests.repartition(tasks, F.col(key)).mapInPandas(run, schema)
 
 
 def attempts_summary(replies: DataFrame) -> DataFrame:
@@ -55,3 +63,30 @@ def attempts_summary(replies: DataFrame) -> DataFrame:
     return replies.groupBy("status").agg(
         F.count(F.lit(1)).alias("requests"), F.sum("attempt").alias("attempts")
     )
+
+
+def write_lots(keys: DataFrame, key: str, size: int, folder: str) -> None:
+    """Requests as files, one folder per lot of ``size`` keys."""
+    in_lots(keys, key, size).repartition("lote").write.partitionBy("lote").parquet(folder)
+
+
+def sweep_lots(spark: SparkSession, requests: str, key: str, fetch: Callable[[object], str | None],
+               replies: str, checkpoint: str, tasks: int, lots_per_commit: int = 1,
+               **options) -> StreamingQuery:
+    """Sweep the lots written by :func:`write_lots`, some lots per commit.
+
+    Every commit writes its replies to a folder of its own under ``replies``, overwriting what an
+    interrupted attempt left there. Read the replies of all commits from ``replies``.
+    """
+    def ask(batch: DataFrame, batch_id: int) -> None:
+        sweep(batch, key, fetch, tasks, **options).write.mode("overwrite").parquet(f"{replies}/commit={batch_id}")
+
+    source = spark.readStream.schema(f"{key} int, lote bigint").option(
+        "maxFilesPerTrigger", lots_per_commit).parquet(requests)
+    return (source.writeStream.foreachBatch(ask).option("checkpointLocation", checkpoint)
+            .trigger(availableNow=True).start())
+
+
+def lot_origin(lot: Column, size: int, stamp: str, prefix: str = "batch") -> Column:
+    """Lineage name of a lot: the position of its first key and the run."""
+    return F.concat(F.lit(f"{prefix}_"), (lot * size).cast("string"), F.lit(f"_{stamp}.json"))
