@@ -13,6 +13,7 @@ from transitloom import schemas
 from transitloom.functions.clock import run_stamp
 from transitloom.operators.ranking import first_per_key
 from transitloom.plans import gold, silver
+from transitloom.session import side_by_side
 from transitloom.sources import documents, gtfs, landing, sweep, tables
 
 DAY = "data_referencia"
@@ -160,12 +161,13 @@ def build_dimensions(layers: Layers) -> None:
 def build_gold(layers: Layers) -> None:
     """Rebuild every measure from all of silver."""
     fact, lines = layers.read("silver", "fato_posicao_veiculos"), layers.read("silver", "dim_linhas")
-    tables.replace_table(gold.line_speed(fact, lines), layers.name("gold", "velocidade_linhas"), DAY)
-    tables.replace_table(gold.accessibility(fact, lines), layers.name("gold", "acessibilidade"), DAY)
-    tables.replace_table(
-        gold.fleet_snapshot(fact), layers.name("gold", "snapshot_frota_atual"), same_schema=True
+    side_by_side(
+        lambda: tables.replace_table(gold.line_speed(fact, lines), layers.name("gold", "velocidade_linhas"), DAY),
+        lambda: tables.replace_table(gold.accessibility(fact, lines), layers.name("gold", "acessibilidade"), DAY),
+        lambda: tables.replace_table(
+            gold.fleet_snapshot(fact), layers.name("gold", "snapshot_frota_atual"), same_schema=True),
+        lambda: build_profile(layers),
     )
-    build_profile(layers)
 
 
 def build_profile(layers: Layers) -> None:

@@ -16,7 +16,7 @@ from transitloom import testviews as tv
 from transitloom.functions.clock import run_stamp, stamp_of
 from transitloom.operators import numbering, ranking
 from transitloom.plans import gold, serving, silver
-from transitloom.session import shared_folder
+from transitloom.session import shared_folder, side_by_side
 from transitloom.sources import documents, gtfs, landing, sweep, tables
 from transitloom.streaming import positions as live
 
@@ -75,12 +75,11 @@ def _dashboard(spark, sf, **options):
         (writer.partitionBy(by) if by else writer).parquet(f"{root}/{name}")
         return spark.read.schema(measure.schema).parquet(f"{root}/{name}")
 
-    return serving.dashboard_day(
-        stored("velocidade_linhas", gold.line_speed(fact, _lines(spark, sf)), "data_referencia"),
-        stored("snapshot_frota_atual", gold.fleet_snapshot(fact)),
-        stored("perfil_rota_estatico", _profile(spark, sf)),
-        **options,
-    )
+    return serving.dashboard_day(*side_by_side(
+        lambda: stored("velocidade_linhas", gold.line_speed(fact, _lines(spark, sf)), "data_referencia"),
+        lambda: stored("snapshot_frota_atual", gold.fleet_snapshot(fact)),
+        lambda: stored("perfil_rota_estatico", _profile(spark, sf)),
+    ), **options)
 
 
 # -- gold ---------------------------------------------------------------------------------------

@@ -4,8 +4,11 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
 
 from py4j.protocol import Py4JJavaError
+from pyspark import inheritable_thread_target
 from pyspark.errors import PySparkException
 from pyspark.sql import SparkSession
 
@@ -35,6 +38,12 @@ def get_session(app: str = "transitloom", master: str | None = None, **extra: st
     return builder.getOrCreate()
 
 
+def side_by_side(*steps: Callable[[], object]) -> list:
+    """Run independent jobs at the same time, so that small ones do not leave the cluster idle."""
+    with ThreadPoolExecutor(len(steps)) as pool:
+        return [done.result() for done in [pool.submit(inheritable_thread_target(s)) for s in steps]]
+
+
 def shared_folder(spark: SparkSession, purpose: str) -> str:
     """A new folder path, unique per call, that every executor can reach.
 
