@@ -162,6 +162,7 @@ def build_gold(layers: Layers) -> None:
     """Rebuild every measure from all of silver."""
     fact, lines = layers.read("silver", "fato_posicao_veiculos"), layers.read("silver", "dim_linhas")
     side_by_side(
+        layers.spark,
         lambda: tables.replace_table(gold.line_speed(fact, lines), layers.name("gold", "velocidade_linhas"), DAY),
         lambda: tables.replace_table(gold.accessibility(fact, lines), layers.name("gold", "acessibilidade"), DAY),
         lambda: tables.replace_table(

@@ -76,6 +76,7 @@ def _dashboard(spark, sf, **options):
         return spark.read.schema(measure.schema).parquet(f"{root}/{name}")
 
     return serving.dashboard_day(*side_by_side(
+        spark,
         lambda: stored("velocidade_linhas", gold.line_speed(fact, _lines(spark, sf)), "data_referencia"),
         lambda: stored("snapshot_frota_atual", gold.fleet_snapshot(fact)),
         lambda: stored("perfil_rota_estatico", _profile(spark, sf)),

@@ -38,10 +38,11 @@ def get_session(app: str = "transitloom", master: str | None = None, **extra: st
     return builder.getOrCreate()
 
 
-def side_by_side(*steps: Callable[[], object]) -> list:
+def side_by_side(spark: SparkSession, *steps: Callable[[], object]) -> list:
     """Run independent jobs at the same time, so that small ones do not leave the cluster idle."""
     with ThreadPoolExecutor(len(steps)) as pool:
-        return [done.result() for done in [pool.submit(inheritable_thread_target(s)) for s in steps]]
+        running = [pool.submit(inheritable_thread_target(spark)(step)) for step in steps]
+        return [done.result() for done in running]
 
 
 def shared_folder(spark: SparkSession, purpose: str) -> str:
