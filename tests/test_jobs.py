@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import json
+import re
 from datetime import date, datetime
 
 import pytest
@@ -96,12 +97,16 @@ def test_silver_and_gold(layers):
     assert {r.Rota for r in day.collect()} == {"100-1 | North", "101-1 | South"}
 
 
-def test_dashboard_reads_one_day(layers):
+@pytest.mark.parametrize("chosen", ["2024-01-02", None])
+def test_dashboard_reads_one_day(layers, chosen):
     speed = layers.read("gold", "velocidade_linhas")
     day = serving.dashboard_day(speed, layers.read("gold", "snapshot_frota_atual"),
-                                layers.read("gold", "perfil_rota_estatico"), day="2024-01-02")
+                                layers.read("gold", "perfil_rota_estatico"), day=chosen)
     plan = day._jdf.queryExecution().executedPlan().toString()
-    assert "PartitionFilters: [isnotnull(data_referencia" in plan
+    scan = next(line for line in plan.splitlines() if "velocidade_media" in line and "FileScan" in line)
+    # the newest day is a subquery, evaluated before the files are listed
+    wanted = "2024-01-02" if chosen else "Subquery"
+    assert re.search(rf"PartitionFilters: \[isnotnull\(data_referencia#\d+\), \(data_referencia#\d+ = {wanted}", scan)
 
 
 def test_fact_by_day_equals_rebuild(layers):
