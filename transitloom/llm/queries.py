@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from transitloom.llm import substring
+from transitloom.llm import bpe, substring
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -27,3 +27,20 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def op3_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = substring.remove_repeats(table(spark, sf_dir, "documents"))
     return found.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
+
+
+def vocabulary(name: str = "byte_bpe_50k.json") -> str:
+    """Where a public tokenizer file lies on the driver."""
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
+@query
+def op9_bpe_automaton(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = vocabulary()
+    coded = bpe.encode(table(spark, sf_dir, "documents"), path).select(
+        "doc_id", F.size("ids").cast("long").alias("n_tokens"),
+        F.sha2(F.array_join(F.col("ids").cast("array<string>"), ","), 256).alias("ids_sha256"), "ids",
+    )
+    return bpe.decode(coded, path).select("doc_id", "n_tokens", "ids_sha256", F.sha2("text", 256).alias("decoded_sha256"))
