@@ -18,13 +18,11 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from transitloom.llm import tokens as tk
-
-SMALLEST = -(1 << 63)
-
+from transitloom.llm.rows import id_again, keyed
 
 def difference_cover(period: int) -> tuple[int, ...]:
     """The smallest set of remainders, with 0, whose differences make up every remainder."""
@@ -36,15 +34,6 @@ def difference_cover(period: int) -> tuple[int, ...]:
     raise ValueError(period)
 
 
-def keyed(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
-    """Id without null, text without null, and two hashes of the text, under names of their own."""
-    body = F.coalesce(F.col(text), F.lit(""))
-    return docs.select(
-        F.coalesce(F.col(doc_id).cast("long"), F.lit(SMALLEST)).alias("_doc"), body.alias("_text"),
-        F.xxhash64(body).alias("_same"), F.xxhash64(F.lit(1), body).alias("_same2"),
-    )
-
-
 class _Cover:
     """Anchors of a batch of texts."""
 
@@ -196,8 +185,4 @@ def remove_repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     out = texts_by_key(rows).join(cut, ["_doc", "_same"], "left").select("_doc", "_text", "copy", "starts").mapInArrow(
         lambda batches: _kept(batches, window), "_doc long, n_words long, n_removed long, kept string"
     )
-    return out.select(_id("_doc", doc_id), "n_words", "n_removed", "kept")
-
-
-def _id(column: str, name: str) -> Column:
-    return F.when(F.col(column) != SMALLEST, F.col(column)).alias(name)
+    return out.select(id_again(doc_id), "n_words", "n_removed", "kept")
