@@ -50,7 +50,7 @@ class _Cover:
         return at, a[at]
 
     def of_batch(self, batch: pa.RecordBatch) -> pa.RecordBatch:
-        """Each text's distinct anchors: hash, hash of the text, first position, whether it stands there twice."""
+        """Each text's distinct anchors: hash, hash of the text, first position; -1 - position if it stands there twice."""
         _, _, _, h, first = tk.words_of(batch, "_text", tk.PLAIN)
         same = batch.column("_same").to_numpy()
         row = np.repeat(np.arange(batch.num_rows), np.diff(first))
@@ -64,15 +64,18 @@ class _Cover:
         pick, n = tk.firsts(tk.mix(a + row[here].astype(tk.U) * tk.U(0x9E3779B97F4A7C15)))
         here, a = here[pick], a[pick]
         return pa.RecordBatch.from_arrays(
-            [tk.signed(a), pa.array(same[row[here]]), pa.array(at[here].astype(np.int32)), pa.array(n > 1)],
-            ["anchor", "_same", "at", "twice"],
+            [tk.signed(a), pa.array(same[row[here]]), pa.array(np.where(n > 1, -1 - at[here], at[here]).astype(np.int32))],
+            ["anchor", "_same", "at"],
         )
 
     def windows(self, batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
-        """Windows that hold a listed anchor; a later copy within its own text is marked as such."""
+        """Windows that hold a listed anchor, once per text, and runs of later copies within their own text.
+
+        ``at`` is the start, plus 2**32 times the length of a run of starts that go in any case.
+        """
         _, _, _, h, first = tk.words_of(batch, "_text", tk.PLAIN)
         docs, same = batch.column("_doc").to_numpy(), batch.column("_same").to_numpy()
-        listed, ends = batch.column("listed"), None
+        listed = batch.column("listed")
         ends = listed.offsets.to_numpy()
         flat = listed.values.to_numpy()
         out: list[list[np.ndarray]] = []
@@ -93,22 +96,32 @@ class _Cover:
                 continue
             w = tk.runs(x, self.window)[starts]
             check = (tk.runs(x, self.window, seed=1)[starts] >> tk.U(33)).astype(np.int32)
-            later = np.ones(len(starts), dtype=bool)
-            later[np.unique(w, return_index=True)[1]] = False
-            # a later copy is removed in any case: a key of its own keeps it out of the shared group
-            w = np.where(later, tk.mix(w + starts.astype(tk.U) + tk.U(int(same[i]) % (1 << 64))), w)
-            out.append([w, check, np.full(len(w), docs[i]), np.full(len(w), same[i]), starts.astype(np.int32), later])
+            new = np.zeros(len(starts), dtype=bool)
+            new[np.unique(w, return_index=True)[1]] = True
+            begin, length = _ranges(starts[~new])
+            # a run has a key of its own, which keeps it out of any shared group
+            own = tk.mix(begin.astype(tk.U) + tk.U(int(same[i]) % (1 << 64)))
+            w, check = np.concatenate([w[new], own]), np.concatenate([check[new], np.zeros(len(own), np.int32)])
+            at = np.concatenate([starts[new], begin + (length << 32)])
+            out.append([w, check, np.full(len(w), docs[i]), np.full(len(w), same[i]), at])
         if out:
-            w, check, d, s, at, later = (np.concatenate(x) for x in zip(*out))
+            w, check, d, s, at = (np.concatenate(x) for x in zip(*out))
             yield pa.RecordBatch.from_arrays(
-                [tk.signed(w), pa.array(check), pa.array(d), pa.array(s), pa.array(at), pa.array(later)],
-                ["w", "w2", "_doc", "_same", "at", "later"],
+                [tk.signed(w), pa.array(check), pa.array(d), pa.array(s), pa.array(at)], ["w", "w2", "_doc", "_same", "at"],
             )
 
 
+def _ranges(x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """First and length of each run of consecutive numbers."""
+    cut = np.flatnonzero(np.diff(x, prepend=x[:1] - 2) != 1)
+    return x[cut], np.diff(np.append(cut, len(x)))
+
+
 def repeated_starts(rows: DataFrame, window: int = 20, period: int = 13) -> DataFrame:
     """For rows of ``keyed``: (_doc, _same, copy, starts), the windows of each text that occur earlier.
 
+    A start is a position, plus 2**32 times the number of starts from there on if it stands for more than one.
+
     Whole copies of a text are told apart by hash alone: ``copy`` is true for all but the one with the
     smallest id, and only that one is searched. Texts without a repeated window have no row.
     """
@@ -124,21 +137,22 @@ def repeated_starts(rows: DataFrame, window: int = 20, period: int = 13) -> Data
     ids = rows.select("_doc", "_same", "_same2")
     firsts = ids.groupBy("_same", "_same2").agg(F.min("_doc").alias("_first"))
     marked = ids.distinct().join(firsts, ["_same", "_same2"])
-    copies = marked.filter("_doc > _first").select("_doc", "_same", F.lit(True).alias("copy"), F.lit(None).cast("int").alias("at"))
+    copies = marked.filter("_doc > _first").select("_doc", "_same", F.lit(True).alias("copy"), F.lit(None).cast("long").alias("at"))
     leaders = marked.filter("_doc = _first").select("_doc", "_same")
 
-    found = rows.select("_same", "_text").mapInArrow(anchors, "anchor long, _same long, at int, twice boolean")
+    found = rows.select("_same", "_text").mapInArrow(anchors, "anchor long, _same long, at int")
     group = Window.partitionBy("anchor")
     shared = (
         found.withColumn("low", F.min("_same").over(group)).withColumn("high", F.max("_same").over(group))
-        .filter("twice or low < high").groupBy("_same").agg(F.collect_set("at").alias("listed"))
+        .filter("at < 0 or low < high")
+        .groupBy("_same").agg(F.collect_set(F.expr("if(at < 0, -1 - at, at)")).alias("listed"))
     )
     # one text per group of copies is read again; both joins read the same exchange of the texts
     listed = shared.join(leaders, "_same").select("_doc", "_same", "listed")
     near = texts_by_key(rows).join(listed, ["_doc", "_same"]).select("_doc", "_same", "_text", "listed")
-    cut = near.mapInArrow(windows, "w long, w2 int, _doc long, _same long, at int, later boolean")
+    cut = near.mapInArrow(windows, "w long, w2 int, _doc long, _same long, at long")
     place = F.rank().over(Window.partitionBy("w", "w2").orderBy("_doc", "_same"))
-    removed = cut.withColumn("place", place).filter("later or place > 1").select("_doc", "_same", F.lit(False).alias("copy"), "at")
+    removed = cut.withColumn("place", place).filter("place > 1 or at >= 4294967296").select("_doc", "_same", F.lit(False).alias("copy"), "at")
     return removed.unionByName(copies).groupBy("_doc", "_same").agg(
         F.max("copy").alias("copy"), F.collect_set("at").alias("starts")
     )
@@ -161,8 +175,9 @@ def _kept(batches: Iterator[pa.RecordBatch], window: int) -> Iterator[pa.RecordB
             elif starts[i].is_valid and n >= window:
                 near = np.zeros(n + 1, dtype=np.int64)
                 at = starts[i].values.to_numpy()
-                np.add.at(near, at, 1)
-                np.add.at(near, at + window, -1)
+                first, more = at & 0xFFFFFFFF, np.maximum(at >> 32, 1)
+                np.add.at(near, first, 1)
+                np.add.at(near, first + more - 1 + window, -1)
                 keep = np.cumsum(near[:n]) == 0
             left = words if keep.all() else list(itertools.compress(words, keep))
             counts.append(n)
