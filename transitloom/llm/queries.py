@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from transitloom.llm import bpe, decontaminate, substring
+from transitloom.llm import bpe, decontaminate, ngramjoin, substring
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -51,3 +51,8 @@ def op8_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = decontaminate.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
     return found.select(
         "doc_id", "n_words", "n_hit", "n_items", F.sha2(F.array_join("items", ","), 256).alias("items_sha256"), "contaminated")
+
+
+@query
+def op10_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngramjoin.near_duplicates(table(spark, sf_dir, "documents")).select("doc_id", "n_shingles", "component_id")
