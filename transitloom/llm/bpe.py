@@ -28,6 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from transitloom.llm import tokens as tk
+from transitloom.llm.rows import small_batches
 
 #: How byte-level tokenizers cut a text (fixed value).
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
@@ -195,6 +196,7 @@ def _encoder(spec: str) -> Encoder:
 
 def encode(docs: DataFrame, path: str, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """(doc_id, ids): the token ids of every text, in order."""
+    small_batches(docs.sparkSession)
     spec = docs.sparkSession.sparkContext.broadcast(read_spec(path))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -215,6 +217,7 @@ def decode(coded: DataFrame, path: str, ids: str = "ids", text: str = "text") ->
 
     Bytes that are not UTF-8 become U+FFFD; a null list is an empty text.
     """
+    small_batches(coded.sparkSession)
     spec = coded.sparkSession.sparkContext.broadcast(read_spec(path))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 #: Stands for a null id.
@@ -11,6 +11,7 @@ SMALLEST = -(1 << 63)
 
 def keyed(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """(_doc, _text, _same, _same2): id and text without null, and two hashes of the text."""
+    small_batches(docs.sparkSession)
     body = F.coalesce(F.col(text), F.lit(""))
     return docs.select(
         F.coalesce(F.col(doc_id).cast("long"), F.lit(SMALLEST)).alias("_doc"), body.alias("_text"),
@@ -20,3 +21,9 @@ def keyed(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFr
 
 def id_again(name: str = "doc_id") -> Column:
     return F.when(F.col("_doc") != SMALLEST, F.col("_doc")).alias(name)
+
+
+def small_batches(spark: SparkSession, rows: int = 1000, size: int = 8 << 20) -> None:
+    """Bound what one batch to a Python task holds: long texts would otherwise fill its memory."""
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", rows)
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", size)
