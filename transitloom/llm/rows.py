@@ -10,11 +10,15 @@ SMALLEST = -(1 << 63)
 
 
 def keyed(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """(_doc, _text, _same, _same2): id and text without null, and two hashes of the text."""
+    """(_doc, _tie, _text, _same, _same2): id and text without null, and two hashes of the text.
+
+    ``_tie`` tells rows of one id with different texts apart.
+    """
     small_batches(docs.sparkSession)
     body = F.coalesce(F.col(text), F.lit(""))
     return docs.select(
         F.coalesce(F.col(doc_id).cast("long"), F.lit(SMALLEST)).alias("_doc"), body.alias("_text"),
+        F.shiftright(F.xxhash64(F.lit(2), body), 33).cast("int").alias("_tie"),
         F.xxhash64(body).alias("_same"), F.xxhash64(F.lit(1), body).alias("_same2"),
     )
 

@@ -74,7 +74,7 @@ class _Cover:
         ``at`` is the start, plus 2**32 times the length of a run of starts that go in any case.
         """
         _, _, _, h, first = tk.words_of(batch, "_text", tk.PLAIN)
-        docs, same = batch.column("_doc").to_numpy(), batch.column("_same").to_numpy()
+        docs, ties = batch.column("_doc").to_numpy(), batch.column("_tie").to_numpy()
         listed = batch.column("listed")
         ends = listed.offsets.to_numpy()
         flat = listed.values.to_numpy()
@@ -100,14 +100,14 @@ class _Cover:
             new[np.unique(w, return_index=True)[1]] = True
             begin, length = _ranges(starts[~new])
             # a run has a key of its own, which keeps it out of any shared group
-            own = tk.mix(begin.astype(tk.U) + tk.U(int(same[i]) % (1 << 64)))
+            own = tk.mix(begin.astype(tk.U) + tk.U(hash((int(docs[i]), int(ties[i]))) % (1 << 64)))
             w, check = np.concatenate([w[new], own]), np.concatenate([check[new], np.zeros(len(own), np.int32)])
             at = np.concatenate([starts[new], begin + (length << 32)])
-            out.append([w, check, np.full(len(w), docs[i]), np.full(len(w), same[i]), at])
+            out.append([w, check, np.full(len(w), docs[i]), np.full(len(w), ties[i]), at])
         if out:
             w, check, d, s, at = (np.concatenate(x) for x in zip(*out))
             yield pa.RecordBatch.from_arrays(
-                [tk.signed(w), pa.array(check), pa.array(d), pa.array(s), pa.array(at)], ["w", "w2", "_doc", "_same", "at"],
+                [tk.signed(w), pa.array(check), pa.array(d), pa.array(s), pa.array(at)], ["w", "w2", "_doc", "_tie", "at"],
             )
 
 
@@ -118,7 +118,7 @@ def _ranges(x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 
 def repeated_starts(rows: DataFrame, window: int = 20, period: int = 13) -> DataFrame:
-    """For rows of ``keyed``: (_doc, _same, copy, starts), the windows of each text that occur earlier.
+    """For rows of ``keyed``: (_doc, _tie, copy, starts), the windows of each text that occur earlier.
 
     A start is a position, plus 2**32 times the number of starts from there on if it stands for more than one.
 
@@ -134,11 +134,11 @@ def repeated_starts(rows: DataFrame, window: int = 20, period: int = 13) -> Data
         for batch in tk.groups(batches, "_text"):
             yield from cover.windows(batch)
 
-    ids = rows.select("_doc", "_same", "_same2")
+    ids = rows.select("_doc", "_tie", "_same", "_same2")
     firsts = ids.groupBy("_same", "_same2").agg(F.min("_doc").alias("_first"))
     marked = ids.distinct().join(firsts, ["_same", "_same2"])
-    copies = marked.filter("_doc > _first").select("_doc", "_same", F.lit(True).alias("copy"), F.lit(None).cast("long").alias("at"))
-    leaders = marked.filter("_doc = _first").select("_doc", "_same")
+    copies = marked.filter("_doc > _first").select("_doc", "_tie", F.lit(True).alias("copy"), F.lit(None).cast("long").alias("at"))
+    leaders = marked.filter("_doc = _first").select("_doc", "_tie", "_same")
 
     found = rows.select("_same", "_text").mapInArrow(anchors, "anchor long, _same long, at int")
     group = Window.partitionBy("anchor")
@@ -148,18 +148,18 @@ def repeated_starts(rows: DataFrame, window: int = 20, period: int = 13) -> Data
         .groupBy("_same").agg(F.collect_set(F.expr("if(at < 0, -1 - at, at)")).alias("listed"))
     )
     # one text per group of copies is read again; both joins read the same exchange of the texts
-    listed = shared.join(leaders, "_same").select("_doc", "_same", "listed")
-    near = texts_by_key(rows).join(listed, ["_doc", "_same"]).select("_doc", "_same", "_text", "listed")
-    cut = near.mapInArrow(windows, "w long, w2 int, _doc long, _same long, at long")
-    place = F.rank().over(Window.partitionBy("w", "w2").orderBy("_doc", "_same"))
-    removed = cut.withColumn("place", place).filter("place > 1 or at >= 4294967296").select("_doc", "_same", F.lit(False).alias("copy"), "at")
-    return removed.unionByName(copies).groupBy("_doc", "_same").agg(
+    listed = shared.join(leaders, "_same").select("_doc", "_tie", "listed")
+    near = texts_by_key(rows).join(listed, ["_doc", "_tie"]).select("_doc", "_tie", "_text", "listed")
+    cut = near.mapInArrow(windows, "w long, w2 int, _doc long, _tie int, at long")
+    place = F.rank().over(Window.partitionBy("w", "w2").orderBy("_doc", "_tie"))
+    removed = cut.withColumn("place", place).filter("place > 1 or at >= 4294967296").select("_doc", "_tie", F.lit(False).alias("copy"), "at")
+    return removed.unionByName(copies).groupBy("_doc", "_tie").agg(
         F.max("copy").alias("copy"), F.collect_set("at").alias("starts")
     )
 
 
 def texts_by_key(rows: DataFrame) -> DataFrame:
-    return rows.select("_doc", "_same", "_text").repartition("_doc", "_same")
+    return rows.select("_doc", "_tie", "_text").repartition("_doc", "_tie")
 
 
 def _kept(batches: Iterator[pa.RecordBatch], window: int) -> Iterator[pa.RecordBatch]:
@@ -197,7 +197,7 @@ def remove_repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     """
     rows = keyed(docs, doc_id, text)
     cut = repeated_starts(rows, window, period)
-    out = texts_by_key(rows).join(cut, ["_doc", "_same"], "left").select("_doc", "_text", "copy", "starts").mapInArrow(
+    out = texts_by_key(rows).join(cut, ["_doc", "_tie"], "left").select("_doc", "_text", "copy", "starts").mapInArrow(
         lambda batches: _kept(batches, window), "_doc long, n_words long, n_removed long, kept string"
     )
     return out.select(id_again(doc_id), "n_words", "n_removed", "kept")

@@ -27,6 +27,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from transitloom.llm import tokens as tk
 from transitloom.llm.rows import small_batches
@@ -330,5 +331,6 @@ def score(docs: DataFrame, model: Model, text: str = "text", keep: tuple[str, ..
             p, found = scorer.score(batch.column("_text").to_pylist())
             yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array(p), pa.array(found, spans)], [*keep, "score", "spans"])
 
-    schema = rows.drop("_text").schema.add("score", "double").add("spans", "array<struct<start:int,end:int,marginal:double>>")
+    span = T.StructType().add("start", "integer").add("end", "integer").add("marginal", "double")
+    schema = rows.drop("_text").schema.add("score", "double").add("spans", T.ArrayType(span))
     return rows.mapInArrow(run, schema)
