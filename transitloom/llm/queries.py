@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from transitloom.llm import bpe, decontaminate, ngramjoin, substring, toxicity
+from transitloom.llm import bpe, decontaminate, ngramjoin, quality, substring, toxicity
+from transitloom.llm.graph import stored
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -64,3 +65,12 @@ def op1_toxicity_crf(spark: SparkSession, sf_dir: str) -> DataFrame:
     scored = toxicity.score(docs, toxicity.train(docs, table(spark, sf_dir, "labels")))
     return scored.select(
         "doc_id", toxicity.held_out().alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"), "spans")
+
+
+@query
+def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    stats = stored(quality.statistics(table(spark, sf_dir, "documents")), "statistics")
+    judged = quality.verdicts(stats, quality.cutoffs(stats, table(spark, sf_dir, "labels")))
+    return judged.select(
+        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept",
+        F.array_join("broken", ",").alias("broken"))
