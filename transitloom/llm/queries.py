@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from transitloom.llm import bpe, decontaminate, ngramjoin, quality, substring, toxicity
+from transitloom.llm import bpe, decontaminate, ngramjoin, pii, quality, substring, toxicity
 from transitloom.llm.graph import stored
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -74,3 +74,11 @@ def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judged.select(
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept",
         F.array_join("broken", ",").alias("broken"))
+
+
+@query
+def op2_pii_boosting(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = stored(pii.find(table(spark, sf_dir, "documents")), "candidates")
+    spans = pii.choose(found, pii.fit(found))
+    count = [pii.count("base", kind).alias(f"n_{kind}") for kind in pii.BASE]
+    return spans.select("doc_id", *count, F.sha2(pii.as_text("base"), 256).alias("base_sha256"), pii.as_text("spans").alias("spans"))
