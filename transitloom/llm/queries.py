@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from transitloom.llm import bpe, decontaminate, ngramjoin, pii, quality, substring, toxicity
+from transitloom.llm import bpe, decontaminate, extract, ngramjoin, pii, quality, substring, toxicity
 from transitloom.llm.graph import stored
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -82,3 +82,9 @@ def op2_pii_boosting(spark: SparkSession, sf_dir: str) -> DataFrame:
     spans = pii.choose(found, pii.fit(found))
     count = [pii.count("base", kind).alias(f"n_{kind}") for kind in pii.BASE]
     return spans.select("doc_id", *count, F.sha2(pii.as_text("base"), 256).alias("base_sha256"), pii.as_text("spans").alias("spans"))
+
+
+@query
+def op6_template_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = extract.extract(table(spark, sf_dir, "pages"))
+    return found.select("page_id", "url", "text", F.char_length("text").cast("long").alias("n_chars"))
