@@ -23,14 +23,14 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from transitloom.llm import tokens as tk
-from transitloom.llm.rows import id_again, keyed
-from transitloom.session import shared_folder
+from transitloom.llm.graph import stored
+from transitloom.llm.rows import id_again, keyed, without
 
 #: Words of test items whose terms are broadcast at a time: about 16 MB.
 BLOCK_WORDS = 1 << 20
 #: Posting lists that are intersected before the rest of a phrase is compared.
 RAREST = 3
-_INDEX = "_doc long, _same long, n_words long, terms array<long>, at array<int>"
+_INDEX = "_doc long, _tie int, n_words long, terms array<long>, at array<int>"
 
 
 def _lists(values: np.ndarray, counts: np.ndarray, kind: pa.DataType) -> pa.ListArray:
@@ -79,7 +79,7 @@ def windows(words: DataFrame, size: int) -> DataFrame:
 
 
 def build_index(rows: DataFrame, terms: np.ndarray, pairs: np.ndarray, shortest: int) -> DataFrame:
-    """Postings of the given terms in rows of ``keyed``: (_doc, _same, n_words, terms, at).
+    """Postings of the given terms in rows of ``keyed``: (_doc, _tie, n_words, terms, at).
 
     With ``shortest`` 1 every posting is stored. Beyond that, a posting is stored only where at least that
     many words follow each other in pairs that the test set has too; no phrase can stand elsewhere.
@@ -107,58 +107,58 @@ def build_index(rows: DataFrame, terms: np.ndarray, pairs: np.ndarray, shortest:
                 here = np.flatnonzero(known[0].holds(h))
             count = np.bincount(row[here], minlength=batch.num_rows)
             yield pa.RecordBatch.from_arrays([
-                batch.column("_doc"), batch.column("_same"), pa.array(np.diff(first).astype(np.int64)),
+                batch.column("_doc"), batch.column("_tie"), pa.array(np.diff(first).astype(np.int64)),
                 _lists(h[here].view(np.int64), count, pa.int64()),
                 _lists((here - first[row[here]]).astype(np.int32), count, pa.int32()),
-            ], ["_doc", "_same", "n_words", "terms", "at"])
+            ], ["_doc", "_tie", "n_words", "terms", "at"])
 
-    return rows.select("_doc", "_same", "_text").mapInArrow(run, _INDEX)
+    return rows.select("_doc", "_tie", "_text").mapInArrow(run, _INDEX)
 
 
 def postings(index: DataFrame) -> DataFrame:
-    """(term, _doc, _same, at): the inverted lists of an index."""
+    """(term, _doc, _tie, at): the inverted lists of an index."""
     return index.filter(F.size("terms") > 0).select(
-        "_doc", "_same", F.explode(F.arrays_zip("terms", "at")).alias("p")
-    ).select(F.col("p.terms").alias("term"), "_doc", "_same", F.col("p.at").alias("at"))
+        "_doc", "_tie", F.explode(F.arrays_zip("terms", "at")).alias("p")
+    ).select(F.col("p.terms").alias("term"), "_doc", "_tie", F.col("p.at").alias("at"))
 
 
 def phrase_matches(index: DataFrame, phrases: DataFrame) -> DataFrame:
-    """(_doc, _same, item, start, length): the exact occurrences of phrases (item, window, terms)."""
+    """(_doc, _tie, item, start, length): the exact occurrences of phrases (item, window, terms)."""
     lists = postings(index)
     length = F.size("terms")
     terms = phrases.dropDuplicates(["window"]).select("window", length.alias("length"), F.posexplode("terms").alias("offset", "term"))
     counted = terms.join(lists.groupBy("term").count(), "term", "left")  # no list: the phrase stands nowhere
     order = Window.partitionBy("window").orderBy(F.col("count").asc_nulls_first(), "offset")
     rare = counted.withColumn("place", F.row_number().over(order)).filter(F.col("place") <= RAREST).filter("count is not null")
-    shifted = lists.join(rare, "term").select("window", "_doc", "_same", (F.col("at") - F.col("offset")).alias("start"), "length")
-    found = shifted.groupBy("window", "_doc", "_same", "start").agg(F.count("*").alias("met"), F.first("length").alias("length"))
+    shifted = lists.join(rare, "term").select("window", "_doc", "_tie", (F.col("at") - F.col("offset")).alias("start"), "length")
+    found = shifted.groupBy("window", "_doc", "_tie", "start").agg(F.count("*").alias("met"), F.first("length").alias("length"))
     # repeated rows of a document bring each posting once per row
-    found = found.filter(F.col("met") >= F.least("length", F.lit(RAREST))).filter("start >= 0").select("window", "_doc", "_same", "start")
-    stored = index.filter(F.size("terms") > 0).dropDuplicates(["_doc", "_same"]).select(
-        "_doc", "_same", F.col("terms").alias("have"), "at")
+    found = found.filter(F.col("met") >= F.least("length", F.lit(RAREST))).filter("start >= 0").select("window", "_doc", "_tie", "start")
+    stored = index.filter(F.size("terms") > 0).dropDuplicates(["_doc", "_tie"]).select(
+        "_doc", "_tie", F.col("terms").alias("have"), "at")
     first = F.array_position("at", F.col("start"))
     same = (
-        found.join(stored, ["_doc", "_same"]).withColumn("first", first.cast("int")).filter("first > 0")
+        found.join(stored, ["_doc", "_tie"]).withColumn("first", first.cast("int")).filter("first > 0")
         .join(phrases, "window").withColumn("length", length)
         .filter(F.slice("have", F.col("first"), F.col("length")) == F.col("terms"))
         .filter(F.element_at("at", F.col("first") + F.col("length") - 1) == F.col("start") + F.col("length") - 1)
     )
-    return same.select("_doc", "_same", "item", "start", "length")
+    return same.select("_doc", "_tie", "item", "start", "length")
 
 
 def proximity_matches(index: DataFrame, groups: DataFrame, terms: int, span: int) -> DataFrame:
-    """(_doc, _same, group, first, last): the places where all terms of a group stand within span words.
+    """(_doc, _tie, group, first, last): the places where all terms of a group stand within span words.
 
     ``groups`` has (group, number, term), the terms of a group numbered from 0 below ``terms``; the index must hold
     every posting (``shortest`` 1). A place ends at each word that completes a group.
     """
     met = postings(index).dropDuplicates().join(groups, "term")
-    so_far = Window.partitionBy("group", "_doc", "_same").orderBy("at").rangeBetween(Window.unboundedPreceding, Window.currentRow)
+    so_far = Window.partitionBy("group", "_doc", "_tie").orderBy("at").rangeBetween(Window.unboundedPreceding, Window.currentRow)
     last = [F.max(F.when(F.col("number") == i, F.col("at"))).over(so_far) for i in range(terms)]
     first = F.least(*last) if terms > 1 else last[0]
-    seen = met.select("group", "_doc", "_same", "at", first.alias("first"), F.array(*last).alias("all"))
+    seen = met.select("group", "_doc", "_tie", "at", first.alias("first"), F.array(*last).alias("all"))
     whole = seen.filter(~F.exists("all", lambda x: x.isNull())).filter(F.col("at") - F.col("first") < span)
-    return whole.select("_doc", "_same", "group", "first", F.col("at").alias("last")).distinct()
+    return whole.select("_doc", "_tie", "group", "first", F.col("at").alias("last")).distinct()
 
 
 def _blocks(words: DataFrame, block_words: int) -> list[DataFrame]:
@@ -177,38 +177,43 @@ def _sets(block: DataFrame, size: int) -> tuple[np.ndarray, np.ndarray, int]:
     )
 
 
-def contamination(docs: DataFrame, items: DataFrame, doc_id: str = "doc_id", text: str = "text", size: int = 13,
-                  percent: int = 5, block_words: int = BLOCK_WORDS) -> DataFrame:
-    """(doc_id, n_words, n_hit, n_items, items, contaminated) for every document.
-
-    A word is hit if it lies in an occurrence of a window of an item; a document is contaminated if at least
-    ``percent`` of its words, and one at least, are hit. ``items`` lists the ids, sorted as strings.
-    """
-    spark = docs.sparkSession
-    rows = keyed(docs, doc_id, text)
+def judged(rows: DataFrame, items: DataFrame, size: int = 13, percent: int = 5, block_words: int = BLOCK_WORDS) -> DataFrame:
+    """(_doc, _tie, n_words, n_hit, items, contaminated) for every row of ``keyed``."""
     words = item_words(items)
     found, counts = None, None
     for block in _blocks(words, block_words):
         terms, pairs, shortest = _sets(block, size)
-        path = shared_folder(spark, "postings")
-        build_index(rows, terms, pairs, shortest).write.parquet(path)
-        index = spark.read.schema(_INDEX).parquet(path)
+        index = stored(build_index(rows, terms, pairs, shortest), "postings")
         matches = phrase_matches(index, windows(block, size))
         found = matches if found is None else found.unionByName(matches)
         counts = counts or index
-    per_doc = _hits(found).join(_named(found), ["_doc", "_same"])
-    out = counts.select("_doc", "_same", "n_words").join(per_doc, ["_doc", "_same"], "left")
+    key = ["_doc", "_tie"]
+    per_doc = _hits(found).join(_named(found), key)
     hit = F.coalesce("n_hit", F.lit(0).cast("long"))
-    return out.select(
-        id_again(doc_id), "n_words", hit.alias("n_hit"), F.coalesce(F.size("items"), F.lit(0)).cast("long").alias("n_items"),
-        F.coalesce("items", F.array().cast("array<string>")).alias("items"),
-        ((hit > 0) & (hit * 100 >= F.col("n_words") * percent)).alias("contaminated"), "_doc", "_same",
-    )
+    return counts.select(*key, "n_words").join(per_doc, key, "left").select(
+        *key, "n_words", hit.alias("n_hit"), F.coalesce("items", F.array().cast("array<string>")).alias("items"),
+        ((hit > 0) & (hit * 100 >= F.col("n_words") * percent)).alias("contaminated"))
+
+
+def contamination(docs: DataFrame, items: DataFrame, doc_id: str = "doc_id", text: str = "text", size: int = 13,
+                  percent: int = 5, block_words: int = BLOCK_WORDS) -> DataFrame:
+    """(doc_id, n_words, n_hit, n_items, items, contaminated) for every document.
+
+    A word is hit if it lies in an occurrence of a window of an item; a document is contaminated if at least
+    ``percent`` of its words, and one at least, are hit. ``items`` lists the ids, sorted as strings.
+    """
+    found = judged(keyed(docs, doc_id, text), items, size, percent, block_words)
+    return found.select(id_again(doc_id), "n_words", "n_hit", F.size("items").cast("long").alias("n_items"), "items", "contaminated")
+
+
+def clean(docs: DataFrame, items: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+    """The documents that are not contaminated."""
+    return without(docs, judged(keyed(docs, doc_id, text), items).filter("contaminated"), doc_id, text)
 
 
 def _hits(matches: DataFrame) -> DataFrame:
     """Words inside any occurrence, by adding up what each reaches beyond all before it."""
-    key = ["_doc", "_same"]
+    key = ["_doc", "_tie"]
     spans = matches.groupBy(*key, "start").agg(F.max(F.col("start") + F.col("length")).alias("end"))
     before = F.max("end").over(Window.partitionBy(*key).orderBy("start").rowsBetween(Window.unboundedPreceding, -1))
     new = F.greatest(F.lit(0), F.col("end") - F.greatest("start", F.coalesce(before, F.lit(0))))
@@ -216,4 +221,4 @@ def _hits(matches: DataFrame) -> DataFrame:
 
 
 def _named(matches: DataFrame) -> DataFrame:
-    return matches.groupBy("_doc", "_same").agg(F.array_sort(F.collect_set("item")).alias("items"))
+    return matches.groupBy("_doc", "_tie").agg(F.array_sort(F.collect_set("item")).alias("items"))

@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 
 from transitloom.llm import tokens as tk
 from transitloom.llm.graph import components, stored
-from transitloom.llm.rows import id_again, keyed
+from transitloom.llm.rows import id_again, keyed, without
 
 #: Rounds in which each block's next smallest row is compared with the others.
 PIVOTS = 2
@@ -90,18 +90,18 @@ def _class(grams: np.ndarray) -> int:
 
 
 def _sets(rows: DataFrame, size: int) -> DataFrame:
-    """(_doc, _same, n, class): the number of n-grams of each document and the hash of the set."""
+    """(_doc, _tie, n, class): the number of n-grams of each document and the hash of the set."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in tk.groups(batches, "_text"):
             _, _, _, h, first = tk.words_of(batch, "_text", tk.LOWER)
             sets = [ngrams(h[a:b], size) for a, b in zip(first[:-1], first[1:])]
             yield pa.RecordBatch.from_arrays([
-                batch.column("_doc"), batch.column("_same"), pa.array([len(s) for s in sets], pa.int64()),
+                batch.column("_doc"), batch.column("_tie"), pa.array([len(s) for s in sets], pa.int64()),
                 pa.array([_class(s) if len(s) else None for s in sets], pa.int64()),
-            ], ["_doc", "_same", "n", "class"])
+            ], ["_doc", "_tie", "n", "class"])
 
-    return rows.select("_doc", "_same", "_text").mapInArrow(run, "_doc long, _same long, n long, class long")
+    return rows.select("_doc", "_tie", "_text").mapInArrow(run, "_doc long, _tie int, n long, class long")
 
 
 def _signed_blocks(rows: DataFrame, size: int, percent: int) -> DataFrame:
@@ -168,9 +168,9 @@ def linked_classes(rows: DataFrame, sets: DataFrame, size: int, percent: int) ->
     met = met.dropDuplicates(["block", "class"]).withColumn("place", F.row_number().over(by.orderBy("class")))
     met = stored(met.select("block", "class", "n", "place"), "blocks")
 
-    one = sets.groupBy("class").agg(F.min(F.struct("_doc", "_same")).alias("one"))
+    one = sets.groupBy("class").agg(F.min(F.struct("_doc", "_tie")).alias("one"))
     one = met.select("class").distinct().join(one, "class").select("class", "one.*")
-    texts = stored(one.join(rows, ["_doc", "_same"]).groupBy("class").agg(F.first("_text").alias("text")), "rows")
+    texts = stored(one.join(rows, ["_doc", "_tie"]).groupBy("class").agg(F.first("_text").alias("text")), "rows")
 
     none = met.select(F.col("class").alias("a"), F.col("class").alias("b"), F.lit(True).alias("linked")).limit(0)
     done, roots = none, none.select(F.col("a").alias("node"), F.col("b").alias("root"))
@@ -191,19 +191,31 @@ def linked_classes(rows: DataFrame, sets: DataFrame, size: int, percent: int) ->
     return roots
 
 
-def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", size: int = 3, percent: int = 90) -> DataFrame:
-    """(doc_id, n_shingles, component_id) for every document.
-
-    Documents are linked if ``percent`` of the n-grams that either has stand in both; the component is named by
-    its smallest id.
-    """
-    rows = keyed(docs, doc_id, text)
+def components_of(rows: DataFrame, size: int = 3, percent: int = 90) -> DataFrame:
+    """(_doc, _tie, n, component) for every row of ``keyed``."""
     sets = stored(_sets(rows, size), "sets")
     roots = linked_classes(rows, sets, size, percent)
     named = sets.filter("n > 0").groupBy("class").agg(F.min("_doc").alias("low"))
     named = named.join(roots, named["class"] == roots["node"], "left").select("class", "low", F.coalesce("root", "class").alias("root"))
     lowest = named.groupBy("root").agg(F.min("low").alias("component"))
     named = named.join(lowest, "root").select("class", "component")
-    out = sets.join(named, "class", "left").select(
-        id_again(doc_id), F.col("n").alias("n_shingles"), F.coalesce("component", "_doc").alias("_doc"), "_same")
-    return out.select(doc_id, "n_shingles", id_again("component_id"), "_same")
+    return sets.join(named, "class", "left").select("_doc", "_tie", "n", F.coalesce("component", "_doc").alias("component"))
+
+
+def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", size: int = 3, percent: int = 90) -> DataFrame:
+    """(doc_id, n_shingles, component_id) for every document.
+
+    Documents are linked if ``percent`` of the n-grams that either has stand in both; the component is named by
+    its smallest id.
+    """
+    found = components_of(keyed(docs, doc_id, text), size, percent)
+    return found.select(id_again(doc_id), F.col("n").alias("n_shingles"), id_again("component_id", "component"))
+
+
+def first_of_each(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", size: int = 3, percent: int = 90) -> DataFrame:
+    """The documents that have the smallest id of their component; rows equal in id and text stay or go together."""
+    found = components_of(keyed(docs, doc_id, text), size, percent)
+    # of several texts with the component's id, the one with the smallest tie stays
+    first = Window.partitionBy("component").orderBy("_doc", "_tie")
+    gone = found.filter("n > 0").withColumn("place", F.dense_rank().over(first)).filter("place > 1").distinct()
+    return without(docs, gone, doc_id, text)
