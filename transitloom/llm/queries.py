@@ -37,14 +37,19 @@ def vocabulary(name: str = "byte_bpe_50k.json") -> str:
     return public_tokenizers.path(name)
 
 
-@query
-def op9_bpe_automaton(spark: SparkSession, sf_dir: str) -> DataFrame:
+def coded(docs: DataFrame) -> DataFrame:
+    """Digests of the token ids of every document, and of the text that the ids decode to."""
     path = vocabulary()
-    coded = bpe.encode(table(spark, sf_dir, "documents"), path).select(
+    ids = bpe.encode(docs, path).select(
         "doc_id", F.size("ids").cast("long").alias("n_tokens"),
         F.sha2(F.array_join(F.col("ids").cast("array<string>"), ","), 256).alias("ids_sha256"), "ids",
     )
-    return bpe.decode(coded, path).select("doc_id", "n_tokens", "ids_sha256", F.sha2("text", 256).alias("decoded_sha256"))
+    return bpe.decode(ids, path).select("doc_id", "n_tokens", "ids_sha256", F.sha2("text", 256).alias("decoded_sha256"))
+
+
+@query
+def op9_bpe_automaton(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return coded(table(spark, sf_dir, "documents"))
 
 
 @query
