@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from transitloom.llm import bpe, decontaminate, extract, ngramjoin, pii, quality, substring, toxicity
+from transitloom.llm import bpe, classifier, decontaminate, extract, ngramjoin, pii, quality, substring, tokencount, toxicity
 from transitloom.llm.graph import stored
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -93,3 +93,16 @@ def op2_pii_boosting(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op6_template_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = extract.extract(table(spark, sf_dir, "pages"))
     return found.select("page_id", "url", "text", F.char_length("text").cast("long").alias("n_chars"))
+
+
+@query
+def op4_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return tokencount.count_tokens(table(spark, sf_dir, "documents"), vocabulary("piece_bpe_32k.model"))
+
+
+@query
+def op7_cotraining(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = stored(classifier.features(table(spark, sf_dir, "documents")), "features")
+    held_out = toxicity.held_out()
+    scored = classifier.score(found, classifier.train(found, table(spark, sf_dir, "labels"), held_out))
+    return scored.select("doc_id", held_out.alias("held_out"), "content_score", "page_score", "score", (F.col("score") >= 0.5).alias("kept"))

@@ -8,7 +8,7 @@ state before it. Forward-backward marginals give the spans; sums of them per doc
 document labels, give the score.
 
 The field is fitted by the driver on a bounded sample of labelled documents (``per_class`` of each label, by a
-hash of the text); every document is scored whole, by tasks that hold the weights only.
+hash of the id); every document is scored whole, by tasks that hold the weights only.
 
 Meaning of odd input: null or blank text has no words and gets the score of a document without marginals; null
 labels are left out; of several labels of one id the highest counts; without labels of both kinds every score is
@@ -307,14 +307,16 @@ def train(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str
           per_class: tuple[int, int] = PER_CLASS) -> Model:
     """Fit on at most per_class labelled documents of each kind outside the held-out fold."""
     known = labels.filter(F.col(label).isNotNull() & ~held_out(doc_id)).groupBy(F.col(doc_id).alias("_id")).agg(F.max(label).alias("_y"))
-    rows = docs.select(F.col(doc_id).alias("_id"), F.col(text).alias("_text")).filter("_text is not null").join(known, "_id")
-    order = F.xxhash64("_text")
+    order = F.xxhash64("_id")
     taken = [
-        [r[0] for r in rows.filter(F.col("_y") > 0 if bad else F.col("_y") <= 0).select("_text", order.alias("o")).distinct()
-         .orderBy("o").limit(n).select("_text").collect()]
-        for bad, n in ((True, per_class[0]), (False, per_class[1]))
+        known.filter(F.col("_y") > 0 if bad else F.col("_y") <= 0).orderBy(order, "_id").limit(n) for bad, n in ((True, per_class[0]), (False, per_class[1]))
     ]
-    return fit(taken[0] + taken[1], np.array([1.0] * len(taken[0]) + [0.0] * len(taken[1])))
+    # only ids, at most sum(per_class) of them, are broadcast; their texts alone come to the driver
+    few = F.broadcast(taken[0].unionByName(taken[1]))
+    rows = docs.select(F.col(doc_id).alias("_id"), F.col(text).alias("_text")).join(few, "_id")
+    found = rows.groupBy("_id").agg(F.min("_text").alias("_text"), F.first("_y").alias("_y")).collect()
+    by_text = {r["_text"]: float(r["_y"] > 0) for r in sorted(found, key=lambda r: r["_id"]) if r["_text"]}
+    return fit(list(by_text), np.array(list(by_text.values())))
 
 
 def score(docs: DataFrame, model: Model, text: str = "text", keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
