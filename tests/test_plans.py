@@ -33,19 +33,29 @@ def fact(spark, sf_dir):
     return tv.view(spark, sf_dir, "fact")
 
 
-def test_ping_speed_shuffles_once(fact):
-    speeds = gold.ping_speed(fact)
-    assert shuffles(speeds) == 1
-    assert plan_of(speeds).count("Window [") == 1
+def jobs_started(spark, build):
+    """Jobs that run while a plan is built."""
+    tracker = spark.sparkContext.statusTracker()
+    spark.sparkContext.setJobGroup("building", "plan")
+    try:
+        build()
+        return len(tracker.getJobIdsForGroup("building"))
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+
 
+@pytest.mark.parametrize("name", ["line_speed_kpi", "ping_speed", "fastest_lines10", "shape_length", "route_profile"])
+def test_neighbour_measures_start_no_job_while_built(spark, sf_dir, name):
+    tv.view(spark, sf_dir, "fact")
+    assert jobs_started(spark, lambda: registry.QUERIES[name](spark, sf_dir)) == 0
 
-def test_sliced_ping_speed_shuffles_rows_once(fact):
-    speeds = gold.ping_speed(fact, 3600)
-    # rows by vehicle and slice, read by both branches, and slice ends by vehicle
-    speeds.collect()
-    final = plan_of(speeds).split("== Initial Plan ==")[0]
-    assert "ReusedExchange" in final
-    assert "hashpartitioning(prefixo_veiculo" in final
+
+def test_ping_speed_shuffles_and_sorts_rows_once(fact):
+    speeds = gold.ping_speed(fact)
+    text = initial(speeds)
+    # the rows, the last ping of each vehicle and day (combined first), and those by vehicle
+    assert shuffles(speeds) == 3
+    assert text.count("Window [") == 2 and text.count("Sort [") == 2 and "SortAggregate" not in text
 
 
 def test_line_speed_works_out_the_distance_once(fact, spark, sf_dir):
@@ -72,7 +82,7 @@ def test_columns_and_filters_reach_the_scan(spark, tmp_path, fact):
     day = stored.filter(F.col("data_referencia") == F.lit("2024-01-15").cast("date"))
     text = gold.accessibility(day, registry._lines(spark, "/root/testdata/sf0.001"))
     text = text._jdf.queryExecution().executedPlan().toString()
-    scan = next(line for line in text.splitlines() if "/fact" in line)
+    scan = next(line for line in text.splitlines() if "is_acessivel:" in line and "ReadSchema" in line)
     schema = re.search(r"ReadSchema: struct<([^>]*)>", scan).group(1)
     assert {c.split(":")[0] for c in schema.split(",")} == {"prefixo_veiculo", "cod_linha", "is_acessivel"}
     assert "PartitionFilters: [isnotnull(data_referencia" in scan

@@ -1,15 +1,12 @@
 """Previous or next row of an ordered group, also when one group holds much of the data.
 
-``lag`` over a vehicle's whole history sorts that history in a single task, and one vehicle or shape
-may own a large share of all rows. :func:`slice_width` measures the groups; when one is too big for a
-task, every group is cut into slices of its own position (time, sequence number):
+``lag`` over a vehicle's whole history sorts that history in a single task, and one vehicle or shape may own
+a large share of all rows. So rows are windowed by (group, slice of their position), always and with a width
+that the caller states. What a slice's first row needs from before it is its predecessor's last row; those
+last rows are an aggregate, combined before its shuffle, with one row per slice. They are shifted by one
+slice and put in front of the slice they belong to. Every row passes one shuffle and one sort.
 
-1. lag/lead inside (group, slice): one shuffle, tasks bounded by the slice;
-2. only the rows at slice ends go through a second window over the group, where the row without a
-   neighbour in its own slice finds it in the nearest non-empty slice.
-
-Both branches read the same shuffle. The second one carries at most two rows per slice. When all
-groups are small there is one plain window.
+No job runs while the plan is built, and the plan does not depend on the data.
 """
 
 from __future__ import annotations
@@ -19,62 +16,42 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-ROWS_PER_TASK = 1_000_000
-_SLICE, _NEAR, _OPEN, _END = "__slice", "__near", "__open", "__end"
+_PLACE, _SLICE, _TIE, _CARRIED, _NEAR = "__place", "__slice", "__tie", "__carried", "__near"
 
 
-def slice_width(df: DataFrame, keys: Sequence[str], position: Column,
-                rows_per_task: int = ROWS_PER_TASK) -> int | None:
-    """Width of slices of ``position`` that keeps the rows a task sorts near ``rows_per_task``.
+def with_previous(df: DataFrame, keys: Sequence[str], place: Column, width: int, names: dict[str, str]) -> DataFrame:
+    """Add, for each ``source: new`` in ``names``, the value of the preceding row of the group.
 
-    None when no group is larger than that, found by a job that counts rows per key and reads the
-    key columns only. Otherwise a second count, which reads the position too, sets the width for the
-    densest group; a quarter of the even width allows for bursts.
+    ``place`` is a whole number that orders a group; ``width`` bounds the places that one task sorts. Rows at
+    one place are ordered by a hash of all columns, so they pair up the same way on every run. Rows without
+    a place neither have nor are neighbours.
     """
-    rows = F.count(F.lit(1)).alias("rows")
-    largest = df.groupBy(*keys).agg(rows).agg(F.max("rows")).first()[0]
-    if largest is None or largest <= rows_per_task:
-        return None
-    spans = df.groupBy(*keys).agg(rows, (F.max(position) - F.min(position) + 1).alias("span"))
-    even = F.col("span") * F.lit(rows_per_task) / F.col("rows")
-    width = spans.filter(F.col("rows") > rows_per_task).agg(F.min(even)).first()[0]
-    return None if width is None else max(1, int(width / 4))
-
-
-def sliced(position: Column, width: int | None) -> Column | None:
-    """Slice number of a row, or None for no slicing."""
-    return None if width is None else F.floor(position / F.lit(width))
-
-
-def with_previous(df: DataFrame, keys: Sequence[str], order: Sequence[str], names: dict[str, str],
-                  slice_by: Column | None = None) -> DataFrame:
-    """Add, for each ``source: new`` in ``names``, the value of the preceding row of the group."""
-    return _with_neighbour(df, keys, order, names, slice_by, F.lag, F.lead)
+    return _with_neighbour(df, keys, place, width, names, True)
 
 
-def with_next(df: DataFrame, keys: Sequence[str], order: Sequence[str], names: dict[str, str],
-              slice_by: Column | None = None) -> DataFrame:
+def with_next(df: DataFrame, keys: Sequence[str], place: Column, width: int, names: dict[str, str]) -> DataFrame:
     """As :func:`with_previous`, for the following row."""
-    return _with_neighbour(df, keys, order, names, slice_by, F.lead, F.lag)
-
-
-def _with_neighbour(df, keys, order, names, slice_by, towards, away) -> DataFrame:
-    # every other column breaks ties, so equal positions pair up the same way on every run
-    ties = [c for c in df.columns if c not in keys and c not in order]
-    ordering = [F.col(c).asc() for c in [*order, *ties]]
-    values = F.struct(*[F.col(c) for c in names])
-    unpack = {new: F.col(_NEAR)[source] for source, new in names.items()}
-    whole = Window.partitionBy(*keys).orderBy(*ordering)
-
-    if slice_by is None:
-        return df.withColumn(_NEAR, towards(values).over(whole)).withColumns(unpack).drop(_NEAR)
-
-    inside = Window.partitionBy(*keys, _SLICE).orderBy(*ordering)
-    sliced = df.withColumn(_SLICE, slice_by).withColumns({
-        _NEAR: towards(values).over(inside),
-        _END: away(F.lit(True)).over(inside).isNull(),
-    }).withColumn(_OPEN, F.col(_NEAR).isNull())
-    paired = sliced.filter(~F.col(_OPEN))
-    ends = sliced.filter(F.col(_OPEN) | F.col(_END))
-    joined_up = ends.withColumn(_NEAR, towards(values).over(whole)).filter(F.col(_OPEN))
-    return (paired.unionByName(joined_up).withColumns(unpack).drop(_SLICE, _NEAR, _END, _OPEN))
+    return _with_neighbour(df, keys, place, width, names, False)
+
+
+def _with_neighbour(df, keys, place, width, names, before) -> DataFrame:
+    placed = df.withColumns({
+        _PLACE: place.cast("bigint"), _SLICE: F.floor(place / F.lit(width)), _CARRIED: F.lit(False),
+        _TIE: F.shiftrightunsigned(F.xxhash64(*df.columns), 2),
+    })
+    # place and tie in one number: fixed width, so the aggregate hashes and does not sort
+    rank = F.col(_PLACE).cast("decimal(19,0)") * F.lit(1 << 62).cast("decimal(19,0)") + F.col(_TIE).cast("decimal(19,0)")
+    outermost = F.max_by if before else F.min_by
+    edges = placed.filter(F.col(_PLACE).isNotNull()).groupBy(*keys, _SLICE).agg(
+        *(outermost(F.col(c), rank).alias(c) for c in names), F.lit(True).alias(_CARRIED))
+    beside = Window.partitionBy(*keys).orderBy(_SLICE)
+    shift = F.lag if before else F.lead
+    values = F.struct(*names, _CARRIED)
+    carried = edges.select(*keys, _SLICE, shift(values).over(beside).alias(_NEAR)).filter(F.col(_NEAR).isNotNull()).select(
+        *keys, _SLICE, f"{_NEAR}.*")
+    first = F.col(_CARRIED).desc() if before else F.col(_CARRIED).asc()
+    inside = Window.partitionBy(*keys, _SLICE).orderBy(first, _PLACE, _TIE)
+    near = F.when(F.col(_PLACE).isNotNull(), shift(F.struct(*names)).over(inside))
+    joined = placed.unionByName(carried, allowMissingColumns=True).withColumn(_NEAR, near).filter(~F.col(_CARRIED))
+    return joined.withColumns({new: F.col(_NEAR)[source] for source, new in names.items()}).drop(
+        _PLACE, _SLICE, _TIE, _CARRIED, _NEAR)

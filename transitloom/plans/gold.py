@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from transitloom.functions.clock import elapsed_hours
 from transitloom.functions.geo import haversine_km
-from transitloom.operators.adjacent import slice_width, sliced, with_next, with_previous
+from transitloom.operators.adjacent import with_next, with_previous
 from transitloom.operators.ranking import first_per_key
 
 # fixed values: plausible speeds in km/h, bounds excluded
@@ -15,32 +15,30 @@ MIN_SPEED, MAX_SPEED = 5, 110
 # fixed value: stops per km of route
 STOPS_PER_KM = 3
 
-MEASURE = "measure"
+# what one task sorts of a vehicle or a shape: a day of pings, a block of points
+SLICE_SECONDS, SLICE_POINTS = 86_400, 10_000
 
 _PING = ["data_hora_sp", "prefixo_veiculo", "cod_linha", "latitude", "longitude", "sentido_desc",
          "data_referencia"]
 
 
-def ping_speed(fact: DataFrame, slice_seconds: int | None | str = MEASURE,
-               carried: DataFrame | None = None, max_gap_hours: float | None = None) -> DataFrame:
+def ping_speed(fact: DataFrame, slice_seconds: int = SLICE_SECONDS, carried: DataFrame | None = None,
+               max_gap_hours: float | None = None) -> DataFrame:
     """Speed of each ping against the vehicle's previous one.
 
     Pings without vehicle or time take no part; a vehicle's first ping is dropped. ``carried`` holds
     the last known ping of each vehicle from before ``fact`` (same columns) when only new days are
     processed. ``max_gap_hours`` leaves out pairs further apart. ``slice_seconds`` bounds how much of
-    one vehicle a task sorts: measured by default, which runs a job; None never slices.
+    one vehicle a task sorts; feeds with more than a few pings a second want less than a day.
     """
     pings = fact.select(*_PING).withColumn("__new", F.lit(True))
     if carried is not None:
         pings = pings.unionByName(carried.select(*_PING).withColumn("__new", F.lit(False)))
     pings = pings.filter(F.col("prefixo_veiculo").isNotNull() & F.col("data_hora_sp").isNotNull())
-    seconds = F.unix_timestamp("data_hora_sp")
-    if slice_seconds == MEASURE:
-        slice_seconds = slice_width(pings, ["prefixo_veiculo"], seconds)
+    micros = F.timestamp_diff("MICROSECOND", F.lit("1970-01-01 00:00:00").cast("timestamp_ntz"), F.col("data_hora_sp"))
     paired = with_previous(
-        pings, ["prefixo_veiculo"], ["data_hora_sp"],
+        pings, ["prefixo_veiculo"], micros, slice_seconds * 1_000_000,
         {"latitude": "lat_prev", "longitude": "lon_prev", "data_hora_sp": "time_prev"},
-        sliced(seconds, slice_seconds),
     )
     km = F.round(
         haversine_km(F.col("lat_prev"), F.col("lon_prev"), F.col("latitude"), F.col("longitude")), 4
@@ -110,18 +108,15 @@ def fleet_snapshot(fact: DataFrame, as_of=None) -> DataFrame:
     return first_per_key(known, ["prefixo_veiculo"], "data_hora_sp", newest=True)
 
 
-def shape_length(shapes: DataFrame, slice_points: int | None | str = MEASURE) -> DataFrame:
+def shape_length(shapes: DataFrame, slice_points: int = SLICE_POINTS) -> DataFrame:
     """Length in km of each polyline; a shape of a single point has none and is left out.
 
-    ``slice_points`` bounds how much of one shape a task sorts, as in :func:`ping_speed`.
+    ``slice_points`` bounds the sequence numbers of one shape that a task sorts, as in :func:`ping_speed`.
     """
     points = shapes.select("shape_id", "shape_pt_sequence", "shape_pt_lat", "shape_pt_lon")
-    place = F.col("shape_pt_sequence")
-    if slice_points == MEASURE:
-        slice_points = slice_width(points, ["shape_id"], place)
     legs = with_next(
-        points, ["shape_id"], ["shape_pt_sequence"],
-        {"shape_pt_lat": "lat_next", "shape_pt_lon": "lon_next"}, sliced(place, slice_points),
+        points, ["shape_id"], F.col("shape_pt_sequence"), slice_points,
+        {"shape_pt_lat": "lat_next", "shape_pt_lon": "lon_next"},
     ).filter(F.col("lat_next").isNotNull())
     km = haversine_km(
         F.col("shape_pt_lat"), F.col("shape_pt_lon"), F.col("lat_next"), F.col("lon_next"), form="asin"
@@ -129,8 +124,7 @@ def shape_length(shapes: DataFrame, slice_points: int | None | str = MEASURE) ->
     return legs.groupBy("shape_id").agg(F.sum(km).cast("decimal(10,2)").alias("extensao_km"))
 
 
-def route_profile(shapes: DataFrame, trips: DataFrame,
-                  slice_points: int | None | str = MEASURE) -> DataFrame:
+def route_profile(shapes: DataFrame, trips: DataFrame, slice_points: int = SLICE_POINTS) -> DataFrame:
     """Mean length of a route over its trips, and an estimate of its stops.
 
     Trips are counted per route and shape before the join, so neither a shape used by many trips nor

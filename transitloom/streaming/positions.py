@@ -98,7 +98,7 @@ def keep_snapshot(fact: DataFrame, state: str, checkpoint: str) -> StreamingQuer
 
 
 def keep_speeds(fact: DataFrame, speeds: str, late: str, state: str, checkpoint: str,
-                slice_seconds: int | None | str = gold.MEASURE) -> StreamingQuery:
+                slice_seconds: int = gold.SLICE_SECONDS) -> StreamingQuery:
     """Speed of every ping as it arrives, against the vehicle's last one from earlier batches.
 
     Writes ping speeds to ``speeds`` and, per batch, the number of pings not newer than the
