@@ -7,9 +7,10 @@ as its size demands, and only rows with an equal block meet. (Sizes fall into le
 part in the grid of its own level and in that of the next.) For rows that meet the overlap is counted in
 full, and the pair is kept or discarded by the bound that the two sizes set.
 
-Rows of one block are not all paired with each other. The smallest is compared with the rest; then the next
-smallest with those that no link has yet joined to it, and so on for PIVOTS rounds; pairs still unresolved
-are then all compared. Every pair left out is in one component already, so components are exact.
+Rows of one block are not all paired with each other. The one that meets most others over all blocks is
+compared with the rest; then the next with those that no link has yet joined to it, for PIVOTS rounds. Rows of
+blocks that still hold several components are compared where they share a rare n-gram, as a link demands.
+Every pair left out is in one component already or below the bound, so components are exact.
 
 Meaning of odd input: a null text is empty; an empty set is linked with nothing; a null id counts as the
 smallest id; rows equal in id and text get the same answer; classes are told apart by a 64-bit hash.
@@ -28,7 +29,7 @@ from transitloom.llm import tokens as tk
 from transitloom.llm.graph import components, stored
 from transitloom.llm.rows import id_again, keyed, without
 
-#: Rounds in which each block's next smallest row is compared with the others.
+#: Rounds in which the next row of each block is compared with the others.
 PIVOTS = 2
 #: Blocks beyond the bound; a row with more empty blocks than this keeps them as blocks like any other.
 SPARE = 2
@@ -165,8 +166,13 @@ def linked_classes(rows: DataFrame, sets: DataFrame, size: int, percent: int) ->
     blocks = _signed_blocks(rows, size, percent)
     by = Window.partitionBy("block")
     met = blocks.withColumn("low", F.min("class").over(by)).withColumn("high", F.max("class").over(by)).filter("low < high")
-    met = met.dropDuplicates(["block", "class"]).withColumn("place", F.row_number().over(by.orderBy("class")))
-    met = stored(met.select("block", "class", "n", "place"), "blocks")
+    met = met.dropDuplicates(["block", "class"]).withColumn("rows", F.count("*").over(by))
+    met = stored(met.select("block", "class", "n", "rows"), "blocks")
+    # a text that others are edits of meets more rows than any of them: it is compared first
+    hubs = met.groupBy("class").agg(F.sum("rows").alias("hub"))
+    order = by.orderBy(F.col("hub").desc(), "class")
+    met = met.join(hubs, "class").select("block", "class", "n", F.row_number().over(order).alias("place"))
+    met = stored(met, "blocks")
 
     one = sets.groupBy("class").agg(F.min(F.struct("_doc", "_tie")).alias("one"))
     one = met.select("class").distinct().join(one, "class").select("class", "one.*")
@@ -177,13 +183,8 @@ def linked_classes(rows: DataFrame, sets: DataFrame, size: int, percent: int) ->
     for turn in range(1, PIVOTS + 2):
         now = met.join(roots, met["class"] == roots["node"], "left").select(
             "block", "class", "n", "place", F.coalesce("root", "class").alias("root"))
-        low = now.filter(F.col("place") == turn if turn <= PIVOTS else F.col("place") > PIVOTS)
-        low = low.select("block", F.col("class").alias("b"), F.col("n").alias("n_b"), F.col("root").alias("root_b"), F.col("place").alias("place_b"))
-        pairs = (
-            now.filter(F.col("place") > turn).join(low, "block").filter("place > place_b and root <> root_b")
-            .filter(_close("n", "n_b", percent)).select(F.col("class").alias("a"), "b").distinct()
-            .join(done.select("a", "b"), ["a", "b"], "left_anti")
-        )
+        pairs = _against_pivot(now, turn, percent) if turn <= PIVOTS else _against_rare(now, texts, size, percent)
+        pairs = pairs.distinct().join(done.select("a", "b"), ["a", "b"], "left_anti")
         found = stored(_overlaps(pairs, texts, size, percent), "links")
         done = done.unionByName(found)
         links = found.filter("linked").select("a", "b").unionByName(roots.select(F.col("node").alias("a"), F.col("root").alias("b")))
@@ -191,6 +192,52 @@ def linked_classes(rows: DataFrame, sets: DataFrame, size: int, percent: int) ->
     return roots
 
 
+def _against_pivot(now: DataFrame, turn: int, percent: int) -> DataFrame:
+    """(a, b): in every block, the rows after the one in turn, with that one."""
+    low = now.filter(F.col("place") == turn).select(
+        "block", F.col("class").alias("b"), F.col("n").alias("n_b"), F.col("root").alias("root_b"))
+    return now.filter(F.col("place") > turn).join(low, "block").filter("root <> root_b").filter(
+        _close("n", "n_b", percent)).select(F.col("class").alias("a"), "b")
+
+
+def _against_rare(now: DataFrame, texts: DataFrame, size: int, percent: int) -> DataFrame:
+    """(a, b): of blocks with several components left, the rows that may still be linked.
+
+    Two such rows share one of the rarest n-grams of each, as many of them as a link leaves unshared and one more.
+    N-grams that one row has alone, and those before the first shared one, cannot count towards an overlap; that
+    bounds it from above.
+    """
+    left = now.filter(F.col("place") > PIVOTS)
+    open_ = left.groupBy("block").agg(F.min("root").alias("low"), F.max("root").alias("high")).filter("low < high")
+    rows = left.join(open_, "block", "left_semi").select("class", "n", "root").distinct()
+    grams = _grams(texts.join(rows, "class", "left_semi"), size)
+    counted = grams.join(grams.groupBy("gram").agg(F.count("*").alias("rows")), "gram")
+    by_class = Window.partitionBy("class")
+    ranked = counted.withColumn("place", F.row_number().over(by_class.orderBy("rows", "gram"))).withColumn(
+        "own", F.sum((F.col("rows") == 1).cast("int")).over(by_class))
+    unshared = F.col("n") - F.ceil(F.col("n") * percent / 100) + 1
+    rare = ranked.join(rows, "class").filter((F.col("rows") > 1) & (F.col("place") <= unshared)).select(
+        "gram", "class", "n", "root", F.least(F.col("n") - F.col("own"), F.col("n") - F.col("place") + 1).alias("most"))
+    other = rare.select("gram", *(F.col(c).alias(f"{c}_b") for c in ("class", "n", "root", "most")))
+    # 100 * overlap >= percent * (n + n_b - overlap), at the first n-gram that both have
+    enough = F.least("most", "most_b") * (100 + percent) >= (F.col("n") + F.col("n_b")) * percent
+    return rare.join(other, "gram").filter(F.col("class") < F.col("class_b")).filter("root <> root_b").filter(
+        _close("n", "n_b", percent) & enough).select(F.col("class").alias("a"), F.col("class_b").alias("b"))
+
+
+def _grams(texts: DataFrame, size: int) -> DataFrame:
+    """(class, gram): the matrix entries of the rows."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in tk.groups(batches, "text"):
+            _, _, _, h, first = tk.words_of(batch, "text", tk.LOWER)
+            sets = [ngrams(h[a:b], size) for a, b in zip(first[:-1], first[1:])]
+            names = np.repeat(batch.column("class").to_numpy(), [len(s) for s in sets])
+            yield pa.RecordBatch.from_arrays([pa.array(names), tk.signed(np.concatenate([np.zeros(0, tk.U), *sets]))], ["class", "gram"])
+
+    return texts.select("class", "text").mapInArrow(run, "class long, gram long")
+
+
 def components_of(rows: DataFrame, size: int = 3, percent: int = 90) -> DataFrame:
     """(_doc, _tie, n, component) for every row of ``keyed``."""
     sets = stored(_sets(rows, size), "sets")
