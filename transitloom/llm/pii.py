@@ -268,7 +268,8 @@ def as_text(spans: str) -> Column:
 def redact(docs: DataFrame, model: Model, text: str = "text", length: str | None = "n_chars") -> DataFrame:
     """The rows with every span of the text replaced by its kind in brackets, and ``length`` brought up to date."""
     columns = docs.columns
-    marked = choose(find(docs.withColumn("_body", F.col(text)), (*columns, "_body"), text), model)
+    rows = docs.select(F.struct("*").alias("_row"), F.col(text).alias("_body"))
+    marked = choose(find(rows, ("_row", "_body"), "_body"), model)
     by_start = F.sort_array(F.transform("spans", lambda s: F.struct(s["start"].alias("start"), s["end"].alias("end"), s["kind"].alias("kind"))))
     names = F.array(*(F.lit(f"[{k.upper()}]") for k in KINDS))
     none = F.struct(F.lit(0).alias("at"), F.lit("").alias("out"))
@@ -284,5 +285,6 @@ def redact(docs: DataFrame, model: Model, text: str = "text", length: str | None
     out = marked.withColumn("_order", by_start).withColumn("_clean", clean)
     new = {text: F.col("_clean")}
     if length in columns:
-        new[length] = F.when(F.size("spans") > 0, F.char_length("_clean").cast(docs.schema[length].dataType)).otherwise(F.col(length))
-    return out.select(*(new[c].alias(c) if c in new else F.col(c) for c in columns))
+        was = F.col("_row")[length]
+        new[length] = F.when(F.size("spans") > 0, F.char_length("_clean").cast(docs.schema[length].dataType)).otherwise(was)
+    return out.select(*(new.get(c, F.col("_row")[c]).alias(c) for c in columns))
