@@ -186,6 +186,8 @@ def co_train(content: np.ndarray, page: np.ndarray, y: np.ndarray, pool_content:
                 sure = np.where(p >= SURE, p, 0) if good else np.where(1 - p >= SURE, 1 - p, 0)
                 take = np.argsort(-sure, kind="stable")[:most]
                 take = left[take[sure[take] > 0]]
+                if not len(take):
+                    continue
                 free[take] = False
                 other = taught[1 - v]
                 other[0] = np.concatenate([other[0], pools[1 - v][take]])
@@ -208,8 +210,9 @@ def train(found: DataFrame, labels: DataFrame, held_out: Column, doc_id: str = "
 
     def taken(which: Column, n: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         got = rows.filter(which).select("content", "page", "_y", order.alias("o")).distinct().orderBy("o", "_y").limit(n).collect()
-        return (np.array([r.content for r in got], dtype=float).reshape(len(got), len(TEXT)),
-                np.array([r.page for r in got], dtype=float).reshape(len(got), -1), np.array([float(r["_y"] or 0) for r in got]))
+        if not got:
+            return np.zeros((0, len(TEXT))), np.zeros((0, 1)), np.zeros(0)
+        return np.array([r.content for r in got], dtype=float), np.array([r.page for r in got], dtype=float), np.array([float(r["_y"] or 0) for r in got])
 
     content, page, y = taken(F.col("_y").isNotNull(), labelled)
     pool_content, pool_page, _ = taken(F.col("_y").isNull(), pool)
