@@ -15,7 +15,7 @@ def odd_rows() -> list[tuple]:
     texts = [
         (1, "plain words of a short text that nobody else has written"), (2, None), (3, ""), (4, " \t\n\x0b\f\r "), (None, "no id here " + PASSAGE),
         (5, PASSAGE), (5, PASSAGE), (5, "another text of the same id " + PASSAGE), (6, LONG), (7, "a " * 5000), (8, "ünïcödé ß 中文 😀 " * 5),
-        (9, PASSAGE.upper()), (10, PASSAGE + " tail"), (11, "x" * 70_000), (12, "<|endoftext|> +1 (555) 010-9999 a@b.co 1.2.3.4 4111 1111 1111 1111"),
+        (9, PASSAGE.upper()), (10, PASSAGE + " tail"), (11, "x" * 70_000), (12, "<|endoftext|> +1 (555) 010-9999 a@b.co 1.2.3.4 or 4111 1111 1111 1111"),
     ]
     return [(i, t, None if k % 3 else "en", None if k % 4 else "src", None if k % 5 else 7, "d", "t", "r", "s", k) for k, (i, t) in enumerate(texts)]
 
