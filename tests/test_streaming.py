@@ -12,6 +12,7 @@ from transitloom import testviews as tv
 from transitloom.plans import gold, silver
 from transitloom.sources import documents, landing
 from transitloom.streaming import positions as live
+from transitloom.streaming import state
 
 RAW = "p string, ta string, dt_ingestao timestamp, cl int, py double, px double, sl int, a boolean"
 
@@ -50,10 +51,13 @@ def signals(rng, start, n, ingest):
 def test_first_signal_is_the_batch_one_whatever_the_arrival_order(spark, tmp_path):
     rng = random.Random(5)
     feed = Feed(spark, tmp_path / "raw", RAW)
-    out, checkpoint = str(tmp_path / "out"), str(tmp_path / "checkpoint")
+    out, late, checkpoint = (str(tmp_path / n) for n in ("out", "late", "checkpoint"))
 
     def run():
-        live.append_to(live.fact_stream(feed.stream(), "1 hour"), out, checkpoint).awaitTermination()
+        live.keep_fact(feed.stream(), out, late, checkpoint).awaitTermination()
+        got = live.fact_so_far(spark, out)
+        want = silver.position_fact(feed.batch())
+        assert rows(got, want.columns) == rows(want)  # after every batch, open signals included
 
     start = datetime(2024, 1, 1, 12)
     first = signals(rng, start, 60, datetime(2024, 1, 1, 13))
@@ -62,15 +66,11 @@ def test_first_signal_is_the_batch_one_whatever_the_arrival_order(spark, tmp_pat
     feed.add(again[:40] + first[:10], run)  # later ingests arrive before the first ones
     feed.add(first[10:] + tied, run)
     feed.add(again[40:], run)
-    feed.add(signals(rng, start + timedelta(hours=5), 10, datetime(2024, 1, 1, 18)), run)  # moves the watermark
-    passed = datetime(2024, 1, 1, 12, 4, 30) + timedelta(hours=5) - timedelta(hours=1) - timedelta(hours=3)
-    want = silver.position_fact(feed.batch()).filter(F.col("data_hora_sp") <= F.lit(passed).cast("timestamp_ntz"))
-    got = spark.read.parquet(out)
-    assert got.count() == len({(r[0], r[1]) for r in first})
-    assert rows(got, want.columns) == rows(want)
-    # older than the watermark: dropped
-    feed.add(signals(rng, start - timedelta(hours=3), 5, datetime(2024, 1, 1, 19)), run)
-    assert spark.read.parquet(out).count() == got.count()
+    feed.add(signals(rng, start + timedelta(hours=30), 10, datetime(2024, 1, 1, 18)), run)
+    bad = [(str(i % 3), None if i % 2 else "soon", datetime(2024, 1, 1, 19), 1, 0.0, 0.0, 1, True) for i in range(8)]
+    feed.add(bad, run)  # no time, or none that parses
+    feed.add(signals(rng, start - timedelta(hours=3), 5, datetime(2024, 1, 1, 19)) + bad[:3], run)  # late
+    assert live.late_counts(spark, late).first()[:] == (70 + 60 + 20 + 8 + 5 + 3, 5, 11)
 
 
 @pytest.fixture
@@ -92,7 +92,7 @@ def test_snapshot_stream(spark, tmp_path, days):
     assert rows(got, fact.columns) == rows(gold.fleet_snapshot(fact))
 
 
-@pytest.mark.parametrize("width", [3600, gold.MEASURE])
+@pytest.mark.parametrize("width", [3600, gold.SLICE_SECONDS])
 def test_speed_stream(spark, tmp_path, days, width):
     fact, parts = days
     feed = Feed(spark, tmp_path / "fact", fact.schema)
@@ -131,18 +131,38 @@ def test_a_repeated_batch_writes_the_same_files(spark, tmp_path, days):
     assert (rows(live.all_batches(spark, speeds)), rows(live.latest_state(spark, state))) == before
 
 
-def test_windows(spark, tmp_path, days):
-    fact, _ = days
+def test_windows_are_those_of_the_batch_after_every_part(spark, tmp_path, days):
+    fact, parts = days
     speeds = gold.ping_speed(fact)
-    speeds.orderBy("data_hora_sp").write.parquet(str(tmp_path / "speeds"))
-    source = spark.readStream.schema(speeds.schema).parquet(str(tmp_path / "speeds"))
-    out = str(tmp_path / "windows")
-    live.append_to(live.speed_windows(source), out, str(tmp_path / "checkpoint")).awaitTermination()
-    newest = fact.agg(F.max("data_hora_sp")).first()[0]
-    want = live.speed_windows(speeds).filter(F.col("fim") <= F.lit(newest - timedelta(hours=1)))
-    got = spark.read.parquet(out)
+    data = [tuple(r) for r in speeds.orderBy("data_hora_sp").collect()]
+    feed = Feed(spark, tmp_path / "speeds", speeds.schema)
+    out, late = str(tmp_path / "windows"), str(tmp_path / "late")
     keys = ["inicio", "fim", "cod_linha", "pings", "pings_em_movimento", F.round("velocidade_media", 6)]
-    assert rows(got, keys) == rows(want, keys)
+
+    def run():
+        live.keep_windows(feed.stream(), out, late, str(tmp_path / "checkpoint")).awaitTermination()
+        assert rows(live.windows_so_far(spark, out), keys) == rows(live.speed_windows(feed.batch()), keys)
+
+    feed.add(data[200:], run)
+    feed.add(data[:200], run)
+    newest = data[-1][0] - timedelta(hours=1)
+    assert live.late_counts(spark, late).first()[:] == (len(data), sum(r[0] < newest for r in data[:200]), 0)
+
+
+def test_old_versions_go_and_another_stream_is_refused(spark, tmp_path, days):
+    fact, parts = days
+    feed = Feed(spark, tmp_path / "fact", fact.schema)
+    folder = str(tmp_path / "state")
+
+    def run(checkpoint="checkpoint"):
+        live.keep_snapshot(feed.stream(), folder, str(tmp_path / checkpoint)).awaitTermination()
+
+    for part in parts:
+        feed.add(part, run)
+    assert state.versions(spark, folder) == [3, 4]
+    with pytest.raises(Exception, match="state of another stream"):
+        run("another")
+    assert rows(live.latest_state(spark, folder), fact.columns) == rows(gold.fleet_snapshot(fact))
 
 
 def test_landed_documents_stream(spark, tmp_path, sf_dir):

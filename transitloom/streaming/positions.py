@@ -1,103 +1,179 @@
 """Position path as Structured Streaming.
 
-Each query gives what its batch form gives on the same rows. Signals later than the watermark are
-dropped by the de-duplication and the windows; pings older than the vehicle's stored one are skipped
-and counted by the speed query.
+Each query gives what its batch form gives on the same rows, after every micro-batch and with nothing left out:
+open signals and open windows are published and revised as more arrives, and rows without a time stay.
+Rows that come later than a stated delay are merged like any others and counted. The one exception is the
+speed of a ping older than the vehicle's stored one, which is skipped and counted.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
-from transitloom.functions.clock import LOCAL_ZONE, instant
+from transitloom.functions.clock import LOCAL_ZONE, instant, local_clock
+from transitloom.operators.ranking import first_per_key
 from transitloom.plans import gold
 from transitloom.plans.silver import clean_positions
+from transitloom.streaming import state
 
 _PING_STATE = ["data_hora_sp", "prefixo_veiculo", "cod_linha", "latitude", "longitude", "sentido_desc",
                "is_acessivel", "data_referencia"]
+_SIGNAL = ["p", "ta", "dt_ingestao", "cl", "py", "px", "sl", "a"]
+#: Files that a micro-batch reads, so that a backlog comes in bounded parts.
+FILES_PER_BATCH = 1000
 
 
-# -- append queries with bounded state ----------------------------------------------------------
+def stream_rows(spark: SparkSession, schema: T.StructType, path: str, files_per_batch: int = FILES_PER_BATCH) -> DataFrame:
+    """A folder of parquet files as a stream."""
+    return spark.readStream.schema(schema).option("maxFilesPerTrigger", files_per_batch).parquet(path)
 
-def first_signals(raw: DataFrame, delay: str = "1 hour") -> DataFrame:
-    """Earliest-ingested copy of each (vehicle, signal time), published once the watermark passes it.
 
-    The copies meet in a keyed minimum, so the survivor does not depend on which copy arrives first,
-    in which file or in which micro-batch. State holds only signals newer than the watermark.
-    """
-    order = ["dt_ingestao", "cl", "py", "px", "sl", "a"]
-    # null fields must sort last, as they do in the batch form
-    rank = F.struct(*[part for c in order for part in (F.col(c).isNull(), F.col(c))])
+def append_to(stream: DataFrame, path: str, checkpoint: str) -> StreamingQuery:
+    """Run a stream over everything available now, appending to a folder."""
     return (
-        raw.withColumn("signal", instant(F.col("ta")))
-        .withWatermark("signal", delay)
-        .groupBy("p", "ta", "signal")
-        .agg(F.min_by(F.struct(*order), rank).alias("first"))
-        .select("p", "ta", "first.*")
+        stream.writeStream.outputMode("append").format("parquet").option("path", path)
+        .option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
     )
 
 
-def fact_stream(raw: DataFrame, delay: str = "1 hour", zone: str = LOCAL_ZONE) -> DataFrame:
-    """Cleaned fact rows from a stream of raw positions."""
-    return clean_positions(first_signals(raw, delay), zone)
+def _each_batch(stream: DataFrame, step, checkpoint: str) -> StreamingQuery:
+    return (stream.writeStream.foreachBatch(step).option("checkpointLocation", checkpoint)
+            .trigger(availableNow=True).start())
+
+
+# -- late rows ------------------------------------------------------------------------------------
 
+_COUNTS = "rows bigint, late bigint, untimed bigint, newest timestamp"
 
-def speed_windows(speeds: DataFrame, width: str = "15 minutes", delay: str = "1 hour",
-                  low: float = gold.MIN_SPEED, high: float = gold.MAX_SPEED) -> DataFrame:
-    """Pings, moving pings and mean speed by line and tumbling window; works on batches too."""
+
+def _count_late(rows: DataFrame, time: str, folder: str, batch_id: int, delay: str) -> None:
+    """Rows of a batch, those older than the newest time of earlier batches less the delay, those without a time."""
+    spark = rows.sparkSession
+    seen = state.before(spark, folder, batch_id, _COUNTS).agg(F.max("newest").alias("seen"))
+    limit = F.col("seen") - F.expr(f"interval {delay}")
+    # one row of limits for one row of counts: kept apart from the rows themselves
+    counts = rows.agg(
+        F.count(F.lit(1)).alias("rows"), F.count_if(F.col(time) < seen.select(limit).scalar()).alias("late"),
+        F.count_if(F.col(time).isNull()).alias("untimed"), F.greatest(F.max(time), seen.scalar()).alias("newest"))
+    state.put(counts, folder, batch_id)
+
+
+def late_counts(spark: SparkSession, folder: str) -> DataFrame:
+    """Rows, late rows and rows without a time of all batches so far."""
+    return state.all_versions(spark, folder).agg(*(F.sum(c).alias(c) for c in ("rows", "late", "untimed")))
+
+
+# -- fact: the first copy of every signal, by day --------------------------------------------------
+#
+# A batch touches the days of its signals. It merges them with what those days held and writes them anew under its
+# own number; a day's newest version counts. Rows without a time are a day of their own.
+
+def keep_fact(raw: DataFrame, folder: str, late: str, checkpoint: str, delay: str = "1 hour",
+              zone: str = LOCAL_ZONE) -> StreamingQuery:
+    """Maintain the earliest-ingested copy of each (vehicle, signal time); read it with :func:`fact_so_far`."""
+    def merge(batch: DataFrame, batch_id: int) -> None:
+        spark = batch.sparkSession
+        state.start(spark, folder, batch_id)
+        rows = batch.select(*_SIGNAL, instant(F.col("ta")).alias("signal"))
+        _count_late(rows, "signal", late, batch_id, delay)
+        new = rows.withColumn("dia", F.to_date(local_clock(F.col("signal"), zone))).drop("signal")
+        touched = new.select(F.col("dia").alias("touched")).distinct()
+        known = _days(spark, folder, new.schema, batch_id)
+        if known is not None:
+            held = known.join(touched, F.col("dia").eqNullSafe(F.col("touched")), "left_semi")
+            new = new.unionByName(held)
+        first = first_per_key(new.select(*_SIGNAL, "dia"), ["p", "ta"], "dt_ingestao")
+        state.put(first.hint("rebalance", "dia"), folder, batch_id, by="dia")
+
+    return _each_batch(raw, merge, checkpoint)
+
+
+def _days(spark: SparkSession, folder: str, schema: T.StructType, below: int | None = None) -> DataFrame | None:
+    """The newest version of every day, of versions below a number."""
+    numbers = [n for n in state.versions(spark, folder) if below is None or n < below]
+    if not numbers:
+        return None
+    columns = schema.names
+    every = spark.read.schema(T.StructType([*schema.fields, T.StructField(state.VERSION, T.IntegerType())])).option(
+        "basePath", folder).parquet(*(f"{folder}/{state.VERSION}={n}" for n in numbers))
+    newest = every.groupBy("dia").agg(F.max(state.VERSION).alias("newest")).withColumnRenamed("dia", "of")
+    kept = every.join(newest, F.col("dia").eqNullSafe(F.col("of")) & (F.col(state.VERSION) == F.col("newest")), "left_semi")
+    return kept.select(*columns)
+
+
+def fact_so_far(spark: SparkSession, folder: str, zone: str = LOCAL_ZONE) -> DataFrame:
+    """Cleaned fact rows of all signals seen."""
+    schema = T.StructType.fromDDL(
+        "p string, ta string, dt_ingestao timestamp, cl int, py double, px double, sl int, a boolean, dia date")
+    return clean_positions(_days(spark, folder, schema), zone)
+
+
+# -- windows ---------------------------------------------------------------------------------------
+
+def window_parts(speeds: DataFrame, width: str = "15 minutes", low: float = gold.MIN_SPEED,
+                 high: float = gold.MAX_SPEED) -> DataFrame:
+    """Sums by line and tumbling window; sums of several parts add up."""
     moving = gold.is_plausible(F.col("velocidade_kmh"), low, high)
     return (
         speeds.withColumn("momento", F.col("data_hora_sp").cast("timestamp"))
-        .withWatermark("momento", delay)
         .groupBy(F.window("momento", width).alias("janela"), "cod_linha")
         .agg(
             F.count(F.lit(1)).alias("pings"),
             F.count_if(moving).alias("pings_em_movimento"),
-            F.avg(F.when(moving, F.col("velocidade_kmh"))).alias("velocidade_media"),
+            F.sum(F.when(moving, F.col("velocidade_kmh"))).alias("soma"),
         )
         .select(F.col("janela.start").alias("inicio"), F.col("janela.end").alias("fim"), "cod_linha",
-                "pings", "pings_em_movimento", "velocidade_media")
+                "pings", "pings_em_movimento", "soma")
     )
 
 
-def append_to(stream: DataFrame, path: str, checkpoint: str) -> StreamingQuery:
-    """Run a stream over everything available now, appending to a folder."""
-    return (
-        stream.writeStream.outputMode("append").format("parquet").option("path", path)
-        .option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
-    )
+def add_windows(parts: DataFrame) -> DataFrame:
+    """Pings, moving pings and mean speed by line and window."""
+    return parts.groupBy("inicio", "fim", "cod_linha").agg(
+        F.sum("pings").alias("pings"), F.sum("pings_em_movimento").alias("pings_em_movimento"), F.sum("soma").alias("soma"),
+    ).withColumn("velocidade_media", F.try_divide("soma", "pings_em_movimento")).drop("soma")
 
 
-# -- micro-batch queries over a versioned state folder -------------------------------------------
-#
-# The state after batch n is the folder lote=n. A batch reads version n-1 and overwrites version n,
-# so running a batch again after a failure gives the same files.
+def speed_windows(speeds: DataFrame, width: str = "15 minutes") -> DataFrame:
+    """The windows of a batch."""
+    return add_windows(window_parts(speeds, width))
 
-def _state_before(spark: SparkSession, folder: str, batch_id: int, schema) -> DataFrame:
-    if batch_id == 0:
-        return spark.createDataFrame([], schema)
-    return spark.read.schema(schema).parquet(f"{folder}/lote={batch_id - 1}")
 
+def keep_windows(speeds: DataFrame, folder: str, late: str, checkpoint: str, width: str = "15 minutes",
+                 delay: str = "1 hour") -> StreamingQuery:
+    """Add every batch's sums to the windows; read them with :func:`windows_so_far`, open ones included."""
+    def add(batch: DataFrame, batch_id: int) -> None:
+        state.start(batch.sparkSession, folder, batch_id)
+        timed = batch.withColumn("momento", F.col("data_hora_sp").cast("timestamp"))
+        _count_late(timed, "momento", late, batch_id, delay)
+        state.put(window_parts(batch, width), folder, batch_id)
 
-def _put(df: DataFrame, folder: str, batch_id: int) -> None:
-    df.write.mode("overwrite").parquet(f"{folder}/lote={batch_id}")
+    return _each_batch(speeds, add, checkpoint)
 
 
-def keep_snapshot(fact: DataFrame, state: str, checkpoint: str) -> StreamingQuery:
-    """Maintain the last ping of every vehicle under ``state``; read it with :func:`latest_state`."""
+def windows_so_far(spark: SparkSession, folder: str) -> DataFrame:
+    return add_windows(state.all_versions(spark, folder))
+
+
+# -- snapshot and speeds ---------------------------------------------------------------------------
+
+def keep_snapshot(fact: DataFrame, folder: str, checkpoint: str) -> StreamingQuery:
+    """Maintain the last ping of every vehicle; read it with :func:`latest_state`."""
     def merge(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
+        state.start(spark, folder, batch_id)
         rows = batch.select(*_PING_STATE)
-        known = _state_before(spark, state, batch_id, rows.schema)
-        _put(gold.fleet_snapshot(known.unionByName(rows)), state, batch_id)
+        known = state.before(spark, folder, batch_id, rows.schema)
+        state.put(gold.fleet_snapshot(known.unionByName(rows)), folder, batch_id)
+        state.expire(spark, folder, batch_id)
 
-    return (fact.writeStream.foreachBatch(merge).option("checkpointLocation", checkpoint)
-            .trigger(availableNow=True).start())
+    return _each_batch(fact, merge, checkpoint)
 
 
-def keep_speeds(fact: DataFrame, speeds: str, late: str, state: str, checkpoint: str,
+def keep_speeds(fact: DataFrame, speeds: str, late: str, folder: str, checkpoint: str,
                 slice_seconds: int = gold.SLICE_SECONDS) -> StreamingQuery:
     """Speed of every ping as it arrives, against the vehicle's last one from earlier batches.
 
@@ -107,32 +183,24 @@ def keep_speeds(fact: DataFrame, speeds: str, late: str, state: str, checkpoint:
     """
     def advance(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
+        state.start(spark, folder, batch_id)
         rows = batch.select(*_PING_STATE)
-        known = _state_before(spark, state, batch_id, rows.schema)
+        known = state.before(spark, folder, batch_id, rows.schema)
         last = known.select("prefixo_veiculo", F.col("data_hora_sp").alias("stored"))
         marked = rows.join(last, "prefixo_veiculo", "left").withColumn(
             "late", F.coalesce(F.col("data_hora_sp") <= F.col("stored"), F.lit(False))
         ).drop("stored").select(*_PING_STATE, "late").persist()
         try:
             fresh = marked.filter(~F.col("late")).drop("late")
-            _put(gold.ping_speed(fresh, slice_seconds, carried=known), speeds, batch_id)
-            _put(marked.agg(F.count(F.lit(1)).alias("pings"), F.count_if("late").alias("late_pings")),
-                 late, batch_id)
-            _put(gold.fleet_snapshot(known.unionByName(fresh)), state, batch_id)
+            state.put(gold.ping_speed(fresh, slice_seconds, carried=known), speeds, batch_id)
+            state.put(marked.agg(F.count(F.lit(1)).alias("pings"), F.count_if("late").alias("late_pings")), late, batch_id)
+            state.put(gold.fleet_snapshot(known.unionByName(fresh)), folder, batch_id)
+            state.expire(spark, folder, batch_id)
         finally:
             marked.unpersist()
 
-    return (fact.writeStream.foreachBatch(advance).option("checkpointLocation", checkpoint)
-            .trigger(availableNow=True).start())
-
-
-def latest_state(spark: SparkSession, state: str) -> DataFrame:
-    """The newest version of a state folder."""
-    versions = spark.read.option("basePath", state).parquet(f"{state}/lote=*")
-    newest = versions.agg(F.max("lote")).first()[0]
-    return spark.read.parquet(f"{state}/lote={newest}")
+    return _each_batch(fact, advance, checkpoint)
 
 
-def all_batches(spark: SparkSession, folder: str) -> DataFrame:
-    """Rows of every batch written so far."""
-    return spark.read.parquet(folder).drop("lote")
+latest_state = state.latest
+all_batches = state.all_versions
