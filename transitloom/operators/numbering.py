@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 # Keys are 32-bit integers and distinct, so a block of 2**16 consecutive values holds at most 2**16
@@ -54,8 +54,3 @@ def request_grid(spark: SparkSession, terms: int = 9, directions: int = 2) -> Da
         .withColumn("direction", F.explode(F.sequence(F.lit(1), F.lit(directions))))
     )
 
-
-def spread_terms(df: DataFrame, text: Column, terms: int = 9) -> DataFrame:
-    """One row per search term (1 to ``terms``) found in ``text``; rows without a hit vanish."""
-    hits = F.filter(F.sequence(F.lit(1), F.lit(terms)), lambda t: F.contains(text, t.cast("string")))
-    return df.withColumn("term", F.explode(hits))

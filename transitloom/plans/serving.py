@@ -2,17 +2,18 @@
 
 from __future__ import annotations
 
-import re
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from py4j.protocol import Py4JJavaError
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from transitloom.functions import text
 
 # fixed value: route length in km when there is no static profile at all
 DEFAULT_LENGTH_KM = 15.0
+PROMPTS_PER_BLOCK = 256
+_IGNORE_CASE = "(?iu)"  # accented letters too
 FULL, PARTIAL, NONE = "full", "partial", "none"
 
 
@@ -141,34 +142,34 @@ def operations_table(day: DataFrame) -> DataFrame:
     ).orderBy(F.col("velocidade_media").asc_nulls_last(), "Rota")
 
 
-def arrival_answers(day: DataFrame, prompts: Sequence[str], literal: bool = False) -> DataFrame:
+def arrival_answers(day: DataFrame, prompts: DataFrame | Sequence[str], literal: bool = False) -> DataFrame:
     """For each prompt the first matching route and the minutes to cover 1 and 5 km.
 
-    A prompt is a case-insensitive regular expression looked for anywhere in the label (plain text
-    with ``literal``). Matches are ranked by label, line and direction. Outcomes: ``ok``, ``no line``,
-    ``no speed``. The rows are read once: each is sent only to the prompts it matches and the best
-    one per prompt is kept on the map side, so there is no join between prompts and rows.
+    ``prompts`` has a column ``prompt``, or is a list. A prompt is a case-insensitive regular expression looked
+    for anywhere in the label (plain text with ``literal``). Matches are ranked by label, line and direction.
+    Outcomes: ``ok``, ``no line``, ``no speed``. Prompts are gathered in blocks of about PROMPTS_PER_BLOCK; each row meets
+    each block once and leaves with the prompts that it matches, so the plan is the same for any number of them.
     """
-    prompts = list(dict.fromkeys(prompts))
-    asked = day.sparkSession.createDataFrame(
-        list(enumerate(prompts)), T.StructType.fromDDL("number int, prompt string")
-    )
+    if not isinstance(prompts, DataFrame):
+        if not literal:
+            _check_patterns(day.sparkSession, prompts)
+        prompts = day.sparkSession.createDataFrame([(p,) for p in prompts], "prompt string")
+    asked = prompts.select("prompt").filter(F.col("prompt").isNotNull()).distinct()
+    blocks = F.greatest(asked.agg(F.ceil(F.count(F.lit(1)) / PROMPTS_PER_BLOCK).cast("int")).scalar(), F.lit(1))
+    gathered = asked.groupBy(F.pmod(F.xxhash64("prompt"), blocks).cast("int").alias("block")).agg(
+        F.collect_list("prompt").alias("prompts"))
     label = F.col("Rota")
-    tests = [_matches(label, p, literal) for p in prompts]
-    hits = F.array_compact(F.array(*[F.when(t, F.lit(i)) for i, t in enumerate(tests)])) \
-        if tests else F.array().cast("array<int>")
+    met = day.withColumn("block", F.explode(F.sequence(F.lit(0), blocks - 1))).join(gathered, "block")
+    hits = F.filter("prompts", lambda p: _matches(label, p, literal))
     rank = F.struct(label, F.col("cod_linha"), F.col("sentido_desc"))
     answer = F.struct("Rota", "Qtd_Veiculos", "velocidade_media")
-    best = (
-        day.withColumn("number", F.explode(hits)).groupBy("number")
-        .agg(F.min_by(answer, rank).alias("found"))
-    )
+    best = met.withColumn("prompt", F.explode(hits)).groupBy("prompt").agg(F.min_by(answer, rank).alias("found"))
     speed = F.col("velocidade_media")
 
     def minutes(km: int) -> Column:
         return F.when(speed > 0, F.try_divide(F.lit(km), speed) * 60).cast("int")
 
-    return asked.join(best, "number", "left").select("number", "prompt", "found.*").select(
+    return asked.join(best, "prompt", "left").select("prompt", "found.*").select(
         "prompt",
         "Rota",
         F.col("Qtd_Veiculos").alias("frota"),
@@ -180,11 +181,16 @@ def arrival_answers(day: DataFrame, prompts: Sequence[str], literal: bool = Fals
     )
 
 
-def _matches(label: Column, prompt: str, literal: bool) -> Column:
+def _check_patterns(spark: SparkSession, prompts: Sequence[str]) -> None:
+    """Compile the patterns where they will run."""
+    for prompt in prompts:
+        try:
+            spark._jvm.java.util.regex.Pattern.compile(_IGNORE_CASE + prompt)
+        except Py4JJavaError as error:
+            raise ValueError(f"prompt {prompt!r} is not a regular expression: {error.java_exception.getMessage()}") from error
+
+
+def _matches(label: Column, prompt: Column, literal: bool) -> Column:
     if literal:
-        return F.contains(F.lower(label), F.lower(F.lit(prompt)))
-    try:
-        re.compile(prompt)
-    except re.error as error:
-        raise ValueError(f"prompt {prompt!r} is not a regular expression: {error}") from error
-    return label.rlike(f"(?i){prompt}")
+        return F.contains(F.lower(label), F.lower(prompt))
+    return F.regexp_like(label, F.concat(F.lit(_IGNORE_CASE), prompt))

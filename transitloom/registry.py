@@ -25,7 +25,7 @@ QUERIES: dict[str, Query] = {}
 ORACLES: dict[str, str] = {}
 
 RUN = datetime(2024, 2, 1, 6, 30, 0)
-PROMPTS = ("101", "asia nation_1[0-9]", "-3 |", "zzz")
+PROMPTS = ("101", "asia nation_1[0-9]", "-3 |", "zzz", "são asia")
 
 
 def query(oracle: str | None = None):
@@ -65,22 +65,32 @@ def _raw_positions(spark, sf):
     return tv.view(spark, sf, "raw_pings").withColumn("ta", tv.iso("signal_ts"))
 
 
-def _dashboard(spark, sf, **options):
-    """The dashboard reads stored measures: write them once, speeds day by day, and read one day."""
-    root = shared_folder(spark, "gold")
-    fact = _fact(spark, sf)
+_GOLD: dict[tuple[str, str], tuple[DataFrame, DataFrame, DataFrame]] = {}
+
+
+def _gold(spark, sf) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Speeds by day, snapshot and profile, built once for a session and its data."""
+    key = spark.sparkContext.applicationId, sf
+    if key not in _GOLD:
+        root, fact = shared_folder(spark, "gold"), _fact(spark, sf)
+
+        def stored(name: str, measure: DataFrame, by: str | None = None) -> DataFrame:
+            writer = tables.balanced(measure, by).write
+            (writer.partitionBy(by) if by else writer).parquet(f"{root}/{name}")
+            return spark.read.schema(measure.schema).parquet(f"{root}/{name}")
+
+        _GOLD[key] = tuple(side_by_side(
+            spark,
+            lambda: stored("velocidade_linhas", gold.line_speed(fact, _lines(spark, sf)), "data_referencia"),
+            lambda: stored("snapshot_frota_atual", gold.fleet_snapshot(fact)),
+            lambda: stored("perfil_rota_estatico", _profile(spark, sf)),
+        ))
+    return _GOLD[key]
 
-    def stored(name: str, measure: DataFrame, by: str | None = None) -> DataFrame:
-        writer = tables.balanced(measure, by).write
-        (writer.partitionBy(by) if by else writer).parquet(f"{root}/{name}")
-        return spark.read.schema(measure.schema).parquet(f"{root}/{name}")
 
-    return serving.dashboard_day(*side_by_side(
-        spark,
-        lambda: stored("velocidade_linhas", gold.line_speed(fact, _lines(spark, sf)), "data_referencia"),
-        lambda: stored("snapshot_frota_atual", gold.fleet_snapshot(fact)),
-        lambda: stored("perfil_rota_estatico", _profile(spark, sf)),
-    ), **options)
+def _dashboard(spark, sf, **options):
+    """The dashboard reads stored measures, and of the speeds one day."""
+    return serving.dashboard_day(*_gold(spark, sf), **options)
 
 
 # -- gold ---------------------------------------------------------------------------------------
@@ -192,11 +202,23 @@ def fact_partition_day(spark, sf):
     return day.withColumn("data_referencia", _day())
 
 
-@query("""select count(*) as rows, count(*) filter (where prefixo_veiculo is null) as without_vehicle,
+def _bad_raw(spark, sf):
+    raw = tv.view(spark, sf, "raw_bad")
+    return raw.withColumn("ta", F.coalesce("odd_time", tv.iso("signal_ts")))
+
+
+_FACT_BAD = """select signal_ts - interval '3' hour as data_hora_sp, try_cast(p as int) as prefixo_veiculo,
+    cl as cod_linha, py as latitude, px as longitude, case when sl = 1 then 'Ida' else 'Volta' end as sentido_desc,
+    a as is_acessivel, cast(cast(signal_ts - interval '3' hour as date) as varchar) as data_referencia
+    from {raw_bad} qualify row_number() over (partition by p, coalesce(odd_time, cast(signal_ts as varchar))
+      order by dt_ingestao, cl nulls last, py nulls last, px nulls last, sl nulls last, a nulls last) = 1"""
+
+
+@query(f"""select count(*) as rows, count(*) filter (where prefixo_veiculo is null) as without_vehicle,
     count(*) filter (where data_hora_sp is null) as without_time,
-    count(*) filter (where latitude is null or longitude is null) as without_place from {fact}""")
+    count(*) filter (where latitude is null or longitude is null) as without_place from ({_FACT_BAD})""")
 def fact_quality(spark, sf):
-    return silver.fact_quality(_fact(spark, sf))
+    return silver.fact_quality(silver.position_fact(_bad_raw(spark, sf)))
 
 
 @query("""select cod_linha, is_circular, letreiro_completo, nome_api_tp_ts, nome_api_ts_tp, sentido_api,
@@ -306,6 +328,18 @@ def arrival_answers(spark, sf):
         "velocidade_media", _rounded("velocidade_media"))
 
 
+@query("""select q.prompt, "Rota", case when "Rota" is null then 'no line' when velocidade_media > 0 then 'ok' else 'no speed' end as outcome
+    from (values ('nation_1'), ('asia')) q(prompt) left join (
+      select prompt, "Rota", case when cod_linha % 2 = 1 then velocidade_media end as velocidade_media
+      from {painel} join (values ('nation_1'), ('asia')) x(prompt) on contains(lower("Rota"), prompt)
+      qualify row_number() over (partition by prompt order by "Rota", cod_linha, sentido_desc) = 1) f using (prompt)""")
+def arrival_answers_no_speed(spark, sf):
+    day = _dashboard(spark, sf)
+    slow = day.withColumn("velocidade_media", F.when(F.col("cod_linha") % 2 == 1, F.col("velocidade_media")))
+    prompts = spark.createDataFrame([("nation_1",), ("asia",)], "prompt string")
+    return serving.arrival_answers(slow, prompts).select("prompt", "Rota", "outcome")
+
+
 @query(_answers_sql("""contains(lower("Rota"), lower(prompt))"""))
 def arrival_answers_literal(spark, sf):
     return serving.arrival_answers(_dashboard(spark, sf), PROMPTS, literal=True).withColumn(
@@ -571,23 +605,42 @@ def stream_positions(spark, sf):
     return spark.read.schema(rows.schema).parquet(out).drop("arquivo_origem")
 
 
-# published: signals the watermark (newest signal less one hour) has passed
-@query(f"""select * from ({_FACT_CLEAN}) where data_hora_sp <= (
-    select max(signal_ts) - interval '3' hour - interval '1' hour from {{raw_pings}})""")
+def _streamed_signals(spark, sf, raw: DataFrame) -> tuple[str, str]:
+    """Folders of the fact and of the late counts, after a first run and a second with the repeated signals."""
+    landed, folder, late, checkpoint = (shared_folder(spark, n) for n in ("raw", "fact", "late", "checkpoint"))
+    columns = raw.select("p", "ta", "dt_ingestao", "cl", "py", "px", "sl", "a")
+    columns = columns.withColumn("dt_ingestao", F.col("dt_ingestao").cast("timestamp"))
+    for run in (1, 2):
+        columns.where(raw["run"] == run).write.mode("append").parquet(landed)
+        _finish(live.keep_fact(live.stream_rows(spark, columns.schema, landed), folder, late, checkpoint))
+    return folder, late
+
+
+@query(_FACT_CLEAN)
 def stream_dedup(spark, sf):
-    landed, out = shared_folder(spark, "raw"), shared_folder(spark, "fact")
-    raw = _raw_positions(spark, sf).drop("signal_ts", "event_id", "run")
-    raw.write.parquet(landed)
-    rows = live.fact_stream(spark.readStream.schema(raw.schema).parquet(landed))
-    _finish(live.append_to(rows, out, shared_folder(spark, "checkpoint")))
-    return spark.read.schema(rows.schema).parquet(out).withColumn("data_referencia", _day())
+    folder, _ = _streamed_signals(spark, sf, _raw_positions(spark, sf))
+    return live.fact_so_far(spark, folder).withColumn("data_referencia", _day())
+
+
+@query(_FACT_BAD)
+def stream_dedup_bad_times(spark, sf):
+    folder, _ = _streamed_signals(spark, sf, _bad_raw(spark, sf))
+    return live.fact_so_far(spark, folder).withColumn("data_referencia", _day())
+
+
+@query("""select count(*) as rows, count(*) filter (where run = 2 and signal_ts < (
+      select max(signal_ts) - interval '1' hour from {raw_bad} where run = 1)) as late,
+    count(*) filter (where signal_ts is null) as untimed from {raw_bad}""")
+def stream_late_counts(spark, sf):
+    _, late = _streamed_signals(spark, sf, _bad_raw(spark, sf))
+    return live.late_counts(spark, late)
 
 
 def _streamed_fact(spark, sf) -> DataFrame:
     landed = shared_folder(spark, "fact")
     fact = _fact(spark, sf)
     fact.write.parquet(landed)
-    return spark.readStream.schema(fact.schema).parquet(landed)
+    return live.stream_rows(spark, fact.schema, landed)
 
 
 @query("""select data_hora_sp, prefixo_veiculo, cod_linha, latitude, longitude, sentido_desc, is_acessivel,
@@ -616,13 +669,12 @@ def stream_speed(spark, sf):
     time_bucket(interval '15 minutes', data_hora_sp) + interval '15 minutes' as fim, cod_linha, count(*) as pings,
     count(*) filter (where velocidade_kmh > 5 and velocidade_kmh < 110) as pings_em_movimento,
     round(avg(velocidade_kmh) filter (where velocidade_kmh > 5 and velocidade_kmh < 110) + 1e-9, 6) as velocidade_media
-    from {ping_speed} group by 1, 2, 3
-    having fim <= (select max(data_hora_sp) - interval '1 hour' from {ping_speed})""")
+    from {ping_speed} group by 1, 2, 3""")
 def stream_window15(spark, sf):
     speeds, out = _streamed_speeds(spark, sf), shared_folder(spark, "windows")
     schema = live.all_batches(spark, speeds).schema
-    source = spark.readStream.schema(schema).parquet(f"{speeds}/lote=*")
-    _finish(live.append_to(live.speed_windows(source), out, shared_folder(spark, "checkpoint")))
-    return spark.read.parquet(out).select(
+    source = live.stream_rows(spark, schema, f"{speeds}/lote=*")
+    _finish(live.keep_windows(source, out, shared_folder(spark, "late"), shared_folder(spark, "checkpoint")))
+    return live.windows_so_far(spark, out).select(
         F.col("inicio").cast("timestamp_ntz").alias("inicio"), F.col("fim").cast("timestamp_ntz").alias("fim"),
         "cod_linha", "pings", "pings_em_movimento", _rounded("velocidade_media"))

@@ -11,7 +11,6 @@ import re
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from transitloom.operators.numbering import spread_terms
 
 TABLES = {
     "region": "r_regionkey int, r_name string",
@@ -41,6 +40,13 @@ VIEWS = {
         select event_id, 2, cast(user_id as string), cast(event_id % 27 as int), 2, false, ts,
           cast(-23.0 as double), cast(-46.0 as double), ts + interval '30' minute
         from {events} where event_id % 10 = 0""",
+    # The same with ids that are no numbers, times missing or unreadable, and places missing.
+    "raw_bad": """
+        select event_id, run, case when event_id % 31 = 0 then 'x' || p else p end as p, cl, sl, a,
+          case when event_id % 50 < 2 then null else signal_ts end as signal_ts,
+          case when event_id % 50 = 1 then 'soon' end as odd_time,
+          case when event_id % 41 = 0 then null else py end as py, px, dt_ingestao
+        from {raw_pings}""",
     # Cleaned fact, no shift of the clock. Some lines are not in the dimension.
     "fact": """
         select ts as data_hora_sp, cast(user_id as int) as prefixo_veiculo,
@@ -62,12 +68,12 @@ VIEWS = {
     # Some signs missing, some twice.
     "gtfs_routes": """
         select cast(1000 + s_suppkey as string) || '-' || cast(s_nationkey as string) as route_short_name,
-          r_name || ' ' || n_name as route_long_name
+          case when s_suppkey % 4 = 0 then 'SÃO ' else '' end || r_name || ' ' || n_name as route_long_name
         from {supplier} join {nation} on s_nationkey = n_nationkey
           join {region} on n_regionkey = r_regionkey where s_suppkey % 5 <> 4
         union all
         select cast(1000 + s_suppkey as string) || '-' || cast(s_nationkey as string),
-          r_name || ' ' || n_name || ' alt'
+          case when s_suppkey % 4 = 0 then 'SÃO ' else '' end || r_name || ' ' || n_name || ' alt'
         from {supplier} join {nation} on s_nationkey = n_nationkey
           join {region} on n_regionkey = r_regionkey where s_suppkey % 5 <> 4 and s_suppkey % 3 = 0""",
     # Two runs, the area differs between them.
@@ -124,7 +130,13 @@ def view(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     sql = VIEWS[name]
     for duck, ours in _SPARK_SPELLING.items():
         sql = sql.replace(duck, ours)
-    return spark.sql(sql, **{t: table(spark, sf_dir, t) for t in _names_in(sql)})
+    return spark.sql(sql, **{t: (table if t in TABLES else view)(spark, sf_dir, t) for t in _names_in(sql)})
+
+
+def spread_terms(df: DataFrame, text: Column, terms: int = 9) -> DataFrame:
+    """One row per search term (1 to ``terms``) found in ``text``; rows without a hit vanish."""
+    hits = F.filter(F.sequence(F.lit(1), F.lit(terms)), lambda t: F.contains(text, t.cast("string")))
+    return df.withColumn("term", F.explode(hits))
 
 
 def oracle(sql: str) -> str:
@@ -156,21 +168,19 @@ ORACLE_PLANS = {
         left join (
           select route_short_name as letreiro_gtfs, min(route_long_name) as nome_rota_oficial
           from {gtfs_routes} group by 1) r on l.letreiro_completo = r.letreiro_gtfs""",
+    # Distance by the chord between two points of the unit sphere, not by the formula of the library.
+    "ping_points": """
+        select *, cos(radians(latitude)) * cos(radians(longitude)) as ux, cos(radians(latitude)) * sin(radians(longitude)) as uy,
+          sin(radians(latitude)) as uz from {fact}""",
     "ping_speed": """
-        select *, round(dist_km / nullif(tempo_horas, 0), 1) as velocidade_kmh from (
-          select *, round(6371 * 2 * atan2(sqrt(arc), sqrt(1 - arc)), 4) as dist_km,
-            (epoch(date_trunc('second', data_hora_sp)) - epoch(date_trunc('second', time_prev))) / 3600
-              as tempo_horas
-          from (
-            select *, pow(sin(radians(latitude - lat_prev) / 2), 2)
-              + cos(radians(lat_prev)) * cos(radians(latitude)) * pow(sin(radians(longitude - lon_prev) / 2), 2)
-              as arc
-            from (
-              select data_hora_sp, prefixo_veiculo, cod_linha, latitude, longitude, sentido_desc,
-                data_referencia, lag(latitude) over w as lat_prev, lag(longitude) over w as lon_prev,
-                lag(data_hora_sp) over w as time_prev
-              from {fact} window w as (partition by prefixo_veiculo order by data_hora_sp))
-            where lat_prev is not null))""",
+        select data_hora_sp, prefixo_veiculo, cod_linha, latitude, longitude, sentido_desc, data_referencia,
+          prev.latitude as lat_prev, prev.longitude as lon_prev, prev.data_hora_sp as time_prev, dist_km, tempo_horas,
+          round(dist_km / nullif(tempo_horas, 0), 1) as velocidade_kmh
+        from (
+          select *, round(2 * 6371 * asin(least(1, sqrt((ux - prev.ux) ** 2 + (uy - prev.uy) ** 2 + (uz - prev.uz) ** 2) / 2)), 4) as dist_km,
+            date_diff('second', date_trunc('second', prev.data_hora_sp), date_trunc('second', data_hora_sp)) / 3600 as tempo_horas
+          from (select p.*, lag(p) over (partition by prefixo_veiculo order by data_hora_sp) as prev from {ping_points} p)
+          where prev.latitude is not null)""",
     "velocidade": """
         select k.*, d.* exclude (cod_linha) from (
           select cod_linha, sentido_desc, data_referencia, avg(velocidade_kmh) as velocidade_media,
@@ -187,14 +197,14 @@ ORACLE_PLANS = {
     "snapshot": """
         select * from {fact}
         qualify row_number() over (partition by prefixo_veiculo order by data_hora_sp desc) = 1""",
+    "shape_points": """
+        select shape_id, shape_pt_sequence as place, cos(radians(shape_pt_lat)) * cos(radians(shape_pt_lon)) as ux,
+          cos(radians(shape_pt_lat)) * sin(radians(shape_pt_lon)) as uy, sin(radians(shape_pt_lat)) as uz from {shapes}""",
     "comprimento": """
-        select shape_id, cast(sum(2 * 6371 * asin(sqrt(arc))) as decimal(10, 2)) as extensao_km from (
-          select shape_id, pow(sin((radians(lat2) - radians(lat1)) / 2), 2)
-            + cos(radians(lat1)) * cos(radians(lat2)) * pow(sin((radians(lon2) - radians(lon1)) / 2), 2) as arc
-          from (select shape_id, shape_pt_lat as lat1, shape_pt_lon as lon1,
-                  lead(shape_pt_lat) over w as lat2, lead(shape_pt_lon) over w as lon2
-                from {shapes} window w as (partition by shape_id order by shape_pt_sequence))
-          where lat2 is not null) group by shape_id""",
+        select a.shape_id, cast(sum(2 * 6371 * asin(least(1, sqrt((a.ux - b.ux) ** 2 + (a.uy - b.uy) ** 2 + (a.uz - b.uz) ** 2) / 2)))
+            as decimal(10, 2)) as extensao_km
+        from {shape_points} a join {shape_points} b on a.shape_id = b.shape_id and b.place = a.place + 1
+        group by a.shape_id""",
     "perfil": """
         select route_id as letreiro_gtfs,
           round(cast(sum(extensao_km) as double) / count(*), 6) as extensao_km,
