@@ -33,7 +33,7 @@ from transitloom.llm.rows import small_batches
 #: How byte-level tokenizers cut a text (fixed value).
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 #: Entries that a table of words or transitions holds before its older half is dropped.
-TABLE_ENTRIES = 300_000
+TABLE_ENTRIES = 100_000
 _NEVER = 1 << 30
 
 
@@ -53,9 +53,7 @@ class Automaton:
         if model["type"] != "BPE" or pre["type"] != "ByteLevel" or pre["add_prefix_space"] or data["normalizer"]:
             raise ValueError("a byte-level BPE file without prefix space or normalizer is needed")
         self.added = {t["content"]: t["id"] for t in data["added_tokens"]}
-        letter = byte_letters()
-        self.label = {i: bytes(letter[c] for c in t) for t, i in model["vocab"].items()}
-        self.label.update((i, t.encode()) for t, i in self.added.items())
+        self.label = labels(spec)
         ids = model["vocab"]
         self.gadget: dict[tuple[int, int], int] = {}  # the pair of pieces that a merge joins -> its rank
         # pieces at the right edge after a token, and at the left edge of an arc: (piece, first rank, last rank)
@@ -63,7 +61,7 @@ class Automaton:
         self.left: dict[int, tuple] = {}
         self.next: dict[int, int] = {}  # (node, byte) -> node, over the arcs' labels
         self.token: list[int] = [-1]  # the arc that ends at a node
-        for c in letter:
+        for c in byte_letters():
             self._arc(ids[c], ((ids[c], -1, _NEVER),), ((ids[c], -1, _NEVER),))
         for rank, pair in enumerate(model["merges"]):
             a, b = pair if isinstance(pair, list) else pair.split(" ")
@@ -86,10 +84,7 @@ class Automaton:
         self.gadget[a, b] = rank
         if reachable:
             # both edges of ab: its outermost part up to this rank, itself from now on
-            self._arc(
-                ab, ((ab, rank, _NEVER), *((p, f, min(t, rank)) for p, f, t in self.right[b])),
-                ((ab, rank, _NEVER), *((p, f, min(t, rank)) for p, f, t in self.left[a])),
-            )
+            self._arc(ab, _edge(ab, rank, self.right[b]), _edge(ab, rank, self.left[a]))
 
     def _joined(self, u: int, v: int, before: int = _NEVER) -> bool:
         """Whether some merge joins two pieces across the border of u and v, both standing there at its rank.
@@ -105,6 +100,19 @@ class Automaton:
         return False
 
 
+def _edge(token: int, rank: int, part: tuple) -> tuple:
+    """An edge of a merged token: itself from its rank on, its outer part up to then."""
+    piece, first, _ = part[0]
+    return ((token, rank, _NEVER), (piece, first, rank), *part[1:])
+
+
+def labels(spec: str) -> dict[int, bytes]:
+    """The bytes of every arc and added token."""
+    data, letter = json.loads(spec), byte_letters()
+    found = {i: bytes(letter[c] for c in t) for t, i in data["model"]["vocab"].items()}
+    return found | {t["id"]: t["content"].encode() for t in data["added_tokens"]}
+
+
 class Encoder:
     """An automaton with its tables of transitions and words."""
 
@@ -119,7 +127,7 @@ class Encoder:
         a, data = self.automaton, word.encode()
         n = len(data)
         follow, token, allowed = a.next, a.token, self.allowed
-        if len(allowed) > 4 * TABLE_ENTRIES:
+        if len(allowed) > 3 * TABLE_ENTRIES:
             allowed.clear()
         last: list[int] = [-1] * (n + 1)  # the arc by which the accepted path of a prefix ends
         begin = [0] * (n + 1)
@@ -221,11 +229,11 @@ def decode(coded: DataFrame, path: str, ids: str = "ids", text: str = "text") ->
     spec = coded.sparkSession.sparkContext.broadcast(read_spec(path))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        labels = None
+        table = None
         for whole in batches:
-            labels = labels or _Labels(_encoder(spec.value).automaton.label)
+            table = table or _Labels(labels(spec.value))
             for batch in _by_ids(whole):
-                yield pa.RecordBatch.from_arrays([*batch.columns[:-1], labels.texts(batch.columns[-1])], names)
+                yield pa.RecordBatch.from_arrays([*batch.columns[:-1], table.texts(batch.columns[-1])], names)
 
     rest = coded.drop(ids)
     names = [*rest.columns, text]

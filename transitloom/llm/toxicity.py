@@ -37,8 +37,10 @@ PER_CLASS = (800, 1600)
 #: Contexts in toxic documents that a seed needs, and its highest chance of being one by accident.
 SEED_CONTEXTS, SEED_CHANCE = 5, 1e-3
 EPOCHS = 40
+#: Occurrences in the sample that a feature needs: of the word itself, and of a form beside it.
+RARE, BESIDE = 3, 10
 #: Distinct word forms that a task remembers.
-TABLE_ENTRIES = 400_000
+TABLE_ENTRIES = 200_000
 _EDGE = re.compile(r"^[\W\d_]+|[\W\d_]+$")
 
 
@@ -92,15 +94,15 @@ class Field:
 
     def marginals(self, e: np.ndarray, start: float, moves: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Marginals, and the forward and backward ratios of the two states."""
-        E, M = np.exp(np.clip(e, -30, 30)), np.exp(moves)
-        r, q = np.empty(self.n), np.empty(self.n)
+        E, M = np.exp(np.clip(e, -20, 20), dtype=np.float32), np.exp(moves).astype(np.float32)
+        r, q = np.empty(self.n, np.float32), np.empty(self.n, np.float32)
         for t, k in enumerate(self.active):
             at = self.starts[:k] + t
             if t == 0:
                 r[at] = math.exp(start) * E[at]
             else:
                 p = r[at - 1]
-                r[at] = np.minimum(E[at] * (M[0, 1] + p * M[1, 1]) / (M[0, 0] + p * M[1, 0]), 1e150)
+                r[at] = np.minimum(E[at] * (M[0, 1] + p * M[1, 1]) / (M[0, 0] + p * M[1, 0]), np.float32(1e15))
         if self.n:
             q[self.starts + self.length - 1] = 1.0
         for t in range(len(self.active) - 1, 0, -1):
@@ -113,10 +115,11 @@ class Field:
     def steps(self, e: np.ndarray, moves: np.ndarray, r: np.ndarray, q: np.ndarray) -> np.ndarray:
         """Expected transitions."""
         M, at = np.exp(moves), np.flatnonzero(~self.first)
-        x = np.exp(np.clip(e[at], -30, 30)) * q[at]
+        x = np.exp(np.clip(e[at], -20, 20), dtype=np.float32) * q[at]
         p = r[at - 1]
-        w = np.array([np.full(len(at), M[0, 0]), M[0, 1] * x, p * M[1, 0], p * M[1, 1] * x])
-        return (w / w.sum(axis=0)).sum(axis=1).reshape(2, 2)
+        w = [np.full(len(at), M[0, 0], dtype=np.float32), M[0, 1].astype(np.float32) * x, p * M[1, 0].astype(np.float32), M[1, 1].astype(np.float32) * p * x]
+        whole = w[0] + w[1] + w[2] + w[3]
+        return np.array([(part / whole).sum(dtype=float) for part in w]).reshape(2, 2)
 
 
 def _summary(m: np.ndarray, doc: np.ndarray, n_docs: int) -> np.ndarray:
@@ -198,12 +201,21 @@ def fit(texts: list[str], toxic: np.ndarray) -> Model:
             word_of.append(i)
             feature_of.append(names.setdefault(f, len(names)))
     word_of, feature_of = np.array(word_of), np.array(feature_of)
-    before = np.concatenate([[-1], ids[:-1]])
+    # what stands a few times only says nothing of other documents
+    seen_word = np.bincount(ids, minlength=len(table))
+    often = np.bincount(feature_of, seen_word[word_of], len(names)) >= RARE
+    word_of, feature_of = word_of[often[feature_of]], (np.cumsum(often) - 1)[feature_of[often[feature_of]]]
+    names = [f for f, some in zip(names, often) if some]
+    common = np.bincount(form_of, seen_word, len(forms)) >= BESIDE
+    beside = np.where(common, np.cumsum(common) - 1, -1)[form_of]
+    forms = [f for f, some in zip(forms, common) if some]
+    before = np.concatenate([[-1], beside[ids[:-1]]])
     before[chain.first] = -1
-    after = np.concatenate([ids[1:], [-1]])
+    after = np.concatenate([beside[ids[1:]], [-1]])
     after[breaks] = -1
-    has_l, has_r = np.flatnonzero(before >= 0), np.flatnonzero(after >= 0)
-    left_of, right_of = form_of[before[has_l]], form_of[after[has_r]]
+    has_l, has_r = (np.flatnonzero(x >= 0).astype(np.int32) for x in (before, after))
+    left_of, right_of = before[has_l], after[has_r]
+    del before, after
 
     sizes = [len(names), len(forms), len(forms), 1, 4]
     cut = np.cumsum(sizes)[:-1]
@@ -216,7 +228,7 @@ def fit(texts: list[str], toxic: np.ndarray) -> Model:
     m1, m2 = np.zeros_like(w), np.zeros_like(w)
     for epoch in range(1, EPOCHS + 1):
         own, left, right, start, moves = np.split(w, cut)
-        by_word = np.bincount(word_of, own[feature_of], len(table))
+        by_word = np.bincount(word_of, own[feature_of], len(table)).astype(np.float32)
         e = by_word[ids]
         e[has_l] += left[left_of]
         e[has_r] += right[right_of]
@@ -232,7 +244,7 @@ def fit(texts: list[str], toxic: np.ndarray) -> Model:
         w += 0.3 * (m1 / (1 - 0.9**epoch)) / (np.sqrt(m2 / (1 - 0.99**epoch)) + 1e-6) / math.sqrt(epoch / 4 + 1)
     own, left, right, start, moves = np.split(w, cut)
     keep = lambda names, values, least: {n: float(v) for n, v in zip(names, values) if abs(v) > least}
-    model.own, model.left, model.right = keep(names, own, 1e-3), keep(forms, left, 1e-2), keep(forms, right, 1e-2)
+    model.own, model.left, model.right = keep(names, own, 5e-3), keep(forms, left, 5e-3), keep(forms, right, 5e-3)
     model.start, model.moves = float(start[0]), moves.reshape(2, 2)
     x = _summary(m, doc, len(texts))
     model.calibration = _logistic(x, toxic)
