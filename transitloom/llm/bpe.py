@@ -33,7 +33,7 @@ from transitloom.llm.rows import small_batches
 #: How byte-level tokenizers cut a text (fixed value).
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 #: Entries that a table of words or transitions holds before its older half is dropped.
-TABLE_ENTRIES = 100_000
+TABLE_ENTRIES = 150_000
 _NEVER = 1 << 30
 
 
@@ -127,7 +127,7 @@ class Encoder:
         a, data = self.automaton, word.encode()
         n = len(data)
         follow, token, allowed = a.next, a.token, self.allowed
-        if len(allowed) > 3 * TABLE_ENTRIES:
+        if len(allowed) > 2 * TABLE_ENTRIES:
             allowed.clear()
         last: list[int] = [-1] * (n + 1)  # the arc by which the accepted path of a prefix ends
         begin = [0] * (n + 1)
@@ -202,22 +202,26 @@ def _encoder(spec: str) -> Encoder:
     return _encoders[key]
 
 
-def encode(docs: DataFrame, path: str, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """(doc_id, ids): the token ids of every text, in order."""
+def encode(docs: DataFrame, path: str, doc_id: str = "doc_id", text: str = "text", decoded: str | None = None) -> DataFrame:
+    """(doc_id, ids): the token ids of every text, in order. ``decoded`` names a column for what the ids decode to."""
     small_batches(docs.sparkSession)
     spec = docs.sparkSession.sparkContext.broadcast(read_spec(path))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = None
+        encoder = table = None
         for batch in tk.groups(batches, "_text"):
             encoder = encoder or _encoder(spec.value)
             parts = [encoder.encode(t.as_py() or "") for t in batch.column("_text")]
             ends = np.cumsum([0, *(len(p) // 4 for p in parts)], dtype=np.int32)
             ids = pa.ListArray.from_arrays(pa.array(ends), pa.array(np.frombuffer(b"".join(parts), dtype="<i4")))
-            yield pa.RecordBatch.from_arrays([batch.column("_id"), ids], [doc_id, "ids"])
-
-    kind = docs.schema[doc_id].dataType.simpleString()
-    return docs.select(F.col(doc_id).alias("_id"), F.col(text).alias("_text")).mapInArrow(run, f"`{doc_id}` {kind}, ids array<int>")
+            if decoded is None:
+                yield pa.RecordBatch.from_arrays([batch.column("_id"), ids], [doc_id, "ids"])
+                continue
+            table = table or _Labels(encoder.automaton.label)
+            yield pa.RecordBatch.from_arrays([batch.column("_id"), ids, table.texts(ids)], [doc_id, "ids", decoded])
+
+    schema = f"`{doc_id}` {docs.schema[doc_id].dataType.simpleString()}, ids array<int>" + (f", `{decoded}` string" if decoded else "")
+    return docs.select(F.col(doc_id).alias("_id"), F.col(text).alias("_text")).mapInArrow(run, schema)
 
 
 def decode(coded: DataFrame, path: str, ids: str = "ids", text: str = "text") -> DataFrame:

@@ -39,12 +39,12 @@ def vocabulary(name: str = "byte_bpe_50k.json") -> str:
 
 def coded(docs: DataFrame) -> DataFrame:
     """Digests of the token ids of every document, and of the text that the ids decode to."""
-    path = vocabulary()
-    ids = bpe.encode(docs, path).select(
+    found = bpe.encode(docs, vocabulary(), decoded="decoded")
+    return found.select(
         "doc_id", F.size("ids").cast("long").alias("n_tokens"),
-        F.sha2(F.array_join(F.col("ids").cast("array<string>"), ","), 256).alias("ids_sha256"), "ids",
+        F.sha2(F.array_join(F.col("ids").cast("array<string>"), ","), 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"),
     )
-    return bpe.decode(ids, path).select("doc_id", "n_tokens", "ids_sha256", F.sha2("text", 256).alias("decoded_sha256"))
 
 
 @query
