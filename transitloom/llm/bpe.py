@@ -33,8 +33,9 @@ from transitloom.llm.rows import small_batches
 #: How byte-level tokenizers cut a text (fixed value).
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 #: Entries that a table of words or transitions holds before its older half is dropped.
-TABLE_ENTRIES = 150_000
+TABLE_ENTRIES = 100_000
 _NEVER = 1 << 30
+_TOKEN, _NONE = -1, -2
 
 
 def byte_letters() -> dict[str, int]:
@@ -59,24 +60,32 @@ class Automaton:
         # pieces at the right edge after a token, and at the left edge of an arc: (piece, first rank, last rank)
         self.right: dict[int, tuple] = {}
         self.left: dict[int, tuple] = {}
-        self.next: dict[int, int] = {}  # (node, byte) -> node, over the arcs' labels
-        self.token: list[int] = [-1]  # the arc that ends at a node
+        self.root: dict = {}  # arcs by their labels: byte -> node, and _TOKEN -> the arc that ends there
         for c in byte_letters():
             self._arc(ids[c], ((ids[c], -1, _NEVER),), ((ids[c], -1, _NEVER),))
         for rank, pair in enumerate(model["merges"]):
             a, b = pair if isinstance(pair, list) else pair.split(" ")
             self._merge(rank, ids[a], ids[b], ids[a + b])
+        self.shorter = self._prefixes()
 
     def _arc(self, token: int, right: tuple, left: tuple) -> None:
         self.right[token], self.left[token] = right, left
-        node = 0
+        node = self.root
         for byte in self.label[token]:
-            key = node << 8 | byte
-            if key not in self.next:
-                self.next[key] = len(self.token)
-                self.token.append(-1)
-            node = self.next[key]
-        self.token[node] = token
+            node = node.setdefault(byte, {})
+        node[_TOKEN] = token
+
+    def _prefixes(self) -> dict[int, int]:
+        """The longest other arc that every arc's label begins with; -1 if there is none."""
+        found, todo = {}, [(self.root, -1)]
+        while todo:
+            node, above = todo.pop()
+            token = node.get(_TOKEN)
+            if token is not None:
+                found[token] = above
+                above = token
+            todo += [(child, above) for key, child in node.items() if key != _TOKEN]
+        return found
 
     def _merge(self, rank: int, a: int, b: int, ab: int) -> None:
         """The gadget of one merge: from this rank on, no path reads a and then b; the arc ab takes their place."""
@@ -124,35 +133,61 @@ class Encoder:
         self.words = _Table(self._word)
 
     def _word(self, word: str) -> bytes:
+        """The accepted path of a word: the longest arc first, shorter ones where no transition allows it.
+
+        A place is reached by one path only, so a place without a way on is never tried again.
+        """
         a, data = self.automaton, word.encode()
-        n = len(data)
-        follow, token, allowed = a.next, a.token, self.allowed
-        if len(allowed) > 2 * TABLE_ENTRIES:
+        n, root, allowed, shorter, label = len(data), a.root, self.allowed, a.shorter, a.label
+        if len(allowed) > TABLE_ENTRIES:
             allowed.clear()
-        last: list[int] = [-1] * (n + 1)  # the arc by which the accepted path of a prefix ends
-        begin = [0] * (n + 1)
-        for i in range(n):
-            before, node = last[i], 0
-            for j in range(i, n):
-                node = follow.get(node << 8 | data[j])
-                if node is None:
-                    break
-                t = token[node]
-                if t < 0 or last[j + 1] >= 0:
-                    continue
-                if i:
-                    key = before << 20 | t
+        path: list[int] = []
+        dead: set[int] = set()
+        at, t = 0, -1
+        while at < n:
+            if t < 0:
+                node, i = root, at
+                while i < n:
+                    node = node.get(data[i])
+                    if node is None:
+                        break
+                    t = node.get(_TOKEN, t)
+                    i += 1
+            while t >= 0:
+                end = at + len(label[t])
+                if end not in dead:
+                    if not path:
+                        break
+                    key = path[-1] << 20 | t
                     ok = allowed.get(key)
                     if ok is None:
-                        ok = allowed[key] = not a._joined(before, t)
-                    if not ok:
-                        continue
-                last[j + 1], begin[j + 1] = t, i
-        path, j = [], n
-        while j:
-            path.append(last[j])
-            j = begin[j]
-        return np.array(path[::-1], dtype="<i4").tobytes()
+                        ok = allowed[key] = not a._joined(path[-1], t)
+                    if ok:
+                        break
+                t = shorter[t]
+            if t >= 0:
+                path.append(t)
+                at, t = end, -1
+            else:
+                dead.add(at)
+                t = path.pop()
+                at -= len(label[t])
+                t = shorter[t]
+                if t < 0:  # nothing shorter here either: go further back
+                    t = _NONE
+            if t == _NONE:
+                t = -1
+                while t < 0:
+                    dead.add(at)
+                    t = path.pop()
+                    at -= len(label[t])
+                    t = shorter[t]
+        return np.array(path, dtype="<i4").tobytes()
+
+    def forget(self) -> None:
+        """Empty the tables, so that an idle worker holds the automaton alone."""
+        self.allowed.clear()
+        self.words = _Table(self._word)
 
     def encode(self, text: str) -> bytes:
         """Token ids of a text as little-endian 32-bit numbers."""
@@ -219,6 +254,8 @@ def encode(docs: DataFrame, path: str, doc_id: str = "doc_id", text: str = "text
                 continue
             table = table or _Labels(encoder.automaton.label)
             yield pa.RecordBatch.from_arrays([batch.column("_id"), ids, table.texts(ids)], [doc_id, "ids", decoded])
+        if encoder is not None:
+            encoder.forget()
 
     schema = f"`{doc_id}` {docs.schema[doc_id].dataType.simpleString()}, ids array<int>" + (f", `{decoded}` string" if decoded else "")
     return docs.select(F.col(doc_id).alias("_id"), F.col(text).alias("_text")).mapInArrow(run, schema)

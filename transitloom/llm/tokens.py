@@ -17,7 +17,7 @@ U = np.uint64
 #: Bytes handled at a time: bounds the working memory of a task, whatever the length of a text.
 SLICE_BYTES = 1 << 20
 #: Bytes of text of a group of documents that are handled together.
-GROUP_BYTES = 2 << 20
+GROUP_BYTES = 1 << 20
 _STEP = 0x9E3779B97F4A7C15
 _BASE = 0xD6E8FEB86659FD93  # odd, so it has an inverse modulo 2**64
 
