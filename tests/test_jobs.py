@@ -113,22 +113,77 @@ def test_fact_by_day_equals_rebuild(layers):
     name = layers.name("silver", "fato_posicao_veiculos")
     before = rows(layers.read("silver", "fato_posicao_veiculos"))
     for day in DAYS:
-        jobs.refresh_fact(layers, day)
+        assert day in jobs.refresh_fact(layers, day, day)
     assert rows(layers.spark.table(name)) == before
+    assert jobs.refresh_fact(layers, date(2030, 1, 1)) == []
+
+
+def test_a_refresh_reads_the_ingest_days_it_needs(layers):
+    raw = layers.read("bronze", "posicao_veiculos").filter(F.col(jobs.INGEST_DAY).isin([DAYS[0]]))
+    plan = raw._jdf.queryExecution().executedPlan().toString()
+    assert re.search(r"PartitionFilters: \[[^\]]*dia_ingestao", plan)
+
+
+def test_late_signals_and_emptied_days_equal_a_rebuild(layers, spark):
+    """A signal a week late, one without a time, and a day whose signals are gone."""
+    def docs(*bodies):
+        return spark.createDataFrame([(b,) for b in bodies], "body string")
+
+    late = [(7, 100, 1, "2024-01-01T12:30:00Z", -20.0), (8, 100, 1, "soon", -20.0)]
+    report = jobs.ingest(layers, "posicao_veiculos", docs(document("x", late)), datetime(2024, 1, 8, 12))
+    assert report.first()[:] == ("posicao_veiculos", 1, 0, 0, 2)
+    fact = layers.name("silver", "fato_posicao_veiculos")
+    gone = date(2023, 12, 25)
+    extra = spark.table(fact).limit(1).withColumn(jobs.DAY, F.lit(gone))
+    tables.replace_partitions(extra, fact, jobs.DAY)
+    layers.spark.createDataFrame([(gone, date(2024, 1, 8))], f"{jobs.DAY} date, dia_ingestao date").write.insertInto(
+        layers.name("bronze", "dias_sinal"))
+    assert jobs.refresh_fact(layers, date(2024, 1, 8)) == [None, gone, date(2024, 1, 1)]
+    after = rows(spark.table(fact))
+    jobs.build_silver(layers)
+    assert rows(spark.table(fact)) == after
+    jobs.build_gold(layers)
+
+
+def test_a_missing_previous_day_is_refused(layers):
+    with pytest.raises(ValueError, match="refresh that day first"):
+        jobs.refresh_day(layers, DAYS[1], date(1999, 1, 1))
+
+
+def test_reports_count_what_cannot_be_used(layers, spark):
+    bodies = ['{"hr": "1", "l": 5}', "not json", "[]", "{}", '{"hr": "1", "l": []}', document("1", [(1, 1, 1, "2024-01-02T00:00:00Z", 1.0)])]
+    made = jobs.Layers(spark, "reports_")
+    spark.sql("CREATE SCHEMA IF NOT EXISTS reports_bronze")
+    try:
+        docs = spark.createDataFrame([(b,) for b in bodies], "body string")
+        report = jobs.ingest(made, "posicao_veiculos", docs, datetime(2024, 1, 2))
+        assert report.first()[:] == ("posicao_veiculos", 6, 1, 1, 1)
+        # a column the table does not know yet
+        docs = spark.createDataFrame([(bodies[-1], "north")], "body string, depot string")
+        jobs.ingest(made, "posicao_veiculos", docs, datetime(2024, 1, 3))
+        got = made.read("bronze", "posicao_veiculos").orderBy("dt_ingestao").select("p", "depot").collect()
+        assert [tuple(r) for r in got] == [("1", None), ("1", "north")]
+    finally:
+        spark.sql("DROP SCHEMA reports_bronze CASCADE")
 
 
 def test_increments_equal_rebuild(layers):
     spark = layers.spark
     names = ("velocidade_linhas", "acessibilidade", "snapshot_frota_atual")
-    want = {n: rows(layers.read("gold", n)) for n in names}
+
+    def timed(name):  # signals without a time belong to no day
+        return rows(layers.read("gold", name).filter(f"{jobs.DAY} is not null"))
+
+    want = {n: timed(n) for n in names}
     for n in names:
         tables.drop_table(spark, layers.name("gold", n))
-    days = [r[0] for r in layers.read("silver", "fato_posicao_veiculos").select(jobs.DAY).distinct().orderBy(jobs.DAY).collect()]
+    fact = layers.read("silver", "fato_posicao_veiculos")
+    days = [r[0] for r in fact.filter(f"{jobs.DAY} is not null").select(jobs.DAY).distinct().orderBy(jobs.DAY).collect()]
     assert len(days) == 4
     for previous, day in zip([None, *days], days):
         jobs.refresh_day(layers, day, previous)
     jobs.refresh_day(layers, days[-1], days[-2])  # the same day again changes nothing
-    got = {n: rows(layers.read("gold", n)) for n in names}
+    got = {n: timed(n) for n in names}
     assert {n: [[v if not isinstance(v, float) else round(v, 9) for v in r] for r in t] for n, t in got.items()} == \
         {n: [[v if not isinstance(v, float) else round(v, 9) for v in r] for r in t] for n, t in want.items()}
 
@@ -170,3 +225,18 @@ def test_sweeps_land_stamp_and_name_their_lots(layers, tmp_path):
     assert again.collect() == resumed.collect()
     assert sorted(tuple(r) for r in layers.read("bronze", "paradas_por_corredor").select("cod_corredor", "cp").collect()) == [
         (1, 1), (2, 2), (3, 3)]
+    # the key that failed is asked again; nothing else is, and no row is written twice
+    asked = []
+
+    def now(key):
+        asked.append(key)
+        return json.dumps({"hr": "2", "ps": {"cp": key, "vs": [{"p": key, "t": "07:00"}]}})
+
+    summary = jobs.ingest_sweep(layers, "previsao_chegada_linha", keys, now, run, str(tmp_path / "a"), lot_size=1, tasks=2,
+                                resume=True, wait_seconds=0, landing_root=str(tmp_path / "landing"))
+    assert {r.status: r.requests for r in summary.collect()} == {"ok": 2, "empty": 1}
+    got = layers.read("bronze", "previsao_chegada_linha").select("cod_linha", "arquivo_origem")
+    assert sorted(tuple(r) for r in got.collect()) == [
+        (100, "batch_0_20240105_063000.json"), (102, "batch_2_20240105_063000.json")]
+    landed = list((tmp_path / "landing").glob("previsao_chegada_linha/raw_*/cod_linha=102/arquivo_origem=batch_2_*"))
+    assert len(landed) == 1

@@ -112,7 +112,7 @@ PINGS = [
 ]
 
 
-@pytest.mark.parametrize("width", [None, 60, 86_400, gold.MEASURE])
+@pytest.mark.parametrize("width", [60, 3_600, gold.SLICE_SECONDS])
 def test_ping_speed(spark, width):
     got = gold.ping_speed(fact(spark, *PINGS), width).select("prefixo_veiculo", "dist_km", "velocidade_kmh")
     assert sorted(tuple(r) for r in got.collect() if r.dist_km is not None) == [
@@ -183,7 +183,7 @@ def test_route_length_is_weighted_by_trips(spark):
         "shape_id string, shape_pt_lat double, shape_pt_lon double, shape_pt_sequence int")
     trips = spark.createDataFrame([("r", "short")] * 2 + [("r", "long"), ("r", "dot"), ("r", None), ("q", "dot")],
                                   "route_id string, shape_id string")
-    for width in (None, 4, gold.MEASURE):
+    for width in (1, 4, gold.SLICE_POINTS):
         lengths = {r.shape_id: r.extensao_km for r in gold.shape_length(shapes, width).collect()}
         assert lengths == {"short": Decimal("11.12"), "long": Decimal("44.48")}
     profile = gold.route_profile(shapes, trips)
@@ -279,5 +279,25 @@ def test_arrival_answers(spark, gold_tables):
     literal = serving.arrival_answers(day, ["w.st", "-1 |"], literal=True)
     assert {r.prompt: r.outcome for r in literal.collect()} == {"w.st": "no line", "-1 |": "ok"}
     assert serving.arrival_answers(day, []).count() == 0
+    asked = spark.createDataFrame([("north",), (None,), ("north",)], "prompt string")
+    assert [r.prompt for r in serving.arrival_answers(day, asked).collect()] == ["north"]
+    java = serving.arrival_answers(day, [r"^\p{L}*1"])  # valid where it runs
+    assert [r.outcome for r in java.collect()] == ["ok"]
+    with pytest.raises(ValueError):
+        serving.arrival_answers(day, ["(?P<x>TERM)"])  # valid elsewhere only
     with pytest.raises(ValueError):
         serving.arrival_answers(day, ["("])
+
+
+def test_prompts_with_accents_and_in_any_number(spark, gold_tables):
+    day = serving.dashboard_day(*gold_tables).withColumn("Rota", F.concat("Rota", F.lit(" SÃO MATEUS")))
+    assert [r.outcome for r in serving.arrival_answers(day, ["são mateus"]).collect()] == ["ok"]
+
+    def nodes(prompts):
+        plan = serving.arrival_answers(day, prompts)._jdf.queryExecution().optimizedPlan().toString()
+        return len(plan.splitlines())
+
+    many = spark.createDataFrame([(f"prompt {i}",) for i in range(1000)] + [("north",)], "prompt string")
+    assert nodes(many) == nodes(spark.createDataFrame([("north",)], "prompt string"))
+    got = serving.arrival_answers(day, many)
+    assert got.count() == 1001 and got.filter("outcome <> 'no line'").select("prompt").collect() == [("north",)]

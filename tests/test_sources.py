@@ -1,6 +1,6 @@
 from __future__ import annotations
 
-from datetime import datetime
+from datetime import date, datetime
 
 import pytest
 from pyspark.errors import PySparkException
@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from transitloom import schemas
-from transitloom.session import shared_folder
+from transitloom.session import shared_folder, side_by_side
 from transitloom.sources import documents, gtfs, landing, sweep, tables
 
 RUN = datetime(2024, 2, 1, 6, 30)
@@ -90,7 +90,9 @@ def test_bad_files_do_not_stop_the_load(spark, schedule):
         loaded[name] = rows.count()
         return loaded[name]
 
-    status = {r.file: (r.rows, r.error) for r in gtfs.load_files(spark, schedule, write, RUN).collect()}
+    report = gtfs.load_files(spark, schedule, write, RUN).collect()
+    assert {r.file: r.rejected for r in report if r.rows is not None} == {"stops": 0, "stop_times": 1, "shapes": 0}
+    status = {r.file: (r.rows, r.error) for r in report}
     assert set(status) == set(schemas.GTFS)
     assert loaded == {"stops": 2, "stop_times": 2, "shapes": 1}
     assert status["stops"] == (2, None)
@@ -200,7 +202,7 @@ def test_register_existing_files(spark, layers, tmp_path):
         "data_referencia").parquet(str(tmp_path / "gold" / "velocidade_linhas"))
     spark.range(2).write.parquet(str(tmp_path / "gold" / "perfil_rota_estatico"))
     report = {r.table: r.error for r in tables.register_tables(spark, str(tmp_path), layers).collect()}
-    assert len(report) == 20 + 4 + 4
+    assert len(report) == 21 + 5 + 4
     assert report[f"{layers}gold.velocidade_linhas"] is None
     assert spark.table(f"{layers}gold.velocidade_linhas").count() == 3
     assert spark.table(f"{layers}gold.perfil_rota_estatico").count() == 2
@@ -228,8 +230,30 @@ def test_replace_only_the_days_at_hand(spark, layers):
     tables.replace_partitions(day("2024-01-01", 1, 2), name, "d")
     tables.replace_partitions(day("2024-01-02", 3), name, "d")
     tables.replace_partitions(day("2024-01-01", 9).select("d", "v"), name, "d")
-    assert sorted(tuple(r) for r in spark.table(name).select("v", F.col("d").cast("string")).collect()) == [
-        (3, "2024-01-02"), (9, "2024-01-01")]
+    def held():
+        return sorted((tuple(r) for r in spark.table(name).select("v", F.col("d").cast("string")).collect()), key=str)
+
+    assert held() == [(3, "2024-01-02"), (9, "2024-01-01")]
+    assert spark.conf.get("spark.sql.sources.partitionOverwriteMode").lower() == "static"
+    # days named without rows are emptied, a table may be read for its own replacement, new columns are taken
+    tables.replace_partitions(day("2024-01-03", 4), name, "d", [date(2024, 1, 1), date(2024, 1, 3)])
+    assert held() == [(3, "2024-01-02"), (4, "2024-01-03")]
+    tables.replace_partitions(spark.table(name).withColumn("v", F.col("v") + 1), name, "d")
+    tables.replace_partitions(day(None, 7), name, "d")
+    assert held() == [(4, "2024-01-02"), (5, "2024-01-03"), (7, None)]
+    tables.replace_partitions(day(None), name, "d", [None])
+    tables.replace_partitions(day("2024-01-02", 8).withColumn("w", F.lit("new")), name, "d")
+    assert held() == [(5, "2024-01-03"), (8, "2024-01-02")]
+    assert sorted((tuple(r) for r in spark.table(name).select("v", "w").collect()), key=str) == [(5, None), (8, "new")]
+
+
+def test_days_replaced_side_by_side_keep_all_others(spark, layers):
+    name = f"{layers}silver.side"
+    days = [date(2024, 1, n) for n in range(1, 7)]
+    tables.replace_partitions(spark.createDataFrame([(0, d) for d in days], "v int, d date"), name, "d")
+    side_by_side(spark, *(
+        lambda d=d: tables.replace_partitions(spark.createDataFrame([(1, d)], "v int, d date"), name, "d", [d]) for d in days[:4]))
+    assert sorted(tuple(r) for r in spark.table(name).select("d", "v").collect()) == [(d, int(i < 4)) for i, d in enumerate(days)]
 
 
 def test_append_takes_new_columns(spark, tmp_path):

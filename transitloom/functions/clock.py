@@ -7,6 +7,7 @@ from datetime import datetime
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+# fixed values: the zone of the service, and the stamp of a run in names
 LOCAL_ZONE = "America/Sao_Paulo"
 
 

@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from dataclasses import dataclass
-from datetime import date, datetime, time, timedelta, timezone
+from datetime import date, datetime
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from transitloom import schemas
 from transitloom.functions.clock import run_stamp
@@ -46,17 +47,35 @@ PARSERS = {
     "previsao_chegada_parada": (documents.stop_forecast, False),
     "previsao_chegada_linha": (documents.line_forecast, False),
 }
+# fixed values: what a table holds, for the catalog
+COMMENTS = {
+    "posicao_veiculos": "Vehicle positions as reported", "buscar_linhas": "Lines found by search term",
+    "buscar_linhas_sentido": "Lines found by term and direction", "buscar_paradas": "Stops found by search term",
+    "paradas_por_corredor": "Stops of each corridor", "paradas_por_linha": "Stops of each line", "corredores": "Corridors",
+    "empresas": "Operating companies", "previsao_chegada_parada": "Expected arrivals by stop",
+    "previsao_chegada_linha": "Expected arrivals by line",
+}
+# The day of the run that brought a row, and the run's part: positions are read by the first, sweeps replaced by the second.
+INGEST_DAY, PART = "dia_ingestao", "execucao"
+REPORT = "tabela string, documents bigint, unreadable bigint, wrong_shape bigint, rows bigint"
 
 
 def ingest(layers: Layers, table: str, docs: DataFrame, run_time: datetime, origin: str | None = None,
-           landing_root: str | None = None) -> None:
-    """Land documents, parse them and write the bronze table of one run.
+           landing_root: str | None = None, part: str | None = None) -> DataFrame:
+    """Land documents, parse them and write the bronze table of one run; returns one row that tells how it went.
 
-    ``docs`` has ``body`` and, for keyed requests, the key column of the table.
+    ``docs`` has ``body`` and, for keyed requests, the key column of the table. With ``landing_root`` the documents are
+    evaluated once, landed, and parsed from there with their keys; the parsed rows are landed too. Columns the table does
+    not know yet are added to it. ``part`` names the piece of a run that is written; writing it again replaces it.
     """
     parse, replaces = PARSERS[table]
+    spark = layers.spark
     if landing_root:
-        landing.land_raw(docs, f"{landing_root}/{table}/raw_{run_stamp(run_time)}")
+        path = f"{landing_root}/{table}/raw_{run_stamp(run_time)}" + (f"_{part}" if part else "")
+        keys = [c for c in docs.columns if c != documents.BODY]
+        if landing.land_raw(docs, path, keys):
+            kinds = {f.name: f.dataType for f in docs.schema}
+            docs = landing.read_landed(spark, path, keys).select(documents.BODY, *(F.col(k).cast(kinds[k]).alias(k) for k in keys))
     schema = schemas.with_audit(schemas.BRONZE[table])
     rows = parse(docs)
     if table == "buscar_paradas":
@@ -64,16 +83,46 @@ def ingest(layers: Layers, table: str, docs: DataFrame, run_time: datetime, orig
         rows = first_per_key(rows, ["cp"])
     if origin is None and "arquivo_origem" not in rows.columns:
         origin = f"{table}_{run_stamp(run_time)}.json"
-    rows = landing.stamp(rows, run_time, origin).select(*schema.names)
+    rows = landing.stamp(rows, run_time, origin)
+    rows = rows.select(*schema.names, *(c for c in rows.columns if c not in schema.names))
+    by = INGEST_DAY if table == "posicao_veiculos" else PART if part is not None else None
+    if by == INGEST_DAY:
+        rows = rows.withColumn(INGEST_DAY, F.lit(run_time.date()))
+    elif by == PART:
+        rows = rows.withColumn(PART, F.lit(part))
     name = layers.name("bronze", table)
-    if replaces:
-        tables.drop_table(layers.spark, name)
-    tables.create_table(layers.spark, name, schema)
-    rows.write.mode("append").format(tables.FORMAT).saveAsTable(name)
+    if replaces and part is None:
+        tables.drop_table(spark, name)
+    if not spark.catalog.tableExists(name):
+        tables.create_table(spark, name, T.StructType([*schema.fields, *(f for f in rows.schema if f.name not in schema.names)]), by)
+        tables.comment_table(spark, name, COMMENTS[table])
+    if part is not None:
+        tables.replace_partitions(rows, name, PART, [part])
+    else:
+        tables.append_table(rows, name)
+    written = layers.spark.table(name).filter(F.col("dt_ingestao") == landing.moment(run_time))
+    written = written.filter(F.col(by) == (part if by == PART else F.lit(run_time.date()))) if by else written
+    if landing_root:
+        landing.land_rows(written.drop(*([by] if by else [])), f"{landing_root}/{table}", f"{table}{'_' + part if part else ''}", run_time)
+    if table == "posicao_veiculos":
+        _note_days(layers, written, run_time)
+    body = F.col(documents.BODY)
+    faults = docs.agg(F.count(F.lit(1)).alias("documents"), F.count_if(documents.is_unreadable(body)).alias("unreadable"),
+                      F.count_if(documents.wrong_shape(body, parse.__name__)).alias("wrong_shape")).first()
+    return spark.createDataFrame([(table, *faults, written.count())], REPORT)
+
+
+def _note_days(layers: Layers, written: DataFrame, run_time: datetime) -> None:
+    """Note on which local days the signals of a run lie: a refresh of those days reads the ingest days noted for them."""
+    name = layers.name("bronze", "dias_sinal")
+    days = written.select(silver.signal_day().alias(DAY)).distinct().withColumn(INGEST_DAY, F.lit(run_time.date()))
+    if not layers.spark.catalog.tableExists(name):
+        tables.create_table(layers.spark, name, days.schema)
+    days.coalesce(1).write.insertInto(name)
 
 
 # bronze table -> key column the request stamps on its rows (none where the document has it) and
-# prefix of the lineage name
+# prefix of the lineage name (fixed values)
 SWEEPS = {
     "paradas_por_corredor": ("cod_corredor", "paradas_corredor"),
     "paradas_por_linha": ("cod_linha", "paradas_linha"),
@@ -84,27 +133,36 @@ SWEEPS = {
 
 def ingest_sweep(layers: Layers, table: str, keys: DataFrame, fetch: Callable[[object], str | None],
                  run_time: datetime, work: str, lot_size: int = 500, tasks: int = 32,
-                 lots_per_commit: int = 8, resume: bool = False, **options) -> DataFrame:
-    """Ask for every key in lots, keep the replies under ``work`` and write the bronze table.
+                 lots_per_commit: int = 8, resume: bool = False, landing_root: str | None = None, **options) -> DataFrame:
+    """Ask for every key in lots, keep the replies under ``work`` and write the bronze table, commit by commit.
 
-    ``keys`` has one column of distinct integers. ``resume`` goes on with an interrupted sweep in the
-    same ``work`` folder. Returns how the requests ended.
+    ``keys`` has one column of distinct integers. ``resume`` goes on with an interrupted sweep in the same ``work``
+    folder and asks again for the keys that failed. A commit that is repeated replaces its own rows, so nothing is
+    written twice. Returns how the requests ended, the last answer of each key counting.
     """
     (key,) = keys.columns
     stamped, prefix = SWEEPS[table]
+    stamp = run_stamp(run_time)
+    spark = layers.spark
     if not resume:
         sweep.write_lots(keys, key, lot_size, f"{work}/requests")
+        if PARSERS[table][1]:
+            tables.drop_table(spark, layers.name("bronze", table))
+    else:
+        sweep.ask_again(spark, f"{work}/requests", key, f"{work}/replies")
+
+    def write(replies: DataFrame, commit: int) -> None:
+        docs = replies.filter(F.col("status") == "ok").select(
+            documents.BODY, *([F.col(key).alias(stamped)] if stamped else []),
+            sweep.lot_origin(F.col("lote"), lot_size, stamp, prefix).alias("arquivo_origem"),
+        )
+        ingest(layers, table, docs, run_time, landing_root=landing_root, part=f"{stamp}_{commit:05d}")
+
     sweep.sweep_lots(
-        layers.spark, f"{work}/requests", key, fetch, f"{work}/replies", f"{work}/checkpoint", tasks,
-        lots_per_commit, **options,
+        spark, f"{work}/requests", key, fetch, f"{work}/replies", f"{work}/checkpoint", tasks,
+        lots_per_commit, written=write, **options,
     ).awaitTermination()
-    replies = layers.spark.read.parquet(f"{work}/replies")
-    docs = replies.filter(F.col("status") == "ok").select(
-        documents.BODY, *([F.col(key).alias(stamped)] if stamped else []),
-        sweep.lot_origin(F.col("lote"), lot_size, run_stamp(run_time), prefix).alias("arquivo_origem"),
-    )
-    ingest(layers, table, docs, run_time)
-    return sweep.attempts_summary(replies)
+    return sweep.attempts_summary(sweep.last_replies(spark, f"{work}/replies", key))
 
 
 def ingest_schedule(layers: Layers, folder: str, run_time: datetime) -> DataFrame:
@@ -126,22 +184,32 @@ def build_silver(layers: Layers) -> None:
     build_dimensions(layers)
 
 
-def refresh_fact(layers: Layers, day: date, late: timedelta = timedelta(days=1)) -> None:
-    """Rebuild one local day of the fact from the rows ingested around it.
+def refresh_fact(layers: Layers, since: date, until: date | None = None) -> list[date | None]:
+    """Bring the fact up to date with what was ingested from ``since`` to ``until`` (both included; open by default).
 
-    Runs append with one ingest time each, so the range on ``dt_ingestao`` skips the files of all
-    other runs. Signals ingested more than ``late`` after the day wait for the next full rebuild.
+    Every local day that one of those signals lies on is rebuilt from all its signals, whenever they were ingested, so the
+    result is that of a full rebuild. The days come from the notes of the ingests, and so do the ingest days that are
+    read for them. Returns the days rebuilt.
     """
-    # a local day lies within a day of the UTC day of the same date
-    start = datetime.combine(day, time.min, timezone.utc) - timedelta(days=1)
-    end = datetime.combine(day, time.min, timezone.utc) + timedelta(days=2) + late
-    raw = layers.read("bronze", "posicao_veiculos").filter(
-        (F.col("dt_ingestao") >= F.lit(start)) & (F.col("dt_ingestao") < F.lit(end))
-    )
-    tables.replace_partitions(
-        silver.position_fact(raw).filter(F.col(DAY) == F.lit(day)),
-        layers.name("silver", "fato_posicao_veiculos"), DAY,
-    )
+    noted = layers.read("bronze", "dias_sinal").distinct()
+    recent = F.col(INGEST_DAY) >= F.lit(since)
+    if until is not None:
+        recent = recent & (F.col(INGEST_DAY) <= F.lit(until))
+    days = [r[0] for r in noted.filter(recent).select(DAY).distinct().collect()]
+    if not days:
+        return []
+    touched = _is_one_of(F.col(DAY), days)
+    sources = [r[0] for r in noted.filter(touched).select(INGEST_DAY).distinct().collect()]
+    raw = layers.read("bronze", "posicao_veiculos").filter(F.col(INGEST_DAY).isin(sources)).filter(_is_one_of(silver.signal_day(), days))
+    tables.replace_partitions(silver.position_fact(raw), layers.name("silver", "fato_posicao_veiculos"), DAY, days)
+    return sorted(days, key=lambda d: (d is not None, d))
+
+
+def _is_one_of(column: Column, days: list[date | None]) -> Column:
+    """Whether a day, or its absence, is in a list."""
+    known = [d for d in days if d is not None]
+    among = column.isin(known) if known else F.lit(False)
+    return among | column.isNull() if None in days else F.coalesce(among, F.lit(False))
 
 
 def build_dimensions(layers: Layers) -> None:
@@ -183,7 +251,7 @@ def refresh_day(layers: Layers, day: date, previous: date | None = None) -> None
 
     Each run stores the last ping of every vehicle up to its day in ``silver.ultimo_ping``. The first
     ping of the next day pairs with it, so increments equal a full rebuild. ``previous`` is the day of
-    the run to continue from (none for the first day).
+    the run to continue from (none for the first day); without its stored pings the run is refused.
     """
     spark = layers.spark
     fact = layers.read("silver", "fato_posicao_veiculos").filter(F.col(DAY) == F.lit(day))
@@ -191,18 +259,16 @@ def refresh_day(layers: Layers, day: date, previous: date | None = None) -> None
     last_pings = layers.name("silver", "ultimo_ping")
     carried = None
     if previous is not None:
+        if not spark.catalog.tableExists(last_pings) or spark.table(last_pings).filter(F.col("ate_dia") == F.lit(previous)).isEmpty():
+            raise ValueError(f"no last pings are stored for {previous}: refresh that day first")
         carried = spark.table(last_pings).filter(F.col("ate_dia") == F.lit(previous)).drop("ate_dia")
 
     tables.replace_partitions(
-        gold.line_speed(fact, lines, carried=carried), layers.name("gold", "velocidade_linhas"), DAY
-    )
-    tables.replace_partitions(
-        gold.accessibility(fact, lines), layers.name("gold", "acessibilidade"), DAY
-    )
+        gold.line_speed(fact, lines, carried=carried), layers.name("gold", "velocidade_linhas"), DAY, [day])
+    tables.replace_partitions(gold.accessibility(fact, lines), layers.name("gold", "acessibilidade"), DAY, [day])
     known = fact if carried is None else carried.unionByName(fact)
     tables.replace_partitions(
-        gold.fleet_snapshot(known).withColumn("ate_dia", F.lit(day)), last_pings, "ate_dia"
-    )
+        gold.fleet_snapshot(known).withColumn("ate_dia", F.lit(day)), last_pings, "ate_dia", [day])
     tables.replace_table(
         spark.table(last_pings).filter(F.col("ate_dia") == F.lit(day)).drop("ate_dia"),
         layers.name("gold", "snapshot_frota_atual"),

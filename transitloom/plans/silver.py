@@ -10,9 +10,13 @@ from transitloom.functions.text import sign_code
 from transitloom.operators.ranking import first_per_key
 
 
+# fixed values: names of the two directions
+OUTBOUND, RETURN = "Ida", "Volta"
+
+
 def direction_name(direction: Column) -> Column:
     """1 is outbound; anything else, null included, is the return."""
-    return F.when(direction == 1, F.lit("Ida")).otherwise(F.lit("Volta"))
+    return F.when(direction == 1, F.lit(OUTBOUND)).otherwise(F.lit(RETURN))
 
 
 def clean_positions(rows: DataFrame, zone: str = LOCAL_ZONE) -> DataFrame:
@@ -29,6 +33,11 @@ def clean_positions(rows: DataFrame, zone: str = LOCAL_ZONE) -> DataFrame:
     ).withColumn("data_referencia", F.to_date("data_hora_sp"))
 
 
+def signal_day(zone: str = LOCAL_ZONE) -> Column:
+    """The local day of a raw signal; null when its time does not parse."""
+    return F.to_date(local_clock(instant(F.col("ta")), zone))
+
+
 def position_fact(raw: DataFrame, zone: str = LOCAL_ZONE) -> DataFrame:
     """Position fact: the same signal of a vehicle is kept once, from its earliest ingest."""
     needed = raw.select("p", "ta", "dt_ingestao", "cl", "py", "px", "sl", "a")

@@ -7,15 +7,16 @@ rounded because the order of a floating-point sum is not fixed.
 from __future__ import annotations
 
 from collections.abc import Callable
-from datetime import datetime
+from datetime import date, datetime
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from transitloom import schemas
 from transitloom import testviews as tv
 from transitloom.functions.clock import run_stamp, stamp_of
 from transitloom.operators import numbering, ranking
-from transitloom.plans import gold, serving, silver
+from transitloom.plans import gold, jobs, serving, silver
 from transitloom.session import shared_folder, side_by_side
 from transitloom.sources import documents, gtfs, landing, sweep, tables
 from transitloom.streaming import positions as live
@@ -590,6 +591,194 @@ def landed_positions(spark, sf):
     return documents.positions(landing.read_landed(spark, path)).drop("arquivo_origem")
 
 
+# -- jobs and catalog -----------------------------------------------------------------------------
+
+def _lake(spark) -> tuple[jobs.Layers, str]:
+    """Fresh layers under the shared folder."""
+    root = shared_folder(spark, "lake")
+    prefix = f"lake_{root[-12:]}_"
+    tables.create_layers(spark, root, prefix)
+    return jobs.Layers(spark, prefix), root
+
+
+def _ingested(spark, sf) -> jobs.Layers:
+    """Three ingests: most pages, then a fifth of them a week late, then the repeated signals. The fact knows the first."""
+    layers, _ = _lake(spark)
+    docs = tv.position_docs(spark, sf, "page", "run")
+    late = F.col("page") % 5 == 0
+    jobs.ingest(layers, "posicao_veiculos", docs.filter((F.col("run") == 1) & ~late).select("body"), datetime(2024, 2, 1))
+    tables.replace_table(
+        silver.position_fact(layers.read("bronze", "posicao_veiculos")), layers.name("silver", "fato_posicao_veiculos"), jobs.DAY)
+    jobs.ingest(layers, "posicao_veiculos", docs.filter((F.col("run") == 1) & late).select("body"), datetime(2024, 2, 8))
+    jobs.ingest(layers, "posicao_veiculos", docs.filter(F.col("run") == 2).select("body"), datetime(2024, 2, 9))
+    return layers
+
+
+@query(_FACT_CLEAN)
+def job_refresh_fact(spark, sf):
+    layers = _ingested(spark, sf)
+    jobs.refresh_fact(layers, date(2024, 2, 8))
+    return layers.read("silver", "fato_posicao_veiculos").withColumn("data_referencia", _day())
+
+
+@query(f"select {_SPEED_COLUMNS} from {{velocidade}}")
+def job_refresh_day(spark, sf):
+    """All days but the newest from a full build, the newest from the increment that goes on from the day before."""
+    layers, _ = _lake(spark)
+    fact = _fact(spark, sf)
+    newest, before = (r[0] for r in fact.select(jobs.DAY).distinct().orderBy(F.col(jobs.DAY).desc()).limit(2).collect())
+    lines = layers.name("silver", "dim_linhas")
+    tables.replace_table(fact, layers.name("silver", "fato_posicao_veiculos"), jobs.DAY)
+    tables.replace_table(_lines(spark, sf), lines)
+    older = fact.filter(F.col(jobs.DAY) <= F.lit(before))
+    tables.replace_table(gold.line_speed(older, spark.table(lines)), layers.name("gold", "velocidade_linhas"), jobs.DAY)
+    tables.replace_table(
+        gold.fleet_snapshot(older).withColumn("ate_dia", F.lit(before)), layers.name("silver", "ultimo_ping"), "ate_dia")
+    jobs.refresh_day(layers, newest, before)
+    return _speed_output(layers.read("gold", "velocidade_linhas"))
+
+
+@query("""select cast(documents as bigint) as documents, cast(unreadable as bigint) as unreadable, cast(wrong as bigint) as wrong_shape,
+    rows from (select sum(case when page % 4 = 0 then 5 else 1 end) + 1 as documents,
+      sum(case when page % 4 = 0 then 1 else 0 end) as unreadable, 1 as wrong
+      from (select distinct event_id // 500 as page, run from {raw_pings})), (select count(*) as rows from {raw_pings})""")
+def job_ingest_status(spark, sf):
+    layers, root = _lake(spark)
+    docs = tv.position_docs(spark, sf).unionByName(spark.createDataFrame([('{"hr":"1","l":5}',)], "body string"))
+    return jobs.ingest(layers, "posicao_veiculos", docs, RUN, landing_root=f"{root}/landing").drop("tabela")
+
+
+@query("""select cp, np, ed, cast(cp % 27 as int) as cod_linha, case when cp % 2 = 1 then 'R' || cast(cp as varchar) end as zona from {stops}""")
+def job_bronze_evolves(spark, sf):
+    """The second run brings a column that the table does not know."""
+    layers, root = _lake(spark)
+    docs = tv.stop_docs(spark, sf, "cod_linha").select("body", "cod_linha")
+    one = F.from_json("body", "array<struct<cp int>>")
+    each = docs.withColumn("cp", F.explode(F.transform(one, lambda x: x["cp"])))
+    item = F.get(F.filter(F.from_json("body", schemas.STOPS), lambda x: x["cp"] == F.col("cp")), 0)
+    single = each.select(F.to_json(F.array(item)).alias("body"), "cod_linha", "cp")
+    jobs.ingest(layers, "paradas_por_linha", single.filter("cp % 2 = 0").select("body", "cod_linha"), RUN, landing_root=f"{root}/landing")
+    odd = single.filter("cp % 2 = 1").withColumn("zona", F.concat(F.lit("R"), F.col("cp").cast("string"))).drop("cp")
+    jobs.ingest(layers, "paradas_por_linha", odd, datetime(2024, 2, 2))
+    return layers.read("bronze", "paradas_por_linha").select("cp", "np", "ed", "cod_linha", "zona")
+
+
+def _flaky(good: bool):
+    """Replies made from the key; every eleventh key fails unless the service is well."""
+    def fetch(key):
+        if key % 11 == 0 and not good:
+            raise TimeoutError(f"no reply for {key}")
+        return f'{{"hr": "1", "p": {{"cp": {key}, "l": [{{"cl": 1, "vs": [{{"p": "{key}"}}]}}]}}}}'
+
+    return fetch
+
+
+@query("""select cp, cast(cp as varchar) as p, count(*) as copies from (
+    select distinct cast(stop_id as int) as cp from {stops} where regexp_full_match(stop_id, '[0-9]+')) group by 1, 2""")
+def job_sweep_resumed(spark, sf):
+    """A sweep with failed keys, resumed twice when the service is well again."""
+    layers, root = _lake(spark)
+    keys = numbering.integer_keys(tv.view(spark, sf, "stops"), "stop_id", "cp")
+    for turn in range(3):
+        jobs.ingest_sweep(layers, "previsao_chegada_parada", keys, _flaky(turn > 0), RUN, f"{root}/sweep", tasks=8,
+                          lots_per_commit=64, resume=turn > 0, attempts=1, wait_seconds=0)
+    return layers.read("bronze", "previsao_chegada_parada").groupBy("cp", "p").agg(F.count(F.lit(1)).alias("copies"))
+
+
+@query("""select 'shapes' as file, column_name as "column", rejected from (
+    select 'shape_pt_lat' as column_name, count(*) filter (where shape_id % 50 = 0) as rejected from {shapes}
+    union all select 'shape_pt_lon', 0 union all select 'shape_dist_traveled', 0
+    union all select 'shape_pt_sequence', count(*) filter (where shape_id % 70 = 0) from {shapes}) where column_name <> 'shape_dist_traveled'""")
+def gtfs_rejects(spark, sf):
+    folder = shared_folder(spark, "gtfs")
+    bad = tv.view(spark, sf, "shapes").withColumns({
+        "shape_pt_lat": F.when(F.col("shape_id") % 50 == 0, F.lit("north")).otherwise(F.col("shape_pt_lat").cast("string")),
+        "shape_pt_sequence": F.when(F.col("shape_id") % 70 == 0, F.lit("1.x")).otherwise(F.col("shape_pt_sequence").cast("string")),
+    })
+    bad.write.option("header", True).csv(f"{folder}/shapes.txt")
+    return gtfs.rejects(spark, folder, "shapes").select(F.lit("shapes").alias("file"), "column", "rejected")
+
+
+@query("""select c.col as "column", c.kind as type, (select count(*) from {shapes}) as rows
+    from (values ('shape_id', 'int'), ('shape_pt_lat', 'double'), ('shape_pt_lon', 'double'), ('shape_pt_sequence', 'int')) c(col, kind)""")
+def gtfs_inferred(spark, sf):
+    rows = gtfs.read_file(spark, _schedule_folder(spark, sf), "shapes", infer=True)
+    kinds = [(c, t) for c, t in rows.dtypes if c.startswith("shape_")]
+    named = F.array(*(F.struct(F.lit(c).alias("column"), F.lit(t).alias("type")) for c, t in kinds))
+    return rows.agg(F.count(F.lit(1)).alias("rows")).select(F.explode(named).alias("c"), "rows").select("c.*", "rows")
+
+
+@query("""select c.col as "column", c.kind as type, c.said as comment, 'Stops found by search term' as of_table,
+    (select count(*) from {stops}) as rows
+    from (values ('cp', 'int', 'Stop code'), ('np', 'string', 'the name''s text'), ('ed', 'string', 'Stop address'),
+      ('py', 'double', 'Latitude of the stop'), ('px', 'double', 'Longitude of the stop')) c(col, kind, said)""")
+def catalog_comments(spark, sf):
+    """A typed table with comments, filled and described."""
+    layers, _ = _lake(spark)
+    name = layers.name("bronze", "buscar_paradas")
+    tables.create_table(spark, name, schemas.BRONZE["buscar_paradas"])
+    tables.append_table(tv.view(spark, sf, "stops").select(*tv.STOP_COLUMNS), name)
+    tables.comment_table(spark, name, jobs.COMMENTS["buscar_paradas"])
+    tables.comment_columns(spark, name, {"np": "the name's text", "zz": "no such column"})
+    described = tables.describe(spark, name)
+    said = described.filter("col_name = 'Comment'").select(F.col("data_type").alias("of_table"))
+    columns = described.filter(F.col("col_name").isin(*tv.STOP_COLUMNS)).select(
+        F.col("col_name").alias("column"), F.col("data_type").alias("type"), "comment")
+    rows = spark.table(name).agg(F.count(F.lit(1)).alias("rows"))
+    one = F.lit(1).alias("one")
+    return columns.select("*", one).join(said.select("*", one), "one").join(rows.select("*", one), "one").drop("one")
+
+
+@query("""select 'gold.perfil_rota_estatico' as tabela, (select count(*) from {perfil}) as linhas
+    union all select 'silver.dim_linhas', (select count(*) from {dim_linhas})
+    union all select 'silver.ultimo_ping', (select count(*) from {snapshot})""")
+def job_register(spark, sf):
+    """Layers whose catalog was lost: the files are found again, a dropped table is not, and no other is there."""
+    layers, root = _lake(spark)
+    tables.replace_table(_profile(spark, sf), layers.name("gold", "perfil_rota_estatico"))
+    tables.replace_table(_lines(spark, sf), layers.name("silver", "dim_linhas"))
+    tables.replace_table(gold.fleet_snapshot(_fact(spark, sf)).withColumn("ate_dia", F.lit("2024-02-01").cast("date")),
+                         layers.name("silver", "ultimo_ping"), "ate_dia")
+    tables.replace_table(tv.view(spark, sf, "stops"), layers.name("gold", "acessibilidade"))
+    tables.drop_table(spark, layers.name("gold", "acessibilidade"))
+    again = f"again_{layers.prefix}"
+    tables.create_layers(spark, root, again)
+    found = [r.table for r in tables.register_tables(spark, root, again).filter("error is null").orderBy("table").collect()]
+    counts = [spark.table(t).agg(F.count(F.lit(1)).alias("linhas")).select(F.lit(t.removeprefix(again)).alias("tabela"), "linhas")
+              for t in found]
+    first, *rest = counts
+    for other in rest:
+        first = first.unionByName(other)
+    return first
+
+
+@query("""select cp, np, case when cp % 2 = 0 then 'even' else 'odd' end as side, true as refused from {stops}""")
+def catalog_replace(spark, sf):
+    """A table made from a query, replaced with one more column, refused with fewer, read through a view."""
+    layers, _ = _lake(spark)
+    name, stops = layers.name("gold", "paradas"), tv.view(spark, sf, "stops")
+    tables.replace_table(stops.select("cp"), name)
+    tables.replace_table(stops.select("cp", "np"), name)
+    more = stops.select("cp", "np", F.when(F.col("cp") % 2 == 0, "even").otherwise("odd").alias("side"))
+    tables.replace_table(more, name)
+    try:
+        tables.replace_table(stops.select("cp"), name, same_schema=True)
+        refused = False
+    except ValueError:
+        refused = True
+    tables.replace_table(more, name, same_schema=True)
+    view = f"paradas_{layers.prefix}"
+    tables.temporary_view(layers.read("gold", "paradas"), view)
+    return spark.sql(f"select *, {refused} as refused from `{view}`")
+
+
+@query("select cp, np from {stops} order by cp limit 10")
+def catalog_preview(spark, sf):
+    layers, _ = _lake(spark)
+    tables.replace_table(tv.view(spark, sf, "stops").select("cp", "np"), layers.name("bronze", "paradas"))
+    return tables.preview(layers.read("bronze", "paradas"), "cp")
+
+
 # -- streaming ----------------------------------------------------------------------------------
 
 def _finish(stream) -> None:

@@ -140,7 +140,7 @@ GTFS = {
 
 # Every table by layer; the static files land in bronze with a gtfs_ prefix.
 LAYERS = {
-    "bronze": [*BRONZE, *(f"gtfs_{name}" for name in GTFS)],
-    "silver": ["fato_posicao_veiculos", "dim_linhas", "dim_empresas", "mapa_shapes_gtfs"],
+    "bronze": [*BRONZE, *(f"gtfs_{name}" for name in GTFS), "dias_sinal"],
+    "silver": ["fato_posicao_veiculos", "dim_linhas", "dim_empresas", "mapa_shapes_gtfs", "ultimo_ping"],
     "gold": ["velocidade_linhas", "acessibilidade", "snapshot_frota_atual", "perfil_rota_estatico"],
 }

@@ -126,3 +126,27 @@ def corridors(docs: DataFrame) -> DataFrame:
 def is_unreadable(body: Column) -> Column:
     """True for a document that is missing or not JSON, for the run report."""
     return body.isNull() | F.try_parse_json(body).isNull()
+
+
+def wrong_shape(body: Column, parse: str) -> Column:
+    """True for a readable document whose list is there but not a list of what the parser expects.
+
+    ``parse`` is one of SHAPES; null and empty answers are no fault.
+    """
+    field, shape = SHAPES[parse]
+    given = F.get_json_object(body, f"$.{field}" if field else "$")
+    blank = given.isNull() | F.trim(given).isin("[]", "{}", "null", "")
+    found = F.from_json(body, shape)
+    found = found[field] if field else found
+    some = found.isNotNull() & ~F.forall(found, lambda x: x.isNull())
+    if field in ("p", "ps"):  # a lone object stands for a list of one
+        some = some | F.coalesce(given.startswith("{"), F.lit(False))
+    return ~is_unreadable(body) & ~blank & ~F.coalesce(some, F.lit(False))
+
+
+#: By parser: the field of its list (none if the document is the list), and how the list is read.
+SHAPES = {
+    "positions": ("l", schemas.POSITIONS), "companies": ("", schemas.COMPANIES),
+    "stop_forecast": ("p", f"struct<p: array<{schemas.STOP_FORECAST}>>"), "line_forecast": ("ps", f"struct<ps: array<{schemas.LINE_FORECAST}>>"),
+    "lines": ("", schemas.LINES), "stops": ("", schemas.STOPS), "corridors": ("", schemas.CORRIDORS),
+}

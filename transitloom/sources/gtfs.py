@@ -13,7 +13,7 @@ from transitloom import schemas
 from transitloom.session import SPARK_ERRORS
 from transitloom.sources.landing import moment
 
-STATUS = "file string, rows bigint, error string"
+STATUS = "file string, rows bigint, rejected bigint, error string"
 
 
 def read_file(spark: SparkSession, folder: str, name: str, run_time: datetime | None = None,
@@ -36,9 +36,13 @@ def read_file(spark: SparkSession, folder: str, name: str, run_time: datetime |
     return rows
 
 
+def _header(text_rows: DataFrame) -> dict[str, str]:
+    """Clean column names and those in the file; a byte order mark may stick to the first."""
+    return {c.lstrip("﻿").strip().strip('"'): c for c in text_rows.columns}
+
+
 def _typed(text_rows: DataFrame, schema: T.StructType) -> DataFrame:
-    # a byte order mark may stick to the first header name
-    found = {c.lstrip("﻿").strip().strip('"'): c for c in text_rows.columns}
+    found = _header(text_rows)
     if not set(found) & set(schema.names):
         raise ValueError(f"no known column in header {sorted(found)}")
     known = [
@@ -50,17 +54,34 @@ def _typed(text_rows: DataFrame, schema: T.StructType) -> DataFrame:
     return text_rows.select(*known, *others)
 
 
+def rejects(spark: SparkSession, folder: str, name: str) -> DataFrame:
+    """(column, rejected): cells of one file that hold text but no value of their column's type."""
+    rows = spark.read.option("header", True).option("sep", ",").csv(f"{folder.rstrip('/')}/{name}.txt")
+    schema = T.StructType.fromDDL(schemas.GTFS[name])
+    found = _header(rows)
+    typed = [f for f in schema if f.name in found and f.dataType != T.StringType()]
+    bad = [F.count_if((F.trim(F.col(f"`{found[f.name]}`")) != "") & F.trim(F.col(f"`{found[f.name]}`")).try_cast(f.dataType).isNull()).alias(f.name)
+           for f in typed]
+    if not bad:
+        return spark.createDataFrame([], "column string, rejected bigint")
+    counts = rows.agg(*bad)
+    return counts.select(F.explode(F.map_from_arrays(F.array(*(F.lit(f.name) for f in typed)), F.array(*(f.name for f in typed)))).alias(
+        "column", "rejected"))
+
+
 def load_files(spark: SparkSession, folder: str, write: Callable[[str, DataFrame], int],
                run_time: datetime, names: Iterable[str] = tuple(schemas.GTFS)) -> DataFrame:
     """Load each file through ``write(name, rows)``, which returns the number of rows written.
 
     A missing or unreadable file is recorded with its error and the others still load. Returns one
-    status row per file.
+    status row per file, with the number of cells that became null because they hold no value of their type.
     """
     report = []
     for name in names:
         try:
-            report.append((name, write(name, read_file(spark, folder, name, run_time)), None))
+            rows = write(name, read_file(spark, folder, name, run_time))
+            bad = rejects(spark, folder, name).agg(F.coalesce(F.sum("rejected"), F.lit(0))).first()[0]
+            report.append((name, rows, bad, None))
         except (*SPARK_ERRORS, ValueError) as error:
-            report.append((name, None, str(error).splitlines()[0]))
+            report.append((name, None, None, str(error).splitlines()[0]))
     return spark.createDataFrame(report, STATUS)

@@ -3,10 +3,12 @@
 from __future__ import annotations
 
 import logging
+from collections.abc import Sequence
 from datetime import datetime
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from transitloom.functions.clock import run_stamp
 from transitloom.session import SPARK_ERRORS
@@ -26,11 +28,11 @@ def read_document_files(spark: SparkSession, path: str) -> DataFrame:
     )
 
 
-def read_landed(spark: SparkSession, path: str) -> DataFrame:
-    """Documents written by :func:`land_raw`."""
-    return spark.read.text(path, lineSep=_RECORD_END).select(
-        F.col("value").alias(BODY), F.col("_metadata.file_path").alias("arquivo_origem")
-    )
+def read_landed(spark: SparkSession, path: str, keys: Sequence[str] = ()) -> DataFrame:
+    """Documents written by :func:`land_raw`, with the columns they were landed with, as text."""
+    columns = T.StructType([T.StructField(c, T.StringType()) for c in ("value", *keys)])
+    origin = [] if "arquivo_origem" in keys else [F.col("_metadata.file_path").alias("arquivo_origem")]
+    return spark.read.schema(columns).text(path, lineSep=_RECORD_END).select(F.col("value").alias(BODY), *origin, *keys)
 
 
 def stream_landed(spark: SparkSession, path: str, files_per_batch: int | None = None) -> DataFrame:
@@ -43,12 +45,14 @@ def stream_landed(spark: SparkSession, path: str, files_per_batch: int | None =
     )
 
 
-def land_raw(docs: DataFrame, path: str) -> bool:
-    """Append raw bodies unchanged. A failure is logged and reported, it does not stop the run."""
+def land_raw(docs: DataFrame, path: str, keys: Sequence[str] = ()) -> bool:
+    """Append raw bodies unchanged, in a folder per value of the columns named (request keys, origin).
+
+    A failure is logged and reported, it does not stop the run.
+    """
+    writer = docs.select(BODY, *keys).filter(F.col(BODY).isNotNull()).write.mode("append").option("lineSep", _RECORD_END)
     try:
-        docs.select(BODY).filter(F.col(BODY).isNotNull()).write.mode("append").option(
-            "lineSep", _RECORD_END
-        ).text(path)
+        (writer.partitionBy(*keys) if keys else writer).text(path)
         return True
     except SPARK_ERRORS as error:
         log.warning("raw documents not landed at %s: %s", path, error)

@@ -10,7 +10,7 @@ import time
 from collections.abc import Callable, Iterator
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
@@ -70,16 +70,34 @@ def write_lots(keys: DataFrame, key: str, size: int, folder: str) -> None:
     in_lots(keys, key, size).repartition("lote").write.partitionBy("lote").parquet(folder)
 
 
+def ask_again(spark: SparkSession, requests: str, key: str, replies: str) -> None:
+    """Queue the keys whose last answer is a failure, under the lot they had."""
+    failed = last_replies(spark, replies, key).filter(F.col("status") == "failed").select(key, "lote")
+    failed.write.mode("append").partitionBy("lote").parquet(requests)
+
+
+def last_replies(spark: SparkSession, replies: str, key: str) -> DataFrame:
+    """The answer of every key from the last commit that asked for it."""
+    every = spark.read.parquet(replies)
+    latest = Window.partitionBy(key).orderBy(F.col("commit").desc())
+    return every.withColumn("__rank", F.row_number().over(latest)).filter("__rank = 1").drop("__rank")
+
+
 def sweep_lots(spark: SparkSession, requests: str, key: str, fetch: Callable[[object], str | None],
                replies: str, checkpoint: str, tasks: int, lots_per_commit: int = 1,
-               **options) -> StreamingQuery:
+               written: Callable[[DataFrame, int], None] | None = None, **options) -> StreamingQuery:
     """Sweep the lots written by :func:`write_lots`, some lots per commit.
 
     Every commit writes its replies to a folder of its own under ``replies``, overwriting what an
-    interrupted attempt left there. Read the replies of all commits from ``replies``.
+    interrupted attempt left there, and hands them with its number to ``written``. Read the replies of all commits
+    from ``replies``.
     """
     def ask(batch: DataFrame, batch_id: int) -> None:
-        sweep(batch, key, fetch, tasks, **options).write.mode("overwrite").parquet(f"{replies}/commit={batch_id}")
+        folder = f"{replies}/commit={batch_id}"
+        asked = sweep(batch, key, fetch, tasks, **options)
+        asked.write.mode("overwrite").parquet(folder)
+        if written is not None:
+            written(spark.read.schema(asked.schema).parquet(folder), batch_id)
 
     source = spark.readStream.schema(f"{key} int, lote bigint").option(
         "maxFilesPerTrigger", lots_per_commit).parquet(requests)

@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterable
+
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from transitloom import schemas
-from transitloom.session import SPARK_ERRORS
+from transitloom.session import SPARK_ERRORS, shared_folder
 
 FORMAT = "parquet"
 
@@ -96,6 +99,11 @@ def preview(df: DataFrame, by: str | list[str], rows: int = 10) -> DataFrame:
     return df.orderBy(*([by] if isinstance(by, str) else by)).limit(rows)
 
 
+def temporary_view(df: DataFrame, name: str) -> None:
+    """A name for the session's SQL; it ends with the session."""
+    df.createOrReplaceTempView(name)
+
+
 # -- sinks --------------------------------------------------------------------------------------
 
 def append_evolving(df: DataFrame, path: str) -> None:
@@ -103,6 +111,22 @@ def append_evolving(df: DataFrame, path: str) -> None:
     df.write.mode("append").format(FORMAT).save(path)
 
 
+def take_new_columns(spark: SparkSession, name: str, df: DataFrame) -> DataFrame:
+    """Add to a table the columns that only ``df`` has; returns ``df`` in the table's order, with nulls for what it lacks."""
+    have = {f.name: f for f in spark.table(name).schema}
+    new = [f for f in df.schema if f.name not in have]
+    if new:
+        columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in new)
+        spark.sql(f"ALTER TABLE {_identifier(name)} ADD COLUMNS ({columns})")
+    return df.select(*(
+        F.col(f.name) if f.name in df.columns else F.lit(None).cast(f.dataType).alias(f.name) for f in spark.table(name).schema))
+
+
+def append_table(df: DataFrame, name: str) -> None:
+    """Append to an existing table, which takes new columns as they come."""
+    take_new_columns(df.sparkSession, name, df).write.insertInto(name)
+
+
 def read_evolving(spark: SparkSession, path: str) -> DataFrame:
     """Read such a folder with the union of all columns; rows from before a column existed hold null."""
     return spark.read.option("mergeSchema", True).format(FORMAT).load(path)
@@ -125,23 +149,34 @@ def replace_table(df: DataFrame, name: str, partition_by: str | None = None,
     writer.saveAsTable(name)
 
 
-def replace_partitions(df: DataFrame, name: str, partition_by: str) -> None:
-    """Replace only the partitions present in ``df``; the table is created on first use.
+def replace_partitions(df: DataFrame, name: str, partition_by: str, values: Iterable | None = None) -> None:
+    """Replace the partitions that ``df`` has rows for; of ``values``, those without rows are emptied.
 
-    The overwrite mode is a session setting for this call: an insert ignores it as a write option.
+    The table is created on first use. The rows are written once to the shared folder, so ``df`` may read the
+    table itself, and are then moved in by a write whose own option limits it to their partitions: no session
+    setting is touched, and jobs side by side do not disturb each other.
     """
     spark = df.sparkSession
     if not spark.catalog.tableExists(name):
         replace_table(df, name, partition_by)
         return
-    rows = balanced(df, partition_by).select(*spark.table(name).columns)
-    setting = "spark.sql.sources.partitionOverwriteMode"
-    before = spark.conf.get(setting)
-    spark.conf.set(setting, "dynamic")
-    try:
-        rows.write.insertInto(name, overwrite=True)
-    finally:
-        spark.conf.set(setting, before)
+    staged = shared_folder(spark, "partitions")
+    balanced(df, partition_by).write.partitionBy(partition_by).format(FORMAT).save(staged)
+    rows = take_new_columns(spark, name, spark.read.schema(df.schema).format(FORMAT).load(staged))
+    rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(partition_by).format(FORMAT).save(location(spark, name))
+    if values is not None:
+        filled = {r[0] for r in rows.select(partition_by).distinct().collect()}  # one row per partition
+        for value in set(values) - filled:
+            spec = "null" if value is None else _quoted(str(value))
+            spark.sql(f"ALTER TABLE {_identifier(name)} DROP IF EXISTS PARTITION (`{partition_by}` = {spec})")
+    spark.catalog.recoverPartitions(name)
+    spark.catalog.refreshTable(name)
+
+
+def location(spark: SparkSession, name: str) -> str:
+    """The folder of a table."""
+    rows = spark.sql(f"DESCRIBE TABLE EXTENDED {_identifier(name)}").filter("col_name = 'Location'")
+    return rows.first()["data_type"]
 
 
 def balanced(df: DataFrame, column: str | None) -> DataFrame:

@@ -258,8 +258,8 @@ def _some_null(items: Column, when: Column) -> Column:
     return F.when(when, F.concat(items, F.array(F.lit(None)))).otherwise(items)
 
 
-def position_docs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Positions of one page of events and one report run: lines, each with vehicles."""
+def position_docs(spark: SparkSession, sf_dir: str, *keys: str) -> DataFrame:
+    """Positions of one page of events and one report run: lines, each with vehicles. ``keys``: page, run."""
     line = (
         view(spark, sf_dir, "raw_pings")
         .withColumn("page", F.expr(f"event_id div {EVENTS_PER_DOC}"))
@@ -276,7 +276,7 @@ def position_docs(spark: SparkSession, sf_dir: str) -> DataFrame:
     full = F.to_json(F.struct(hr.alias("hr"), _some_null(F.col("l"), F.col("page") % 3 == 0).alias("l")))
     hollow = F.array(full, F.lit('{"hr":"12:00"}'), F.lit('{"hr":"12:00","l":null}'),
                      F.lit('{"hr":"12:00","l":[{"cl":1},{"cl":2,"vs":null}]}'), F.lit("not json"))
-    return doc.select(F.explode(F.when(F.col("page") % 4 == 0, hollow).otherwise(F.array(full))).alias("body"))
+    return doc.select(*keys, F.explode(F.when(F.col("page") % 4 == 0, hollow).otherwise(F.array(full))).alias("body"))
 
 
 def company_docs(spark: SparkSession, sf_dir: str) -> DataFrame:
