@@ -7,12 +7,12 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from transitloom.llm import bpe, classifier, decontaminate, extract, ngramjoin, pii, quality, substring, tokencount, toxicity
+from transitloom.llm import bpe, classifier, decontaminate, extract, ngramjoin, oracles, pii, quality, substring, tokencount, toxicity
 from transitloom.llm.graph import stored
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = dict(oracles.BY_QUERY)
 
 
 def query(function: Query) -> Query:
