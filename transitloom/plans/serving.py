@@ -28,8 +28,12 @@ def _on_day(df: DataFrame, day, latest_of: DataFrame) -> DataFrame:
 
 
 def fleet_counts(snapshot: DataFrame) -> DataFrame:
-    """Vehicles and accessible vehicles by line."""
-    return snapshot.groupBy(text.key_text(F.col("cod_linha")).alias("linha")).agg(
+    """Vehicles and accessible vehicles by line, the line as text."""
+    return _fleet(snapshot).select(text.key_text(F.col("cod_linha")).alias("linha"), "Qtd_Veiculos", "Acessiveis")
+
+
+def _fleet(snapshot: DataFrame) -> DataFrame:
+    return snapshot.groupBy("cod_linha").agg(
         F.count("prefixo_veiculo").alias("Qtd_Veiculos"),
         F.count_if(text.is_truthy(F.col("is_acessivel"))).alias("Acessiveis"),
     )
@@ -66,7 +70,6 @@ def dashboard_day(speed: DataFrame, snapshot: DataFrame, profile: DataFrame, day
     mean_length = lengths.agg(F.avg("km")).scalar()
 
     named = today.select(
-        text.key_text(F.col("cod_linha")).alias("linha"),
         "cod_linha",
         F.coalesce("letreiro_completo", F.lit(text.UNKNOWN_SIGN)).alias("letreiro_completo"),
         F.coalesce("nome_rota_oficial", F.lit(text.UNKNOWN_ROUTE)).alias("nome_rota_oficial"),
@@ -75,7 +78,7 @@ def dashboard_day(speed: DataFrame, snapshot: DataFrame, profile: DataFrame, day
         "sentido_desc",
         "data_referencia",
     )
-    joined = named.join(fleet_counts(seen), "linha", "left").join(
+    joined = named.join(_fleet(seen), "cod_linha", "left").join(
         lengths, F.col("letreiro_completo") == F.col("letreiro_gtfs"), "left"
     )
     fleet = F.coalesce("Qtd_Veiculos", F.lit(0).cast("bigint"))
@@ -90,7 +93,7 @@ def dashboard_day(speed: DataFrame, snapshot: DataFrame, profile: DataFrame, day
             F.try_divide("Acessiveis", "Qtd_Veiculos"), F.lit(0.0)
         ) * 100,
         "Status_Acessibilidade": access_status(F.col("Acessiveis"), F.col("Qtd_Veiculos")),
-    }).drop("linha", "km", "letreiro_gtfs")
+    }).drop("km", "letreiro_gtfs")
     if accessible_only:
         measured = measured.filter(F.col("Perc_Acessivel") > 0)
     return without_ghosts(measured) if hide_ghosts else measured

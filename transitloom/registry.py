@@ -721,12 +721,10 @@ def catalog_comments(spark, sf):
     tables.comment_table(spark, name, jobs.COMMENTS["buscar_paradas"])
     tables.comment_columns(spark, name, {"np": "the name's text", "zz": "no such column"})
     described = tables.describe(spark, name)
-    said = described.filter("col_name = 'Comment'").select(F.col("data_type").alias("of_table"))
-    columns = described.filter(F.col("col_name").isin(*tv.STOP_COLUMNS)).select(
-        F.col("col_name").alias("column"), F.col("data_type").alias("type"), "comment")
-    rows = spark.table(name).agg(F.count(F.lit(1)).alias("rows"))
-    one = F.lit(1).alias("one")
-    return columns.select("*", one).join(said.select("*", one), "one").join(rows.select("*", one), "one").drop("one")
+    said = described.filter("col_name = 'Comment'").select("data_type").scalar()
+    rows = spark.table(name).agg(F.count(F.lit(1))).scalar()
+    return described.filter(F.col("col_name").isin(*tv.STOP_COLUMNS)).select(
+        F.col("col_name").alias("column"), F.col("data_type").alias("type"), "comment", said.alias("of_table"), rows.alias("rows"))
 
 
 @query("""select 'gold.perfil_rota_estatico' as tabela, (select count(*) from {perfil}) as linhas
