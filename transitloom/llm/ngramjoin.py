@@ -262,7 +262,10 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
 def first_of_each(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", size: int = 3, percent: int = 90) -> DataFrame:
     """The documents that have the smallest id of their component; rows equal in id and text stay or go together."""
     found = components_of(keyed(docs, doc_id, text), size, percent)
-    # of several texts with the component's id, the one with the smallest tie stays
-    first = Window.partitionBy("component").orderBy("_doc", "_tie")
-    gone = found.filter("n > 0").withColumn("place", F.dense_rank().over(first)).filter("place > 1").distinct()
+    found = found.filter("n > 0")
+    # a component bears the id of its first document; of several texts with that id the smallest tie stays
+    named = found.filter("_doc = component")
+    first = named.groupBy("component").agg(F.min("_tie").alias("first"))
+    again = named.join(first, "component").filter("_tie > first").select("_doc", "_tie")
+    gone = found.filter("_doc > component").select("_doc", "_tie").unionByName(again).distinct()
     return without(docs, gone, doc_id, text)
