@@ -18,6 +18,7 @@ repeated rows give repeated rows; other columns are left out.
 from __future__ import annotations
 
 import json
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -67,6 +68,7 @@ class Automaton:
             a, b = pair if isinstance(pair, list) else pair.split(" ")
             self._merge(rank, ids[a], ids[b], ids[a + b])
         self.shorter = self._prefixes()
+        self.size = {t: len(label) for t, label in self.label.items()}
 
     def _arc(self, token: int, right: tuple, left: tuple) -> None:
         self.right[token], self.left[token] = right, left
@@ -138,7 +140,7 @@ class Encoder:
         A place is reached by one path only, so a place without a way on is never tried again.
         """
         a, data = self.automaton, word.encode()
-        n, root, allowed, shorter, label = len(data), a.root, self.allowed, a.shorter, a.label
+        n, root, allowed, shorter, size = len(data), a.root, self.allowed, a.shorter, a.size
         if len(allowed) > TABLE_ENTRIES:
             allowed.clear()
         path: list[int] = []
@@ -154,7 +156,7 @@ class Encoder:
                     t = node.get(_TOKEN, t)
                     i += 1
             while t >= 0:
-                end = at + len(label[t])
+                end = at + size[t]
                 if end not in dead:
                     if not path:
                         break
@@ -171,7 +173,7 @@ class Encoder:
             else:
                 dead.add(at)
                 t = path.pop()
-                at -= len(label[t])
+                at -= size[t]
                 t = shorter[t]
                 if t < 0:  # nothing shorter here either: go further back
                     t = _NONE
@@ -180,9 +182,9 @@ class Encoder:
                 while t < 0:
                     dead.add(at)
                     t = path.pop()
-                    at -= len(label[t])
+                    at -= size[t]
                     t = shorter[t]
-        return np.array(path, dtype="<i4").tobytes()
+        return array("i", path).tobytes()
 
     def forget(self) -> None:
         """Empty the tables, so that an idle worker holds the automaton alone."""
@@ -190,13 +192,13 @@ class Encoder:
         self.words = _Table(self._word)
 
     def encode(self, text: str) -> bytes:
-        """Token ids of a text as little-endian 32-bit numbers."""
+        """Token ids of a text as 32-bit numbers."""
         if self.added is None or not any(t in text for t in self.automaton.added):
             return b"".join(map(self.words.__getitem__, self.cut.findall(text)))
         out, at = [], 0
         for found in self.added.finditer(text):
             out += map(self.words.__getitem__, self.cut.findall(text[at : found.start()]))
-            out.append(np.array([self.automaton.added[found[0]]], dtype="<i4").tobytes())
+            out.append(array("i", [self.automaton.added[found[0]]]).tobytes())
             at = found.end()
         out += map(self.words.__getitem__, self.cut.findall(text[at:]))
         return b"".join(out)
@@ -248,7 +250,7 @@ def encode(docs: DataFrame, path: str, doc_id: str = "doc_id", text: str = "text
             encoder = encoder or _encoder(spec.value)
             parts = [encoder.encode(t.as_py() or "") for t in batch.column("_text")]
             ends = np.cumsum([0, *(len(p) // 4 for p in parts)], dtype=np.int32)
-            ids = pa.ListArray.from_arrays(pa.array(ends), pa.array(np.frombuffer(b"".join(parts), dtype="<i4")))
+            ids = pa.ListArray.from_arrays(pa.array(ends), pa.array(np.frombuffer(b"".join(parts), dtype=np.int32)))
             if decoded is None:
                 yield pa.RecordBatch.from_arrays([batch.column("_id"), ids], [doc_id, "ids"])
                 continue
