@@ -378,7 +378,7 @@ def test_slots_without_article_elements(spark):
 
 def test_article_with_furniture_inside(spark):
     body = ("<main><article><header><h1>Title</h1></header><p>One&nbsp;two\n three<!-- no --><br>four<script>x='</p>'</script>"
-            "<div class='ad'>Buy</div><form><input value=1>Send</form><ul><li>a<li>b &lt;c&gt;</ul><p>unclosed <b>bold</article></main>")
+            "<div class='ad'>Buy</div><p style='display: none'>gone</p><div hidden>gone</div><form><input value=1>Send</form><ul><li>a<li>b &lt;c&gt;</ul><p>unclosed <b>bold</article></main>")
     got = texts(spark, [("https://b.example/1", FRAME % body)] * 2 + [(None, FRAME % body)])
     assert set(got.values()) == {"Title\nOne two three four\na\nb <c>\nunclosed bold"}
 
