@@ -18,6 +18,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -131,7 +132,7 @@ def repeated_starts(rows: DataFrame, window: int = 20, period: int = 13) -> Data
         yield from map(cover.of_batch, tk.groups(batches, "_text"))
 
     def windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in tk.groups(batches, "_text"):
+        for batch in tk.groups(_unpacked(batches), "_text"):
             yield from cover.windows(batch)
 
     ids = rows.select("_doc", "_tie", "_same", "_same2")
@@ -149,7 +150,7 @@ def repeated_starts(rows: DataFrame, window: int = 20, period: int = 13) -> Data
     )
     # one text per group of copies is read again; both joins read the same exchange of the texts
     listed = shared.join(leaders, "_same").select("_doc", "_tie", "listed")
-    near = texts_by_key(rows).join(listed, ["_doc", "_tie"]).select("_doc", "_tie", "_text", "listed")
+    near = texts_by_key(rows).join(listed, ["_doc", "_tie"]).select("_doc", "_tie", "_packed", "listed")
     cut = near.mapInArrow(windows, "w long, w2 int, _doc long, _tie int, at long")
     place = F.rank().over(Window.partitionBy("w", "w2").orderBy("_doc", "_tie"))
     removed = cut.withColumn("place", place).filter("place > 1 or at >= 4294967296").select("_doc", "_tie", F.lit(False).alias("copy"), "at")
@@ -159,11 +160,29 @@ def repeated_starts(rows: DataFrame, window: int = 20, period: int = 13) -> Data
 
 
 def texts_by_key(rows: DataFrame) -> DataFrame:
-    return rows.select("_doc", "_tie", "_text").repartition("_doc", "_tie")
+    """(_doc, _tie, _packed): the texts by document, compressed one by one, which beats the blocks of a shuffle."""
+
+    def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        squeeze = zstandard.ZstdCompressor(level=3).compress
+        for batch in batches:
+            packed = pa.array([squeeze(t.as_buffer()) for t in batch.column("_text")], pa.binary())
+            yield pa.RecordBatch.from_arrays([batch.column("_doc"), batch.column("_tie"), packed], ["_doc", "_tie", "_packed"])
+
+    packed = rows.select("_doc", "_tie", "_text").mapInArrow(pack, "_doc long, _tie int, _packed binary")
+    return packed.repartition("_doc", "_tie")
+
+
+def _unpacked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The batches with their texts, a few megabytes at a time."""
+    restore = zstandard.ZstdDecompressor().decompress
+    for whole in batches:
+        for batch in tk.groups(iter([whole]), "_packed"):
+            text = pa.array([restore(t.as_buffer()).decode() for t in batch.column("_packed")], pa.string())
+            yield pa.RecordBatch.from_arrays([*batch.columns, text], [*batch.schema.names, "_text"])
 
 
 def _kept(batches: Iterator[pa.RecordBatch], window: int) -> Iterator[pa.RecordBatch]:
-    for batch in tk.groups(batches, "_text"):
+    for batch in tk.groups(_unpacked(batches), "_text"):
         counts, gone, kept = [], [], []
         copies, starts = batch.column("copy").to_pylist(), batch.column("starts")
         for i, text in enumerate(batch.column("_text")):
@@ -197,7 +216,7 @@ def remove_repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     """
     rows = keyed(docs, doc_id, text)
     cut = repeated_starts(rows, window, period)
-    out = texts_by_key(rows).join(cut, ["_doc", "_tie"], "left").select("_doc", "_text", "copy", "starts").mapInArrow(
+    out = texts_by_key(rows).join(cut, ["_doc", "_tie"], "left").select("_doc", "_packed", "copy", "starts").mapInArrow(
         lambda batches: _kept(batches, window), "_doc long, n_words long, n_removed long, kept string"
     )
     return out.select(id_again(doc_id), "n_words", "n_removed", "kept")
