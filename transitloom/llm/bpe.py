@@ -186,11 +186,6 @@ class Encoder:
                     t = shorter[t]
         return array("i", path).tobytes()
 
-    def forget(self) -> None:
-        """Empty the tables, so that an idle worker holds the automaton alone."""
-        self.allowed.clear()
-        self.words = _Table(self._word)
-
     def encode(self, text: str) -> bytes:
         """Token ids of a text as 32-bit numbers."""
         if self.added is None or not any(t in text for t in self.automaton.added):
@@ -229,16 +224,6 @@ def read_spec(path: str) -> str:
         return f.read()
 
 
-_encoders: dict[int, Encoder] = {}
-
-
-def _encoder(spec: str) -> Encoder:
-    key = hash(spec)
-    if key not in _encoders:
-        _encoders[key] = Encoder(Automaton(spec))
-    return _encoders[key]
-
-
 def encode(docs: DataFrame, path: str, doc_id: str = "doc_id", text: str = "text", decoded: str | None = None) -> DataFrame:
     """(doc_id, ids): the token ids of every text, in order. ``decoded`` names a column for what the ids decode to."""
     small_batches(docs.sparkSession)
@@ -247,7 +232,7 @@ def encode(docs: DataFrame, path: str, doc_id: str = "doc_id", text: str = "text
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = table = None
         for batch in tk.groups(batches, "_text"):
-            encoder = encoder or _encoder(spec.value)
+            encoder = encoder or Encoder(Automaton(spec.value))  # ends with the task: idle workers keep nothing
             parts = [encoder.encode(t.as_py() or "") for t in batch.column("_text")]
             ends = np.cumsum([0, *(len(p) // 4 for p in parts)], dtype=np.int32)
             ids = pa.ListArray.from_arrays(pa.array(ends), pa.array(np.frombuffer(b"".join(parts), dtype=np.int32)))
@@ -256,8 +241,6 @@ def encode(docs: DataFrame, path: str, doc_id: str = "doc_id", text: str = "text
                 continue
             table = table or _Labels(encoder.automaton.label)
             yield pa.RecordBatch.from_arrays([batch.column("_id"), ids, table.texts(ids)], [doc_id, "ids", decoded])
-        if encoder is not None:
-            encoder.forget()
 
     schema = f"`{doc_id}` {docs.schema[doc_id].dataType.simpleString()}, ids array<int>" + (f", `{decoded}` string" if decoded else "")
     return docs.select(F.col(doc_id).alias("_id"), F.col(text).alias("_text")).mapInArrow(run, schema)

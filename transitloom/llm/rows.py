@@ -36,7 +36,7 @@ def id_again(name: str = "doc_id", key: str = "_doc") -> Column:
     return F.when(F.col(key) != SMALLEST, F.col(key)).alias(name)
 
 
-def small_batches(spark: SparkSession, rows: int = 1000, size: int = 8 << 20) -> None:
+def small_batches(spark: SparkSession, rows: int = 500, size: int = 4 << 20) -> None:
     """Bound what one batch to a Python task holds: long texts would otherwise fill its memory."""
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", rows)
     spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", size)

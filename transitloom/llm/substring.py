@@ -3,8 +3,8 @@
 A set D is a difference cover modulo a period v if every shift between two places can be undone by some step
 below v that puts both on positions whose remainder lies in D. So two equal runs of ``window`` words always
 share an equal, equally placed anchor of ``window - v + 1`` words that starts at a cover position of both
-documents. Only anchors at cover positions (4 of 13 by default) are hashed and shuffled. Around an anchor
-that stands in two texts, or twice in one, the full windows are hashed in turn; those decide.
+documents. Only anchors at cover positions (4 of 13 by default) are hashed and shuffled. Around anchors
+that stand in two texts, or twice in one, the full windows are hashed in turn; those decide.
 
 Meaning of odd input: a null text has no words; a null id counts as the smallest id; rows equal in id and
 text are one document and get the same answer; rows equal in id only are ordered by a hash of the text;
@@ -18,7 +18,6 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-import zstandard
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -69,6 +68,13 @@ class _Cover:
             ["anchor", "_same", "at"],
         )
 
+    def _in_reach(self, at: np.ndarray, n: int) -> np.ndarray:
+        """For each of n windows, how many of the positions it can start an anchor at are given."""
+        here = np.zeros(n + self.period, dtype=np.int64)
+        here[at + 1] = 1
+        total = np.cumsum(here)
+        return total[self.period :] - total[:n]
+
     def windows(self, batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
         """Windows that hold a listed anchor, once per text, and runs of later copies within their own text.
 
@@ -87,12 +93,13 @@ class _Cover:
                 continue
             at, a = self.of_words(x)
             places = flat[ends[i] : ends[i + 1]]
-            wanted = a[np.isin(at, places)]
-            at = at[np.isin(a, wanted)]
-            near = np.zeros(n + self.period + 1, dtype=np.int64)
-            np.add.at(near, np.clip(at - self.period + 1, 0, n), 1)
-            np.add.at(near, np.minimum(at + 1, n), -1)
-            starts = np.flatnonzero(np.cumsum(near[:n]) > 0)
+            shifted = places < 0
+            places = np.where(shifted, -1 - places, places)
+            shared = np.isin(a, a[np.isin(at, places)])
+            moved = np.isin(a, a[np.isin(at, places[shifted])])
+            # equal windows at one remainder share all their anchors, others share one that stands at two remainders
+            whole = self._in_reach(at[shared], n) == self.in_cover.sum()
+            starts = np.flatnonzero(whole | (self._in_reach(at[moved], n) > 0))
             if not len(starts):
                 continue
             w = tk.runs(x, self.window)[starts]
@@ -132,7 +139,7 @@ def repeated_starts(rows: DataFrame, window: int = 20, period: int = 13) -> Data
         yield from map(cover.of_batch, tk.groups(batches, "_text"))
 
     def windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in tk.groups(_unpacked(batches), "_text"):
+        for batch in tk.groups(batches, "_text"):
             yield from cover.windows(batch)
 
     ids = rows.select("_doc", "_tie", "_same", "_same2")
@@ -143,14 +150,18 @@ def repeated_starts(rows: DataFrame, window: int = 20, period: int = 13) -> Data
 
     found = rows.select("_same", "_text").mapInArrow(anchors, "anchor long, _same long, at int")
     group = Window.partitionBy("anchor")
+    rest = F.pmod("place", F.lit(period))
+    # listed as -1 - place if the anchor stands at several remainders of the period
     shared = (
-        found.withColumn("low", F.min("_same").over(group)).withColumn("high", F.max("_same").over(group))
+        found.withColumn("place", F.expr("if(at < 0, -1 - at, at)"))
+        .select("anchor", "_same", "at", "place", F.min("_same").over(group).alias("low"), F.max("_same").over(group).alias("high"),
+                ((F.min("at").over(group) < 0) | (F.min(rest).over(group) < F.max(rest).over(group))).alias("moved"))
         .filter("at < 0 or low < high")
-        .groupBy("_same").agg(F.collect_set(F.expr("if(at < 0, -1 - at, at)")).alias("listed"))
+        .groupBy("_same").agg(F.collect_set(F.expr("if(moved, -1 - place, place)")).alias("listed"))
     )
     # one text per group of copies is read again; both joins read the same exchange of the texts
     listed = shared.join(leaders, "_same").select("_doc", "_tie", "listed")
-    near = texts_by_key(rows).join(listed, ["_doc", "_tie"]).select("_doc", "_tie", "_packed", "listed")
+    near = texts_by_key(rows).join(listed, ["_doc", "_tie"]).select("_doc", "_tie", "_text", "listed")
     cut = near.mapInArrow(windows, "w long, w2 int, _doc long, _tie int, at long")
     place = F.rank().over(Window.partitionBy("w", "w2").orderBy("_doc", "_tie"))
     removed = cut.withColumn("place", place).filter("place > 1 or at >= 4294967296").select("_doc", "_tie", F.lit(False).alias("copy"), "at")
@@ -160,29 +171,11 @@ def repeated_starts(rows: DataFrame, window: int = 20, period: int = 13) -> Data
 
 
 def texts_by_key(rows: DataFrame) -> DataFrame:
-    """(_doc, _tie, _packed): the texts by document, compressed one by one, which beats the blocks of a shuffle."""
-
-    def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        squeeze = zstandard.ZstdCompressor(level=3).compress
-        for batch in batches:
-            packed = pa.array([squeeze(t.as_buffer()) for t in batch.column("_text")], pa.binary())
-            yield pa.RecordBatch.from_arrays([batch.column("_doc"), batch.column("_tie"), packed], ["_doc", "_tie", "_packed"])
-
-    packed = rows.select("_doc", "_tie", "_text").mapInArrow(pack, "_doc long, _tie int, _packed binary")
-    return packed.repartition("_doc", "_tie")
-
-
-def _unpacked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """The batches with their texts, a few megabytes at a time."""
-    restore = zstandard.ZstdDecompressor().decompress
-    for whole in batches:
-        for batch in tk.groups(iter([whole]), "_packed"):
-            text = pa.array([restore(t.as_buffer()).decode() for t in batch.column("_packed")], pa.string())
-            yield pa.RecordBatch.from_arrays([*batch.columns, text], [*batch.schema.names, "_text"])
+    return rows.select("_doc", "_tie", "_text").repartition("_doc", "_tie")
 
 
 def _kept(batches: Iterator[pa.RecordBatch], window: int) -> Iterator[pa.RecordBatch]:
-    for batch in tk.groups(_unpacked(batches), "_text"):
+    for batch in tk.groups(batches, "_text"):
         counts, gone, kept = [], [], []
         copies, starts = batch.column("copy").to_pylist(), batch.column("starts")
         for i, text in enumerate(batch.column("_text")):
@@ -216,7 +209,7 @@ def remove_repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     """
     rows = keyed(docs, doc_id, text)
     cut = repeated_starts(rows, window, period)
-    out = texts_by_key(rows).join(cut, ["_doc", "_tie"], "left").select("_doc", "_packed", "copy", "starts").mapInArrow(
+    out = texts_by_key(rows).join(cut, ["_doc", "_tie"], "left").select("_doc", "_text", "copy", "starts").mapInArrow(
         lambda batches: _kept(batches, window), "_doc long, n_words long, n_removed long, kept string"
     )
     return out.select(id_again(doc_id), "n_words", "n_removed", "kept")

@@ -15,7 +15,7 @@ import pyarrow.compute as pc
 
 U = np.uint64
 #: Bytes handled at a time: bounds the working memory of a task, whatever the length of a text.
-SLICE_BYTES = 1 << 20
+SLICE_BYTES = 1 << 18
 #: Bytes of text of a group of documents that are handled together.
 GROUP_BYTES = 1 << 20
 _STEP = 0x9E3779B97F4A7C15
