@@ -34,7 +34,7 @@ from transitloom.llm.rows import small_batches
 #: How byte-level tokenizers cut a text (fixed value).
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 #: Entries that a table of words or transitions holds before its older half is dropped.
-TABLE_ENTRIES = 100_000
+TABLE_ENTRIES = 250_000
 _NEVER = 1 << 30
 _TOKEN, _NONE = -1, -2
 
