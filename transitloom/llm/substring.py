@@ -151,9 +151,10 @@ def repeated_starts(rows: DataFrame, window: int = 20, period: int = 13) -> Data
     found = rows.select("_same", "_text").mapInArrow(anchors, "anchor long, _same long, at int")
     group = Window.partitionBy("anchor")
     rest = F.pmod("place", F.lit(period))
-    # listed as -1 - place if the anchor stands at several remainders of the period
+    # listed as -1 - place if the anchor stands at several remainders of the period; dealt out before the
+    # remainder is worked out, so that three columns are shuffled
     shared = (
-        found.withColumn("place", F.expr("if(at < 0, -1 - at, at)"))
+        found.repartition("anchor").withColumn("place", F.expr("if(at < 0, -1 - at, at)"))
         .select("anchor", "_same", "at", "place", F.min("_same").over(group).alias("low"), F.max("_same").over(group).alias("high"),
                 ((F.min("at").over(group) < 0) | (F.min(rest).over(group) < F.max(rest).over(group))).alias("moved"))
         .filter("at < 0 or low < high")
