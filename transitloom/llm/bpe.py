@@ -34,7 +34,7 @@ from transitloom.llm.rows import small_batches
 #: How byte-level tokenizers cut a text (fixed value).
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 #: Entries that a table of words or transitions holds before its older half is dropped.
-TABLE_ENTRIES = 250_000
+TABLE_ENTRIES = 300_000
 _NEVER = 1 << 30
 _TOKEN, _NONE = -1, -2
 
@@ -231,8 +231,8 @@ def encode(docs: DataFrame, path: str, doc_id: str = "doc_id", text: str = "text
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = table = None
-        for batch in tk.groups(batches, "_text"):
-            encoder = encoder or Encoder(Automaton(spec.value))  # ends with the task: idle workers keep nothing
+        for batch in tk.groups(batches, "_text", hold=True):
+            encoder = encoder or tk.held(("bpe", hash(spec.value)), lambda: Encoder(Automaton(spec.value)))
             parts = [encoder.encode(t.as_py() or "") for t in batch.column("_text")]
             ends = np.cumsum([0, *(len(p) // 4 for p in parts)], dtype=np.int32)
             ids = pa.ListArray.from_arrays(pa.array(ends), pa.array(np.frombuffer(b"".join(parts), dtype=np.int32)))

@@ -7,7 +7,7 @@ the hash of a run of words is a polynomial over word hashes, mixed again.
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -122,8 +122,24 @@ def texts(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return data[offsets[0] : offsets[-1]], offsets - offsets[0]
 
 
-def groups(batches: Iterator[pa.RecordBatch], text: str) -> Iterator[pa.RecordBatch]:
-    """Each batch cut into rows that hold about GROUP_BYTES of text together, one row at least."""
+_held: dict[object, object] = {}
+
+
+def held(key: object, make: Callable[[], object]) -> object:
+    """What a worker keeps from task to task: one operator's tables, until another operator runs there."""
+    if key not in _held:
+        _held.clear()
+        _held[key] = make()
+    return _held[key]
+
+
+def groups(batches: Iterator[pa.RecordBatch], text: str, hold: bool = False) -> Iterator[pa.RecordBatch]:
+    """Each batch cut into rows that hold about GROUP_BYTES of text together, one row at least.
+
+    An operator that holds no tables of its own lets go of those that another left.
+    """
+    if not hold:
+        _held.clear()
     for batch in batches:
         if not batch.num_rows:
             continue
