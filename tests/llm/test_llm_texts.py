@@ -174,6 +174,18 @@ def test_boosted_trees_add_spans_and_redact_them(spark):
     assert clean[1] == "w1 [SECRET] end1" and clean[2].startswith("w2 key: ")
 
 
+def test_long_secrets_and_addresses_are_redacted_whole(spark):
+    rng = random.Random(4)
+    model = pii.fit(pii.find(secrets(spark)))
+    values = ["".join(rng.choice("0123456789abcdef") for _ in range(n)) for n in (40, 129, 256, 5000)]
+    values += ["Qx" * 100 + "==", "ab4111111111111111" + "cd" * 60]  # padding; digits that pass as a card
+    docs = spark.createDataFrame([(i, f"w token = {v} end") for i, v in enumerate(values)], "doc_id long, text string")
+    assert {r.text for r in pii.redact(docs, model).collect()} == {"w [SECRET] end"}
+    name = "n" * 100
+    (found,) = pii.find(spark.createDataFrame([(1, f"to {name} [at] host [dot] org now")], "doc_id long, text string")).collect()
+    assert [(c.kind, c.start, c.end) for c in found.wide] == [(0, 3, 3 + len(f"{name} [at] host [dot] org"))]
+
+
 def test_trees_as_expressions_give_the_margins_of_the_model(spark):
     from pyspark.ml.classification import GBTClassifier
     from pyspark.ml.functions import array_to_vector

@@ -8,7 +8,8 @@ possessive repeats and one fixed start per run, so no text makes them backtrack.
 overlap; a candidate counts as true for the fit if a strict check of its kind confirms it. The trees see its
 shape and surroundings, not the check, and a cutoff per kind is calibrated on candidates that the fit has
 not seen: the lowest with at least PRECISION confirmed among those above. Candidates above it that meet no
-base span are added, the leftmost of those that overlap.
+base span are added, the leftmost of those that overlap; a secret of strict form may also cover base spans, since
+digits inside a long key can look like a card.
 
 Meaning of odd input: a null text is empty and has no spans; ids may be null or repeated, every row gets its own
 answer; without confirmed and refuted candidates no span is added.
@@ -39,14 +40,14 @@ HINTS = {
 }
 #: Loose patterns: kind, hint, pattern.
 WIDE = (
-    ("email", r"(?i)[\[({]\s?at\s?[\])}]|@", r"(?i)(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]{1,64}+\s?(?:@|[\[({]\s?at\s?[\])}])\s?[A-Za-z0-9-]++(?:\s?(?:\.|[\[({]\s?dot\s?[\])}])\s?[A-Za-z0-9-]++)*+"),
+    ("email", r"(?i)[\[({]\s?at\s?[\])}]|@", r"(?i)(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]++\s?(?:@|[\[({]\s?at\s?[\])}])\s?[A-Za-z0-9-]++(?:\s?(?:\.|[\[({]\s?dot\s?[\])}])\s?[A-Za-z0-9-]++)*+"),
     ("ip", r"[0-9]{1,4}[.:][0-9]", r"(?<![0-9])[0-9]{1,4}+(?:[.:][0-9]{1,4}+){3,7}+"),
     ("card", r"[0-9](?:[\x20._/-]{0,2}[0-9]){11}", r"[0-9](?:[\x20._/-]{0,2}+[0-9]){11,23}+"),
     ("phone", r"[0-9](?:[\x20()./-]{0,2}[0-9]){6}", r"(?:\+|(?<![0-9]))[0-9(](?:[\x20()./-]{0,2}+[0-9]){6,15}+"),
-    ("secret", r"(?i)(?:key|token|secret|passw)", r"(?i)(?:key|token|secret|passw(?:or)?d)[\"']?\s{0,3}[:=]\s{0,3}[\"']?[^\s\"']{8,128}+"),
+    ("secret", r"(?i)(?:key|token|secret|passw)", r"(?i)(?:key|token|secret|passw(?:or)?d)[\"']?\s{0,3}[:=]\s{0,3}[\"']?[^\s\"']{8,}+"),
 )
 OCTETS = r"^0*(?:25[0-5]|2[0-4][0-9]|1[0-9]{2}|[0-9]{1,2})(?:\.0*(?:25[0-5]|2[0-4][0-9]|1[0-9]{2}|[0-9]{1,2})){3}$"
-SECRET = r"[:=]\s{0,3}[\"']?(?:[0-9a-fA-F]{32,}|AKIA[0-9A-Z]{16}|gh[pousr]_[A-Za-z0-9]{36}|[A-Za-z0-9+/_-]{40,})$"
+SECRET = r"[:=]\s{0,3}[\"']?(?:[0-9a-fA-F]{32,}|AKIA[0-9A-Z]{16}|gh[pousr]_[A-Za-z0-9]{36}|[A-Za-z0-9+/_-]{40,}={0,2})$"
 #: Words beside a span that speak for a kind (fixed values).
 CONTEXT = {
     "email": "mail|contact|write", "ip": "ip|host|server|address", "card": "card|visa|pay|account|credit",
@@ -240,8 +241,9 @@ def choose(found: DataFrame, model: Model) -> DataFrame:
     if not model.least:
         return found.withColumn("added", F.array().cast(_SPAN)).withColumn("spans", F.col("base"))
     cut = lambda kind: F.coalesce(*(F.when(kind == k, F.lit(m)) for k, m in model.least.items()))
+    strict = lambda c: c["good"] & (c["kind"] == KINDS.index("secret"))
     passed = F.filter("wide", lambda c: F.coalesce(F.round(model.margin(c["x"]), 2) >= cut(c["kind"]), F.lit(False)) & ~F.exists(
-        "base", lambda b: (b["start"] < c["end"]) & (b["end"] > c["start"])))
+        "base", lambda b: (b["start"] < c["end"]) & (b["end"] > c["start"]) & ~(strict(c) & (b["start"] >= c["start"]) & (b["end"] <= c["end"]))))
     by_start = F.sort_array(F.transform(passed, lambda c: F.struct(
         c["start"].alias("start"), (-c["end"]).alias("back"), c["kind"].alias("kind"))))
     none = F.struct(F.lit(0).alias("at"), F.array().cast(_SPAN).alias("out"))
