@@ -186,6 +186,14 @@ def test_long_secrets_and_addresses_are_redacted_whole(spark):
     assert [(c.kind, c.start, c.end) for c in found.wide] == [(0, 3, 3 + len(f"{name} [at] host [dot] org"))]
 
 
+def test_cutoffs_of_rare_kinds_do_not_hang_on_the_sample(spark):
+    rng = random.Random(5)
+    texts = [f"m {'a' * i}{'1' * j}@h{end}" for i in range(1, 41) for j in range(10) for end in (".org", "")]
+    texts += ["token = " + "".join(rng.choice("0123456789abcdef") for _ in range(40)) for _ in range(100)]
+    found = pii.find(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"))
+    assert pii.KINDS.index("secret") in pii.fit(found, sample=50).least
+
+
 def test_trees_as_expressions_give_the_margins_of_the_model(spark):
     from pyspark.ml.classification import GBTClassifier
     from pyspark.ml.functions import array_to_vector

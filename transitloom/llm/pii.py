@@ -55,7 +55,7 @@ CONTEXT = {
 }
 #: Code points kept on either side of a span as its context.
 BEFORE, AFTER = 24, 4
-#: Candidates that the fit takes, at most, and what the calibration asks for.
+#: Candidates that the fit takes, at most, and what the calibration over all others asks for.
 SAMPLE, PRECISION, SUPPORT = 20_000, 0.95, 20
 TREES, DEPTH = 10, 3
 
@@ -211,22 +211,23 @@ def _tree(node) -> float | tuple:
 
 
 def fit(found: DataFrame, sample: int = SAMPLE) -> Model:
-    """Boosted trees and cutoffs from the candidates of ``find``: half of a bounded sample each."""
+    """Boosted trees from a bounded sample of the candidates of ``find``, cutoffs from all candidates outside it."""
+    each = found.filter(F.size("wide") > 0).select(F.explode("wide").alias("c")).select("c.kind", "c.good", "c.x")
+    each = each.withColumn("o", F.xxhash64("kind", "x", "good")).withColumn("half", F.pmod(F.xxhash64("o"), F.lit(2)))
     # equal candidates are one row with a weight
-    rows = found.filter(F.size("wide") > 0).select(F.explode("wide").alias("c")).groupBy("c.kind", "c.good", "c.x").agg(
-        F.count("*").cast("double").alias("weight"))
-    taken = rows.withColumn("o", F.xxhash64("kind", "x", "good")).orderBy("o").limit(2 * sample)
-    taken = taken.select("kind", F.pmod(F.xxhash64("o"), F.lit(2)).alias("half"), F.col("good").cast("double").alias("label"), "x", "weight").persist()
+    rows = each.filter("half = 0").groupBy("kind", "good", "x", "o").agg(F.count("*").cast("double").alias("weight"))
+    taken = rows.orderBy("o").limit(sample).select("o", F.col("good").cast("double").alias("label"), "x", "weight").persist()
     try:
-        kinds = {(r.half, r.label) for r in taken.select("half", "label").distinct().collect()}
-        if not {(0, 0.0), (0, 1.0), (1, 1.0)} <= kinds:
+        ends = {r.label: r.last for r in taken.groupBy("label").agg(F.max("o").alias("last")).collect()}
+        if not {0.0, 1.0} <= set(ends):
             return Model()
         boosted = GBTClassifier(maxIter=TREES, maxDepth=DEPTH, seed=7, featuresCol="v", weightCol="weight", stepSize=0.3).fit(
-            taken.filter("half = 0").select("label", "weight", array_to_vector("x").alias("v")))
+            taken.select("label", "weight", array_to_vector("x").alias("v")))
         model = Model([_tree(t._call_java("rootNode")) for t in boosted.trees], list(boosted.treeWeights))
-        # from the highest margin down, the share confirmed so far
-        bins = taken.filter("half = 1").select("kind", "label", "weight", F.round(model.margin(F.col("x")), 2).alias("margin"))
-        bins = bins.groupBy("kind", "margin").agg(F.sum(F.col("label") * F.col("weight")).alias("good"), F.sum("weight").alias("n"))
+        # from the highest margin down, the share confirmed so far; bins add up before they are shuffled
+        unseen = each.filter((F.col("half") == 1) | (F.col("o") > max(ends.values())))
+        bins = unseen.select("kind", F.col("good").cast("double").alias("label"), F.round(model.margin(F.col("x")), 2).alias("margin"))
+        bins = bins.groupBy("kind", "margin").agg(F.sum("label").alias("good"), F.count("*").alias("n"))
         down = Window.partitionBy("kind").orderBy(F.col("margin").desc())
         sums = bins.select("kind", "margin", F.sum("good").over(down).alias("good"), F.sum("n").over(down).alias("n"))
         safe = sums.filter((F.col("good") >= F.col("n") * PRECISION) & (F.col("n") >= SUPPORT))
