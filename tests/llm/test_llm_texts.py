@@ -396,6 +396,15 @@ def test_slots_without_article_elements(spark):
     assert got == {i: f"Head {i}\nLong text number {i} of this page & more words" for i in range(6)}
 
 
+def test_all_articles_and_open_text_stay(spark):
+    several = [f"<main><article><p>Part one of {i}</p></article><p>Between {i}</p><article><p>Part two of {i}, longer</p></article></main>" for i in range(4)]
+    beside = [f"<div class=story><p>{f'The long story {i}. ' * 20}</p></div><article><p>Teaser {i}</p></article>" for i in range(4)]
+    got = texts(spark, [("http://e.example/", FRAME % b) for b in several] + [("http://f.example/", FRAME % b) for b in beside])
+    for i in range(4):
+        assert got[i] == f"Part one of {i}\nBetween {i}\nPart two of {i}, longer"
+        assert f"The long story {i}." in got[4 + i]
+
+
 def test_article_with_furniture_inside(spark):
     body = ("<main><article><header><h1>Title</h1></header><p>One&nbsp;two\n three<!-- no --><br>four<script>x='</p>'</script>"
             "<div class='ad'>Buy</div><p style='display: none'>gone</p><div hidden>gone</div><form><input value=1>Send</form><ul><li>a<li>b &lt;c&gt;</ul><p>unclosed <b>bold</article></main>")
