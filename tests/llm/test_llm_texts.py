@@ -405,6 +405,12 @@ def test_all_articles_and_open_text_stay(spark):
         assert f"The long story {i}." in got[4 + i]
 
 
+def test_blocks_on_all_pages_of_a_host_are_dropped(spark):
+    body = "<article><h1>Head %d</h1><div class=box><p>Read our terms</p></div><p>Text of page %d</p><p>All rights reserved</p></article>"
+    got = texts(spark, [("http://g.example/", FRAME % (body % (i, i))) for i in range(4)])
+    assert got == {i: f"Head {i}\nText of page {i}" for i in range(4)}
+
+
 def test_article_with_furniture_inside(spark):
     body = ("<main><article><header><h1>Title</h1></header><p>One&nbsp;two\n three<!-- no --><br>four<script>x='</p>'</script>"
             "<div class='ad'>Buy</div><p style='display: none'>gone</p><div hidden>gone</div><form><input value=1>Send</form><ul><li>a<li>b &lt;c&gt;</ul><p>unclosed <b>bold</article></main>")
