@@ -458,6 +458,20 @@ def test_cotraining_learns_from_either_view(spark):
     assert np.mean([(got[i].page_score >= 0.5) == bool(y) for i, y in truth.items()]) > 0.7
 
 
+def test_all_unlabelled_documents_take_part(spark, monkeypatch):
+    docs, known, _ = quality_corpus(spark, 800)
+    found = classifier.features(docs)
+    # many copies of unlabelled rows: more than any fixed pool, and marks grow with them
+    many = found.join(spark.range(30).select(F.col("id").alias("_k"))).select((F.col("doc_id") + F.col("_k") * 1000).alias("doc_id"), "page", "content")
+    marked = []
+    surest = classifier._surest
+    monkeypatch.setattr(classifier, "_surest", lambda *a: marked.append(surest(*a)) or marked[-1])
+    for rows in (found, many):
+        classifier.train(rows, labels(spark, known), F.lit(False))
+    few, lots = (max(n for _, _, n in marked[a : a + 2 * classifier.ROUNDS]) for a in (0, 2 * classifier.ROUNDS))
+    assert few > 0 and lots > 10 * few
+
+
 def test_cotraining_takes_odd_documents(spark):
     docs, known, _ = quality_corpus(spark, 300)
     model = classifier.train(classifier.features(docs), labels(spark, known), F.lit(False))

@@ -2,12 +2,13 @@
 
 One view is worked out from the text (shares of signs, repetition, word lengths), the other from metadata
 (source, language, stated length). Each view has an additive logistic classifier over binned features. Both
-start from labelled documents; over ROUNDS each marks the documents of an unlabelled pool that it is surest
-of, and the other learns them too. A labelled fold that no round has used calibrates the two views and their
+start from labelled documents; over ROUNDS each marks the unlabelled documents that it is surest of, a share that
+grows by SHARE each round, and the other learns them too. A labelled fold that no round has used calibrates the two views and their
 combination, which then scores every document.
 
-The fit runs on the driver over features only, from bounded samples by a hash of the key: LABELLED documents and a
-pool of POOL. Features and scores cover every document.
+At most LABELLED labelled documents, by a hash of their features, come to the driver. Bin edges, marks and what a view
+learns from them cover all documents: tasks add up histograms and the sums of a Newton step, whose sizes are fixed.
+Together the marked documents weigh no more than the labelled ones, at every size of the corpus.
 
 Meaning of odd input: a null text is empty; null metadata is a value of its own; null labels are left out, of
 several labels of one id the lowest counts; without labels of both kinds every score is the share of good labels
@@ -17,7 +18,7 @@ several labels of one id the lowest counts; without labels of both kinds every s
 from __future__ import annotations
 
 import zlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass, field
 
 import numpy as np
@@ -26,11 +27,15 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from transitloom.llm import tokens as tk
+from transitloom.llm.graph import stored
 from transitloom.llm.rows import small_batches
 
-#: Documents that the fit takes at most: labelled, and unlabelled.
-LABELLED, POOL = 6000, 6000
-ROUNDS, PER_ROUND, SURE = 5, 300, 0.95
+#: Labelled documents that the fit takes at most.
+LABELLED = 6000
+#: Rounds and Newton steps in each, the share of the unlabelled documents that a round adds, and the least chance of a mark.
+ROUNDS, STEPS, SHARE, SURE = 5, 2, 0.05, 0.95
+#: Histogram bins per unit of a logit.
+FINE = 50
 BINS, BUCKETS = 10, 32
 
 TEXT = ("words", "word_length", "longest", "symbols", "capitals", "digits", "marks", "beyond_ascii", "distinct_words", "distinct_pairs", "lines", "distinct_lines")
@@ -123,11 +128,6 @@ class View:
     edges: list[np.ndarray]  # per feature: where its bins end; empty for a category
     weights: np.ndarray = field(default_factory=lambda: np.zeros(0))
 
-    @classmethod
-    def over(cls, x: np.ndarray, categories: int = 0) -> View:
-        cuts = np.linspace(0, 1, BINS + 1)[1:-1]
-        return cls([np.zeros(0) if i < categories else np.unique(np.quantile(x[:, i], cuts)) for i in range(x.shape[1])])
-
     def design(self, x: np.ndarray) -> np.ndarray:
         parts = [np.ones((len(x), 1))]
         for i, edges in enumerate(self.edges):
@@ -138,9 +138,6 @@ class View:
             parts.append(part)
         return np.concatenate(parts, axis=1)
 
-    def fit(self, x: np.ndarray, y: np.ndarray) -> None:
-        self.weights = _logistic(self.design(x), y)
-
     def logit(self, x: np.ndarray) -> np.ndarray:
         return self.design(x) @ self.weights
 
@@ -162,38 +159,99 @@ class Model:
         return np.stack([_chance(z[:, [0, 1]] @ self.alone[0]), _chance(z[:, [0, 2]] @ self.alone[1]), _chance(z @ self.both)], axis=1)
 
 
-def co_train(content: np.ndarray, page: np.ndarray, y: np.ndarray, pool_content: np.ndarray, pool_page: np.ndarray) -> Model:
-    """Labelled features and labels, and the features of an unlabelled pool."""
+def _views(rows: DataFrame, width: int, categories: int) -> list[View]:
+    """Both views, without weights: bin edges are quantiles over all rows."""
+    cuts = [float(c) for c in np.linspace(0, 1, BINS + 1)[1:-1]]
+    at = [("content", i) for i in range(width)] + [("page", categories)]
+    got = rows.agg(*(F.percentile_approx(F.get(c, F.lit(i)), cuts, 1000).alias(f"q{k}") for k, (c, i) in enumerate(at))).first()
+    edges = [np.unique(np.array(q, dtype=float)) for q in got]
+    return [View(edges[:-1]), View([np.zeros(0)] * categories + edges[-1:])]
+
+
+def _added_up(rows: DataFrame, one: Callable[[np.ndarray, np.ndarray], dict[int, np.ndarray]]) -> dict[int, dict[int, float]]:
+    """Per view the sums over all rows of what ``one`` makes of a batch's features."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total: dict[int, np.ndarray] = {}
+        for batch in batches:
+            if batch.num_rows:
+                content, page = (np.stack(batch.column(c).to_numpy(zero_copy_only=False)).astype(float) for c in ("content", "page"))
+                for v, x in one(content, page).items():
+                    total[v] = total[v] + x if v in total else x
+        for v, x in total.items():
+            at = np.flatnonzero(x)
+            yield pa.RecordBatch.from_arrays([pa.array(np.full(len(at), v, np.int32)), pa.array(at.astype(np.int32)), pa.array(x[at])], ["view", "at", "value"])
+
+    got = rows.select("content", "page").mapInArrow(run, "view int, at int, value double").groupBy("view", "at").agg(F.sum("value").alias("value"))
+    out: dict[int, dict[int, float]] = {0: {}, 1: {}}
+    for r in got.collect():
+        out[r["view"]][r["at"]] = r["value"]
+    return out
+
+
+def _bin(z: np.ndarray) -> np.ndarray:
+    return np.floor((np.clip(z, -30, 30) + 30) * FINE).astype(int)
+
+
+def _surest(found: dict[int, float], most: dict[int, float]) -> tuple[int, int, float]:
+    """The highest bin marked bad, the lowest marked good, and how many rows both hold; equal rows go together."""
+    sure = np.log(SURE / (1 - SURE))
+    low, high, n = -1, 60 * FINE + 1, 0.0
+    for good in (1, 0):
+        taken = 0.0
+        for at in sorted(found, reverse=bool(good)):
+            if taken >= most[good] or (at < _bin(sure) if good else at > _bin(-sure)):
+                break
+            low, high = (low, at) if good else (at, high)
+            taken += found[at]
+        n += taken
+    return low, high, n
+
+
+def co_train(content: np.ndarray, page: np.ndarray, y: np.ndarray, rows: DataFrame, pool: DataFrame) -> Model:
+    """Labelled features and labels; the features of all rows, and those of the unlabelled ones."""
     model = Model(prior=float(y.mean()) if len(y) else 0.5)
     fold = np.array([zlib.crc32(c.tobytes() + p.tobytes()) % 4 == 0 for c, p in zip(content, page)], dtype=bool)
     if not all(len(np.unique(y[f])) == 2 for f in (fold, ~fold)):
         return model
-    x = [content[~fold], page[~fold]]
-    views = [View.over(np.concatenate([content, pool_content]) if len(pool_content) else content), View.over(page, page.shape[1] - 1)]
-    pools = [pool_content, pool_page]
-    taught = [[x[v], y[~fold]] for v in (0, 1)]
-    free = np.ones(len(pool_content), dtype=bool)
-    for _ in range(ROUNDS):
-        for v in (0, 1):
-            views[v].fit(*taught[v])
-        for v in (0, 1):
-            left = np.flatnonzero(free)
-            if not len(left):
-                break
-            p = _chance(views[v].logit(pools[v][left]))
-            # of each kind the surest, in the proportion of the labels
-            for good, most in ((1.0, round(PER_ROUND * model.prior)), (0.0, round(PER_ROUND * (1 - model.prior)))):
-                sure = np.where(p >= SURE, p, 0) if good else np.where(1 - p >= SURE, 1 - p, 0)
-                take = np.argsort(-sure, kind="stable")[:most]
-                take = left[take[sure[take] > 0]]
-                if not len(take):
-                    continue
-                free[take] = False
-                other = taught[1 - v]
-                other[0] = np.concatenate([other[0], pools[1 - v][take]])
-                other[1] = np.concatenate([other[1], np.full(len(take), good)])
-    for v in (0, 1):
-        views[v].fit(*taught[v])
+    views = _views(rows, content.shape[1], page.shape[1] - 1)
+    known = [views[0].design(content[~fold]), views[1].design(page[~fold])]
+    target = y[~fold]
+    for view, x in zip(views, known):
+        view.weights = np.round(_logistic(x, target), 6)
+    for turn in range(1, ROUNDS + 1):
+        teachers = [View(v.edges, v.weights) for v in views]
+        seen = _added_up(pool, lambda c, p: {
+            v: np.bincount(_bin(teachers[v].logit(x)), minlength=60 * FINE + 1).astype(float) for v, x in ((0, c), (1, p))})
+        total = sum(seen[0].values())
+        # of each kind the surest, in the proportion of the labels
+        share = {1: total * SHARE * turn * model.prior, 0: total * SHARE * turn * (1 - model.prior)}
+        cuts = [_surest(seen[v], share) for v in (0, 1)]
+        for _ in range(STEPS):
+            now = [View(v.edges, v.weights) for v in views]
+
+            def sums(c: np.ndarray, p: np.ndarray) -> dict[int, np.ndarray]:
+                out = {}
+                for v, x, other in ((0, c, p), (1, p, c)):
+                    low, high, _ = cuts[1 - v]
+                    at = _bin(teachers[1 - v].logit(other))
+                    marked = (at <= low) | (at >= high)
+                    d = now[v].design(x[marked])
+                    chance = _chance(d @ now[v].weights)
+                    h = (d * (chance * (1 - chance))[:, None]).T @ d
+                    out[v] = np.concatenate([h.ravel(), d.T @ ((at[marked] >= high) - chance)])
+                return out
+
+            learnt = _added_up(pool, sums) if cuts[0][2] or cuts[1][2] else {0: {}, 1: {}}
+            for v in (0, 1):
+                w, x, k = views[v].weights, known[v], len(views[v].weights)
+                extra = np.zeros(k * k + k)
+                extra[list(learnt[v])] = list(learnt[v].values())
+                extra *= min(1.0, len(target) / max(cuts[1 - v][2], 1.0))
+                chance = _chance(x @ w)
+                h = (x * (chance * (1 - chance) + 1e-6)[:, None]).T @ x + extra[: k * k].reshape(k, k) + np.eye(k)
+                # rounded, so that the order of the sums does not show
+                views[v].weights = np.round(w + np.linalg.solve(h, x.T @ (target - chance) + extra[k * k :] - w), 6)
     z = np.stack([np.ones(fold.sum()), views[0].logit(content[fold]), views[1].logit(page[fold])], axis=1)
     model.content, model.page = views
     model.alone = [_logistic(z[:, [0, 1]], y[fold], 0.1), _logistic(z[:, [0, 2]], y[fold], 0.1)]
@@ -202,21 +260,17 @@ def co_train(content: np.ndarray, page: np.ndarray, y: np.ndarray, pool_content:
 
 
 def train(found: DataFrame, labels: DataFrame, held_out: Column, doc_id: str = "doc_id", label: str = "quality",
-          labelled: int = LABELLED, pool: int = POOL) -> Model:
-    """Fit on bounded samples of ``features``, none of them held out."""
+          labelled: int = LABELLED) -> Model:
+    """Fit on a bounded sample of the labelled rows of ``features`` and all unlabelled ones, none of them held out."""
     known = labels.filter(F.col(label).isNotNull()).groupBy(F.col(doc_id).alias("_id")).agg(F.min(label).alias("_y"))
     rows = found.filter(~held_out).join(known, F.col(doc_id) == F.col("_id"), "left")
+    rows = stored(rows.select("content", "page", "_y"), "training")
     order = F.xxhash64(F.lit(7), "content", "page")
-
-    def taken(which: Column, n: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        got = rows.filter(which).select("content", "page", "_y", order.alias("o")).distinct().orderBy("o", "_y").limit(n).collect()
-        if not got:
-            return np.zeros((0, len(TEXT))), np.zeros((0, 1)), np.zeros(0)
-        return np.array([r.content for r in got], dtype=float), np.array([r.page for r in got], dtype=float), np.array([float(r["_y"] or 0) for r in got])
-
-    content, page, y = taken(F.col("_y").isNotNull(), labelled)
-    pool_content, pool_page, _ = taken(F.col("_y").isNull(), pool)
-    return co_train(content, page, (y > 0).astype(float), pool_content, pool_page)
+    got = rows.filter("_y is not null").select("content", "page", "_y", order.alias("o")).distinct().orderBy("o", "_y").limit(labelled).collect()
+    if not got:
+        return Model()
+    content, page = (np.array([r[c] for r in got], dtype=float) for c in ("content", "page"))
+    return co_train(content, page, np.array([float(r["_y"] > 0) for r in got]), rows, rows.filter("_y is null"))
 
 
 def score(found: DataFrame, model: Model) -> DataFrame:
