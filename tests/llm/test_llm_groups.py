@@ -1,0 +1,272 @@
+"""Fingerprints, periodic runs and centroids against plain versions."""
+
+from __future__ import annotations
+
+import hashlib
+import math
+import random
+import zlib
+from fractions import Fraction
+
+import numpy as np
+import pytest
+import xxhash
+from cases import ASCII_LOWER, LONG, blank_words, documents, empty, odd, odd_rows, rows
+
+import __spark_entry__ as entry
+from transitloom.llm import centroids, periodic, queries, simhash, tokens
+
+
+# -- fingerprints --------------------------------------------------------------------------------
+
+def plain_fingerprint(text, size=3):
+    words = blank_words((text or "").translate(ASCII_LOWER))
+    shingles = [" ".join(words[i : i + size]) for i in range(max(1, len(words) - size + 1))] if words else []
+    hashes = [xxhash.xxh64_intdigest(s.encode(), 42) for s in shingles]
+    return sum(1 << b for b in range(64) if 2 * sum(h >> b & 1 for h in hashes) > len(hashes))
+
+
+def smallest_reached(names, close):
+    """The smallest name that each reaches through pairs that are close."""
+    root = {n: n for n in names}
+
+    def find(n):
+        while root[n] != n:
+            n = root[n]
+        return n
+
+    names = sorted(names)
+    for i, a in enumerate(names):
+        for b in names[i + 1 :]:
+            if close(a, b):
+                x, y = find(a), find(b)
+                root[max(x, y)] = min(x, y)
+    return {n: find(n) for n in names}
+
+
+def plain_copies(docs, radius=2):
+    prints = {k: plain_fingerprint(t) for k, t in enumerate(dict.fromkeys(t for _, t in docs))}
+    by_text = {t: prints[k] for k, t in enumerate(dict.fromkeys(t for _, t in docs))}
+    group = smallest_reached(set(prints.values()), lambda a, b: (a ^ b).bit_count() <= radius)
+    low = {}
+    for key, text in docs:
+        g = group[by_text[text]]
+        name = (key is not None, key or 0)  # null comes first
+        low[g] = min(low.get(g, name), name)
+    return [(key, f"{by_text[t]:016x}", low[group[by_text[t]]][1] if low[group[by_text[t]]][0] else None) for key, t in docs]
+
+
+def test_copies_by_fingerprint_equal_the_plain_version(spark, sf_dir):
+    docs = [(r.doc_id, r.text) for r in documents(spark, sf_dir).collect()]
+    got = rows(entry.queries()["op11_simhash_planes"](spark, sf_dir))
+    assert got == sorted(plain_copies(docs), key=str)
+    assert len({r[2] for r in got}) < len(got)
+
+
+def test_edited_copies_are_linked(spark):
+    rng = random.Random(8)
+    docs = []
+    for base in range(5):
+        words = [f"w{rng.randrange(900)}" for _ in range(1200)]
+        for k in range(8):
+            docs.append((base * 100 + k, " ".join(words)))
+            words[rng.randrange(len(words))] = f"edit{k}"
+    got = rows(simhash.near_copies(spark.createDataFrame(docs, "doc_id long, text string")))
+    assert got == sorted(plain_copies(docs), key=str)
+    assert len({r[2] for r in got}) < len({r[1] for r in got})
+
+
+def test_fingerprints_of_odd_documents(spark):
+    got = simhash.near_copies(odd(spark))
+    assert got.columns == ["doc_id", "fingerprint", "component_id"]
+    assert rows(got) == sorted(plain_copies([r[:2] for r in odd_rows()]), key=str)
+    assert simhash.near_copies(empty(spark)).count() == 0
+
+
+def test_long_texts_are_read_piece_by_piece(monkeypatch):
+    texts = [LONG, "a", "a b", "a  b\tc", "", " \n", "x" * 500, "a b " + " " * 300 + "c", "Ünï A B", "q " * 40 + "z" * 200 + " w" * 40]
+    want = [plain_fingerprint(t) for t in texts]
+    monkeypatch.setattr(simhash, "_PIECE", 16)
+    assert [simhash.fingerprint(t.encode()) for t in texts] == want
+
+
+@pytest.mark.parametrize("radius", [0, 1, 2, 3, 6])
+def test_planes_find_the_links_of_every_group(radius):
+    rng = random.Random(radius)
+    fps = []
+    for _ in range(12):
+        base = rng.getrandbits(64)
+        for _ in range(rng.randrange(1, 40)):
+            fps.append(base ^ sum(1 << b for b in rng.sample(range(64), rng.randrange(radius + 2))))
+    group = sorted(rng.randrange(4) for _ in fps)
+
+    def close(i, j):
+        return group[i] == group[j] and (fps[i] ^ fps[j]).bit_count() <= radius
+
+    at = simhash.links(np.array(fps, dtype=np.uint64), np.array(group), radius)
+    assert all(close(i, j) for i, j in at) and len(at) < len(fps)
+    linked = set(at)
+    assert smallest_reached(range(len(fps)), lambda i, j: (i, j) in linked) == smallest_reached(range(len(fps)), close)
+
+
+@pytest.mark.parametrize("chunk, block", [(2, 8), (5, 4096)])
+def test_groups_beyond_a_chunk_lose_no_link(spark, monkeypatch, chunk, block):
+    monkeypatch.setattr(simhash, "BLOCK", block)
+    rng = random.Random(5)
+    base = rng.getrandbits(64)
+    fps = {base ^ sum(1 << b for b in rng.sample(range(12), rng.randrange(7))) for _ in range(120)} | {rng.getrandbits(64) for _ in range(30)}
+    table = spark.createDataFrame([(int(np.uint64(f).view(np.int64)),) for f in fps], "fp long").repartition(3)
+    met = simhash.meetings(table, 2, chunk)
+    assert met.groupBy("pair", "both", "a", "b").count().agg({"count": "max"}).first()[0] < len(fps)
+    links = {(int(np.int64(r.a).view(np.uint64)), int(np.int64(r.b).view(np.uint64))) for r in simhash.linked(met, 2).collect()}
+    assert all((a ^ b).bit_count() <= 2 for a, b in links)
+    links |= {(b, a) for a, b in links}
+    assert smallest_reached(fps, lambda a, b: (a, b) in links) == smallest_reached(fps, lambda a, b: (a ^ b).bit_count() <= 2)
+
+
+# -- periodic runs -------------------------------------------------------------------------------
+
+def plain_runs(words, least=24, times=3):
+    found = {}
+    for q in range(1, len(words) // times + 1):
+        i = 0
+        while i + q < len(words):
+            start = i
+            while i + q < len(words) and words[i] == words[i + q]:
+                i += 1
+            if i - start + q >= max(least, times * q) and i > start:
+                found.setdefault((start, i - start + q), q)  # the smallest period comes first
+            i += i == start
+    return sorted(((s, n, q) for (s, n), q in found.items()), key=lambda r: (r[0], r[2]))
+
+
+def plain_answer(doc_id, text):
+    words = blank_words(text)
+    h, n = zlib.crc32(str(doc_id).encode()) if doc_id is not None else 1, len(words)
+    if h % 10 == 0 and n:
+        g = h // 10
+        a, p = g % n, 1 + math.floor((n - g % n) / (3 + g % 8))
+        words = [words[i if i < a else a + (i - a) % p] for i in range(n)]
+    runs = plain_runs(words)
+    best = max(runs, key=lambda r: (Fraction(r[1], r[2]), -r[0], -r[2]), default=(None,) * 3)
+    gone = {i for s, m, q in runs for i in range(s + q, s + m)}
+    kept = " ".join(w for i, w in enumerate(words) if i not in gone)
+    listed = "".join(f"{s},{m},{q}\n" for s, m, q in runs)
+    return (doc_id, len(runs), *best, 1000 * best[1] // best[2] if runs else None,
+            *(hashlib.sha256(t.encode()).hexdigest() for t in (listed, kept)))
+
+
+def test_runs_equal_the_plain_version(spark, sf_dir):
+    docs = [(r.doc_id, r.text) for r in documents(spark, sf_dir).collect()]
+    want = [plain_answer(*d) for d in docs if len(blank_words(d[1])) <= 1500]
+    got = {r[0]: r for r in rows(entry.queries()["op12_periodic_runs"](spark, sf_dir))}
+    assert len(got) == len(docs) and len(want) > 0.8 * len(docs)
+    assert [got[w[0]] for w in want] == want
+    assert sum(w[1] > 0 for w in want) > 10
+
+
+@pytest.mark.parametrize("least, times", [(24, 3), (6, 3), (4, 2), (1, 2), (8, 4)])
+def test_runs_of_random_words(least, times):
+    rng = random.Random(least)
+    fibonacci = ["a", "b"]
+    while len(fibonacci) < 90:
+        fibonacci = fibonacci + fibonacci[: len(fibonacci) * 8 // 13]
+    for _ in range(150):
+        texts = []
+        for _ in range(rng.randrange(4)):
+            words = [rng.choice("abcde"[: rng.randrange(1, 6)]) for _ in range(rng.randrange(50))]
+            if words and rng.random() < 0.6:
+                q, turns = rng.randrange(1, 12), rng.randrange(2, 6)
+                words += words[:q] * turns + words[: rng.randrange(q + 1)]
+            texts.append(words if rng.random() < 0.9 else fibonacci[: rng.randrange(90)])
+        h = tokens.mix(np.array([ord(w) for t in texts for w in t], dtype=np.uint64))
+        got = periodic.find_runs(h, np.concatenate([[0], np.cumsum([len(t) for t in texts])]).astype(np.int64), least, times)
+        assert [got.get(k, []) for k in range(len(texts))] == [plain_runs(t, least, times) for t in texts]
+
+
+def test_suffixes_are_sorted():
+    rng = random.Random(1)
+    for _ in range(50):
+        words = [rng.randrange(1, 3) for _ in range(rng.randrange(40))] + [0]
+        assert periodic.sorted_suffixes(np.array(words)).tolist() == sorted(range(len(words)), key=lambda i: words[i:])
+
+
+def test_runs_of_odd_documents(spark):
+    docs = odd(spark).withColumnRenamed("_doc", "runs")
+    found = periodic.collapse_runs(docs, order=queries.planted)
+    assert found.columns == ["doc_id", "runs", "strongest", "collapsed"]
+    assert found.schema["runs"].dataType.simpleString() == "array<struct<start:bigint,length:bigint,period:bigint>>"
+    got = sorted((r.doc_id is None, r.doc_id or 0, len(r.runs), hashlib.sha256(r.collapsed.encode()).hexdigest()) for r in found.collect())
+    want = [plain_answer(*r[:2]) for r in odd_rows() if r[0] != 6]  # the long text is too long for the plain version
+    assert [g for g in got if g[1] != 6] == sorted((w[0] is None, w[0] or 0, w[1], w[-1]) for w in want)
+    assert any(g[2] for g in got)
+    assert periodic.collapse_runs(empty(spark)).count() == 0
+
+
+def test_a_run_may_be_as_long_as_a_long_text(spark):
+    text = ("start " + "of a long line " * 60_000).strip()
+    row = periodic.collapse_runs(spark.createDataFrame([(1, text)], "doc_id long, text string")).first()
+    assert [tuple(r) for r in row.runs] == [(1, 240_000, 4)] == [tuple(row.strongest)] and row.collapsed == "start of a long line"
+
+
+# -- centroids -----------------------------------------------------------------------------------
+
+def plain_clusters(vectors, dims=64, k=16, rounds=3):
+    kept = []
+    for vec_id, v in vectors:
+        if v is not None and len(v) == dims and all(x is not None and math.isfinite(x) for x in v):
+            kept.append((vec_id, [math.floor(64 * x) for x in v]))
+    first = sorted(kept, key=lambda r: (hashlib.sha256(f"1:{'' if r[0] is None else r[0]}".encode()).hexdigest(), r[1]))
+    centers = [v for _, v in first[:k]]
+    for turn in range(rounds + 1):
+        found = [min((sum((a - b) ** 2 for a, b in zip(v, c)), n) for n, c in enumerate(centers)) for _, v in kept]
+        if turn < rounds:
+            for n in range(len(centers)):
+                mine = [v for (_, v), f in zip(kept, found) if f[1] == n]
+                if mine:
+                    centers[n] = [sum(column) // len(mine) for column in zip(*mine)]
+    total = sum(d for d, _ in found) if kept else 0
+    return [(i, n, d, sum(e for e, m in found if m == n), total, centers[n]) for (i, _), (d, n) in zip(kept, found)]
+
+
+def vectors_of(spark, rows_):
+    return spark.createDataFrame(rows_, "vec_id long, embedding array<double>, x string, cluster string, _id int").repartition(3)
+
+
+def test_clusters_equal_the_plain_version(spark, sf_dir):
+    table = spark.read.parquet(f"{sf_dir}/embeddings.parquet")
+    want = plain_clusters([(r.vec_id, r.embedding) for r in table.collect()])
+    want = [(*w[:5], hashlib.sha256(",".join(map(str, w[5])).encode()).hexdigest()) for w in want]
+    assert rows(entry.queries()["op13_centroid_threshold"](spark, sf_dir)) == sorted(want, key=str)
+    assert len({w[1] for w in want}) > 5
+
+
+def test_clusters_of_odd_vectors(spark):
+    rng = random.Random(2)
+    nan, inf = float("nan"), float("inf")
+    rows_ = [(i, [rng.choice([-0.02, 0.0, 0.01, 0.5]) for _ in range(4)], "x", "c", 0) for i in range(40)]
+    rows_ += rows_[:5] + [(None, [0.0] * 4, None, None, None), (None, [1.0] * 4, None, None, None), (3, [0.5] * 4, "", "", 1)]
+    rows_ += [(90 + i, v, "x", "c", 0) for i, v in enumerate([None, [], [1.0] * 3, [1.0] * 5, [None] * 4, [nan] * 4, [0.0, inf, 0.0, 0.0], [-inf] * 4])]
+    rows_ += [(70, [1e6, -1e6, 0.0, 3e5], "", "", 0), (71, [2e7, 0.0, 0.0, -2e7], "", "", 0)]
+    for k in (1, 7, 100):
+        got = centroids.cluster(vectors_of(spark, rows_), dims=4, k=k)
+        assert got.columns == ["vec_id", "cluster", "distance", "cluster_inertia", "inertia", "centroid"]
+        assert rows(got) == sorted(plain_clusters([r[:2] for r in rows_], dims=4, k=k), key=str)
+
+
+def test_clusters_without_vectors_and_beyond_a_long(spark):
+    assert centroids.cluster(vectors_of(spark, [])).count() == 0
+    far = centroids.cluster(vectors_of(spark, [(1, [1e300], "", "", 0), (2, [-1e300], "", "", 0)]), dims=1, k=1).collect()
+    assert len(far) == 2 and all(r.distance is None and r.inertia is None for r in far)
+    with pytest.raises(ValueError):
+        centroids.cluster(vectors_of(spark, []), k=0)
+
+
+@pytest.mark.parametrize("width", [3, 40, 1 << 30, 1 << 56])
+def test_the_walk_ends_at_the_nearest_centroid(width):
+    rng = np.random.default_rng(3)
+    x = rng.integers(-width, width, size=(300, 9))
+    chosen = x[:12].tolist() + x[:3].tolist()
+    number, best = centroids.Lists(chosen).nearest(x)
+    away = ((x[:, None].astype(object) - np.array(chosen, dtype=object)) ** 2).sum(axis=2)
+    assert (away.argmin(axis=1) == number).all() and (away.min(axis=1) == best).all()

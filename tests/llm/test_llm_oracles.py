@@ -16,7 +16,7 @@ from transitloom.llm.queries import ORACLES, QUERIES
 @pytest.mark.parametrize("name", sorted(ORACLES))
 def test_query_equals_oracle(spark, sf_dir, name):
     con = duckdb.connect()
-    for table in ("documents", "benchmark"):
+    for table in ("documents", "benchmark", "embeddings"):
         con.execute(f"create view {table} as select * from '{sf_dir}/{table}.parquet'")
     cursor = con.execute(entry.oracle_sql()[name])
     columns = [c[0] for c in cursor.description]
@@ -27,7 +27,7 @@ def test_query_equals_oracle(spark, sf_dir, name):
 
 def test_each_operator_has_one_query():
     numbers = sorted(int(n[2:].split("_")[0]) for n in QUERIES)
-    assert numbers == list(range(1, 11)) and "pipeline" in entry.queries()
+    assert numbers == list(range(1, 14)) and "pipeline" in entry.queries()
 
 
 def test_entry_points_work_without_the_part(tmp_path):

@@ -54,4 +54,35 @@ lowest as (select doc_id, min(other) as other from reach group by 1)
 select doc_id, coalesce(n, 0)::bigint as n_shingles, least(doc_id, coalesce(other, doc_id)) as component_id
 from docs left join sizes using (doc_id) left join lowest using (doc_id)"""
 
-BY_QUERY = {"op3_substring_dedup": SUBSTRING_DEDUP, "op8_decontamination": DECONTAMINATION, "op10_ngram_jaccard": NGRAM_JACCARD}
+
+
+def _centroids(k: int = 16, rounds: int = 3, dims: int = 64) -> str:
+    """Rounds of assignment and floored means, one after the other."""
+    parts = [f"""kept as materialized (
+  select row_number() over () as line, vec_id, list_transform(embedding, lambda x: floor(64 * x::double)::bigint) as v
+  from embeddings where len(embedding) = {dims} and len(list_filter(embedding, lambda x: isfinite(x))) = {dims}),
+c0 as materialized (
+  select row_number() over (order by sha256('1:' || coalesce(vec_id::varchar, '')), v) - 1 as cluster, v as c from kept
+  qualify cluster < {k})"""]
+    for r in range(rounds + 1):
+        parts.append(f"""a{r} as materialized (
+  select line, vec_id, v, cluster, distance from (
+    select line, vec_id, v, cluster, list_sum(list_transform(range(1, {dims + 1}), lambda i: (v[i] - c[i]) * (v[i] - c[i]))) as distance
+    from kept, c{r}) qualify row_number() over (partition by line order by distance, cluster) = 1)""")
+        if r < rounds:
+            parts.append(f"""m{r} as (
+  select cluster, dim, sum(x)::bigint as total, count(*) as n
+  from (select cluster, unnest(v) as x, unnest(range(1, {dims + 1})) as dim from a{r}) group by 1, 2),
+c{r + 1} as materialized (
+  select cluster, coalesce(n.c, o.c) as c from c{r} o left join (
+    select cluster, list((total - ((total % n) + n) % n) // n order by dim) as c from m{r} group by 1) n using (cluster))""")
+    return f"""with {", ".join(parts)}
+select vec_id, cluster::int as cluster, distance::bigint as distance, (sum(distance) over (partition by cluster))::bigint as cluster_inertia,
+  (sum(distance) over ())::bigint as inertia, sha256(array_to_string(c, ',')) as centroid_sha256
+from a{rounds} join c{rounds} using (cluster)"""
+
+
+CENTROIDS = _centroids()
+
+BY_QUERY = {"op3_substring_dedup": SUBSTRING_DEDUP, "op8_decontamination": DECONTAMINATION, "op10_ngram_jaccard": NGRAM_JACCARD,
+            "op13_centroid_threshold": CENTROIDS}

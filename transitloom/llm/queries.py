@@ -2,12 +2,17 @@
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Callable
 
+import numpy as np
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from transitloom.llm import bpe, classifier, decontaminate, extract, ngramjoin, oracles, pii, quality, substring, tokencount, toxicity
+from transitloom.llm import (
+    bpe, centroids, classifier, decontaminate, extract, ngramjoin, oracles, periodic, pii, quality, simhash, substring, tokencount,
+    toxicity,
+)
 from transitloom.llm.graph import stored
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -106,3 +111,39 @@ def op7_cotraining(spark: SparkSession, sf_dir: str) -> DataFrame:
     held_out = toxicity.held_out()
     scored = classifier.score(found, classifier.train(found, table(spark, sf_dir, "labels"), held_out))
     return scored.select("doc_id", held_out.alias("held_out"), "content_score", "page_score", "score", (F.col("score") >= 0.5).alias("kept"))
+
+
+@query
+def op11_simhash_planes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.near_copies(table(spark, sf_dir, "documents"))
+
+
+def planted(doc_id: int | None, n: int) -> np.ndarray | None:
+    """Where the words of a document with a planted repeat are read: its end goes on in the words of its first period."""
+    h = zlib.crc32(str(doc_id).encode()) if doc_id is not None else None
+    if h is None or h % 10 or not n:
+        return None
+    g = h // 10
+    a = g % n
+    p = 1 + (n - a) // (3 + g % 8)
+    places = np.arange(n)
+    return np.where(places < a, places, a + (places - a) % p)
+
+
+@query
+def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = periodic.collapse_runs(table(spark, sf_dir, "documents"), order=planted)
+    best = F.col("strongest")
+    line = F.array_join(F.transform("runs", lambda r: F.concat(r["start"], F.lit(","), r["length"], F.lit(","), r["period"], F.lit("\n"))), "")
+    return found.select(
+        "doc_id", F.size("runs").cast("long").alias("n_runs"), best["start"].alias("start"), best["length"].alias("length"),
+        best["period"].alias("period"), F.expr("1000 * strongest.length div strongest.period").alias("exponent_milli"),
+        F.sha2(line, 256).alias("runs_sha256"), F.sha2("collapsed", 256).alias("collapsed_sha256"))
+
+
+@query
+def op13_centroid_threshold(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = centroids.cluster(table(spark, sf_dir, "embeddings"))
+    return found.select(
+        "vec_id", "cluster", "distance", "cluster_inertia", "inertia",
+        F.sha2(F.array_join(F.col("centroid").cast("array<string>"), ","), 256).alias("centroid_sha256"))
