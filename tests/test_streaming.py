@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from transitloom import testviews as tv
 from transitloom.plans import gold, silver
+from transitloom.schemas import columns
 from transitloom.sources import documents, landing
 from transitloom.streaming import positions as live
 from transitloom.streaming import state
@@ -104,12 +105,53 @@ def test_speed_stream(spark, tmp_path, days, width):
     for part in parts:
         feed.add(part, run)
     want = gold.ping_speed(fact)
-    assert rows(live.all_batches(spark, speeds), want.columns) == rows(want)
-    assert live.all_batches(spark, late).agg(F.sum("pings"), F.sum("late_pings")).first()[:] == (fact.count(), 0)
-    # pings the vehicle has already passed are skipped and counted
+    assert rows(live.speeds_so_far(spark, speeds), want.columns) == rows(want)
+    assert live.latest_state(spark, late).first()[:] == (fact.count(), 0, 0)
+    # pings that come again are late, and pair like any others
     feed.add(parts[1] + parts[2][:10], run)
-    assert live.all_batches(spark, late).agg(F.sum("late_pings")).first()[0] == 11
-    assert live.all_batches(spark, speeds).count() == want.count()
+    assert rows(live.speeds_so_far(spark, speeds), want.columns) == rows(gold.ping_speed(feed.batch()))
+    assert live.latest_state(spark, late).first()["late_pings"] == 11
+
+
+def test_late_pings_are_paired_with_their_neighbours(spark, tmp_path):
+    """Arrival in any order: within a day, before all others, on a day of their own, on both sides of idle days."""
+    rng = random.Random(9)
+    schema = ("data_hora_sp timestamp_ntz, prefixo_veiculo int, cod_linha int, latitude double, longitude double, "
+              "sentido_desc string, is_acessivel boolean, data_referencia date")
+    pings = []
+    for vehicle in (1, 2, 3, None):
+        for day in rng.sample(range(1, 20), 6):
+            for _ in range(rng.randrange(1, 5)):
+                at = datetime(2024, 1, day, rng.randrange(24), rng.randrange(60))
+                pings.append((at, vehicle, rng.randrange(3), rng.random(), rng.random(), "Ida", True, at.date()))
+    pings += [(None, 1, 1, 0.5, 0.5, "Ida", True, None), pings[0], (*pings[1][:2], 7, 0.1, 0.2, "Volta", None, pings[1][7])]
+    rng.shuffle(pings)
+    feed = Feed(spark, tmp_path / "fact", schema)
+    speeds, late, folder, changes, windows = (str(tmp_path / n) for n in ("speeds", "late", "state", "changes", "windows"))
+    held = {}
+
+    def run():
+        live.keep_speeds(feed.stream(), speeds, late, folder, str(tmp_path / "checkpoint"), changes=changes).awaitTermination()
+        want = rows(gold.ping_speed(feed.batch()))
+        assert rows(live.speeds_so_far(spark, speeds), gold.ping_speed(feed.batch()).columns) == want
+        # adding up what the batches changed gives the same
+        told = live.state.all_versions(spark, changes).groupBy(*live.CHANGES.names[:-1]).agg(F.sum("saldo").alias("n")).filter("n <> 0")
+        assert sorted([tuple(r)[:-1] for r in told.collect() for _ in range(r.n)], key=str) == want
+        now = {r for r in want}
+        held["undone"] = held.get("undone", 0) + len([r for r in held.get("rows", ()) if r not in now])
+        held["rows"] = want
+
+    cuts = [0, 5, 12, 30, 31, 45, len(pings)]
+    for a, b in zip(cuts, cuts[1:]):
+        feed.add(pings[a:b], run)
+    timed = [p for p in pings if p[0] and p[1]]
+    pings_, late_, revised = live.latest_state(spark, late).first()
+    assert pings_ == len(timed) and 0 < late_ < pings_ and revised >= held["undone"] > 0
+
+    source = live.stream_rows(spark, live.CHANGES, f"{changes}/lote=*", files_per_batch=3)
+    live.keep_windows(source, windows, str(tmp_path / "w_late"), str(tmp_path / "w_checkpoint")).awaitTermination()
+    want = live.speed_windows(gold.ping_speed(feed.batch()))
+    assert rows(live.windows_so_far(spark, windows), want.columns) == rows(want)
 
 
 def test_a_repeated_batch_writes_the_same_files(spark, tmp_path, days):
@@ -121,14 +163,63 @@ def test_a_repeated_batch_writes_the_same_files(spark, tmp_path, days):
     def run():
         live.keep_speeds(feed.stream(), speeds, late, state, str(tmp_path / "checkpoint")).awaitTermination()
 
-    for part in parts[:3]:
+    def found():
+        return rows(live.speeds_so_far(spark, speeds)), rows(live.latest_state(spark, late)), rows(live.latest_state(spark, f"{state}/veiculos"))
+
+    for part in (parts[0], parts[2], parts[1] + parts[3][:50]):  # the last one brings a late ping
         feed.add(part, run)
-    before = rows(live.all_batches(spark, speeds)), rows(live.latest_state(spark, state))
-    commits = sorted((tmp_path / "checkpoint" / "commits").glob("[0-9]*"), key=lambda p: int(p.name))
+    before = found()
+    assert before[1][0][1] > 0
+    lose_last_commit(tmp_path / "checkpoint")
+    run()
+    assert found() == before
+
+
+def lose_last_commit(checkpoint):
+    commits = sorted((checkpoint / "commits").glob("[0-9]*"), key=lambda p: int(p.name))
     commits[-1].unlink()
     (commits[-1].parent / f".{commits[-1].name}.crc").unlink(missing_ok=True)
-    run()
-    assert (rows(live.all_batches(spark, speeds)), rows(live.latest_state(spark, state))) == before
+
+
+def test_a_batch_opens_the_days_it_touches(spark, tmp_path):
+    """After many batches a day has one version, old ones are gone, and reading it opens its own files only."""
+    folder = str(tmp_path / "parts")
+    schema = columns("k int, dia date")
+    days = [datetime(2024, 1, d).date() for d in range(1, 6)] + [None]
+    for n in range(50):
+        touched = [days[n % 6], days[0]]
+        held = state.read_parts(spark, folder, schema, "dia", touched, below=n)
+        new = held.unionByName(spark.createDataFrame([(n, d) for d in set(touched)], schema))
+        state.put_parts(new.coalesce(1), folder, n, "dia", set(touched))
+        state.expire_parts(spark, folder, n, "dia")
+    want = {d: sorted(n for n in range(50) if d in (days[n % 6], days[0])) for d in days}
+    for day in days:
+        one = state.read_parts(spark, folder, schema, "dia", [day])
+        assert sorted(r.k for r in one.collect()) == want[day] and {r.dia for r in one.collect()} == {day}
+        assert len(one.inputFiles()) == 1
+    assert state.read_parts(spark, folder, schema, "dia").count() == sum(map(len, want.values()))
+    kept = list((tmp_path / "parts" / "dados").glob("lote=*/dia=*"))
+    assert len(kept) <= 8 and len(list((tmp_path / "parts" / "ponteiros").glob("lote=*"))) == 2
+    # the batch before, run again, still finds what it found the first time
+    assert sorted(r.k for r in state.read_parts(spark, folder, schema, "dia", [days[0]], below=49).collect()) == list(range(49))
+
+
+def test_sums_of_many_batches_lie_in_few_folders(spark, tmp_path):
+    folder = str(tmp_path / "sums")
+
+    def add(df):
+        return df.groupBy("k").agg(F.sum("n").alias("n"))
+
+    for n in range(203):
+        state.put_folded(spark.createDataFrame([(n % 3, 1)], "k int, n bigint").coalesce(1), folder, n, add)
+        if n in (0, 8, 9, 10, 98, 99, 100, 202):
+            found = state.folded(spark, folder)
+            assert rows(add(found)) == sorted((k, len(range(k, n + 1, 3))) for k in range(min(3, n + 1)))
+            assert len({f.rpartition("/")[0] for f in found.inputFiles()}) == sum(map(int, str(n + 1)))
+    assert len(list((tmp_path / "sums").glob("nivel=*/lote=*"))) <= 2 * sum(map(int, "203"))
+    # a batch run again overwrites its own folders
+    state.put_folded(spark.createDataFrame([(202 % 3, 1)], "k int, n bigint"), folder, 202, add)
+    assert rows(add(state.folded(spark, folder))) == [(k, len(range(k, 203, 3))) for k in range(3)]
 
 
 def test_windows_are_those_of_the_batch_after_every_part(spark, tmp_path, days):

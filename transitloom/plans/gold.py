@@ -22,6 +22,13 @@ _PING = ["data_hora_sp", "prefixo_veiculo", "cod_linha", "latitude", "longitude"
          "data_referencia"]
 
 
+def last_pings(pings: DataFrame, *keys: str) -> DataFrame:
+    """The last ping of each key: of several in one moment the one that :func:`ping_speed` pairs with the next."""
+    micros = F.timestamp_diff("MICROSECOND", F.lit("1970-01-01 00:00:00").cast("timestamp_ntz"), F.col("data_hora_sp"))
+    tie = F.shiftrightunsigned(F.xxhash64(*_PING, F.lit(True)), 2)
+    return pings.groupBy(*keys).agg(F.max_by(F.struct("*"), F.struct(micros, tie)).alias("__last")).select("__last.*")
+
+
 def ping_speed(fact: DataFrame, slice_seconds: int = SLICE_SECONDS, carried: DataFrame | None = None,
                max_gap_hours: float | None = None) -> DataFrame:
     """Speed of each ping against the vehicle's previous one.

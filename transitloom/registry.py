@@ -838,30 +838,53 @@ def stream_snapshot(spark, sf):
     return live.latest_state(spark, state).withColumn("data_referencia", _day())
 
 
-def _streamed_speeds(spark, sf) -> str:
-    speeds = shared_folder(spark, "speeds")
-    _finish(live.keep_speeds(
-        _streamed_fact(spark, sf), speeds, shared_folder(spark, "late"), shared_folder(spark, "state"),
-        shared_folder(spark, "checkpoint"),
-    ))
-    return speeds
+def _streamed_speeds(spark, sf, parts: int = 1) -> tuple[str, str, str]:
+    """Folders of the speeds, of their changes and of the counts, after pings in ``parts`` files dealt out by hash."""
+    landed, speeds, late, state, checkpoint, changes = (
+        shared_folder(spark, n) for n in ("fact", "speeds", "late", "state", "checkpoint", "changes"))
+    fact = _fact(spark, sf)
+    dealt = fact.withColumn("parte", F.pmod(F.xxhash64("prefixo_veiculo", "data_hora_sp"), F.lit(parts)))
+    for part in range(parts):
+        dealt.filter(F.col("parte") == part).drop("parte").write.mode("append").parquet(landed)
+        _finish(live.keep_speeds(
+            live.stream_rows(spark, fact.schema, landed), speeds, late, state, checkpoint, changes=changes))
+    return speeds, changes, late
 
 
 @query(_PING_SPEED)
 def stream_speed(spark, sf):
-    return _ping_speed_output(live.all_batches(spark, _streamed_speeds(spark, sf)))
+    return _ping_speed_output(live.speeds_so_far(spark, _streamed_speeds(spark, sf)[0]))
+
+
+@query(_PING_SPEED)
+def stream_speed_shuffled(spark, sf):
+    """The same with pings that arrive in three parts, each from all of the time: most are late."""
+    return _ping_speed_output(live.speeds_so_far(spark, _streamed_speeds(spark, sf, parts=3)[0]))
 
 
-@query("""select time_bucket(interval '15 minutes', data_hora_sp) as inicio,
+_WINDOWS = """select time_bucket(interval '15 minutes', data_hora_sp) as inicio,
     time_bucket(interval '15 minutes', data_hora_sp) + interval '15 minutes' as fim, cod_linha, count(*) as pings,
     count(*) filter (where velocidade_kmh > 5 and velocidade_kmh < 110) as pings_em_movimento,
     round(avg(velocidade_kmh) filter (where velocidade_kmh > 5 and velocidade_kmh < 110) + 1e-9, 6) as velocidade_media
-    from {ping_speed} group by 1, 2, 3""")
-def stream_window15(spark, sf):
-    speeds, out = _streamed_speeds(spark, sf), shared_folder(spark, "windows")
-    schema = live.all_batches(spark, speeds).schema
-    source = live.stream_rows(spark, schema, f"{speeds}/lote=*")
+    from {ping_speed} group by 1, 2, 3"""
+
+
+def _streamed_windows(spark, sf, parts: int) -> DataFrame:
+    _, changes, _ = _streamed_speeds(spark, sf, parts)
+    out = shared_folder(spark, "windows")
+    source = live.stream_rows(spark, live.CHANGES, f"{changes}/lote=*")
     _finish(live.keep_windows(source, out, shared_folder(spark, "late"), shared_folder(spark, "checkpoint")))
     return live.windows_so_far(spark, out).select(
         F.col("inicio").cast("timestamp_ntz").alias("inicio"), F.col("fim").cast("timestamp_ntz").alias("fim"),
         "cod_linha", "pings", "pings_em_movimento", _rounded("velocidade_media"))
+
+
+@query(_WINDOWS)
+def stream_window15(spark, sf):
+    return _streamed_windows(spark, sf, 1)
+
+
+@query(_WINDOWS)
+def stream_window15_revised(spark, sf):
+    """Windows whose speeds were revised by late pings."""
+    return _streamed_windows(spark, sf, 2)

@@ -7,10 +7,15 @@ from pyspark.sql import types as T
 
 _TYPES = {
     "string": T.StringType(), "int": T.IntegerType(), "double": T.DoubleType(),
-    "boolean": T.BooleanType(), "timestamp": T.TimestampType(),
+    "boolean": T.BooleanType(), "timestamp": T.TimestampType(), "timestamp_ntz": T.TimestampNTZType(), "date": T.DateType(),
 }
 
 
+def columns(names: str) -> T.StructType:
+    """Columns as "name type, name type", for schemas that are needed before a session is there."""
+    return T.StructType([T.StructField(name, _TYPES[kind]) for name, kind in (c.split() for c in names.split(","))])
+
+
 def _table(*columns: tuple[str, str, str]) -> T.StructType:
     """Columns as (name, type, comment); the comment travels into the table DDL."""
     return T.StructType([
