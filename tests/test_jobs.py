@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from transitloom import schemas
 from transitloom.operators import numbering
 from transitloom.plans import gold, jobs, serving
-from transitloom.sources import tables
+from transitloom.sources import landing, tables
 
 DAYS = [date(2024, 1, 1), date(2024, 1, 2), date(2024, 1, 3)]
 
@@ -238,5 +238,59 @@ def test_sweeps_land_stamp_and_name_their_lots(layers, tmp_path):
     got = layers.read("bronze", "previsao_chegada_linha").select("cod_linha", "arquivo_origem")
     assert sorted(tuple(r) for r in got.collect()) == [
         (100, "batch_0_20240105_063000.json"), (102, "batch_2_20240105_063000.json")]
-    landed = list((tmp_path / "landing").glob("previsao_chegada_linha/raw_*/cod_linha=102/arquivo_origem=batch_2_*"))
-    assert len(landed) == 1
+    landed = landing.read_landed(spark, str(tmp_path / "landing" / "previsao_chegada_linha" / "raw_*"), ["cod_linha", "arquivo_origem"])
+    assert [tuple(r) for r in landed.select("cod_linha", "arquivo_origem").collect()] == [("102", "batch_2_20240105_063000.json")]
+
+
+def test_a_run_written_again_replaces_itself(layers, tmp_path):
+    spark = layers.spark
+    made = jobs.Layers(spark, "again_")
+    tables.create_layers(spark, str(tmp_path), "again_")
+    root, first, second = str(tmp_path / "landing"), datetime(2024, 1, 5, 6), datetime(2024, 1, 5, 7)
+
+    def one(key, body):
+        return spark.createDataFrame([(body, key)], "body string, cod_linha int")
+
+    forecast = json.dumps({"hr": "1", "ps": {"cp": 7, "vs": [{"p": 1, "t": "07:00"}]}})
+    for _ in range(2):  # a piece of a run, landed and written twice
+        report = jobs.ingest(made, "previsao_chegada_linha", one(3, forecast), first, landing_root=root, part="p1")
+        assert report.first()[1:] == (1, 0, 0, 1)
+    assert made.read("bronze", "previsao_chegada_linha").count() == 1
+    positions = [document("1", [(1, 100, 1, "2024-01-05T05:59:00Z", -23.0)]), document("2", [(2, 100, 1, "2024-01-05T06:59:00Z", -23.0)])]
+    stops = json.dumps([{"cp": 1, "np": "A", "ed": "1 2", "py": 1.0, "px": 2.0}])
+    for landing_root in (root, None, root):  # whole runs, of a table by day and of one without partitions
+        for run, body in zip((first, second), positions):
+            jobs.ingest(made, "posicao_veiculos", one(1, body).select("body"), run, landing_root=landing_root)
+            jobs.ingest(made, "paradas_por_linha", one(run.hour, stops), run, landing_root=landing_root)
+    assert sorted((r.p, r.dt_ingestao.hour) for r in made.read("bronze", "posicao_veiculos").collect()) == [("1", 6), ("2", 7)]
+    assert sorted((r.cod_linha, r.dt_ingestao.hour) for r in made.read("bronze", "paradas_por_linha").collect()) == [(6, 6), (7, 7)]
+    assert landing.read_landed(spark, f"{root}/posicao_veiculos/raw_*").count() == 2
+
+
+def test_documents_are_evaluated_once(layers, tmp_path):
+    spark = layers.spark
+    made = jobs.Layers(spark, "once_")
+    tables.create_layers(spark, str(tmp_path), "once_")
+    asked = spark.sparkContext.accumulator(0)
+
+    def ask(batches):
+        for batch in batches:
+            asked.add(batch.num_rows)
+            yield batch
+
+    docs = spark.createDataFrame([('[{"cp": 1}]', 1)], "body string, cod_linha int").mapInArrow(ask, "body string, cod_linha int")
+    for n, root in enumerate((None, str(tmp_path / "landing"))):
+        jobs.ingest(made, "paradas_por_linha", docs, datetime(2024, 1, 5 + n), landing_root=root)
+        assert asked.value == n + 1
+
+
+def test_many_keys_land_in_few_files(spark, tmp_path):
+    docs = spark.range(20_000).selectExpr("concat('{\"cp\": ', id, '}') as body", "cast(id as int) as cp", "if(id % 2 = 0, null, 'x') as note")
+    path = str(tmp_path / "landed")
+    for _ in range(2):
+        assert landing.land_raw(docs, path, ["cp", "note"], replace=True)
+    assert 0 < len(list((tmp_path / "landed").glob("*.json"))) < 50
+    assert landing.read_landed(spark, path, ["cp"]).filter("body = concat('{\"cp\": ', cp, '}')").count() == 20_000
+    with pytest.raises(ValueError, match="have no line"):
+        landing.stream_landed(spark, path, keys=["cp", "line"])
+    assert landing.stream_landed(spark, path, keys=["cp", "note"]).columns == ["body", "arquivo_origem", "cp", "note"]

@@ -14,7 +14,7 @@ from transitloom import schemas
 from transitloom.functions.clock import run_stamp
 from transitloom.operators.ranking import first_per_key
 from transitloom.plans import gold, silver
-from transitloom.session import side_by_side
+from transitloom.session import remove_folder, shared_folder, side_by_side
 from transitloom.sources import documents, gtfs, landing, sweep, tables
 
 DAY = "data_referencia"
@@ -64,18 +64,22 @@ def ingest(layers: Layers, table: str, docs: DataFrame, run_time: datetime, orig
            landing_root: str | None = None, part: str | None = None) -> DataFrame:
     """Land documents, parse them and write the bronze table of one run; returns one row that tells how it went.
 
-    ``docs`` has ``body`` and, for keyed requests, the key column of the table. With ``landing_root`` the documents are
-    evaluated once, landed, and parsed from there with their keys; the parsed rows are landed too. Columns the table does
-    not know yet are added to it. ``part`` names the piece of a run that is written; writing it again replaces it.
+    ``docs`` has ``body`` and, for keyed requests, the key column of the table. The documents are evaluated once: landed under
+    ``landing_root`` or else staged, and parsed and judged from there; the parsed rows are landed too. Columns the table does
+    not know yet are added to it. ``part`` names the piece of a run that is written. A piece or run that is written again
+    replaces its own documents and rows, whatever the first attempt has left.
     """
     parse, replaces = PARSERS[table]
     spark = layers.spark
-    if landing_root:
-        path = f"{landing_root}/{table}/raw_{run_stamp(run_time)}" + (f"_{part}" if part else "")
-        keys = [c for c in docs.columns if c != documents.BODY]
-        if landing.land_raw(docs, path, keys):
-            kinds = {f.name: f.dataType for f in docs.schema}
-            docs = landing.read_landed(spark, path, keys).select(documents.BODY, *(F.col(k).cast(kinds[k]).alias(k) for k in keys))
+    keys = [c for c in docs.columns if c != documents.BODY]
+    staged = None
+    path = f"{landing_root}/{table}/raw_{run_stamp(run_time)}" + (f"_{part}" if part else "")
+    if landing_root and landing.land_raw(docs, path, keys, replace=True):
+        docs = landing.read_landed(spark, path, docs.select(*keys).schema).select(documents.BODY, *keys)
+    else:
+        staged = shared_folder(spark, "documents")
+        docs.select(documents.BODY, *keys).write.parquet(staged)
+        docs = spark.read.schema(docs.select(documents.BODY, *keys).schema).parquet(staged)
     schema = schemas.with_audit(schemas.BRONZE[table])
     rows = parse(docs)
     if table == "buscar_paradas":
@@ -96,12 +100,14 @@ def ingest(layers: Layers, table: str, docs: DataFrame, run_time: datetime, orig
     if not spark.catalog.tableExists(name):
         tables.create_table(spark, name, T.StructType([*schema.fields, *(f for f in rows.schema if f.name not in schema.names)]), by)
         tables.comment_table(spark, name, COMMENTS[table])
-    if part is not None:
+    mine = F.col("dt_ingestao") == landing.moment(run_time)
+    if by == PART:
         tables.replace_partitions(rows, name, PART, [part])
-    else:
+    elif spark.table(name).filter(_of_run(by, run_time) & mine).isEmpty():
         tables.append_table(rows, name)
-    written = layers.spark.table(name).filter(F.col("dt_ingestao") == landing.moment(run_time))
-    written = written.filter(F.col(by) == (part if by == PART else F.lit(run_time.date()))) if by else written
+    else:
+        _replace_run(spark, rows, name, by, run_time, mine)
+    written = spark.table(name).filter(mine & (F.col(PART) == part if by == PART else _of_run(by, run_time)))
     if landing_root:
         landing.land_rows(written.drop(*([by] if by else [])), f"{landing_root}/{table}", f"{table}{'_' + part if part else ''}", run_time)
     if table == "posicao_veiculos":
@@ -109,7 +115,24 @@ def ingest(layers: Layers, table: str, docs: DataFrame, run_time: datetime, orig
     body = F.col(documents.BODY)
     faults = docs.agg(F.count(F.lit(1)).alias("documents"), F.count_if(documents.is_unreadable(body)).alias("unreadable"),
                       F.count_if(documents.wrong_shape(body, parse.__name__)).alias("wrong_shape")).first()
-    return spark.createDataFrame([(table, *faults, written.count())], REPORT)
+    report = spark.createDataFrame([(table, *faults, written.count())], REPORT)
+    if staged:
+        remove_folder(spark, staged)
+    return report
+
+
+def _of_run(by: str | None, run_time: datetime) -> Column:
+    return F.col(by) == F.lit(run_time.date()) if by == INGEST_DAY else F.lit(True)
+
+
+def _replace_run(spark: SparkSession, rows: DataFrame, name: str, by: str | None, run_time: datetime, mine: Column) -> None:
+    """Write a run's rows again: the other rows of its ingest day, or of the table, stay."""
+    others = spark.table(name).filter(_of_run(by, run_time) & ~F.coalesce(mine, F.lit(False)))
+    both = others.unionByName(rows, allowMissingColumns=True)
+    if by:
+        tables.replace_partitions(both, name, by, [run_time.date()])
+    else:
+        tables.replace_rows(both, name)
 
 
 def _note_days(layers: Layers, written: DataFrame, run_time: datetime) -> None:
@@ -141,8 +164,6 @@ def ingest_sweep(layers: Layers, table: str, keys: DataFrame, fetch: Callable[[o
     written twice. Returns how the requests ended, the last answer of each key counting.
     """
     (key,) = keys.columns
-    stamped, prefix = SWEEPS[table]
-    stamp = run_stamp(run_time)
     spark = layers.spark
     if not resume:
         sweep.write_lots(keys, key, lot_size, f"{work}/requests")
@@ -152,11 +173,7 @@ def ingest_sweep(layers: Layers, table: str, keys: DataFrame, fetch: Callable[[o
         sweep.ask_again(spark, f"{work}/requests", key, f"{work}/replies")
 
     def write(replies: DataFrame, commit: int) -> None:
-        docs = replies.filter(F.col("status") == "ok").select(
-            documents.BODY, *([F.col(key).alias(stamped)] if stamped else []),
-            sweep.lot_origin(F.col("lote"), lot_size, stamp, prefix).alias("arquivo_origem"),
-        )
-        ingest(layers, table, docs, run_time, landing_root=landing_root, part=f"{stamp}_{commit:05d}")
+        write_commit(layers, table, replies, key, commit, lot_size, run_time, landing_root)
 
     sweep.sweep_lots(
         spark, f"{work}/requests", key, fetch, f"{work}/replies", f"{work}/checkpoint", tasks,
@@ -165,6 +182,18 @@ def ingest_sweep(layers: Layers, table: str, keys: DataFrame, fetch: Callable[[o
     return sweep.attempts_summary(sweep.last_replies(spark, f"{work}/replies", key))
 
 
+def write_commit(layers: Layers, table: str, replies: DataFrame, key: str, commit: int, lot_size: int,
+                 run_time: datetime, landing_root: str | None = None) -> DataFrame:
+    """Write the replies of one commit of a sweep; writing a commit again replaces what it wrote."""
+    stamped, prefix = SWEEPS[table]
+    stamp = run_stamp(run_time)
+    docs = replies.filter(F.col("status") == "ok").select(
+        documents.BODY, *([F.col(key).alias(stamped)] if stamped else []),
+        sweep.lot_origin(F.col("lote"), lot_size, stamp, prefix).alias("arquivo_origem"),
+    )
+    return ingest(layers, table, docs, run_time, landing_root=landing_root, part=f"{stamp}_{commit:05d}")
+
+
 def ingest_schedule(layers: Layers, folder: str, run_time: datetime) -> DataFrame:
     """Load the static files into bronze; returns one status row per file."""
     def write(name: str, rows: DataFrame) -> int:

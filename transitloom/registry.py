@@ -685,6 +685,35 @@ def job_sweep_resumed(spark, sf):
     return layers.read("bronze", "previsao_chegada_parada").groupBy("cp", "p").agg(F.count(F.lit(1)).alias("copies"))
 
 
+@query("""select cp, cast(cp as varchar) as p, count(*) as copies from (
+    select distinct cast(stop_id as int) as cp from {stops} where regexp_full_match(stop_id, '[0-9]+')) group by 1, 2""")
+def job_sweep_repeated_commit(spark, sf):
+    """A sweep that lands what it gets, and whose commits are all written twice."""
+    layers, root = _lake(spark)
+    keys = numbering.integer_keys(tv.view(spark, sf, "stops"), "stop_id", "cp")
+    table, stamp = "previsao_chegada_parada", run_stamp(RUN)
+    jobs.ingest_sweep(layers, table, keys, _flaky(True), RUN, f"{root}/sweep", tasks=8, lots_per_commit=4, lot_size=200,
+                      landing_root=f"{root}/landing", attempts=1, wait_seconds=0)
+    for commit in [r[0] for r in spark.read.parquet(f"{root}/sweep/replies").select("commit").distinct().collect()]:
+        replies = spark.read.parquet(f"{root}/sweep/replies").filter(F.col("commit") == commit)
+        jobs.write_commit(layers, table, replies, "cp", commit, 200, RUN, f"{root}/landing")
+    return layers.read("bronze", table).groupBy("cp", "p").agg(F.count(F.lit(1)).alias("copies"))
+
+
+@query("""select count(distinct cp) as keys, count(distinct cp) as documents, true as few_files from (
+    select cast(stop_id as int) as cp from {stops} where regexp_full_match(stop_id, '[0-9]+'))""")
+def job_landing_files(spark, sf):
+    """Documents of one request per key lie in files of even size, not in one for each key."""
+    path = shared_folder(spark, "landing")
+    keys = numbering.integer_keys(tv.view(spark, sf, "stops"), "stop_id", "cp")
+    docs = keys.withColumn("body", F.concat(F.lit('{"cp": '), F.col("cp"), F.lit("}")))
+    for _ in range(2):
+        landing.land_raw(docs, path, ["cp"], replace=True)
+    back = landing.read_landed(spark, path, ["cp"])
+    return back.agg(F.count_distinct("cp").alias("keys"), F.count(F.lit(1)).alias("documents"),
+                    (F.count_distinct("arquivo_origem") <= 64).alias("few_files"))
+
+
 @query("""select 'shapes' as file, column_name as "column", rejected from (
     select 'shape_pt_lat' as column_name, count(*) filter (where shape_id % 50 = 0) as rejected from {shapes}
     union all select 'shape_pt_lon', 0 union all select 'shape_dist_traveled', 0
@@ -792,6 +821,16 @@ def stream_positions(spark, sf):
     return spark.read.schema(rows.schema).parquet(out).drop("arquivo_origem")
 
 
+@query("select cast(cp % 27 as int) as cod_linha, cp, np, ed, py, px from {stops}")
+def stream_stops_by_line(spark, sf):
+    """Answers to requests by line, as a stream that keeps the key asked for."""
+    landed, out = shared_folder(spark, "landing"), shared_folder(spark, "stops")
+    landing.land_raw(tv.stop_docs(spark, sf, "cod_linha"), landed, ["cod_linha"])
+    rows = documents.stops(landing.stream_landed(spark, landed, keys=schemas.columns("cod_linha int")))
+    _finish(live.append_to(rows, out, shared_folder(spark, "checkpoint")))
+    return spark.read.schema(rows.schema).parquet(out).drop("arquivo_origem")
+
+
 def _streamed_signals(spark, sf, raw: DataFrame) -> tuple[str, str]:
     """Folders of the fact and of the late counts, after a first run and a second with the repeated signals."""
     landed, folder, late, checkpoint = (shared_folder(spark, n) for n in ("raw", "fact", "late", "checkpoint"))

@@ -57,3 +57,9 @@ def shared_folder(spark: SparkSession, purpose: str) -> str:
             raise RuntimeError("set spark.checkpoint.dir to a folder shared by all executors")
         parent = tempfile.mkdtemp(prefix="transitloom-")
     return f"{parent.rstrip('/')}/{purpose}-{uuid.uuid4().hex}"
+
+
+def remove_folder(spark: SparkSession, path: str) -> None:
+    """Delete a folder that this library has made under the shared one."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    place.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).delete(place, True)

@@ -16,11 +16,6 @@ from transitloom.sources.documents import BODY
 
 log = logging.getLogger(__name__)
 
-# The record separator may not occur inside JSON text, so bodies with line breaks survive verbatim
-# and one file can hold many documents.
-_RECORD_END = "\u001e"
-
-
 def read_document_files(spark: SparkSession, path: str) -> DataFrame:
     """One document per file, with the file it came from."""
     return spark.read.text(path, wholetext=True).select(
@@ -28,31 +23,48 @@ def read_document_files(spark: SparkSession, path: str) -> DataFrame:
     )
 
 
-def read_landed(spark: SparkSession, path: str, keys: Sequence[str] = ()) -> DataFrame:
-    """Documents written by :func:`land_raw`, with the columns they were landed with, as text."""
-    columns = T.StructType([T.StructField(c, T.StringType()) for c in ("value", *keys)])
-    origin = [] if "arquivo_origem" in keys else [F.col("_metadata.file_path").alias("arquivo_origem")]
-    return spark.read.schema(columns).text(path, lineSep=_RECORD_END).select(F.col("value").alias(BODY), *origin, *keys)
+def _landed(keys: Sequence[str] | T.StructType) -> T.StructType:
+    """Columns of landed documents; keys named without a type are text."""
+    fields = keys.fields if isinstance(keys, T.StructType) else [T.StructField(k, T.StringType()) for k in keys]
+    return T.StructType([T.StructField(BODY, T.StringType()), *fields])
+
+
+def _with_origin(landed: DataFrame) -> DataFrame:
+    origin = [] if "arquivo_origem" in landed.columns else [F.col("_metadata.file_path").alias("arquivo_origem")]
+    return landed.select(BODY, *origin, *(c for c in landed.columns if c != BODY))
+
 
+def read_landed(spark: SparkSession, path: str, keys: Sequence[str] | T.StructType = ()) -> DataFrame:
+    """Documents written by :func:`land_raw`, with the key columns named; the file is the origin unless that is a key."""
+    return _with_origin(spark.read.schema(_landed(keys)).json(path))
 
-def stream_landed(spark: SparkSession, path: str, files_per_batch: int | None = None) -> DataFrame:
-    """Streaming form of :func:`read_landed`."""
-    reader = spark.readStream.option("lineSep", _RECORD_END)
+
+def stream_landed(spark: SparkSession, path: str, files_per_batch: int | None = None,
+                  keys: Sequence[str] | T.StructType = ()) -> DataFrame:
+    """Streaming form of :func:`read_landed`. ``path`` may be a pattern over the folders of several runs.
+
+    Documents that lie there already must have the keys: a stream that reads nulls for a misspelt one is refused.
+    """
+    schema = _landed(keys)
+    first = spark.read.text(path).limit(1).select(F.json_object_keys("value").alias("names")).first()
+    missing = set(schema.names) - set(first.names or ()) if first else set()
+    if missing:
+        raise ValueError(f"documents landed at {path} have no {', '.join(sorted(missing))}")
+    reader = spark.readStream.schema(schema)
     if files_per_batch:
         reader = reader.option("maxFilesPerTrigger", files_per_batch)
-    return reader.text(path).select(
-        F.col("value").alias(BODY), F.col("_metadata.file_path").alias("arquivo_origem")
-    )
+    return _with_origin(reader.json(path))
 
 
-def land_raw(docs: DataFrame, path: str, keys: Sequence[str] = ()) -> bool:
-    """Append raw bodies unchanged, in a folder per value of the columns named (request keys, origin).
+def land_raw(docs: DataFrame, path: str, keys: Sequence[str] = (), replace: bool = False) -> bool:
+    """Write raw bodies unchanged, one JSON object per line with the body as text and the columns named (request keys, origin).
 
-    A failure is logged and reported, it does not stop the run.
+    Documents are dealt out evenly, however many keys there are: a folder has few files. ``replace`` empties the folder, so
+    that a piece of a run that is landed again replaces itself. A failure is logged and reported, it does not stop the run.
     """
-    writer = docs.select(BODY, *keys).filter(F.col(BODY).isNotNull()).write.mode("append").option("lineSep", _RECORD_END)
+    rows = docs.select(BODY, *keys).filter(F.col(BODY).isNotNull()).hint("rebalance")
     try:
-        (writer.partitionBy(*keys) if keys else writer).text(path)
+        rows.write.mode("overwrite" if replace else "append").option("ignoreNullFields", False).json(path)
         return True
     except SPARK_ERRORS as error:
         log.warning("raw documents not landed at %s: %s", path, error)

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from transitloom import schemas
-from transitloom.session import SPARK_ERRORS, shared_folder
+from transitloom.session import SPARK_ERRORS, remove_folder, shared_folder
 
 FORMAT = "parquet"
 
@@ -171,6 +171,16 @@ def replace_partitions(df: DataFrame, name: str, partition_by: str, values: Iter
             spark.sql(f"ALTER TABLE {_identifier(name)} DROP IF EXISTS PARTITION (`{partition_by}` = {spec})")
     spark.catalog.recoverPartitions(name)
     spark.catalog.refreshTable(name)
+    remove_folder(spark, staged)
+
+
+def replace_rows(df: DataFrame, name: str) -> None:
+    """Replace all rows of a table that ``df`` may read; its columns and comments stay."""
+    spark = df.sparkSession
+    staged = shared_folder(spark, "rows")
+    df.write.format(FORMAT).save(staged)
+    take_new_columns(spark, name, spark.read.schema(df.schema).format(FORMAT).load(staged)).write.insertInto(name, overwrite=True)
+    remove_folder(spark, staged)
 
 
 def location(spark: SparkSession, name: str) -> str:
