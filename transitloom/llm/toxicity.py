@@ -7,8 +7,9 @@ The field has two states; a word's own form, its prefixes and endings and the fo
 state before it. Forward-backward marginals give the spans; sums of them per document, calibrated against the
 document labels, give the score.
 
-The field is fitted by the driver on a bounded sample of labelled documents (``per_class`` of each label, by a
-hash of the id); every document is scored whole, by tasks that hold the weights only.
+The field is fitted by a task on a bounded sample of labelled documents: ``per_class`` of each label by a hash of the id,
+of which those up to LONGEST bytes are taken until they hold SAMPLE_BYTES of a label. Only the weights reach the
+driver. Every document is scored whole, by tasks that hold the weights only.
 
 Meaning of odd input: null or blank text has no words and gets the score of a document without marginals; null
 labels are left out; of several labels of one id the highest counts; without labels of both kinds every score is
@@ -18,6 +19,7 @@ the share of toxic labels (0.5 without any); other columns pass through if asked
 from __future__ import annotations
 
 import math
+import pickle
 import re
 from array import array
 from collections.abc import Iterator
@@ -25,7 +27,7 @@ from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -34,6 +36,8 @@ from transitloom.llm.rows import small_batches
 
 #: Documents of each label that the fit takes: toxic, clean.
 PER_CLASS = (800, 1600)
+#: Bytes of text of one label that the fit takes, and of one document.
+SAMPLE_BYTES, LONGEST = 8 << 20, 1 << 17
 #: Contexts in toxic documents that a seed needs, and its highest chance of being one by accident.
 SEED_CONTEXTS, SEED_CHANCE = 5, 1e-3
 EPOCHS = 40
@@ -323,12 +327,23 @@ def train(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str
     taken = [
         known.filter(F.col("_y") > 0 if bad else F.col("_y") <= 0).orderBy(order, "_id").limit(n) for bad, n in ((True, per_class[0]), (False, per_class[1]))
     ]
-    # only ids, at most sum(per_class) of them, are broadcast; their texts alone come to the driver
+    # only ids, at most sum(per_class) of them, are broadcast; the texts stay with the tasks
     few = F.broadcast(taken[0].unionByName(taken[1]))
-    rows = docs.select(F.col(doc_id).alias("_id"), F.col(text).alias("_text")).join(few, "_id")
-    found = rows.groupBy("_id").agg(F.min("_text").alias("_text"), F.first("_y").alias("_y")).collect()
-    by_text = {r["_text"]: float(r["_y"] > 0) for r in sorted(found, key=lambda r: r["_id"]) if r["_text"]}
-    return fit(list(by_text), np.array(list(by_text.values())))
+    rows = docs.select(F.col(doc_id).alias("_id"), F.col(text).alias("_text")).filter(F.octet_length("_text").between(1, LONGEST))
+    rows = rows.join(few, "_id").groupBy("_id").agg(F.min("_text").alias("_text"), F.first("_y").alias("_y"))
+    so_far = F.sum(F.octet_length("_text")).over(Window.partitionBy(F.col("_y") > 0).orderBy(order, "_id"))
+    sample = rows.withColumn("_bytes", so_far).filter(F.col("_bytes") <= SAMPLE_BYTES).select("_id", "_text", "_y")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        by_text = {}
+        for batch in batches:
+            by_text.update(zip(batch.column("_text").to_pylist(), ((y or 0) > 0 for y in batch.column("_y").to_pylist())))
+        model = fit(list(by_text), np.array(list(by_text.values()), dtype=float))
+        yield pa.RecordBatch.from_arrays([pa.array([pickle.dumps(model)], pa.binary())], ["model"])
+
+    # one task: the sample is at most two times SAMPLE_BYTES
+    found = sample.repartition(1).sortWithinPartitions("_id").mapInArrow(run, "model binary").first()
+    return pickle.loads(found["model"]) if found else fit([], np.zeros(0))
 
 
 def score(docs: DataFrame, model: Model, text: str = "text", keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
