@@ -1,7 +1,7 @@
 """Personal data: wide generators propose spans, boosted trees on format and context choose among them.
 
 Everything that touches the texts is a built-in expression: patterns give matches and the gaps between them,
-whose lengths add up to code-point offsets, and the fitted trees become CASE expressions. Patterns use
+whose lengths add up to code-point offsets, and the fitted trees become arrays of numbers that an expression walks. Patterns use
 possessive repeats and one fixed start per run, so no text makes them backtrack.
 
 ``base`` spans (email, ip, card, phone) pass strict checks and always stay. The generators are looser and
@@ -194,13 +194,30 @@ class Model:
     least: dict = field(default_factory=dict)
 
     def margin(self, x: Column) -> Column:
-        def value(node) -> Column:
+        """The weighted sum of the trees' leaves: all nodes are arrays of numbers, walked down from each root."""
+        nodes: list[tuple] = []
+
+        def lay(node) -> int:
+            at = len(nodes)
+            nodes.append(())
             if isinstance(node, float):
-                return F.lit(node)
-            feature, cutoff, low, high = node
-            return F.when(F.get(x, F.lit(feature)) <= cutoff, value(low)).otherwise(value(high))
+                nodes[at] = (0, 0.0, at, at, node)  # a leaf leads to itself
+            else:
+                feature, cutoff, low, high = node
+                nodes[at] = (feature, cutoff, lay(low), lay(high), 0.0)
+            return at
+
+        roots = [lay(t) for t in self.trees]
+        if not roots:
+            return F.lit(0.0)
+        feature, cutoff, low, high, value = (F.array(*map(F.lit, column)) for column in zip(*nodes))
+        steps = F.array(*(F.lit(i) for i in range(DEPTH)))
+
+        def down(node: Column, _: Column) -> Column:
+            return F.when(F.get(x, F.get(feature, node)) <= F.get(cutoff, node), F.get(low, node)).otherwise(F.get(high, node))
 
-        return sum((value(t) * w for t, w in zip(self.trees, self.weights)), F.lit(0.0))
+        trees = F.array(*(F.struct(F.lit(r).alias("root"), F.lit(float(w)).alias("weight")) for r, w in zip(roots, self.weights)))
+        return F.aggregate(trees, F.lit(0.0), lambda total, t: total + F.get(value, F.aggregate(steps, t["root"], down)) * t["weight"])
 
 
 def _tree(node) -> float | tuple:
@@ -269,26 +286,39 @@ def as_text(spans: str) -> Column:
     return F.array_join(F.transform(spans, lambda s: F.concat_ws(":", F.get(names, s["kind"]), s["start"], s["end"])), ",")
 
 
-def redact(docs: DataFrame, model: Model, text: str = "text", length: str | None = "n_chars") -> DataFrame:
-    """The rows with every span of the text replaced by its kind in brackets, and ``length`` brought up to date."""
-    columns = docs.columns
+def searched(docs: DataFrame, text: str = "text") -> DataFrame:
+    """``find`` with whole rows kept, for a fit and a redaction that search the texts once between them."""
     rows = docs.select(F.struct("*").alias("_row"), F.col(text).alias("_body"))
-    marked = choose(find(rows, ("_row", "_body"), "_body"), model)
+    return find(rows, ("_row",), "_body")
+
+
+def redact(docs: DataFrame, model: Model, text: str = "text", length: str | None = "n_chars") -> DataFrame:
+    """The rows with every span of the text replaced by its kind in brackets, and ``length`` brought up to date.
+
+    Where spans of two kinds overlap, the one that starts first gives its kind, and what the other covers beyond it goes too.
+    """
+    return redact_found(searched(docs, text), model, text, length)
+
+
+def redact_found(found: DataFrame, model: Model, text: str = "text", length: str | None = "n_chars") -> DataFrame:
+    """``redact`` of the rows that ``searched`` has gone through."""
+    kinds = {f.name: f.dataType for f in found.schema["_row"].dataType}
+    body = F.col("_row")[text]
+    marked = choose(found, model)
     by_start = F.sort_array(F.transform("spans", lambda s: F.struct(s["start"].alias("start"), s["end"].alias("end"), s["kind"].alias("kind"))))
     names = F.array(*(F.lit(f"[{k.upper()}]") for k in KINDS))
     none = F.struct(F.lit(0).alias("at"), F.lit("").alias("out"))
 
     def step(so_far: Column, s: Column) -> Column:
-        more = F.concat(so_far["out"], F.substring(F.col("_body"), so_far["at"] + 1, s["start"] - so_far["at"]), F.get(names, s["kind"]))
+        more = F.concat(so_far["out"], F.substring(body, so_far["at"] + 1, s["start"] - so_far["at"]), F.get(names, s["kind"]))
         whole = F.struct(s["end"].alias("at"), more.alias("out"))
         partly = F.struct(F.greatest(so_far["at"], s["end"]).alias("at"), so_far["out"].alias("out"))
         return F.when(s["start"] >= so_far["at"], whole).otherwise(partly)
 
-    tail = lambda x: F.concat(x["out"], F.substring(F.col("_body"), x["at"] + 1, F.char_length("_body")))
-    clean = F.when(F.size("spans") > 0, F.aggregate("_order", none, step, tail)).otherwise(F.col("_body"))
+    tail = lambda x: F.concat(x["out"], F.substring(body, x["at"] + 1, F.char_length(body)))
+    clean = F.when(F.size("spans") > 0, F.aggregate("_order", none, step, tail)).otherwise(body)
     out = marked.withColumn("_order", by_start).withColumn("_clean", clean)
     new = {text: F.col("_clean")}
-    if length in columns:
-        was = F.col("_row")[length]
-        new[length] = F.when(F.size("spans") > 0, F.char_length("_clean").cast(docs.schema[length].dataType)).otherwise(was)
-    return out.select(*(new.get(c, F.col("_row")[c]).alias(c) for c in columns))
+    if length in kinds:
+        new[length] = F.when(F.size("spans") > 0, F.char_length("_clean").cast(kinds[length])).otherwise(F.col("_row")[length])
+    return out.select(*(new.get(c, F.col("_row")[c]).alias(c) for c in kinds))
