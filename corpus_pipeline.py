@@ -26,8 +26,8 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document with the smallest id of each group of near copies."""
-    return ngramjoin.first_of_each(docs)
+    """The document with the smallest id of each group of near copies: five-word n-grams, similarity of 0.8 or more."""
+    return ngramjoin.first_of_each(docs, size=5, percent=80)
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -36,9 +36,9 @@ def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 
 def redact_personal(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents with personal data replaced by its kind."""
-    model = pii.fit(stored(pii.find(docs, ()), "candidates"))
-    return pii.redact(docs, model)
+    """Documents with personal data replaced by its kind; texts are searched once, for the fit and the redaction."""
+    found = stored(pii.searched(docs), "candidates")
+    return pii.redact_found(found, pii.fit(found))
 
 
 def to_tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -112,8 +112,8 @@ def shingles(text, size=3):
     return {tuple(words[a : a + size]) for a in range(len(words) - size + 1)} if len(words) >= size else ({tuple(words)} if words else set())
 
 
-def plain_components(docs, percent=90):
-    sets = [(k, shingles(t)) for k, t in docs]
+def plain_components(docs, percent=90, size=3):
+    sets = [(k, shingles(t, size)) for k, t in docs]
     up = list(range(len(sets)))
 
     def root(x):

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import random
 import re
 
 import pytest
@@ -44,7 +45,24 @@ def test_toxic_documents_go(spark, sf_dir, passed):
 
 def test_one_of_each_group_stays(passed):
     before = [(r.doc_id, r.text) for r in passed[1].collect()]
-    assert set(by_id(passed[2])) == {k for k, _, c in plain_components(before) if k == c}
+    assert set(by_id(passed[2])) == {k for k, _, c in plain_components(before, 80, 5) if k == c}
+
+
+def test_edited_and_longer_copies_go(spark, sf_dir):
+    rng = random.Random(6)
+    docs = []
+    for base in range(12):
+        words = [f"w{rng.randrange(5000)}" for _ in range(300)]
+        edits = list(words)
+        for k in rng.sample(range(300), 3 + base):  # five-word similarity from about 0.9 down to 0.6
+            edits[k] = f"e{k}"
+        docs += [(base * 10, " ".join(words)), (base * 10 + 1, " ".join(words + [f"t{rng.randrange(5000)}" for _ in range(20 + 5 * base)])),
+                 (base * 10 + 2, " ".join(edits))]
+    table = spark.createDataFrame(docs, "doc_id long, text string")
+    left = set(by_id(corpus_pipeline.drop_near_copies(spark, table, sf_dir)))
+    assert left == {k for k, _, c in plain_components(docs, 80, 5) if k == c}
+    narrow = {k for k, _, c in plain_components(docs) if k == c}
+    assert left < narrow and 12 < len(left)
 
 
 def test_contaminated_documents_go(spark, sf_dir, passed):
