@@ -4,8 +4,9 @@ Documents with equal n-gram sets are one row of the matrix, a class. Its columns
 hash. Two sets whose Jaccard similarity is at least t differ in at most (1 - t) / (1 + t) * (|a| + |b|)
 n-grams; with more blocks than that they agree on a whole block. So each row is cut into that many blocks,
 as its size demands, and only rows with an equal block meet. (Sizes fall into levels of ratio t; a row takes
-part in the grid of its own level and in that of the next.) For rows that meet the overlap is counted in
-full, and the pair is kept or discarded by the bound that the two sizes set.
+part in the grid of its own level and in that of the next.) For rows that meet, sketches bound the overlap from
+above; where they leave room for a link it is counted in full, and the pair is kept or discarded by the bound that
+the two sizes set.
 
 Rows of one block are not all paired with each other. The one that meets most others over all blocks is
 compared with the rest; then the next with those that no link has yet joined to it, for PIVOTS rounds. Rows of
@@ -33,6 +34,8 @@ from transitloom.llm.rows import id_again, keyed, without
 PIVOTS = 2
 #: Blocks beyond the bound; a row with more empty blocks than this keeps them as blocks like any other.
 SPARE = 2
+#: Counts of a row's sketch.
+BUCKETS = 256
 
 
 def ngrams(h: np.ndarray, size: int) -> np.ndarray:
@@ -131,6 +134,44 @@ def _signed_blocks(rows: DataFrame, size: int, percent: int) -> DataFrame:
     return rows.select("_text").mapInArrow(run, "block long, class long, n int")
 
 
+def sketch(grams: np.ndarray) -> np.ndarray:
+    """How many n-grams fall into each of BUCKETS, up to 255: two rows share at most the sum of the smaller counts."""
+    return np.minimum(np.bincount((grams >> tk.U(24)).astype(np.int64) % BUCKETS, minlength=BUCKETS), 255).astype(np.uint8)
+
+
+def _sketched(texts: DataFrame, size: int) -> DataFrame:
+    """(class, text, n, sketch) of the rows of the matrix."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in tk.groups(batches, "text"):
+            _, _, _, h, first = tk.words_of(batch, "text", tk.LOWER)
+            sets = [ngrams(h[a:b], size) for a, b in zip(first[:-1], first[1:])]
+            yield pa.RecordBatch.from_arrays([
+                *batch.columns, pa.array([len(s) for s in sets], pa.int64()), pa.array([sketch(s).tobytes() for s in sets], pa.binary()),
+            ], ["class", "text", "n", "sketch"])
+
+    return texts.select("class", "text").mapInArrow(run, "class long, text string, n long, sketch binary")
+
+
+def _possible(pairs: DataFrame, texts: DataFrame, percent: int) -> DataFrame:
+    """The pairs (a, b) whose sketches leave room for a link; texts are sent for these only."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            x, y = (np.frombuffer(b"".join(batch.column(c).to_pylist()), dtype=np.uint8).reshape(-1, BUCKETS) for c in ("sketch_a", "sketch_b"))
+            less = np.minimum(x, y)
+            most = less.sum(axis=1, dtype=np.int64)
+            both = batch.column("n_a").to_numpy() + batch.column("n_b").to_numpy()
+            keep = ((less == 255).any(axis=1)) | (most * (100 + percent) >= percent * both)
+            yield batch.select(["a", "b"]).filter(pa.array(keep))
+
+    def side(name: str) -> DataFrame:
+        return texts.select(F.col("class").alias(name), F.col("n").alias(f"n_{name}"), F.col("sketch").alias(f"sketch_{name}"))
+
+    return pairs.join(side("a"), "a").join(side("b"), "b").select("a", "b", "n_a", "n_b", "sketch_a", "sketch_b").mapInArrow(
+        run, "a long, b long")
+
+
 def _overlaps(pairs: DataFrame, texts: DataFrame, size: int, percent: int) -> DataFrame:
     """(a, b, linked): the product of the two rows of each pair, against the bound of their sizes."""
 
@@ -152,6 +193,7 @@ def _overlaps(pairs: DataFrame, texts: DataFrame, size: int, percent: int) -> Da
                     linked.append(met > 0 and 100 * met >= percent * (x + y - met))
                 yield pa.RecordBatch.from_arrays([batch.column("a"), batch.column("b"), pa.array(linked)], ["a", "b", "linked"])
 
+    texts = texts.select("class", "text")
     left = pairs.join(texts.select(F.col("class").alias("a"), F.col("text").alias("text_a")), "a")
     both = left.join(texts.select(F.col("class").alias("b"), F.col("text").alias("text_b")), "b")
     return both.select("a", "b", "text_a", "text_b").mapInArrow(run, "a long, b long, linked boolean")
@@ -176,7 +218,8 @@ def linked_classes(rows: DataFrame, sets: DataFrame, size: int, percent: int) ->
 
     one = sets.groupBy("class").agg(F.min(F.struct("_doc", "_tie")).alias("one"))
     one = met.select("class").distinct().join(one, "class").select("class", "one.*")
-    texts = stored(one.join(rows, ["_doc", "_tie"]).groupBy("class").agg(F.first("_text").alias("text")), "rows")
+    texts = one.join(rows, ["_doc", "_tie"]).groupBy("class").agg(F.first("_text").alias("text"))
+    texts = stored(_sketched(texts, size), "rows")
 
     none = met.select(F.col("class").alias("a"), F.col("class").alias("b"), F.lit(True).alias("linked")).limit(0)
     done, roots = none, none.select(F.col("a").alias("node"), F.col("b").alias("root"))
@@ -185,7 +228,7 @@ def linked_classes(rows: DataFrame, sets: DataFrame, size: int, percent: int) ->
             "block", "class", "n", "place", F.coalesce("root", "class").alias("root"))
         pairs = _against_pivot(now, turn, percent) if turn <= PIVOTS else _against_rare(now, texts, size, percent)
         pairs = pairs.distinct().join(done.select("a", "b"), ["a", "b"], "left_anti")
-        found = stored(_overlaps(pairs, texts, size, percent), "links")
+        found = stored(_overlaps(_possible(pairs, texts, percent), texts, size, percent), "links")
         done = done.unionByName(found)
         links = found.filter("linked").select("a", "b").unionByName(roots.select(F.col("node").alias("a"), F.col("root").alias("b")))
         roots = components(links)
