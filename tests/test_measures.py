@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+import random
 from datetime import date, datetime
 from decimal import Decimal
 
 import pytest
 from pyspark.sql import functions as F
 
+from transitloom.operators import matching
 from transitloom.plans import gold, serving, silver
 
 RAW = "p string, ta string, cl int, sl int, a boolean, py double, px double, dt_ingestao timestamp"
@@ -31,6 +33,10 @@ def lines(spark, *rows):
     return spark.createDataFrame(list(rows), LINES)
 
 
+def rows(df):
+    return sorted((tuple(r) for r in df.collect()), key=str)
+
+
 # -- silver -------------------------------------------------------------------------------------
 
 def test_fact_keeps_the_first_ingest(spark):
@@ -301,3 +307,49 @@ def test_prompts_with_accents_and_in_any_number(spark, gold_tables):
     assert nodes(many) == nodes(spark.createDataFrame([("north",)], "prompt string"))
     got = serving.arrival_answers(day, many)
     assert got.count() == 1001 and got.filter("outcome <> 'no line'").select("prompt").collect() == [("north",)]
+
+
+def test_bad_prompts_are_rows(spark, gold_tables):
+    day = serving.dashboard_day(*gold_tables)
+    asked = spark.createDataFrame([("(",), ("north",), ("[z-a]",), ("a**b",), (r"\p{X}",)], "prompt string")
+    got = {r.prompt: (r.Rota, r.outcome) for r in serving.arrival_answers(day, asked).collect()}
+    assert got.pop("north") == ("1-1 | North", "ok") and set(got.values()) == {(None, "bad prompt")}
+    assert {r.outcome for r in serving.arrival_answers(day, asked, literal=True).collect()} == {"ok", "no line"}
+
+
+def random_label(rng, letters="abcIKS é ſKİı-1"):
+    return "".join(rng.choice(letters) for _ in range(rng.randrange(12)))
+
+
+def test_texts_in_one_pass_equal_contains(spark, monkeypatch):
+    rng = random.Random(4)
+    labels = spark.createDataFrame([(random_label(rng),) for _ in range(300)] + [(None,)], "label string")
+    prompts = spark.createDataFrame([(random_label(rng)[: rng.randrange(5)],) for _ in range(400)] + [(None,)], "prompt string")
+    want = prompts.distinct().join(labels, F.contains(F.lower("label"), F.lower("prompt"))).groupBy("prompt").agg(F.min("label").alias("label"))
+    assert rows(matching.first_by_text(labels, prompts)) == rows(want)
+    monkeypatch.setattr(matching, "AUTOMATON", 50)
+    monkeypatch.setattr(matching, "CHUNK", 40)
+    assert rows(matching.first_by_text(labels, prompts)) == rows(want)
+
+
+def test_patterns_by_index_equal_all_tries(spark):
+    rng = random.Random(5)
+    parts = ["abc", "a.c", "[abc]b", "a?bc", "ab+c", "b{2}", "b{0,2}", r"\.", r"\d", "(ab)?c", "x|abc", "^a", "1$", "é", "ſki", "ISK", r"\p{L}ab", r"\x61b", "KİI", " "]
+    labels = [(random_label(rng),) for _ in range(400)] + [("aſKi",), ("straße",)]
+    prompts = {"".join(rng.choice(parts) for _ in range(rng.randrange(1, 4))) for _ in range(300)} | {"", "stra.e", "STRA", "zzz", r"\Qabc\E"}
+    labels = spark.createDataFrame(labels, "label string")
+    asked = spark.createDataFrame([(p,) for p in prompts], "prompt string").filter(matching.valid(F.col("prompt")))
+    tries = asked.join(labels, F.regexp_like("label", F.concat(F.lit(matching.IGNORE_CASE), F.col("prompt"))))
+    want = tries.groupBy("prompt").agg(F.min("label").alias("label"))
+    got = rows(matching.first_by_pattern(labels, asked))
+    assert got == rows(want) and 20 < len(got) < len(prompts)
+
+
+def test_literals_that_a_match_must_hold(spark):
+    want = {
+        "abc": ["abc"], "ab?c": ["a", "c"], "ab+c": ["ab", "c"], "a.b": ["a", "b"], r"a\.b": ["a", "b"], r"a\db": ["a", "b"], "a|b": [],
+        "(ab)c": [], "ab[cd]e": ["ab", "e"], "ab[^]]c": ["ab", "c"], "ab{2}c": ["a", "c"], "ab{0,2}?c": ["a", "c"], "^ab$": ["ab"], r"\Qab\E": [],
+        r"a\p{L}bc": [], r"a\x41b": [], "": [], "a[b[c]]d": [], "x[ab]?yz": ["x", "yz"], "ab++c": ["ab", "c"], r"a\\b": ["a", "b"]}
+    table = spark.createDataFrame([(p,) for p in want], "prompt string")
+    got = table.select("prompt", matching.required_literals(F.col("prompt")).alias("literals")).collect()
+    assert {r.prompt: r.literals for r in got} == want

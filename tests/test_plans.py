@@ -12,7 +12,7 @@ from transitloom import testviews as tv
 from transitloom.plans import gold, serving, silver
 from transitloom.sources import documents, landing
 
-PYTHON = {"sweep_fetch", "sweep_in_lots"}  # requests are Python by nature
+PYTHON = {"sweep_fetch", "sweep_in_lots", "arrival_answers_literal"}  # requests, and an automaton over chunks of labels
 
 
 def plan_of(df) -> str:

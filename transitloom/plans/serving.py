@@ -8,12 +8,11 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from transitloom.functions import text
+from transitloom.operators import matching
 from transitloom.session import SPARK_ERRORS
 
 # fixed value: route length in km when there is no static profile at all
 DEFAULT_LENGTH_KM = 15.0
-PROMPTS_PER_BLOCK = 256
-_IGNORE_CASE = "(?iu)"  # accented letters too
 FULL, PARTIAL, NONE = "full", "partial", "none"
 
 
@@ -148,38 +147,35 @@ def operations_table(day: DataFrame) -> DataFrame:
 def arrival_answers(day: DataFrame, prompts: DataFrame | Sequence[str], literal: bool = False) -> DataFrame:
     """For each prompt the first matching route and the minutes to cover 1 and 5 km.
 
-    ``prompts`` has a column ``prompt``, or is a list. A prompt is a case-insensitive regular expression looked
-    for anywhere in the label (plain text with ``literal``). Matches are ranked by label, line and direction.
-    Outcomes: ``ok``, ``no line``, ``no speed``. Prompts are gathered in blocks of about PROMPTS_PER_BLOCK; each row meets
-    each block once and leaves with the prompts that it matches, so the plan is the same for any number of them.
+    ``prompts`` has a column ``prompt``, or is a list, whose patterns are checked at once. A prompt is a case-insensitive
+    regular expression looked for anywhere in the label (plain text with ``literal``). Matches are ranked by label, line
+    and direction. Outcomes: ``ok``, ``no line``, ``no speed``, ``bad prompt`` for a pattern that does not compile. Prompts
+    meet labels by what they must hold, not one by one; the plan is the same for any number of them.
     """
     if not isinstance(prompts, DataFrame):
         if not literal:
             _check_patterns(day.sparkSession, prompts)
         prompts = day.sparkSession.createDataFrame([(p,) for p in prompts], "prompt string")
     asked = prompts.select("prompt").filter(F.col("prompt").isNotNull()).distinct()
-    blocks = F.greatest(asked.agg(F.ceil(F.count(F.lit(1)) / PROMPTS_PER_BLOCK).cast("int")).scalar(), F.lit(1))
-    gathered = asked.groupBy(F.pmod(F.xxhash64("prompt"), blocks).cast("int").alias("block")).agg(
-        F.collect_list("prompt").alias("prompts"))
-    label = F.col("Rota")
-    met = day.withColumn("block", F.explode(F.sequence(F.lit(0), blocks - 1))).join(gathered, "block")
-    hits = F.filter("prompts", lambda p: _matches(label, p, literal))
-    rank = F.struct(label, F.col("cod_linha"), F.col("sentido_desc"))
+    asked = asked.withColumn("valid", F.lit(True) if literal else matching.valid(F.col("prompt")))
     answer = F.struct("Rota", "Qtd_Veiculos", "velocidade_media")
-    best = met.withColumn("prompt", F.explode(hits)).groupBy("prompt").agg(F.min_by(answer, rank).alias("found"))
+    by_label = day.filter(F.col("Rota").isNotNull()).groupBy(F.col("Rota").alias("label")).agg(
+        F.min_by(answer, F.struct("cod_linha", "sentido_desc")).alias("found"))
+    first = matching.first_by_text if literal else matching.first_by_pattern
+    best = first(by_label, asked.filter("valid")).join(by_label, "label").select("prompt", "found")
     speed = F.col("velocidade_media")
 
     def minutes(km: int) -> Column:
         return F.when(speed > 0, F.try_divide(F.lit(km), speed) * 60).cast("int")
 
-    return asked.join(best, "prompt", "left").select("prompt", "found.*").select(
+    return asked.join(best, "prompt", "left").select("prompt", "valid", "found.*").select(
         "prompt",
         "Rota",
         F.col("Qtd_Veiculos").alias("frota"),
         "velocidade_media",
         minutes(1).alias("min_1km"),
         minutes(5).alias("min_5km"),
-        F.when(F.col("Rota").isNull(), F.lit("no line"))
+        F.when(~F.col("valid"), F.lit("bad prompt")).when(F.col("Rota").isNull(), F.lit("no line"))
         .when(speed > 0, F.lit("ok")).otherwise(F.lit("no speed")).alias("outcome"),
     )
 
@@ -188,12 +184,6 @@ def _check_patterns(spark: SparkSession, prompts: Sequence[str]) -> None:
     """Compile the patterns where they will run."""
     for prompt in prompts:
         try:
-            spark._jvm.java.util.regex.Pattern.compile(_IGNORE_CASE + prompt)
+            spark._jvm.java.util.regex.Pattern.compile(matching.IGNORE_CASE + prompt)
         except SPARK_ERRORS as error:
             raise ValueError(f"prompt {prompt!r} is not a regular expression: {error}") from error
-
-
-def _matches(label: Column, prompt: Column, literal: bool) -> Column:
-    if literal:
-        return F.contains(F.lower(label), F.lower(prompt))
-    return F.regexp_like(label, F.concat(F.lit(_IGNORE_CASE), prompt))

@@ -341,6 +341,22 @@ def arrival_answers_no_speed(spark, sf):
     return serving.arrival_answers(slow, prompts).select("prompt", "Rota", "outcome")
 
 
+_MANY_PROMPTS = """(select 'nation_' || cast(s_suppkey as varchar) as prompt from {supplier}
+      union all select s_name from {supplier} union all select '(' union all select 'a**b')"""
+
+
+@query(f"""select q.prompt, first as "Rota", case when q.prompt in ('(', 'a**b') then 'bad prompt' when first is null then 'no line' else 'ok' end as outcome
+    from {_MANY_PROMPTS} q left join (
+      select prompt, min("Rota") as first from {_MANY_PROMPTS} x join (select distinct "Rota" from {{painel}}) p
+      on prompt not in ('(', 'a**b') and contains(lower("Rota"), lower(prompt)) group by 1) f on q.prompt = f.prompt""")
+def arrival_answers_bad_prompt(spark, sf):
+    """Prompts made from all suppliers, and some that are no regular expressions."""
+    supplier = spark.read.parquet(f"{sf}/supplier.parquet")
+    prompts = supplier.select(F.concat(F.lit("nation_"), F.col("s_suppkey")).alias("prompt")).unionByName(
+        supplier.select(F.col("s_name").alias("prompt"))).unionByName(spark.createDataFrame([("(",), ("a**b",)], "prompt string"))
+    return serving.arrival_answers(_dashboard(spark, sf), prompts).select("prompt", "Rota", "outcome")
+
+
 @query(_answers_sql("""contains(lower("Rota"), lower(prompt))"""))
 def arrival_answers_literal(spark, sf):
     return serving.arrival_answers(_dashboard(spark, sf), PROMPTS, literal=True).withColumn(
