@@ -294,3 +294,49 @@ def test_many_keys_land_in_few_files(spark, tmp_path):
     with pytest.raises(ValueError, match="have no line"):
         landing.stream_landed(spark, path, keys=["cp", "line"])
     assert landing.stream_landed(spark, path, keys=["cp", "note"]).columns == ["body", "arquivo_origem", "cp", "note"]
+
+
+def test_refused_documents_are_kept_and_replayed(layers, tmp_path):
+    spark = layers.spark
+    made = jobs.Layers(spark, "refused_")
+    tables.create_layers(spark, str(tmp_path), "refused_")
+    stop = '[{"cp": %d, "np": "A", "ed": "1 2", "py": 1.0, "px": 2.0}]'
+    docs = spark.createDataFrame(
+        [(stop % 1, 10), ((stop % 2)[:-1], 20), ('{"cp": 3', 30), ('[1, 2]', 40), ("[]", 50), (stop % 4, None), ((stop % 5)[:-1], None)],
+        "body string, cod_linha int")
+    run = datetime(2024, 1, 5, 6)
+    for root in (None, str(tmp_path / "landing")):  # a run written again is refused once
+        report = jobs.ingest(made, "paradas_por_linha", docs, run, landing_root=root).first()
+        held = made.read("bronze", jobs.QUARANTINE)
+        assert (report.unreadable, report.wrong_shape) == (3, 1)
+        assert held.count() == report.unreadable + report.wrong_shape
+    assert sorted((r.motivo, r.corpo, r.chaves["cod_linha"]) for r in held.collect() if r.corpo[:2] != "[{") == [
+        ("unreadable", '{"cp": 3', "30"), ("wrong shape", "[1, 2]", "40")]
+
+    def stops():
+        return sorted((r.cp, r.cod_linha) for r in made.read("bronze", "paradas_por_linha").collect())
+
+    assert stops() == [(1, 10), (4, None)]
+    assert jobs.replay(made, "paradas_por_linha", datetime(2024, 1, 6)).first()[1:] == (4, 0, 4)
+    mend = lambda text: F.when(text.endswith("}"), F.concat(text, F.lit("]"))).otherwise(text)
+    assert jobs.replay(made, "paradas_por_linha", datetime(2024, 1, 6), mend).first()[1:] == (4, 2, 2)
+    assert stops() == [(1, 10), (2, 20), (4, None), (5, None)]
+    assert jobs.replay(made, "paradas_por_linha", datetime(2024, 1, 7), mend).first()[1:] == (2, 0, 2)
+    assert jobs.replay(made, "buscar_linhas", datetime(2024, 1, 7)).first()[1:] == (0, 0, 0)
+    # a table whose runs replace each other keeps its rows
+    lines = json.dumps([{"cl": 1, "lc": False, "lt": "1", "sl": 1, "tl": 1, "tp": "P", "ts": "S"}])
+    jobs.ingest(made, "buscar_linhas", spark.createDataFrame([(lines,), (lines.replace("1", "2")[:-1],)], "body string"), run)
+    assert jobs.replay(made, "buscar_linhas", datetime(2024, 1, 8), mend).first()[1:] == (1, 1, 0)
+    assert sorted(r.cl for r in made.read("bronze", "buscar_linhas").collect()) == [1, 2]
+
+
+def test_refused_cells_are_kept_with_their_line(layers, tmp_path):
+    made = jobs.Layers(layers.spark, "cells_")
+    tables.create_layers(layers.spark, str(tmp_path / "lake"), "cells_")
+    (tmp_path / "shapes.txt").write_text("shape_id,shape_pt_lat,shape_pt_lon,shape_pt_sequence\n1,north,2.0,3\n1,1.0,2.0,x\n1,1.0,2.0,4\n")
+    for _ in range(2):
+        status = jobs.ingest_schedule(made, str(tmp_path), datetime(2024, 1, 5))
+        assert status.filter("file = 'shapes'").first().rejected == 2
+    held = made.read("bronze", jobs.QUARANTINE).collect()
+    assert sorted((r.motivo, json.loads(r.corpo)["shape_pt_sequence"], dict(r.chaves)) for r in held) == [
+        ("cell shape_pt_lat", "3", {"shape_pt_lat": "north"}), ("cell shape_pt_sequence", "x", {"shape_pt_sequence": "x"})]

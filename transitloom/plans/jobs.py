@@ -61,13 +61,14 @@ REPORT = "tabela string, documents bigint, unreadable bigint, wrong_shape bigint
 
 
 def ingest(layers: Layers, table: str, docs: DataFrame, run_time: datetime, origin: str | None = None,
-           landing_root: str | None = None, part: str | None = None) -> DataFrame:
+           landing_root: str | None = None, part: str | None = None, adds: bool = False) -> DataFrame:
     """Land documents, parse them and write the bronze table of one run; returns one row that tells how it went.
 
     ``docs`` has ``body`` and, for keyed requests, the key column of the table. The documents are evaluated once: landed under
     ``landing_root`` or else staged, and parsed and judged from there; the parsed rows are landed too. Columns the table does
     not know yet are added to it. ``part`` names the piece of a run that is written. A piece or run that is written again
-    replaces its own documents and rows, whatever the first attempt has left.
+    replaces its own documents and rows, whatever the first attempt has left. ``adds`` keeps the rows of a table that a run
+    would replace. Documents that cannot be parsed are kept in the quarantine table, from which :func:`replay` takes them.
     """
     parse, replaces = PARSERS[table]
     spark = layers.spark
@@ -95,7 +96,7 @@ def ingest(layers: Layers, table: str, docs: DataFrame, run_time: datetime, orig
     elif by == PART:
         rows = rows.withColumn(PART, F.lit(part))
     name = layers.name("bronze", table)
-    if replaces and part is None:
+    if replaces and part is None and not adds:
         tables.drop_table(spark, name)
     if not spark.catalog.tableExists(name):
         tables.create_table(spark, name, T.StructType([*schema.fields, *(f for f in rows.schema if f.name not in schema.names)]), by)
@@ -115,6 +116,7 @@ def ingest(layers: Layers, table: str, docs: DataFrame, run_time: datetime, orig
     body = F.col(documents.BODY)
     faults = docs.agg(F.count(F.lit(1)).alias("documents"), F.count_if(documents.is_unreadable(body)).alias("unreadable"),
                       F.count_if(documents.wrong_shape(body, parse.__name__)).alias("wrong_shape")).first()
+    _refuse(layers, table, docs, run_time, part, faults.unreadable + faults.wrong_shape)
     report = spark.createDataFrame([(table, *faults, written.count())], REPORT)
     if staged:
         remove_folder(spark, staged)
@@ -135,6 +137,72 @@ def _replace_run(spark: SparkSession, rows: DataFrame, name: str, by: str | None
         tables.replace_rows(both, name)
 
 
+# -- quarantine: what could not be parsed, by the run that brought it ------------------------------
+
+QUARANTINE, RUN = "quarentena", "execucao"
+_REFUSED = T.StructType([
+    *(T.StructField(n, T.StringType()) for n in ("tabela", "motivo", "origem", "corpo")),
+    T.StructField("chaves", T.MapType(T.StringType(), T.StringType())), T.StructField("dt_ingestao", T.TimestampType()),
+    T.StructField(RUN, T.StringType()),
+])
+
+
+def _keep_refused(layers: Layers, rows: DataFrame, run: str, any_: bool) -> None:
+    """Write a run's refused texts; without any, what an earlier attempt of the run has left goes."""
+    name = layers.name("bronze", QUARANTINE)
+    if not layers.spark.catalog.tableExists(name):
+        if not any_:
+            return
+        tables.create_table(layers.spark, name, _REFUSED, RUN)
+    if any_ or not layers.spark.table(name).filter(F.col(RUN) == run).isEmpty():
+        tables.replace_partitions(rows.select(*_REFUSED.names[:-1], F.lit(run).alias(RUN)), name, RUN, [run])
+
+
+def _refuse(layers: Layers, table: str, docs: DataFrame, run_time: datetime, part: str | None, refused: int) -> None:
+    body, parse = F.col(documents.BODY), PARSERS[table][0].__name__
+    why = F.when(documents.is_unreadable(body), F.lit("unreadable")).when(documents.wrong_shape(body, parse), F.lit("wrong shape"))
+    keys = [c for c in docs.columns if c != documents.BODY]
+    none = F.lit(None).cast("string")
+    rows = docs.select(
+        F.lit(table).alias("tabela"), why.alias("motivo"), (F.col("arquivo_origem") if "arquivo_origem" in keys else none).alias("origem"),
+        body.alias("corpo"), F.create_map(*(x for k in keys for x in (F.lit(k), F.col(k).cast("string")))).cast("map<string,string>").alias("chaves"),
+        landing.moment(run_time).alias("dt_ingestao")).filter(F.col("motivo").isNotNull())
+    _keep_refused(layers, rows, f"{table}_{run_stamp(run_time)}" + (f"_{part}" if part else ""), refused > 0)
+
+
+def replay(layers: Layers, table: str, run_time: datetime, repair: Callable[[Column], Column] | None = None) -> DataFrame:
+    """Parse a table's quarantined documents again and take those that succeed out of the quarantine.
+
+    ``repair`` may mend their text; what the parsers have learnt since counts too. The documents that can be read are
+    ingested as a run of their own with their request keys, so a replay that was interrupted may be repeated with the same
+    ``run_time``. Returns one row (tabela, tried, replayed, remaining).
+    """
+    spark, name = layers.spark, layers.name("bronze", QUARANTINE)
+    done = "tabela string, tried bigint, replayed bigint, remaining bigint"
+    if not spark.catalog.tableExists(name):
+        return spark.createDataFrame([(table, 0, 0, 0)], done)
+    held = spark.table(name).filter((F.col("tabela") == table))
+    body = repair(F.col("corpo")) if repair else F.col("corpo")
+    good = ~documents.is_unreadable(body) & ~documents.wrong_shape(body, PARSERS[table][0].__name__)
+    staged = shared_folder(spark, "replay")
+    held.withColumns({"lido": F.coalesce(good, F.lit(False)), documents.BODY: body}).write.parquet(staged)
+    tried = spark.read.parquet(staged)
+    counts = tried.agg(F.count(F.lit(1)).alias("tried"), F.count_if("lido").alias("replayed")).first()
+    if counts.replayed:
+        keys = [r[0] for r in tried.select(F.explode(F.map_keys("chaves"))).distinct().collect()]  # names of columns
+        kinds = {f.name: f.dataType for f in schemas.with_audit(schemas.BRONZE[table])}
+        ready = tried.filter("lido").select(documents.BODY, *(
+            F.col("chaves")[k].cast(kinds.get(k, T.StringType())).alias(k) for k in sorted(keys)))
+        bronze = layers.name("bronze", table)
+        by_part = spark.catalog.tableExists(bronze) and PART in spark.table(bronze).columns
+        ingest(layers, table, ready, run_time, part=f"replay_{run_stamp(run_time)}" if by_part else None, adds=True)
+        runs = [r[0] for r in tried.filter("lido").select(RUN).distinct().collect()]  # one row per run that refused some
+        rest = tried.filter(F.col(RUN).isin(runs) & ~F.col("lido")).select(*_REFUSED.names)
+        tables.replace_partitions(rest, name, RUN, runs)
+    remove_folder(spark, staged)
+    return spark.createDataFrame([(table, counts.tried, counts.replayed, counts.tried - counts.replayed)], done)
+
+
 def _note_days(layers: Layers, written: DataFrame, run_time: datetime) -> None:
     """Note on which local days the signals of a run lie: a refresh of those days reads the ingest days noted for them."""
     name = layers.name("bronze", "dias_sinal")
@@ -195,13 +263,22 @@ def write_commit(layers: Layers, table: str, replies: DataFrame, key: str, commi
 
 
 def ingest_schedule(layers: Layers, folder: str, run_time: datetime) -> DataFrame:
-    """Load the static files into bronze; returns one status row per file."""
+    """Load the static files into bronze; returns one status row per file. Lines with refused cells are quarantined."""
     def write(name: str, rows: DataFrame) -> int:
         table = layers.name("bronze", f"gtfs_{name}")
         tables.replace_table(rows, table)
         return layers.spark.table(table).count()
 
-    return gtfs.load_files(layers.spark, folder, write, run_time)
+    status = gtfs.load_files(layers.spark, folder, write, run_time)
+    for row in status.filter("rejected is not null").collect():  # one row per file
+        if row.rejected:
+            refused = gtfs.rejected_cells(layers.spark, folder, row.file).select(
+                F.lit(f"gtfs_{row.file}").alias("tabela"), F.concat(F.lit("cell "), F.col("column")).alias("motivo"), F.col("file").alias("origem"),
+                F.col("line").alias("corpo"), F.create_map(F.col("column"), F.col("cell")).alias("chaves"), landing.moment(run_time).alias("dt_ingestao"))
+        else:
+            refused = layers.spark.createDataFrame([], _REFUSED).drop(RUN)
+        _keep_refused(layers, refused, f"gtfs_{row.file}_{run_stamp(run_time)}", bool(row.rejected))
+    return status
 
 
 def build_silver(layers: Layers) -> None:

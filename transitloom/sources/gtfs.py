@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable, Iterable
 from datetime import datetime
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -54,19 +54,32 @@ def _typed(text_rows: DataFrame, schema: T.StructType) -> DataFrame:
     return text_rows.select(*known, *others)
 
 
-def rejects(spark: SparkSession, folder: str, name: str) -> DataFrame:
-    """(column, rejected): cells of one file that hold text but no value of their column's type."""
+def _cells(spark: SparkSession, folder: str, name: str) -> tuple[DataFrame, dict[str, tuple[Column, Column]]]:
+    """A file as text, and by typed column the cell and whether it holds text but no value of the column's type."""
     rows = spark.read.option("header", True).option("sep", ",").csv(f"{folder.rstrip('/')}/{name}.txt")
     schema = T.StructType.fromDDL(schemas.GTFS[name])
     found = _header(rows)
-    typed = [f for f in schema if f.name in found and f.dataType != T.StringType()]
-    bad = [F.count_if((F.trim(F.col(f"`{found[f.name]}`")) != "") & F.trim(F.col(f"`{found[f.name]}`")).try_cast(f.dataType).isNull()).alias(f.name)
-           for f in typed]
-    if not bad:
+    cells = {f.name: F.trim(F.col(f"`{found[f.name]}`")) for f in schema if f.name in found and f.dataType != T.StringType()}
+    kinds = {f.name: f.dataType for f in schema}
+    return rows, {c: (cell, (cell != "") & cell.try_cast(kinds[c]).isNull()) for c, cell in cells.items()}
+
+
+def rejects(spark: SparkSession, folder: str, name: str) -> DataFrame:
+    """(column, rejected): cells of one file that hold text but no value of their column's type."""
+    rows, cells = _cells(spark, folder, name)
+    if not cells:
         return spark.createDataFrame([], "column string, rejected bigint")
-    counts = rows.agg(*bad)
-    return counts.select(F.explode(F.map_from_arrays(F.array(*(F.lit(f.name) for f in typed)), F.array(*(f.name for f in typed)))).alias(
-        "column", "rejected"))
+    counts = rows.agg(*(F.count_if(bad).alias(c) for c, (_, bad) in cells.items()))
+    return counts.select(F.explode(F.map_from_arrays(F.array(*map(F.lit, cells)), F.array(*cells))).alias("column", "rejected"))
+
+
+def rejected_cells(spark: SparkSession, folder: str, name: str) -> DataFrame:
+    """(file, column, cell, line): every such cell, with its line as a JSON object of texts."""
+    rows, cells = _cells(spark, folder, name)
+    each = F.array(*(F.when(bad, F.struct(F.lit(c).alias("column"), cell.alias("cell"))) for c, (cell, bad) in cells.items()))
+    line = F.to_json(F.struct(*(F.col(f"`{c}`") for c in rows.columns)))
+    return rows.select(F.col("_metadata.file_path").alias("file"), line.alias("line"), F.explode(F.array_compact(each)).alias("bad")).select(
+        "file", "bad.*", "line")
 
 
 def load_files(spark: SparkSession, folder: str, write: Callable[[str, DataFrame], int],
