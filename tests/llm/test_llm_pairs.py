@@ -173,6 +173,28 @@ def test_levels_of_linked_sizes_are_neighbours(percent):
         assert grid.level(n * 100 // percent) - grid.level(n) in (0, 1)
 
 
+@pytest.mark.parametrize("percent", [60, 80, 90])
+def test_linked_rows_have_the_needed_blocks_in_common(percent):
+    rng, grid, linked = np.random.default_rng(percent), ngramjoin.Grid(percent), 0
+    for n in [*range(1, 60), *range(60, 3000, 97)]:
+        for _ in range(6):
+            a = np.unique(rng.integers(1, 1 << 63, n).astype(np.uint64))
+            gone = int(rng.integers(0, n * (100 - percent) // 100 + 1))
+            b = np.unique(np.concatenate([a[rng.permutation(len(a))[gone:]], rng.integers(1, 1 << 63, rng.integers(0, gone + 1)).astype(np.uint64)]))
+            met = len(np.intersect1d(a, b))
+            if 100 * met < percent * (len(a) + len(b) - met) or len(a) == len(b) == met:
+                continue
+            linked += 1
+            both = np.minimum(ngramjoin.sketch(a), ngramjoin.sketch(b)).sum(dtype=int)
+            assert both >= met
+            x, y = grid.signatures(a), grid.signatures(b)
+            common = set(x[0].tolist()) & set(y[0].tolist())
+            for sig, which, need in (x, y):
+                shared = [g for s, g in zip(sig.tolist(), which.tolist()) if s in common]
+                assert any(shared.count(g) >= need[which == g].max() for g in set(which.tolist()))
+    assert linked > 200
+
+
 def test_components_take_odd_documents(spark):
     least = -(1 << 63)  # a null id is the smallest
     named = [(least if i is None else i, t) for i, t in (r[:2] for r in odd_rows())]

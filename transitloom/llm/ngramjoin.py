@@ -19,6 +19,7 @@ smallest id; rows equal in id and text get the same answer; classes are told apa
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -32,8 +33,10 @@ from transitloom.llm.rows import id_again, keyed, without
 
 #: Rounds in which the next row of each block is compared with the others.
 PIVOTS = 2
-#: Blocks beyond the bound; a row with more empty blocks than this keeps them as blocks like any other.
+#: Blocks beyond the bound and those likely to be empty; a row with still more empty blocks keeps them as blocks like any other.
 SPARE = 2
+#: How often rows with too few open blocks are put aside.
+NARROWINGS = 3
 #: Counts of a row's sketch.
 BUCKETS = 256
 
@@ -54,6 +57,7 @@ class Grid:
         self.percent = percent
         self.bounds = [1, 2]  # level k holds the sizes from bounds[k] below bounds[k + 1]
         self.cuts: dict[int, np.ndarray | None] = {}
+        self.spare: dict[int, int] = {}
 
     def level(self, n: int) -> int:
         while self.bounds[-1] <= n:
@@ -69,15 +73,18 @@ class Grid:
                 self.level(self.bounds[-1])
             most = self.bounds[level + 1] - 1
             apart = 2 * most * (100 - self.percent) // (100 + self.percent)
-            n = apart + 1 + SPARE
+            empty = (apart + 1) * math.exp(-self.bounds[level] / (apart + 1))  # of the smallest row of the level, on average
+            self.spare[level] = SPARE + math.ceil(empty + 4 * math.sqrt(empty))
+            n = apart + 1 + self.spare[level]
             self.cuts[level] = np.array([(i << 64) // n for i in range(n)], dtype=tk.U) if apart else None
         return self.cuts[level]
 
-    def signatures(self, grams: np.ndarray) -> np.ndarray:
-        """One hash per block of the row, in the grids of its level and the next."""
+    def signatures(self, grams: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """One hash per block of the row in the grids of its level and the next; for each the number of the grid (0, 1)
+        and how many blocks of that grid a row that is linked to this one has in common with it, at least."""
         level = self.level(len(grams))
         sums = np.concatenate([np.zeros(1, tk.U), np.cumsum(tk.mix(grams ^ tk.U(0xA5A5A5A5)))])
-        out = []
+        out, grid, need = [], [], []
         for g in (level, level + 1):
             cuts = self.blocks(g)
             if cuts is None:
@@ -85,8 +92,15 @@ class Grid:
             at = np.append(np.searchsorted(grams, cuts), len(grams))
             full = np.diff(at) > 0
             sig = tk.mix((sums[at[1:]] - sums[at[:-1]]) + np.arange(len(cuts), dtype=tk.U) * tk.U(0x9E3779B97F4A7C15) + tk.U(g << 40))
-            out.append(sig if len(cuts) - full.sum() > SPARE else sig[full])
-        return np.concatenate(out) if out else np.zeros(0, tk.U)
+            empty = int(len(cuts) - full.sum())
+            # blocks that are empty in both rows agree too, but are left out if they are few
+            few = empty <= self.spare[g]
+            out.append(sig[full] if few else sig)
+            grid.append(np.full(len(out[-1]), g - level, dtype=np.int8))
+            need.append(np.full(len(out[-1]), max(1, self.spare[g] + 1 - empty), dtype=np.int32))
+        if not out:
+            return np.zeros(0, tk.U), np.zeros(0, np.int8), np.zeros(0, np.int32)
+        return np.concatenate(out), np.concatenate(grid), np.concatenate(need)
 
 
 def _class(grams: np.ndarray) -> int:
@@ -109,29 +123,31 @@ def _sets(rows: DataFrame, size: int) -> DataFrame:
 
 
 def _signed_blocks(rows: DataFrame, size: int, percent: int) -> DataFrame:
-    """(block, class, n): the block hashes of every row of the matrix."""
+    """(block, class, n, grid, need): the block hashes of every row of the matrix."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         grid = Grid(percent)
         for batch in tk.groups(batches, "_text"):
             _, _, _, h, first = tk.words_of(batch, "_text", tk.LOWER)
-            seen, blocks, classes, sizes = set(), [], [], []
+            seen, blocks, classes, sizes, grids, needs = set(), [], [], [], [], []
             for a, b in zip(first[:-1], first[1:]):
                 grams = ngrams(h[a:b], size)
                 c = _class(grams) if len(grams) else None
                 if c is None or c in seen:  # copies within a batch add nothing
                     continue
                 seen.add(c)
-                sig = grid.signatures(grams)
+                sig, which, need = grid.signatures(grams)
                 blocks.append(sig)
+                grids.append(which)
+                needs.append(need)
                 classes.append(np.full(len(sig), c))
                 sizes.append(np.full(len(sig), len(grams), dtype=np.int32))
             if blocks:
                 yield pa.RecordBatch.from_arrays(
-                    [tk.signed(np.concatenate(blocks)), pa.array(np.concatenate(classes), pa.int64()), pa.array(np.concatenate(sizes))],
-                    ["block", "class", "n"])
+                    [tk.signed(np.concatenate(blocks)), pa.array(np.concatenate(classes), pa.int64()),
+                     *(pa.array(np.concatenate(c)) for c in (sizes, grids, needs))], ["block", "class", "n", "grid", "need"])
 
-    return rows.select("_text").mapInArrow(run, "block long, class long, n int")
+    return rows.select("_text").mapInArrow(run, "block long, class long, n int, grid byte, need int")
 
 
 def sketch(grams: np.ndarray) -> np.ndarray:
@@ -209,11 +225,11 @@ def linked_classes(rows: DataFrame, sets: DataFrame, size: int, percent: int) ->
     by = Window.partitionBy("block")
     met = blocks.withColumn("low", F.min("class").over(by)).withColumn("high", F.max("class").over(by)).filter("low < high")
     met = met.dropDuplicates(["block", "class"]).withColumn("rows", F.count("*").over(by))
-    met = stored(met.select("block", "class", "n", "rows"), "blocks")
+    met = stored(met.select("block", "class", "n", "grid", "need", "rows"), "blocks")
     # a text that others are edits of meets more rows than any of them: it is compared first
     hubs = met.groupBy("class").agg(F.sum("rows").alias("hub"))
     order = by.orderBy(F.col("hub").desc(), "class")
-    met = met.join(hubs, "class").select("block", "class", "n", F.row_number().over(order).alias("place"))
+    met = met.join(hubs, "class").select("block", "class", "n", "grid", "need", F.row_number().over(order).alias("place"))
     met = stored(met, "blocks")
 
     one = sets.groupBy("class").agg(F.min(F.struct("_doc", "_tie")).alias("one"))
@@ -225,7 +241,7 @@ def linked_classes(rows: DataFrame, sets: DataFrame, size: int, percent: int) ->
     done, roots = none, none.select(F.col("a").alias("node"), F.col("b").alias("root"))
     for turn in range(1, PIVOTS + 2):
         now = met.join(roots, met["class"] == roots["node"], "left").select(
-            "block", "class", "n", "place", F.coalesce("root", "class").alias("root"))
+            "block", "class", "n", "grid", "need", "place", F.coalesce("root", "class").alias("root"))
         pairs = _against_pivot(now, turn, percent) if turn <= PIVOTS else _against_rare(now, texts, size, percent)
         pairs = pairs.distinct().join(done.select("a", "b"), ["a", "b"], "left_anti")
         found = stored(_overlaps(_possible(pairs, texts, percent), texts, size, percent), "links")
@@ -246,13 +262,18 @@ def _against_pivot(now: DataFrame, turn: int, percent: int) -> DataFrame:
 def _against_rare(now: DataFrame, texts: DataFrame, size: int, percent: int) -> DataFrame:
     """(a, b): of blocks with several components left, the rows that may still be linked.
 
-    Two such rows share one of the rarest n-grams of each, as many of them as a link leaves unshared and one more.
-    N-grams that one row has alone, and those before the first shared one, cannot count towards an overlap; that
-    bounds it from above.
+    A row shares as many of its blocks with one that it is linked to as ``need`` says, and all of those are still open, or
+    the two would have been compared; rows with fewer open blocks are done. Of the others, two that are linked share one
+    of the rarest n-grams of each, as many of them as a link leaves unshared and one more. N-grams that one row has alone,
+    and those before the first shared one, cannot count towards an overlap; that bounds it from above.
     """
-    left = now.filter(F.col("place") > PIVOTS)
-    open_ = left.groupBy("block").agg(F.min("root").alias("low"), F.max("root").alias("high")).filter("low < high")
-    rows = left.join(open_, "block", "left_semi").select("class", "n", "root").distinct()
+    left = now.filter(F.col("place") > PIVOTS).select("block", "class", "n", "grid", "need", "root")
+    for _ in range(NARROWINGS):  # rows that go may close further blocks
+        open_ = left.groupBy("block").agg(F.min("root").alias("low"), F.max("root").alias("high")).filter("low < high")
+        left = left.join(open_, "block", "left_semi")
+        able = left.groupBy("class", "grid").agg(F.count("*").alias("blocks"), F.max("need").alias("most")).filter("blocks >= most")
+        left = stored(left.join(able, ["class", "grid"], "left_semi"), "open")
+    rows = left.select("class", "n", "root").distinct()
     grams = _grams(texts.join(rows, "class", "left_semi"), size)
     counted = grams.join(grams.groupBy("gram").agg(F.count("*").alias("rows")), "gram")
     by_class = Window.partitionBy("class")
