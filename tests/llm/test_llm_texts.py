@@ -7,6 +7,7 @@ import html
 import math
 import random
 import re
+import time
 import zlib
 
 import numpy as np
@@ -418,6 +419,32 @@ def test_article_with_furniture_inside(spark):
     assert set(got.values()) == {"Title\nOne two three four\na\nb <c>\nunclosed bold"}
 
 
+def test_two_pages_with_a_shared_paragraph_keep_it(spark):
+    shared = "An agency report that both papers print word for word, with all its details."
+    pages = [(i, f"http://two.org/{i}", f"<body><nav>Menu</nav><article><p>{shared}</p><p>Own words of page {i}, and some more.</p></article></body>") for i in range(2)]
+    got = {r.page_id: r.text for r in extract.extract(spark.createDataFrame(pages, "page_id long, url string, html string")).collect()}
+    assert got == {i: f"{shared}\nOwn words of page {i}, and some more." for i in range(2)}
+
+
+@pytest.mark.parametrize("html, text", [
+    ('<p title="it"s odd">text</p>', "text"), ("<p title='a>b' x=\"c>d\">text</p>", "text"), ("3 < 4 <b>or</b> 5 > 4", "3 < 4 or 5 > 4"),
+    ('<p class=x title=it"s>text</p>', "text"), ("a <!-- b > c --> d", "a d"), ("a<!-- never ends", "a"), ("a <p title='never ends> b", "a"),
+    ("<p a b=c/>text</p>", "text"), ("<?php x ?>text<!DOCTYPE html>", "text"), ("text </ x>more", "text more"), ("a<br/>b", "a b"),
+    ('<article><div data-title="The hidden gem">one</div><p style="overflow: hidden ">two</p></article>', "one\ntwo"),
+    ('<article><div class="social-history">one</div><section id="search-for-truth">two</section></article>', "one\ntwo"),
+    ('<article><p>one</p><div class="social-share">no</div><div hidden>no</div><p style="display : none">no</p><div class="ad box">no</div></article>', "one"),
+])
+def test_tags_with_faults(html, text):
+    assert extract.Page(html).main(None) == text
+
+
+@pytest.mark.parametrize("piece", ["<a ", '<p class="', "<!--", "<", "</", "<p a='", "<p x=1 ", "<b><", '<p "', "<p a=b='"])
+def test_broken_tags_are_read_once(piece):
+    start = time.perf_counter()
+    extract.Page(piece * ((1 << 20) // len(piece)))
+    assert time.perf_counter() - start < 20  # seconds for a megabyte; going back would take hours
+
+
 def test_extraction_of_odd_pages(spark):
     odd_pages = [("http://c.example", None), ("", ""), (None, "plain words"), ("http://c.example", "<p>a<p>b"), ("not a url", "<!-- open"),
                  ("http://c.example", "<div>" * 300 + "deep"), ("http://c.example", "a < b & c"), ("http://c.example", "<article></article>")]
