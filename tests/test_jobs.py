@@ -296,6 +296,36 @@ def test_many_keys_land_in_few_files(spark, tmp_path):
     assert landing.stream_landed(spark, path, keys=["cp", "note"]).columns == ["body", "arquivo_origem", "cp", "note"]
 
 
+def test_snapshots_come_from_the_chain(spark, tmp_path):
+    made = jobs.Layers(spark, "chain_")
+    tables.create_layers(spark, str(tmp_path), "chain_")
+    schema = ("data_hora_sp timestamp_ntz, prefixo_veiculo int, cod_linha int, latitude double, longitude double, "
+              "sentido_desc string, is_acessivel boolean, data_referencia date")
+
+    def fact(late):
+        pings = [(datetime(2024, 1, d, h), v, 7, float(d), 0.0, "Ida", True, date(2024, 1, d))
+                 for d in range(1, 9) for h in (6, 18) for v in range(1, 6) if (d + v) % 3 == 0 or late and v == 4 and d == 3]
+        return spark.createDataFrame(pings, schema)
+
+    def snapshots():
+        return {d: rows(jobs.snapshot_as_of(made, date(2024, 1, d))) for d in (1, 3, 4, 6, 8)}
+
+    def wanted(df):
+        return {d: rows(gold.fleet_snapshot(df, as_of=f"2024-01-0{d}")) for d in (1, 3, 4, 6, 8)}
+
+    name, chain = made.name("silver", "fato_posicao_veiculos"), made.name("silver", jobs.LAST_PINGS)
+    tables.replace_table(fact(False), name, jobs.DAY)
+    assert snapshots() == wanted(fact(False))  # no chain yet
+    for day in (date(2024, 1, 3), date(2024, 1, 6)):
+        tables.replace_partitions(gold.fleet_snapshot(fact(False), as_of=str(day)).withColumn(jobs.UNTIL, F.lit(day)), chain, jobs.UNTIL, [day])
+    assert snapshots() == wanted(fact(False))
+    assert len(jobs.snapshot_as_of(made, date(2024, 1, 6)).inputFiles()) <= 4  # the day's partition of the chain alone
+    tables.replace_table(fact(True), name, jobs.DAY)
+    assert snapshots() != wanted(fact(True))
+    assert jobs.repair_chain(made, date(2024, 1, 3)) == [date(2024, 1, 3), date(2024, 1, 6)]
+    assert snapshots() == wanted(fact(True))
+
+
 def test_refused_documents_are_kept_and_replayed(layers, tmp_path):
     spark = layers.spark
     made = jobs.Layers(spark, "refused_")

@@ -1,5 +1,6 @@
 from __future__ import annotations
 
+import time
 from datetime import date, datetime
 
 import pytest
@@ -273,3 +274,37 @@ def test_append_to_a_table_refuses_other_types(spark, layers):
     tables.create_table(spark, name, schemas.BRONZE["corredores"])
     with pytest.raises(PySparkException):
         spark.createDataFrame([("x", "y", "z")], "cc string, nc string, more string").write.mode("append").saveAsTable(name)
+
+
+def test_tasks_keep_to_a_common_rate():
+    """Slow, late and retrying tasks, each with a clock of its own in place of waiting, share the slots of a second."""
+    sent = []
+    for task in range(4):
+        now = [100.0 + 3 * (task == 1)]  # the second starts late
+
+        def sleep(seconds):
+            now[0] += seconds
+
+        pace = sweep.Pace(5, 4, task, clock=lambda: now[0], sleep=sleep)
+        while now[0] < 120:
+            pace.wait()
+            sent.append(now[0])
+            now[0] += 2.5 if task == 2 and len(sent) % 7 == 0 else 0.01
+    sent.sort()
+    assert min(b - a for a, b in zip(sent, sent[1:])) > 1 / 5 - 1e-6
+    assert len(sent) > 60
+
+
+def test_a_sweep_waits_for_its_slots(spark):
+    def fetch(key):
+        if key == 3:
+            raise TimeoutError("slow")
+        return "{}x"
+
+    keys = spark.createDataFrame([(i,) for i in range(6)], "cp int")
+    start = time.perf_counter()
+    got = sweep.sweep(keys, "cp", fetch, tasks=1, attempts=3, wait_seconds=0, per_second=5).collect()
+    assert time.perf_counter() - start > 7 / 5  # six keys and two retries
+    assert {r.status for r in got} == {"ok", "failed"}
+    with pytest.raises(ValueError):
+        sweep.Pace(0, 1, 0)

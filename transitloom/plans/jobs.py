@@ -352,6 +352,60 @@ def build_profile(layers: Layers) -> None:
     )
 
 
+LAST_PINGS, UNTIL = "ultimo_ping", "ate_dia"
+
+
+def chained_days(layers: Layers) -> list[date]:
+    """The days up to which last pings are stored, oldest first."""
+    name = layers.name("silver", LAST_PINGS)
+    if not layers.spark.catalog.tableExists(name):
+        return []
+    return sorted(r[0] for r in layers.spark.table(name).select(UNTIL).distinct().collect())  # one row per day
+
+
+def _last_pings(layers: Layers, until: date) -> DataFrame:
+    return layers.read("silver", LAST_PINGS).filter(F.col(UNTIL) == F.lit(until)).drop(UNTIL)
+
+
+def snapshot_as_of(layers: Layers, day: date) -> DataFrame:
+    """The last ping of every vehicle up to a day, whatever the length of the history.
+
+    It is what the chain of last pings holds for the newest stored day that is not later, and the fact of the days since:
+    none if the day itself is stored. Before the first stored day the fact alone is read, up to the day.
+    """
+    fact = layers.read("silver", "fato_posicao_veiculos").filter(F.col(DAY) <= F.lit(day))
+    stored = [d for d in chained_days(layers) if d <= day]
+    if not stored:
+        return gold.fleet_snapshot(fact)
+    known = _last_pings(layers, stored[-1])
+    if stored[-1] == day:
+        return known
+    return gold.fleet_snapshot(known.unionByName(fact.filter(F.col(DAY) > F.lit(stored[-1])).select(*known.columns)))
+
+
+def repair_chain(layers: Layers, since: date) -> list[date]:
+    """Bring the stored last pings up to date after days from ``since`` on were rebuilt; returns the days written.
+
+    Each stored day follows from the one stored before it and the fact of the days between, so a day reads its own
+    partitions only, and links before ``since`` stay.
+    """
+    days = chained_days(layers)
+    known = [d for d in days if d < since]
+    last, written = (known[-1] if known else None), []
+    fact = layers.read("silver", "fato_posicao_veiculos")
+    for day in [d for d in days if d >= since]:
+        rows = fact.filter(F.col(DAY) <= F.lit(day))
+        if last is not None:
+            rows = rows.filter(F.col(DAY) > F.lit(last))
+            held = _last_pings(layers, last)
+            rows = held.unionByName(rows.select(*held.columns))
+        tables.replace_partitions(
+            gold.fleet_snapshot(rows).withColumn(UNTIL, F.lit(day)), layers.name("silver", LAST_PINGS), UNTIL, [day])
+        last = day
+        written.append(day)
+    return written
+
+
 def refresh_day(layers: Layers, day: date, previous: date | None = None) -> None:
     """Bring the day's measures up to date, reading that day's fact partition only.
 

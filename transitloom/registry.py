@@ -170,6 +170,22 @@ def fleet_snapshot_as_of(spark, sf):
     return gold.fleet_snapshot(_fact(spark, sf), as_of="2024-01-15").withColumn("data_referencia", _day())
 
 
+@query("""select data_hora_sp, prefixo_veiculo, cod_linha, latitude, longitude, sentido_desc, is_acessivel,
+    cast(data_referencia as varchar) as data_referencia from {fact} where data_referencia <= date '2024-01-15'
+    qualify row_number() over (partition by prefixo_veiculo order by data_hora_sp desc) = 1""")
+def job_snapshot_as_of(spark, sf):
+    """From the stored last pings of a week before and the days since; an earlier link was stored from a fact that lacked rows."""
+    layers, _ = _lake(spark)
+    fact = _fact(spark, sf)
+    tables.replace_table(fact, layers.name("silver", "fato_posicao_veiculos"), jobs.DAY)
+    chain = layers.name("silver", jobs.LAST_PINGS)
+    for day in (date(2024, 1, 5), date(2024, 1, 8)):
+        poor = fact.filter((F.col(jobs.DAY) <= F.lit(day)) & (F.col("cod_linha") % 3 != 0))
+        tables.replace_partitions(gold.fleet_snapshot(poor).withColumn(jobs.UNTIL, F.lit(day)), chain, jobs.UNTIL, [day])
+    jobs.repair_chain(layers, date(2024, 1, 2))
+    return jobs.snapshot_as_of(layers, date(2024, 1, 15)).withColumn("data_referencia", _day())
+
+
 @query("select shape_id, cast(extensao_km as double) as extensao_km from {comprimento}")
 def shape_length(spark, sf):
     return gold.shape_length(tv.view(spark, sf, "shapes")).withColumn("extensao_km", F.col("extensao_km").cast("double"))

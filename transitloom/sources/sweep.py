@@ -6,10 +6,12 @@ each micro-batch is committed on its own, so a restarted sweep goes on after the
 
 from __future__ import annotations
 
+import math
 import time
 from collections.abc import Callable, Iterator
 
 import pandas as pd
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -20,22 +22,47 @@ from transitloom.operators.numbering import in_lots
 _FLUSH = 64  # replies held in a task before they are handed back
 
 
+class Pace:
+    """The times at which one of several tasks may send a request, so that all of them keep to a common rate.
+
+    Slots lie 1 / rate apart on the wall clock; task i of n has every n-th of them, from the i-th on, and sends one request
+    in each. A task that starts late or is held up waits for its next slot and never catches up, so tasks need not know of
+    each other. A retry takes a slot like any other request.
+    """
+
+    def __init__(self, per_second: float, tasks: int, task: int, clock: Callable[[], float] = time.time,
+                 sleep: Callable[[float], None] = time.sleep) -> None:
+        if per_second <= 0:
+            raise ValueError("the rate must be positive")
+        self.rate, self.tasks, self.task, self.clock, self.sleep = per_second, tasks, task, clock, sleep
+        self.last = math.floor((clock() * per_second - task) / tasks)
+
+    def wait(self) -> None:
+        """Return when the next slot has come."""
+        now = self.clock()
+        self.last = max(self.last + 1, math.ceil((now * self.rate - self.task) / self.tasks))
+        self.sleep(max(0.0, (self.last * self.tasks + self.task) / self.rate - now))
+
+
 def sweep(requests: DataFrame, key: str, fetch: Callable[[object], str | None], tasks: int,
-          attempts: int = 3, wait_seconds: float = 5.0) -> DataFrame:
+          attempts: int = 3, wait_seconds: float = 5.0, per_second: float | None = None) -> DataFrame:
     """Run ``fetch(key)`` for every key; a failing key is a row, not an error.
 
     Returns the key with ``status`` (ok, empty, failed), ``attempt`` (tries used), ``body`` and
     ``error``. ``fetch`` returns the reply text and raises on failure; each key is tried up to
-    ``attempts`` times, ``wait_seconds`` apart. Other columns of ``requests`` come along. A lost task
+    ``attempts`` times, ``wait_seconds`` apart, and all tasks together send at most ``per_second`` requests a second, retries
+    included. Other columns of ``requests`` come along. A lost task
     repeats its requests, so write the result to the landing zone once and parse it from there.
     """
     kept = requests.columns
     answer = T.StructType.fromDDL("status string, attempt int, body string, error string")
     schema = T.StructType([*requests.schema.fields, *answer.fields])
 
-    def ask(value) -> tuple:
+    def ask(value, pace: Pace | None) -> tuple:
         error = None
         for attempt in range(1, attempts + 1):
+            if pace:
+                pace.wait()
             try:
                 body = fetch(value)
             except Exception as problem:  # any failure of one request is data about that request
@@ -49,10 +76,11 @@ def sweep(requests: DataFrame, key: str, fetch: Callable[[object], str | None],
         return "failed", attempts, None, error
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        pace = Pace(per_second, tasks, TaskContext.get().partitionId() % tasks) if per_second else None
         for batch in batches:
             for start in range(0, len(batch), _FLUSH):
                 part = batch.iloc[start:start + _FLUSH].reset_index(drop=True)
-                answers = pd.DataFrame([ask(v) for v in part[key].tolist()], columns=answer.names)
+                answers = pd.DataFrame([ask(v, pace) for v in part[key].tolist()], columns=answer.names)
                 yield pd.concat([part[kept], answers], axis=1)
 
     return requests.repartition(tasks, F.col(key)).mapInPandas(run, schema)
