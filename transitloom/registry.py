@@ -922,28 +922,28 @@ def stream_snapshot(spark, sf):
     return live.latest_state(spark, state).withColumn("data_referencia", _day())
 
 
-def _streamed_speeds(spark, sf, parts: int = 1) -> tuple[str, str, str]:
-    """Folders of the speeds, of their changes and of the counts, after pings in ``parts`` files dealt out by hash."""
-    landed, speeds, late, state, checkpoint, changes = (
-        shared_folder(spark, n) for n in ("fact", "speeds", "late", "state", "checkpoint", "changes"))
+def _streamed_speeds(spark, sf, parts: int = 1, changes: str | None = None) -> str:
+    """The folder of the speeds, after pings that came in ``parts`` files dealt out by hash."""
+    landed, speeds, late, state, checkpoint = (
+        shared_folder(spark, n) for n in ("fact", "speeds", "late", "state", "checkpoint"))
     fact = _fact(spark, sf)
     dealt = fact.withColumn("parte", F.pmod(F.xxhash64("prefixo_veiculo", "data_hora_sp"), F.lit(parts)))
     for part in range(parts):
         dealt.filter(F.col("parte") == part).drop("parte").write.mode("append").parquet(landed)
         _finish(live.keep_speeds(
             live.stream_rows(spark, fact.schema, landed), speeds, late, state, checkpoint, changes=changes))
-    return speeds, changes, late
+    return speeds
 
 
 @query(_PING_SPEED)
 def stream_speed(spark, sf):
-    return _ping_speed_output(live.speeds_so_far(spark, _streamed_speeds(spark, sf)[0]))
+    return _ping_speed_output(live.speeds_so_far(spark, _streamed_speeds(spark, sf)))
 
 
 @query(_PING_SPEED)
 def stream_speed_shuffled(spark, sf):
     """The same with pings that arrive in three parts, each from all of the time: most are late."""
-    return _ping_speed_output(live.speeds_so_far(spark, _streamed_speeds(spark, sf, parts=3)[0]))
+    return _ping_speed_output(live.speeds_so_far(spark, _streamed_speeds(spark, sf, parts=3)))
 
 
 _WINDOWS = """select time_bucket(interval '15 minutes', data_hora_sp) as inicio,
@@ -954,8 +954,8 @@ _WINDOWS = """select time_bucket(interval '15 minutes', data_hora_sp) as inicio,
 
 
 def _streamed_windows(spark, sf, parts: int) -> DataFrame:
-    _, changes, _ = _streamed_speeds(spark, sf, parts)
-    out = shared_folder(spark, "windows")
+    changes, out = shared_folder(spark, "changes"), shared_folder(spark, "windows")
+    _streamed_speeds(spark, sf, parts, changes)
     source = live.stream_rows(spark, live.CHANGES, f"{changes}/lote=*")
     _finish(live.keep_windows(source, out, shared_folder(spark, "late"), shared_folder(spark, "checkpoint")))
     return live.windows_so_far(spark, out).select(

@@ -221,25 +221,27 @@ def keep_speeds(fact: DataFrame, speeds: str, late: str, folder: str, checkpoint
         is_late = F.coalesce(F.col("data_hora_sp") <= F.col("stored"), F.lit(False))
         marked = rows.join(known.select(_VEHICLE, F.col("data_hora_sp").alias("stored")), _VEHICLE, "left").withColumn("late", is_late)
         state.put(_fleet(known, rows), f"{folder}/veiculos", batch_id)
-        state.put(_again(marked.filter("late"), state.latest(spark, f"{folder}/veiculos")), f"{folder}/afetados", batch_id)
-        again = state.latest(spark, f"{folder}/afetados")
-
-        onward = gold.ping_speed(marked.filter(~F.col("late")).select(*_PING_STATE), slice_seconds, carried=known.drop("dias"))
-        onward = onward.withColumn("dia", F.to_date("data_hora_sp")).join(again, [_VEHICLE, "dia"], "left_anti")
-        both = onward.unionByName(_paired_again(spark, folder, again, batch_id, slice_seconds))
-        replaced = again.select(_VEHICLE, "dia")
-        state.add_days(replaced, f"{speeds}/substituidos", batch_id)
+        both = gold.ping_speed(marked.filter(~F.col("late")).select(*_PING_STATE), slice_seconds, carried=known.drop("dias"))
+        both, replaced = both.withColumn("dia", F.to_date("data_hora_sp")), None
+        if not marked.filter("late").isEmpty():
+            state.put(_again(marked.filter("late"), state.latest(spark, f"{folder}/veiculos")), f"{folder}/afetados", batch_id)
+            again = state.latest(spark, f"{folder}/afetados")
+            replaced = again.select(_VEHICLE, "dia")
+            both = both.join(replaced, [_VEHICLE, "dia"], "left_anti").unionByName(
+                _paired_again(spark, folder, again, batch_id, slice_seconds))
+            state.add_days(replaced, f"{speeds}/substituidos", batch_id)
         state.add_days(both.hint("rebalance", "dia"), f"{speeds}/linhas", batch_id)
 
-        changed = _changes(spark, speeds, replaced, days, batch_id)
-        if changes:
-            state.put(changed, changes, batch_id)
-            changed = spark.read.schema(changed.schema).parquet(f"{changes}/{state.VERSION}={batch_id}")
         zero = F.lit(0).cast("bigint")
-        counted = marked.agg(F.count(F.lit(1)).alias("pings"), F.count_if("late").alias("late_pings")).withColumn("revised", zero)
-        undone = changed.agg(F.coalesce(F.sum(F.greatest(-F.col("saldo"), zero)), zero).alias("revised"))
-        report = counted.unionByName(undone.withColumns({"pings": zero, "late_pings": zero})).unionByName(
-            state.before(spark, late, batch_id, _REPORT))
+        report = marked.agg(F.count(F.lit(1)).alias("pings"), F.count_if("late").alias("late_pings")).withColumn("revised", zero)
+        if changes or replaced is not None:
+            changed = _changes(spark, speeds, replaced, days, batch_id)
+            if changes:
+                state.put(changed, changes, batch_id)
+                changed = spark.read.schema(changed.schema).parquet(f"{changes}/{state.VERSION}={batch_id}")
+            undone = changed.agg(F.coalesce(F.sum(F.greatest(-F.col("saldo"), zero)), zero).alias("revised"))
+            report = report.unionByName(undone.withColumns({"pings": zero, "late_pings": zero}))
+        report = report.unionByName(state.before(spark, late, batch_id, _REPORT))
         state.put(report.agg(*(F.sum(c).alias(c) for c in ("pings", "late_pings", "revised"))), late, batch_id)
         for kept in (late, f"{folder}/veiculos", f"{folder}/afetados"):
             state.expire(spark, kept, batch_id)
@@ -278,12 +280,15 @@ def _paired_again(spark: SparkSession, folder: str, again: DataFrame, batch_id:
     return found.withColumn("dia", F.to_date("data_hora_sp"))
 
 
-def _changes(spark: SparkSession, speeds: str, replaced: DataFrame, days: list[date], batch_id: int) -> DataFrame:
+def _changes(spark: SparkSession, speeds: str, replaced: DataFrame | None, days: list[date], batch_id: int) -> DataFrame:
     """What a batch makes of the published speeds: rows with the number of times that they hold more, or less."""
-    again = state.values_of(replaced, "dia")
-    old = speeds_so_far(spark, speeds, again, batch_id - 1).join(replaced, [_VEHICLE, "dia"], "left_semi")
+    again = [] if replaced is None else state.values_of(replaced, "dia")
     new = state.read_days(spark, f"{speeds}/linhas", _SPEEDS, {*days, *again}).filter(F.col(state.VERSION) == batch_id)
-    both = new.select(*_SPEEDS.names, F.lit(1).alias("saldo")).unionByName(old.select(*_SPEEDS.names, F.lit(-1).alias("saldo")))
+    new = new.select(*CHANGES.names[:-1], F.lit(1).alias("saldo"))
+    if replaced is None:
+        return new
+    old = speeds_so_far(spark, speeds, again, batch_id - 1).join(replaced, [_VEHICLE, "dia"], "left_semi")
+    both = new.unionByName(old.select(*CHANGES.names[:-1], F.lit(-1).alias("saldo")))
     return both.groupBy(*CHANGES.names[:-1]).agg(F.sum("saldo").cast("int").alias("saldo")).filter("saldo <> 0")
 
 

@@ -15,6 +15,7 @@ Five ways to keep rows, by what later batches need of them:
 
 from __future__ import annotations
 
+import json
 from collections.abc import Callable, Iterable
 from datetime import date
 
@@ -98,8 +99,8 @@ def all_versions(spark: SparkSession, folder: str) -> DataFrame:
 
 # -- parts: each at its newest version -------------------------------------------------------------
 #
-# ``dados/lote=n/part=value`` holds what batch n wrote, ``ponteiros/lote=n`` one row per part with the batch that wrote it
-# last. The pointers of a batch are written after its rows: they tell that it is complete.
+# ``dados/lote=n/part=value`` holds what batch n wrote, ``ponteiros/lote=n`` the batch that wrote each part last, in one
+# small file. The pointers of a batch are written after its rows: they tell that it is complete.
 
 def _pointers(spark: SparkSession, folder: str, below: int | None = None) -> dict[str, int]:
     """The part values, as folder names, with the batch that wrote each last."""
@@ -108,8 +109,24 @@ def _pointers(spark: SparkSession, folder: str, below: int | None = None) -> dic
 
 
 def _pointers_of(spark: SparkSession, folder: str, batch_id: int) -> dict[str, int]:
-    at = spark.read.schema("parte string, numero int").parquet(f"{folder}/ponteiros/{VERSION}={batch_id}")
-    return {r.parte: r.numero for r in at.collect()}  # one row per part
+    place, system = _folder(spark, f"{folder}/ponteiros/{VERSION}={batch_id}/mapa.json")
+    stream = system.open(place)
+    try:
+        return json.loads(spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8"))
+    finally:
+        stream.close()
+
+
+def _put_pointers(spark: SparkSession, folder: str, batch_id: int, pointers: dict[str, int]) -> None:
+    """One small file, a number per part, written by the driver; the mark that it is whole comes last."""
+    at = f"{folder}/ponteiros/{VERSION}={batch_id}"
+    for name, text in (("mapa.json", json.dumps(pointers)), ("_SUCCESS", "")):
+        place, system = _folder(spark, f"{at}/{name}")
+        stream = system.create(place, True)
+        try:
+            stream.write(bytearray(text.encode()))
+        finally:
+            stream.close()
 
 
 def _name(value: object) -> str:
@@ -126,8 +143,7 @@ def put_parts(df: DataFrame, folder: str, batch_id: int, by: str, touched: Itera
     pointers = _pointers(df.sparkSession, folder, batch_id) | {_name(v): batch_id for v in touched}
     df.write.mode("overwrite").partitionBy(by).parquet(f"{folder}/dados/{VERSION}={batch_id}")
     found = set(_names(df.sparkSession, f"{folder}/dados/{VERSION}={batch_id}", by))
-    rows = [(p, n) for p, n in pointers.items() if n != batch_id or p in found]
-    put(df.sparkSession.createDataFrame(rows, "parte string, numero int").coalesce(1), f"{folder}/ponteiros", batch_id)
+    _put_pointers(df.sparkSession, folder, batch_id, {p: n for p, n in pointers.items() if n != batch_id or p in found})
 
 
 def read_parts(spark: SparkSession, folder: str, schema: T.StructType, by: str, values: Iterable | None = None,
