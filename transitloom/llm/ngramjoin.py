@@ -209,9 +209,11 @@ def _overlaps(pairs: DataFrame, texts: DataFrame, size: int, percent: int) -> Da
                     linked.append(met > 0 and 100 * met >= percent * (x + y - met))
                 yield pa.RecordBatch.from_arrays([batch.column("a"), batch.column("b"), pa.array(linked)], ["a", "b", "linked"])
 
-    texts = texts.select("class", "text")
-    left = pairs.join(texts.select(F.col("class").alias("a"), F.col("text").alias("text_a")), "a")
-    both = left.join(texts.select(F.col("class").alias("b"), F.col("text").alias("text_b")), "b")
+    def side(name: str) -> DataFrame:
+        asked = pairs.select(F.col(name).alias("class")).distinct()
+        return texts.select("class", "text").join(asked, "class", "left_semi").select(F.col("class").alias(name), F.col("text").alias(f"text_{name}"))
+
+    both = pairs.join(side("a"), "a").join(side("b"), "b")
     return both.select("a", "b", "text_a", "text_b").mapInArrow(run, "a long, b long, linked boolean")
 
 
@@ -244,7 +246,9 @@ def linked_classes(rows: DataFrame, sets: DataFrame, size: int, percent: int) ->
             "block", "class", "n", "grid", "need", "place", F.coalesce("root", "class").alias("root"))
         pairs = _against_pivot(now, turn, percent) if turn <= PIVOTS else _against_rare(now, texts, size, percent)
         pairs = pairs.distinct().join(done.select("a", "b"), ["a", "b"], "left_anti")
-        found = stored(_overlaps(_possible(pairs, texts, percent), texts, size, percent), "links")
+        # stored, so that their size is known: few pairs fetch their texts without a shuffle of all texts
+        pairs = stored(_possible(pairs, texts, percent), "pairs")
+        found = stored(_overlaps(pairs, texts, size, percent), "links")
         done = done.unionByName(found)
         links = found.filter("linked").select("a", "b").unionByName(roots.select(F.col("node").alias("a"), F.col("root").alias("b")))
         roots = components(links)
