@@ -370,3 +370,24 @@ def test_refused_cells_are_kept_with_their_line(layers, tmp_path):
     held = made.read("bronze", jobs.QUARANTINE).collect()
     assert sorted((r.motivo, json.loads(r.corpo)["shape_pt_sequence"], dict(r.chaves)) for r in held) == [
         ("cell shape_pt_lat", "3", {"shape_pt_lat": "north"}), ("cell shape_pt_sequence", "x", {"shape_pt_sequence": "x"})]
+
+
+def test_many_commits_are_written_in_few_steps(layers, tmp_path, monkeypatch):
+    spark, run, table = layers.spark, datetime(2024, 3, 5, 6, 30), "paradas_por_linha"
+    steps, ingest = [], jobs.ingest
+    monkeypatch.setattr(jobs, "ingest", lambda *a, **k: steps.append(k["parts"]) or ingest(*a, **k))
+    keys = spark.createDataFrame([(k,) for k in range(7)], "cl int")
+    root = str(tmp_path / "landing")
+    jobs.ingest_sweep(layers, table, keys, lambda k: f'[{{"cp": {k}}}]', run, str(tmp_path / "many"), lot_size=1,
+                      tasks=2, lots_per_commit=1, landing_root=root)
+    assert [len(s) for s in steps] == [1, 2, 4]
+    replies = spark.read.parquet(str(tmp_path / "many" / "replies"))
+    commits = sorted(r[0] for r in replies.select("commit").distinct().collect())
+    assert len(commits) == 7
+    for again in (commits[2], commits[:3]):  # written again, one and several replace themselves
+        jobs.write_commit(layers, table, replies, "cl", again, 1, run, root) if isinstance(again, list) else jobs.write_commit(
+            layers, table, replies.filter(F.col("commit") == again), "cl", again, 1, run, root)
+    mine = layers.read("bronze", table).filter(F.col("arquivo_origem").contains("20240305_063000"))
+    assert sorted((r.cod_linha, r.cp) for r in mine.collect()) == [(k, k) for k in range(7)]
+    assert mine.select(jobs.PART).distinct().count() == 7
+    assert landing.read_landed(spark, f"{root}/{table}/raw_*").count() == 7

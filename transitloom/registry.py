@@ -739,9 +739,9 @@ def job_sweep_repeated_commit(spark, sf):
     table, stamp = "previsao_chegada_parada", run_stamp(RUN)
     jobs.ingest_sweep(layers, table, keys, _flaky(True), RUN, f"{root}/sweep", tasks=8, lots_per_commit=4, lot_size=200,
                       landing_root=f"{root}/landing", attempts=1, wait_seconds=0)
-    for commit in [r[0] for r in spark.read.parquet(f"{root}/sweep/replies").select("commit").distinct().collect()]:
-        replies = spark.read.parquet(f"{root}/sweep/replies").filter(F.col("commit") == commit)
-        jobs.write_commit(layers, table, replies, "cp", commit, 200, RUN, f"{root}/landing")
+    replies = spark.read.parquet(f"{root}/sweep/replies")
+    commits = sorted(r[0] for r in replies.select("commit").distinct().collect())
+    jobs.write_commit(layers, table, replies, "cp", commits, 200, RUN, f"{root}/landing")
     return layers.read("bronze", table).groupBy("cp", "p").agg(F.count(F.lit(1)).alias("copies"))
 
 

@@ -63,3 +63,11 @@ def remove_folder(spark: SparkSession, path: str) -> None:
     """Delete a folder that this library has made under the shared one."""
     place = spark._jvm.org.apache.hadoop.fs.Path(path)
     place.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).delete(place, True)
+
+
+def folders_in(spark: SparkSession, path: str, prefix: str) -> list[str]:
+    """Names of the folders in a folder that begin with ``prefix``; none if it is not there."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    files = place.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf())
+    found = files.globStatus(spark._jvm.org.apache.hadoop.fs.Path(place, f"{prefix}*")) or ()
+    return [f.getPath().getName() for f in found if f.isDirectory()]

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from transitloom.functions.clock import run_stamp
-from transitloom.session import SPARK_ERRORS
+from transitloom.session import SPARK_ERRORS, remove_folder
 from transitloom.sources.documents import BODY
 
 log = logging.getLogger(__name__)
@@ -56,25 +56,41 @@ def stream_landed(spark: SparkSession, path: str, files_per_batch: int | None =
     return _with_origin(reader.json(path))
 
 
-def land_raw(docs: DataFrame, path: str, keys: Sequence[str] = (), replace: bool = False) -> bool:
+def land_raw(docs: DataFrame, path: str, keys: Sequence[str] = (), replace: bool = False,
+             part: str | None = None, parts: Sequence[str] = ()) -> bool:
     """Write raw bodies unchanged, one JSON object per line with the body as text and the columns named (request keys, origin).
 
     Documents are dealt out evenly, however many keys there are: a folder has few files. ``replace`` empties the folder, so
-    that a piece of a run that is landed again replaces itself. A failure is logged and reported, it does not stop the run.
+    that a piece of a run that is landed again replaces itself. Documents of several pieces tell theirs in the key ``part``:
+    each of ``parts`` has a folder of its own under ``path`` and is replaced alone. A failure is logged and reported, it does
+    not stop the run.
     """
-    rows = docs.select(BODY, *keys).filter(F.col(BODY).isNotNull()).hint("rebalance")
+    rows = docs.select(BODY, *keys).filter(F.col(BODY).isNotNull())
     try:
-        rows.write.mode("overwrite" if replace else "append").option("ignoreNullFields", False).json(path)
+        if part is not None:
+            _land_parts(rows, path, part, parts)
+        else:
+            rows.hint("rebalance").write.mode("overwrite" if replace else "append").option("ignoreNullFields", False).json(path)
         return True
     except SPARK_ERRORS as error:
         log.warning("raw documents not landed at %s: %s", path, error)
         return False
 
 
-def land_rows(rows: DataFrame, root: str, name: str, run_time: datetime) -> str:
-    """Write parsed rows as JSON in a directory of this run; returns the directory."""
+def _land_parts(rows: DataFrame, path: str, part: str, parts: Sequence[str], nulls: bool = True) -> None:
+    """Write rows to the folders of their parts, in place of what these hold."""
+    for value in parts:
+        remove_folder(rows.sparkSession, f"{path}/{part}={value}")
+    rows.hint("rebalance", part).write.mode("append").partitionBy(part).option("ignoreNullFields", not nulls).json(path)
+
+
+def land_rows(rows: DataFrame, root: str, name: str, run_time: datetime, part: str | None = None, parts: Sequence[str] = ()) -> str:
+    """Write parsed rows as JSON in a directory of this run, by ``part`` if it is named; returns the directory."""
     path = f"{root}/{name}_{run_stamp(run_time)}.json"
-    rows.write.mode("overwrite").json(path)
+    if part is not None:
+        _land_parts(rows, path, part, parts, nulls=False)
+    else:
+        rows.write.mode("overwrite").json(path)
     return path
 
 

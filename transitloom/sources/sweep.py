@@ -1,7 +1,8 @@
 """Keyed request sweeps: one request per key, spread over the executors.
 
-A long sweep runs in lots: the requests are written lot by lot, a stream reads some lots at a time and
-each micro-batch is committed on its own, so a restarted sweep goes on after the last committed lots.
+A long sweep runs in lots: the requests are written lot by lot, a stream reads them and some lots make a commit. A
+restarted sweep goes on after the last commit that was answered. As long as answers come fast, several commits are
+asked for in one job, so that the number of jobs grows with the time the requests take, not with the number of commits.
 """
 
 from __future__ import annotations
@@ -18,8 +19,11 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from transitloom.operators.numbering import in_lots
+from transitloom.session import folders_in
 
 _FLUSH = 64  # replies held in a task before they are handed back
+#: Lots, and so commits, of one micro-batch at most; seconds that the requests of one job should take.
+LOTS_AT_ONCE, JOB_SECONDS = 4096, 30.0
 
 
 class Pace:
@@ -101,7 +105,8 @@ def write_lots(keys: DataFrame, key: str, size: int, folder: str) -> None:
 def ask_again(spark: SparkSession, requests: str, key: str, replies: str) -> None:
     """Queue the keys whose last answer is a failure, under the lot they had."""
     failed = last_replies(spark, replies, key).filter(F.col("status") == "failed").select(key, "lote")
-    failed.write.mode("append").partitionBy("lote").parquet(requests)
+    # a file per lot, as the stream counts files
+    failed.repartition("lote").write.mode("append").partitionBy("lote").parquet(requests)
 
 
 def last_replies(spark: SparkSession, replies: str, key: str) -> DataFrame:
@@ -113,26 +118,47 @@ def last_replies(spark: SparkSession, replies: str, key: str) -> DataFrame:
 
 def sweep_lots(spark: SparkSession, requests: str, key: str, fetch: Callable[[object], str | None],
                replies: str, checkpoint: str, tasks: int, lots_per_commit: int = 1,
-               written: Callable[[DataFrame, int], None] | None = None, **options) -> StreamingQuery:
+               written: Callable[[DataFrame, list[int]], None] | None = None, **options) -> StreamingQuery:
     """Sweep the lots written by :func:`write_lots`, some lots per commit.
 
-    Every commit writes its replies to a folder of its own under ``replies``, overwriting what an
-    interrupted attempt left there, and hands them with its number to ``written``. Read the replies of all commits
-    from ``replies``.
+    Every commit has a folder of its own under ``replies``, which appears when all of it is answered. One job asks for one
+    commit at first and for twice as many as the last one while that takes less than ``JOB_SECONDS``: an interrupted sweep
+    loses the answers of one job, and asks again for the commits without a folder only. The replies of each job go with the
+    numbers of its commits to ``written``, which may get commits again after an interruption. Read the replies of all
+    commits from ``replies``.
     """
+    at_once = 1
+
     def ask(batch: DataFrame, batch_id: int) -> None:
-        folder = f"{replies}/commit={batch_id}"
-        asked = sweep(batch, key, fetch, tasks, **options)
-        asked.write.mode("overwrite").parquet(folder)
-        if written is not None:
-            written(spark.read.schema(asked.schema).parquet(folder), batch_id)
+        nonlocal at_once
+        lots = sorted(r[0] for r in batch.select("lote").distinct().collect())
+        commits = {batch_id * LOTS_AT_ONCE + i // lots_per_commit: lots[i:i + lots_per_commit] for i in range(0, len(lots), lots_per_commit)}
+        there = {int(f.partition("=")[2]) for f in folders_in(batch.sparkSession, replies, "commit=")}
+        if written is not None and there & commits.keys():
+            written(_replies_of(spark, replies, sorted(there & commits.keys())), sorted(there & commits.keys()))
+        waiting = sorted(commits.keys() - there)
+        while waiting:
+            now, waiting = waiting[:at_once], waiting[at_once:]
+            began = time.monotonic()
+            which = batch.sparkSession.createDataFrame([(lot, c) for c in now for lot in commits[c]], "lote bigint, commit bigint")
+            asked = sweep(batch.join(F.broadcast(which), "lote").select(key, "lote", "commit"), key, fetch, tasks, **options)
+            # a commit's folder is moved into its place when the job has ended; one file holds a commit
+            asked.hint("rebalance", "commit").write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("commit").parquet(replies)
+            took = time.monotonic() - began
+            at_once = at_once * 2 if took < JOB_SECONDS else max(1, at_once // 2) if took > 2 * JOB_SECONDS else at_once
+            if written is not None:
+                written(_replies_of(spark, replies, now), now)
 
     source = spark.readStream.schema(f"{key} int, lote bigint").option(
-        "maxFilesPerTrigger", lots_per_commit).parquet(requests)
+        "maxFilesPerTrigger", max(lots_per_commit, LOTS_AT_ONCE // lots_per_commit * lots_per_commit)).parquet(requests)
     return (source.writeStream.foreachBatch(ask).option("checkpointLocation", checkpoint)
             .trigger(availableNow=True).start())
 
 
+def _replies_of(spark: SparkSession, replies: str, commits: list[int]) -> DataFrame:
+    return spark.read.option("basePath", replies).parquet(*(f"{replies}/commit={c}" for c in commits))
+
+
 def lot_origin(lot: Column, size: int, stamp: str, prefix: str = "batch") -> Column:
     """Lineage name of a lot: the position of its first key and the run."""
     return F.concat(F.lit(f"{prefix}_"), (lot * size).cast("string"), F.lit(f"_{stamp}.json"))
