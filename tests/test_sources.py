@@ -154,6 +154,22 @@ def test_lots_are_committed_one_by_one_and_resumed(spark, tmp_path):
     assert spark.read.parquet(replies).count() == 25
 
 
+def test_failed_keys_are_queued_in_one_file_per_lot(spark, tmp_path):
+    requests, replies = str(tmp_path / "requests"), str(tmp_path / "replies")
+    asked = spark.range(400).select(
+        F.col("id").cast("int").alias("cp"), F.expr("id div 100").alias("lote"), F.lit("failed").alias("status"), F.lit(0).alias("commit"))
+    asked.write.partitionBy("commit").parquet(replies)
+    name = "spark.sql.adaptive.coalescePartitions.enabled"
+    before = spark.conf.get(name)
+    spark.conf.set(name, "false")  # as many tasks as on larger tables
+    try:
+        sweep.ask_again(spark, requests, "cp", replies)
+    finally:
+        spark.conf.set(name, before)
+    assert len(list((tmp_path / "requests").glob("lote=*/*.parquet"))) == 4
+    assert spark.read.parquet(requests).count() == 400
+
+
 # -- catalog ------------------------------------------------------------------------------------
 
 @pytest.fixture
