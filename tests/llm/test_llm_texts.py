@@ -397,6 +397,13 @@ def test_slots_without_article_elements(spark):
     assert got == {i: f"Head {i}\nLong text number {i} of this page & more words" for i in range(6)}
 
 
+def test_repeated_parts_are_no_slot(spark):
+    parts = [[f"Part {k} of page {i}. " * 9 for k in range(2 + i % 3)] for i in range(6)]
+    bodies = ["<div class=content><h1>Head %d</h1>%s</div>" % (i, "".join(f"<div class=para><p>{x}</p></div>" for x in p)) for i, p in enumerate(parts)]
+    got = texts(spark, [("http://h.example/x", FRAME % b) for b in bodies])
+    assert got == {i: "\n".join([f"Head {i}", *(x.strip() for x in p)]) for i, p in enumerate(parts)}
+
+
 def test_all_articles_and_open_text_stay(spark):
     several = [f"<main><article><p>Part one of {i}</p></article><p>Between {i}</p><article><p>Part two of {i}, longer</p></article></main>" for i in range(4)]
     beside = [f"<div class=story><p>{f'The long story {i}. ' * 20}</p></div><article><p>Teaser {i}</p></article>" for i in range(4)]

@@ -3,7 +3,8 @@
 A token is an element by its path of tags and classes. Its occurrence vector says how often it stands on each
 page of the host; tokens with one vector form an equivalence class. A class is valid if it covers enough pages
 of the host; valid classes nest by their paths and make up the template. What lies between template tokens is
-a slot. Slots whose token marks furniture (menus, adverts, forms, hidden parts ...) are dropped, and so are blocks that
+a slot. A class that stands several times on a page, unlike the frame that the outermost token belongs to, is a part that
+repeats inside a slot and none itself, unless it is an article or main element. Slots whose token marks furniture (menus, adverts, forms, hidden parts ...) are dropped, and so are blocks that
 stand in the same slot on all pages of a host that has FIXED_PAGES or more. Of the slots with nearly all the text that is left, one is chosen: an
 article element before a main element before the innermost. Its blocks are extracted from every page of the host, in
 page order, whatever number of articles they belong to.
@@ -330,7 +331,10 @@ def slots(template: DataFrame, fixed: DataFrame) -> DataFrame:
     left = template.join(still, ["host", "path"], "left").withColumn("chars", F.col("chars") - F.coalesce("still", F.lit(0)))
     last = F.regexp_extract("path", r"([^/.]*)[^/]*$", 1)
     rank = F.when(last == "article", 0).when(last == "main", 1).otherwise(2)
-    open_ = left.filter(~F.col("furniture") & (F.col("chars") > 0) & (~F.col("fixed") | (F.col("host_pages") == 1)))
+    # a repeated part would leave out what stands beside it
+    frame = F.first("vector").over(Window.partitionBy("host").orderBy(F.length("path"), "path"))
+    left = left.withColumn("repeated", (F.col("most") > 1) & (F.col("vector") != frame) & (rank == 2))
+    open_ = left.filter(~F.col("repeated") & ~F.col("furniture") & (F.col("chars") > 0) & (~F.col("fixed") | (F.col("host_pages") == 1)))
     # text before names: only slots that hold nearly all that varies count, of others the innermost
     most = F.max("chars").over(Window.partitionBy("host"))
     open_ = open_.withColumn("rank", rank).withColumn("near", (F.col("chars") >= NEARLY * most))
