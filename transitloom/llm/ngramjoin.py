@@ -250,6 +250,8 @@ def linked_classes(rows: DataFrame, sets: DataFrame, size: int, percent: int) ->
         pairs = stored(_possible(pairs, texts, percent), "pairs")
         found = stored(_overlaps(pairs, texts, size, percent), "links")
         done = done.unionByName(found)
+        if found.filter("linked").isEmpty():  # the components stay as they are
+            continue
         links = found.filter("linked").select("a", "b").unionByName(roots.select(F.col("node").alias("a"), F.col("root").alias("b")))
         roots = components(links)
     return roots
