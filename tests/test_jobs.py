@@ -372,8 +372,10 @@ def test_refused_cells_are_kept_with_their_line(layers, tmp_path):
         ("cell shape_pt_lat", "3", {"shape_pt_lat": "north"}), ("cell shape_pt_sequence", "x", {"shape_pt_sequence": "x"})]
 
 
-def test_many_commits_are_written_in_few_steps(layers, tmp_path, monkeypatch):
-    spark, run, table = layers.spark, datetime(2024, 3, 5, 6, 30), "paradas_por_linha"
+def test_many_commits_are_written_in_few_steps(spark, tmp_path, monkeypatch):
+    run, table = datetime(2024, 3, 5, 6, 30), "paradas_por_linha"
+    tables.create_layers(spark, str(tmp_path / "lake"), "steps_")
+    layers = jobs.Layers(spark, "steps_")
     steps, ingest = [], jobs.ingest
     monkeypatch.setattr(jobs, "ingest", lambda *a, **k: steps.append(k["parts"]) or ingest(*a, **k))
     keys = spark.createDataFrame([(k,) for k in range(7)], "cl int")
