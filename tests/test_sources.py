@@ -170,6 +170,46 @@ def test_failed_keys_are_queued_in_one_file_per_lot(spark, tmp_path):
     assert spark.read.parquet(requests).count() == 400
 
 
+def test_lots_share_files_of_requests(spark, tmp_path):
+    requests, replies, checkpoint = (str(tmp_path / n) for n in ("requests", "replies", "checkpoint"))
+    keys, lots = spark.range(300).select(F.col("id").cast("int").alias("cp")), 150
+    sweep.write_lots(keys, "cp", 2, requests)
+    files = -(-lots // sweep.LOTS_IN_FILE)
+    assert len(list((tmp_path / "requests").rglob("*.parquet"))) == files
+
+    def down(key):
+        if key % 2:
+            raise TimeoutError("down")
+        return f"[{key}]"
+
+    for fetch in (down, lambda k: f"[{k}]"):
+        sweep.sweep_lots(spark, requests, "cp", fetch, replies, checkpoint, tasks=2, lots_per_commit=4, attempts=1,
+                         wait_seconds=0).awaitTermination()
+        sweep.ask_again(spark, requests, "cp", replies)
+    # one commit in four lots, each time; the failed keys lie in as few files, and nothing is queued when none is left
+    assert len(list((tmp_path / "requests").rglob("*.parquet"))) == 2 * files
+    assert len(list((tmp_path / "replies").glob("commit=*"))) == 2 * -(-lots // 4)
+    last = sweep.last_replies(spark, replies, "cp").collect()
+    assert sorted((r.cp, r.lote, r.status) for r in last) == [(k, k // 2, "ok") for k in range(300)]
+
+
+def test_a_queue_of_single_lots_goes_on(spark, tmp_path):
+    requests, replies, checkpoint = (str(tmp_path / n) for n in ("requests", "replies", "checkpoint"))
+    keys = spark.range(40).select(F.col("id").cast("int").alias("cp"), F.expr("id div 10").alias("lote"))
+    keys.repartition("lote").write.partitionBy("lote").parquet(requests)
+
+    def down(key):
+        raise TimeoutError("down")
+
+    for fetch in (down, lambda k: f"[{k}]"):
+        sweep.sweep_lots(spark, requests, "cp", fetch, replies, checkpoint, tasks=2, lots_per_commit=2, attempts=1,
+                         wait_seconds=0).awaitTermination()
+        sweep.ask_again(spark, requests, "cp", replies)
+    assert len(list((tmp_path / "requests").glob("lote=*/*.parquet"))) == 8
+    last = sweep.last_replies(spark, replies, "cp").collect()
+    assert sorted((r.cp, r.lote, r.status) for r in last) == [(k, k // 10, "ok") for k in range(40)]
+
+
 # -- catalog ------------------------------------------------------------------------------------
 
 @pytest.fixture

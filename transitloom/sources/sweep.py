@@ -24,6 +24,8 @@ from transitloom.session import folders_in
 _FLUSH = 64  # replies held in a task before they are handed back
 #: Lots, and so commits, of one micro-batch at most; seconds that the requests of one job should take.
 LOTS_AT_ONCE, JOB_SECONDS = 4096, 30.0
+#: Lots that share a file of requests; queues with a folder named for each lot have files of one lot.
+LOTS_IN_FILE = 64
 
 
 class Pace:
@@ -98,15 +100,19 @@ def attempts_summary(replies: DataFrame) -> DataFrame:
 
 
 def write_lots(keys: DataFrame, key: str, size: int, folder: str) -> None:
-    """Requests as files, one folder per lot of ``size`` keys."""
-    in_lots(keys, key, size).repartition("lote").write.partitionBy("lote").parquet(folder)
+    """Requests in lots of ``size`` keys, as files of LOTS_IN_FILE lots: the stream lists all files and every job opens them."""
+    lots = in_lots(keys, key, size).withColumn("lotes", F.floor(F.col("lote") / LOTS_IN_FILE))
+    lots.repartition("lotes").write.partitionBy("lotes").parquet(folder)
 
 
 def ask_again(spark: SparkSession, requests: str, key: str, replies: str) -> None:
-    """Queue the keys whose last answer is a failure, under the lot they had."""
+    """Queue the keys whose last answer is a failure, under the lot they had: in files like those of the queue."""
     failed = last_replies(spark, replies, key).filter(F.col("status") == "failed").select(key, "lote")
-    # a file per lot, as the stream counts files
-    failed.repartition("lote").write.mode("append").partitionBy("lote").parquet(requests)
+    by = "lotes" if folders_in(spark, requests, "lotes=") else "lote"
+    if by == "lotes":
+        failed = failed.withColumn(by, F.floor(F.col("lote") / LOTS_IN_FILE))
+    # a file per folder, as the stream counts files
+    failed.repartition(by).write.mode("append").partitionBy(by).parquet(requests)
 
 
 def last_replies(spark: SparkSession, replies: str, key: str) -> DataFrame:
@@ -149,8 +155,10 @@ def sweep_lots(spark: SparkSession, requests: str, key: str, fetch: Callable[[ob
             if written is not None:
                 written(_replies_of(spark, replies, now), now)
 
+    at_most = max(lots_per_commit, LOTS_AT_ONCE // lots_per_commit * lots_per_commit)
+    in_file = 1 if folders_in(spark, requests, "lote=") else LOTS_IN_FILE
     source = spark.readStream.schema(f"{key} int, lote bigint").option(
-        "maxFilesPerTrigger", max(lots_per_commit, LOTS_AT_ONCE // lots_per_commit * lots_per_commit)).parquet(requests)
+        "maxFilesPerTrigger", math.ceil(at_most / in_file)).parquet(requests)
     return (source.writeStream.foreachBatch(ask).option("checkpointLocation", checkpoint)
             .trigger(availableNow=True).start())
 
