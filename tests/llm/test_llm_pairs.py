@@ -221,6 +221,20 @@ def test_components_of_chains_and_stars(spark):
     assert graph.components(spark.createDataFrame([], "a long, b long")).count() == 0
 
 
+def test_no_turn_is_spent_on_stars(spark, monkeypatch):
+    turns, kept = [], graph.stored
+    monkeypatch.setattr(graph, "stored", lambda df, purpose: turns.append(purpose) or kept(df, purpose))
+    star = [(1, 9), (9, 1), (5, 1), (4, 3), (3, 4), (7, 3), (6, 6), (None, 2)]
+    got = graph.components(spark.createDataFrame(star, "a long, b long"))
+    assert sorted(map(tuple, got.collect())) == [(1, 1), (3, 3), (4, 3), (5, 1), (7, 3), (9, 1)]
+    assert len(turns) == 1
+    # one turn for a star whose middle is the largest node, and none after it
+    turns.clear()
+    got = graph.components(spark.createDataFrame([(9, k) for k in range(9)], "a long, b long"))
+    assert sorted(map(tuple, got.collect())) == [(k, 0) for k in range(10)]
+    assert len(turns) == 2
+
+
 # -- contamination -------------------------------------------------------------------------------
 
 def bench_words(text):

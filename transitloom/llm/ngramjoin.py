@@ -28,7 +28,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from transitloom.llm import tokens as tk
-from transitloom.llm.graph import components, stored
+from transitloom.llm.graph import stars, stored
 from transitloom.llm.rows import id_again, keyed, without
 
 #: Rounds in which the next row of each block is compared with the others.
@@ -222,7 +222,7 @@ def _close(x: str, y: str, percent: int) -> Column:
 
 
 def linked_classes(rows: DataFrame, sets: DataFrame, size: int, percent: int) -> DataFrame:
-    """(node, root): classes joined by links to others, and the smallest class of their component."""
+    """(node, root): classes joined by links to smaller ones, and the smallest class of their component."""
     blocks = _signed_blocks(rows, size, percent)
     by = Window.partitionBy("block")
     met = blocks.withColumn("low", F.min("class").over(by)).withColumn("high", F.max("class").over(by)).filter("low < high")
@@ -253,7 +253,7 @@ def linked_classes(rows: DataFrame, sets: DataFrame, size: int, percent: int) ->
         if found.filter("linked").isEmpty():  # the components stay as they are
             continue
         links = found.filter("linked").select("a", "b").unionByName(roots.select(F.col("node").alias("a"), F.col("root").alias("b")))
-        roots = components(links)
+        roots = stars(links)
     return roots
 
 
