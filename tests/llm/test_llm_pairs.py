@@ -214,6 +214,33 @@ def test_one_of_each_group_stays_with_its_columns(spark):
     assert ngramjoin.first_of_each(empty(spark)).count() == 0
 
 
+def inputs(df):
+    """How many tables a plan reads, as often as it reads them."""
+    return df._jdf.queryExecution().optimizedPlan().collectLeaves().size()
+
+
+def test_no_step_of_the_join_is_a_wide_plan(spark, monkeypatch):
+    """The exchanges of a plan start together, and each takes memory of the driver."""
+    read, kept = [], ngramjoin.stored
+    monkeypatch.setattr(ngramjoin, "stored", lambda df, purpose: read.append((purpose, inputs(df))) or kept(df, purpose))
+    rng = random.Random(5)
+    base = [f"w{i}" for i in range(70)]
+    docs = [(i, " ".join(w if rng.random() < 0.96 else f"e{rng.randrange(40)}" for w in base)) for i in range(60)]
+    left = ngramjoin.first_of_each(spark.createDataFrame(docs, "doc_id long, text string"), size=5, percent=80)
+    assert sorted(r.doc_id for r in left.collect()) == sorted({c for _, _, c in plain_components(docs, 80, 5)})
+    assert {"links", "rare", "rooted"} <= {purpose for purpose, _ in read}
+    assert max([n for _, n in read] + [inputs(left)]) <= 5
+
+
+def test_steps_without_rows_are_left_out(spark, monkeypatch):
+    made, kept = [], ngramjoin.stored
+    monkeypatch.setattr(ngramjoin, "stored", lambda df, purpose: made.append(purpose) or kept(df, purpose))
+    docs = [(i, " ".join(f"w{i}-{k}" for k in range(40))) for i in range(8)] + [(9, " ".join(f"w3-{k}" for k in range(40)))]
+    got = ngramjoin.near_duplicates(spark.createDataFrame(docs, "doc_id long, text string"))
+    assert rows(got) == sorted(plain_components(docs), key=str)
+    assert not {"pairs", "links", "rare"} & set(made)
+
+
 def test_components_of_chains_and_stars(spark):
     edges = [(i, i + 1) for i in range(40)] + [(100, 100 + i) for i in range(1, 30)] + [(7, 7), (300, 200), (None, 3)]
     got = dict(rows(graph.components(spark.createDataFrame(edges, "a long, b long"))))
@@ -281,6 +308,14 @@ def test_contamination_takes_odd_documents_and_short_items(spark, block):
     assert rows(got) == sorted(plain_contamination(docs, TESTS), key=str)
 
 
+def test_no_step_of_contamination_is_a_wide_plan(spark, monkeypatch):
+    read, kept = [], decontaminate.stored
+    monkeypatch.setattr(decontaminate, "stored", lambda df, purpose: read.append(inputs(df)) or kept(df, purpose))
+    left = decontaminate.clean(odd(spark), items(spark))
+    left.collect()
+    assert max([*read, inputs(left)]) <= 6
+
+
 def test_contamination_of_nothing(spark):
     none = items(spark)
     assert decontaminate.contamination(empty(spark), none).count() == 0

@@ -179,12 +179,13 @@ def _sets(block: DataFrame, size: int) -> tuple[np.ndarray, np.ndarray, int]:
 
 def judged(rows: DataFrame, items: DataFrame, size: int = 13, percent: int = 5, block_words: int = BLOCK_WORDS) -> DataFrame:
     """(_doc, _tie, n_words, n_hit, items, contaminated) for every row of ``keyed``."""
-    words = item_words(items)
+    # items and matches are read several times: stored, so that no plan holds their steps twice
+    words = stored(item_words(items), "items")
     found, counts = None, None
     for block in _blocks(words, block_words):
         terms, pairs, shortest = _sets(block, size)
         index = stored(build_index(rows, terms, pairs, shortest), "postings")
-        matches = phrase_matches(index, windows(block, size))
+        matches = stored(phrase_matches(index, windows(block, size)), "matches")
         found = matches if found is None else found.unionByName(matches)
         counts = counts or index
     key = ["_doc", "_tie"]

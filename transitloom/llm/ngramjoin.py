@@ -13,6 +13,9 @@ compared with the rest; then the next with those that no link has yet joined to
 blocks that still hold several components are compared where they share a rare n-gram, as a link demands.
 Every pair left out is in one component already or below the bound, so components are exact.
 
+Each step is stored before the next: the exchanges of a plan start together, and the driver holds buffers for every
+one of them, so many small plans take less of it than a few wide ones. Steps without rows are left out.
+
 Meaning of odd input: a null text is empty; an empty set is linked with nothing; a null id counts as the
 smallest id; rows equal in id and text get the same answer; classes are told apart by a 64-bit hash.
 """
@@ -221,8 +224,8 @@ def _close(x: str, y: str, percent: int) -> Column:
     return F.least(x, y) * 100 >= F.greatest(x, y) * percent
 
 
-def linked_classes(rows: DataFrame, sets: DataFrame, size: int, percent: int) -> DataFrame:
-    """(node, root): classes joined by links to smaller ones, and the smallest class of their component."""
+def linked_classes(rows: DataFrame, sets: DataFrame, size: int, percent: int) -> DataFrame | None:
+    """(node, root): classes joined by links to smaller ones, and the smallest class of their component; None without links."""
     blocks = _signed_blocks(rows, size, percent)
     by = Window.partitionBy("block")
     met = blocks.withColumn("low", F.min("class").over(by)).withColumn("high", F.max("class").over(by)).filter("low < high")
@@ -239,24 +242,39 @@ def linked_classes(rows: DataFrame, sets: DataFrame, size: int, percent: int) ->
     texts = one.join(rows, ["_doc", "_tie"]).groupBy("class").agg(F.first("_text").alias("text"))
     texts = stored(_sketched(texts, size), "rows")
 
-    none = met.select(F.col("class").alias("a"), F.col("class").alias("b"), F.lit(True).alias("linked")).limit(0)
-    done, roots = none, none.select(F.col("a").alias("node"), F.col("b").alias("root"))
+    done = roots = None
     for turn in range(1, PIVOTS + 2):
-        now = met.join(roots, met["class"] == roots["node"], "left").select(
-            "block", "class", "n", "grid", "need", "place", F.coalesce("root", "class").alias("root"))
+        now = _rooted(met.filter(F.col("place") >= turn), roots)
         pairs = _against_pivot(now, turn, percent) if turn <= PIVOTS else _against_rare(now, texts, size, percent)
-        pairs = pairs.distinct().join(done.select("a", "b"), ["a", "b"], "left_anti")
+        if pairs is None:
+            continue
+        pairs = pairs.distinct() if done is None else pairs.distinct().join(done, ["a", "b"], "left_anti")
+        pairs = stored(pairs, "met")
+        if pairs.isEmpty():
+            continue
         # stored, so that their size is known: few pairs fetch their texts without a shuffle of all texts
         pairs = stored(_possible(pairs, texts, percent), "pairs")
+        if pairs.isEmpty():
+            continue
         found = stored(_overlaps(pairs, texts, size, percent), "links")
-        done = done.unionByName(found)
-        if found.filter("linked").isEmpty():  # the components stay as they are
+        done = found.select("a", "b") if done is None else done.unionByName(found.select("a", "b"))
+        links = found.filter("linked").select("a", "b")
+        if links.isEmpty():  # the components stay as they are
             continue
-        links = found.filter("linked").select("a", "b").unionByName(roots.select(F.col("node").alias("a"), F.col("root").alias("b")))
+        if roots is not None:
+            links = links.unionByName(roots.select(F.col("node").alias("a"), F.col("root").alias("b")))
         roots = stars(links)
     return roots
 
 
+def _rooted(met: DataFrame, roots: DataFrame | None) -> DataFrame:
+    """The rows of the blocks, each with the smallest class of its component."""
+    if roots is None:
+        return met.withColumn("root", F.col("class"))
+    now = met.join(roots, met["class"] == roots["node"], "left").select(*met.columns, F.coalesce("root", "class").alias("root"))
+    return stored(now, "rooted")
+
+
 def _against_pivot(now: DataFrame, turn: int, percent: int) -> DataFrame:
     """(a, b): in every block, the rows after the one in turn, with that one."""
     low = now.filter(F.col("place") == turn).select(
@@ -265,8 +283,8 @@ def _against_pivot(now: DataFrame, turn: int, percent: int) -> DataFrame:
         _close("n", "n_b", percent)).select(F.col("class").alias("a"), "b")
 
 
-def _against_rare(now: DataFrame, texts: DataFrame, size: int, percent: int) -> DataFrame:
-    """(a, b): of blocks with several components left, the rows that may still be linked.
+def _against_rare(now: DataFrame, texts: DataFrame, size: int, percent: int) -> DataFrame | None:
+    """(a, b): of blocks with several components left, the rows that may still be linked; None if there are no such blocks.
 
     A row shares as many of its blocks with one that it is linked to as ``need`` says, and all of those are still open, or
     the two would have been compared; rows with fewer open blocks are done. Of the others, two that are linked share one
@@ -276,9 +294,11 @@ def _against_rare(now: DataFrame, texts: DataFrame, size: int, percent: int) ->
     left = now.filter(F.col("place") > PIVOTS).select("block", "class", "n", "grid", "need", "root")
     for _ in range(NARROWINGS):  # rows that go may close further blocks
         open_ = left.groupBy("block").agg(F.min("root").alias("low"), F.max("root").alias("high")).filter("low < high")
-        left = left.join(open_, "block", "left_semi")
+        left = stored(left.join(open_, "block", "left_semi"), "open")
         able = left.groupBy("class", "grid").agg(F.count("*").alias("blocks"), F.max("need").alias("most")).filter("blocks >= most")
         left = stored(left.join(able, ["class", "grid"], "left_semi"), "open")
+        if left.isEmpty():
+            return None
     rows = left.select("class", "n", "root").distinct()
     grams = _grams(texts.join(rows, "class", "left_semi"), size)
     counted = grams.join(grams.groupBy("gram").agg(F.count("*").alias("rows")), "gram")
@@ -288,6 +308,7 @@ def _against_rare(now: DataFrame, texts: DataFrame, size: int, percent: int) ->
     unshared = F.col("n") - F.ceil(F.col("n") * percent / 100) + 1
     rare = ranked.join(rows, "class").filter((F.col("rows") > 1) & (F.col("place") <= unshared)).select(
         "gram", "class", "n", "root", F.least(F.col("n") - F.col("own"), F.col("n") - F.col("place") + 1).alias("most"))
+    rare = stored(rare, "rare")
     other = rare.select("gram", *(F.col(c).alias(f"{c}_b") for c in ("class", "n", "root", "most")))
     # 100 * overlap >= percent * (n + n_b - overlap), at the first n-gram that both have
     enough = F.least("most", "most_b") * (100 + percent) >= (F.col("n") + F.col("n_b")) * percent
@@ -313,7 +334,11 @@ def components_of(rows: DataFrame, size: int = 3, percent: int = 90) -> DataFram
     sets = stored(_sets(rows, size), "sets")
     roots = linked_classes(rows, sets, size, percent)
     named = sets.filter("n > 0").groupBy("class").agg(F.min("_doc").alias("low"))
-    named = named.join(roots, named["class"] == roots["node"], "left").select("class", "low", F.coalesce("root", "class").alias("root"))
+    if roots is None:  # each class is a component
+        named = named.select("class", F.col("low").alias("component"))
+        return sets.join(named, "class", "left").select("_doc", "_tie", "n", F.coalesce("component", "_doc").alias("component"))
+    named = stored(named.join(roots, named["class"] == roots["node"], "left").select(
+        "class", "low", F.coalesce("root", "class").alias("root")), "named")
     lowest = named.groupBy("root").agg(F.min("low").alias("component"))
     named = named.join(lowest, "root").select("class", "component")
     return sets.join(named, "class", "left").select("_doc", "_tie", "n", F.coalesce("component", "_doc").alias("component"))
@@ -331,11 +356,10 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
 
 def first_of_each(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", size: int = 3, percent: int = 90) -> DataFrame:
     """The documents that have the smallest id of their component; rows equal in id and text stay or go together."""
-    found = components_of(keyed(docs, doc_id, text), size, percent)
-    found = found.filter("n > 0")
+    found = stored(components_of(keyed(docs, doc_id, text), size, percent).filter("n > 0"), "components")
     # a component bears the id of its first document; of several texts with that id the smallest tie stays
     named = found.filter("_doc = component")
     first = named.groupBy("component").agg(F.min("_tie").alias("first"))
     again = named.join(first, "component").filter("_tie > first").select("_doc", "_tie")
-    gone = found.filter("_doc > component").select("_doc", "_tie").unionByName(again).distinct()
+    gone = found.filter("_doc > component").select("_doc", "_tie").unionByName(again)
     return without(docs, gone, doc_id, text)
